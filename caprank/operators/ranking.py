@@ -210,6 +210,52 @@ def rank_rows(
     return bucketed.withColumn(rank_col, (F.row_number().over(w) + off).cast("long")).drop("_rb")
 
 
+def rank_within(
+    df: DataFrame,
+    partition_col: str,
+    score: str | Column,
+    rid: str,
+    rank_col: str = "rank",
+    exact_limit: int = EXACT_LIMIT,
+    target_bucket_rows: int = TARGET_BUCKET_ROWS,
+    seed: int = 31,
+) -> DataFrame:
+    """Exact rank inside each value of ``partition_col``.
+
+    Partitions up to ``exact_limit`` rows use a plain partitioned window.
+    Larger partitions get their own composite split points, so a hot
+    partition (say a third of all rows) is spread over many tasks; the
+    per-(partition, bucket) counts become offsets.
+    """
+    s, i = _dbl(score), _lng(rid)
+    sizes = dict(df.groupBy(partition_col).count().collect())
+    big = {p: c for p, c in sizes.items() if c > exact_limit}
+    base = df.withColumn("_rs", s)
+    if not big:
+        w = Window.partitionBy(partition_col).orderBy(F.desc("_rs"), i.asc())
+        return base.withColumn(rank_col, F.row_number().over(w).cast("long")).drop("_rs")
+    bucket = F.lit(0)
+    split_map = {}
+    for p, c in big.items():
+        nb = min(MAX_BUCKETS, max(2, math.ceil(c / target_bucket_rows)))
+        part = base.filter(F.col(partition_col) == F.lit(p)).select("_rs", i)
+        split_map[p] = _sample_splits(part, c, nb, seed)
+        bucket = F.when(
+            F.col(partition_col) == F.lit(p), composite_bucket(split_map[p], F.col("_rs"), i)
+        ).otherwise(bucket)
+    bucketed = base.withColumn("_rb", bucket)
+    counts = bucketed.groupBy(partition_col, "_rb").count()
+    wo = Window.partitionBy(partition_col).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        partition_col, "_rb", F.coalesce(F.sum("count").over(wo), F.lit(0)).alias("_off")
+    )
+    j = bucketed.join(F.broadcast(offsets), [partition_col, "_rb"])
+    w = Window.partitionBy(partition_col, "_rb").orderBy(F.desc("_rs"), i.asc())
+    return j.withColumn(rank_col, (F.row_number().over(w) + F.col("_off")).cast("long")).drop(
+        "_rs", "_rb", "_off"
+    )
+
+
 def rank_top_k(
     df: DataFrame,
     score: str,

@@ -107,3 +107,288 @@ def rule_ranked_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select(
         F.col("id").alias("student_id"), r6(F.col("risk_score")).alias("risk_score"), "rank"
     )
+
+
+# ---------------------------------------------------------------- helpers
+def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
+    """Round every DOUBLE column (value digests compare exactly)."""
+    return df.select(*[
+        F.round(F.col(f"`{n}`"), places).alias(n) if t in ("double", "float") else F.col(f"`{n}`")
+        for n, t in df.dtypes
+    ])
+
+
+def topk_sql(cte: str, label: str, fraction: float = 0.1) -> str:
+    return f"""
+SELECT '{label}' AS view, CAST(n AS BIGINT) AS n, CAST(pos AS BIGINT) AS positives,
+       CAST(k AS BIGINT) AS k, CAST(tp AS BIGINT) AS tp_at_k,
+       round(tp / k, 6) AS precision_at_k,
+       round(CASE WHEN pos > 0 THEN tp / pos ELSE 0.0 END, 6) AS recall_at_k,
+       round(CASE WHEN pos > 0 THEN (tp / k) / (pos / n) ELSE 0.0 END, 6) AS lift_at_k,
+       round(pos / n, 6) AS base_rate,
+       round(CASE WHEN pos > 0 THEN least(1.0, k / pos) END, 6) AS recall_ceiling
+FROM (SELECT max(n) AS n, sum(y) AS pos, max(k) AS k,
+             sum(CASE WHEN rn <= k THEN y ELSE 0 END) AS tp
+      FROM (SELECT y, rn, n, greatest(1, CAST(ceil(CAST({fraction} AS DOUBLE) * n) AS BIGINT)) AS k
+            FROM (SELECT y, row_number() OVER (ORDER BY score DESC, id ASC) AS rn,
+                         count(*) OVER () AS n FROM {cte})))
+"""
+
+
+def ap_sql(cte: str, label: str) -> str:
+    return f"""
+SELECT '{label}' AS view,
+       round(CASE WHEN sum(p) > 0 THEN sum(p * (CAST(cp AS DOUBLE) / cc)) / sum(p) END, 6) AS average_precision
+FROM (SELECT p, sum(c) OVER (ORDER BY score DESC) AS cc, sum(p) OVER (ORDER BY score DESC) AS cp
+      FROM (SELECT score, count(*) AS c, sum(y) AS p FROM {cte} GROUP BY score))
+"""
+
+
+# ---------------------------------------------------------------- metrics
+from caprank.operators.metrics import average_precision, brier, topk_metrics  # noqa: E402
+from caprank.sources.views import documents_view, events_view, orders_view  # noqa: E402
+
+
+@register(
+    "topk_metrics",
+    f"WITH {SQL_E}, {SQL_O} " + topk_sql("ev", "E") + " UNION ALL " + topk_sql("od", "O"),
+)
+def q_topk_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1-K4, K9, K11 on the events and orders views."""
+    e = topk_metrics(events_view(spark, sf_dir), "y", "score", "id", 0.10)
+    o = topk_metrics(orders_view(spark, sf_dir), "y", "score", "id", 0.10)
+    return round_doubles(
+        e.select(F.lit("E").alias("view"), "*").unionByName(o.select(F.lit("O").alias("view"), "*"))
+    )
+
+
+@register(
+    "avg_precision",
+    f"WITH {SQL_E}, {SQL_O} " + ap_sql("ev", "E") + " UNION ALL " + ap_sql("od", "O"),
+)
+def q_avg_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: step-wise average precision on E and O."""
+    e = average_precision(events_view(spark, sf_dir), "y", "score")
+    o = average_precision(orders_view(spark, sf_dir), "y", "score")
+    return round_doubles(
+        e.select(F.lit("E").alias("view"), "*").unionByName(o.select(F.lit("O").alias("view"), "*"))
+    )
+
+
+@register(
+    "brier",
+    f"""
+WITH {SQL_C}, {SQL_O},
+sc AS (SELECT y, 1.0 - {safe_ratio_sql('approved', 'enrolled')} AS s FROM cohort),
+so AS (SELECT y, (o_totalprice - (SELECT min(o_totalprice) FROM od))
+                 / ((SELECT max(o_totalprice) FROM od) - (SELECT min(o_totalprice) FROM od)) AS s FROM od)
+SELECT 'C' AS view, round(avg(power(s - y, 2)), 6) AS brier,
+       CAST(count(*) FILTER (WHERE s < 0 OR s > 1) AS BIGINT) AS n_out_of_range FROM sc
+UNION ALL
+SELECT 'O', round(avg(power(s - y, 2)), 6), CAST(count(*) FILTER (WHERE s < 0 OR s > 1) AS BIGINT) FROM so
+""",
+)
+def q_brier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: Brier score of the rule score on C and min-max scaled price on O."""
+    c = customer_cohort(spark, sf_dir).withColumn("s", rule_score("approved", "enrolled"))
+    o = orders_view(spark, sf_dir)
+    mm = o.agg(F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi"))
+    o = o.crossJoin(F.broadcast(mm)).withColumn(
+        "s", (F.col("o_totalprice") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+    )
+    bc = brier(c, "y", "s").select(F.lit("C").alias("view"), "*")
+    bo = brier(o, "y", "s").select(F.lit("O").alias("view"), "*")
+    return round_doubles(bc.unionByName(bo))
+
+
+# ---------------------------------------------------------------- slices
+from caprank.operators.slices import slice_table  # noqa: E402
+
+
+def slice_sql(cte: str, attrs: list[tuple[str, str]], fraction: float = 0.1) -> str:
+    parts = []
+    for name, expr in attrs:
+        parts.append(
+            f"SELECT '{name}' AS slice, CAST({expr} AS VARCHAR) AS level, count(*) AS gn, sum(y) AS pos,"
+            f" sum(fl) AS nf, sum(fl * y) AS tp, max(k) AS k FROM f GROUP BY 2"
+        )
+    return f"""
+r AS (SELECT *, row_number() OVER (ORDER BY score DESC, id ASC) AS rn, count(*) OVER () AS n FROM {cte}),
+f AS (SELECT *, greatest(1, CAST(ceil(CAST({fraction} AS DOUBLE) * n) AS BIGINT)) AS k,
+             CAST(rn <= greatest(1, CAST(ceil(CAST({fraction} AS DOUBLE) * n) AS BIGINT)) AS INTEGER) AS fl
+      FROM r),
+s AS ({' UNION ALL '.join(parts)})
+SELECT slice, level, CAST(gn AS BIGINT) AS group_n, round(pos / gn, 6) AS group_base_rate,
+       CAST(nf AS BIGINT) AS n_flagged, round(nf / gn, 6) AS selection_rate,
+       round(CASE WHEN nf > 0 THEN tp / nf END, 6) AS precision_in_group, gn < k AS small_slice
+FROM s
+"""
+
+
+@register(
+    "slice_table",
+    f"WITH {SQL_O}, " + slice_sql("od", [("o_orderpriority", "o_orderpriority"), ("order_year", "order_year")]),
+)
+def q_slice_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 on orders: priority and order year, global top-10 % flag."""
+    o = orders_view(spark, sf_dir)
+    return round_doubles(slice_table(o, "y", "score", "id", ["o_orderpriority", "order_year"], 0.10))
+
+
+@register(
+    "slice_table_events",
+    f"WITH {SQL_E}, ev2 AS (SELECT *, user_id % 5 AS user_bucket, hour(ts) AS hour_of_day FROM ev), "
+    + slice_sql("ev2", [("user_bucket", "user_bucket"), ("hour_of_day", "hour_of_day")]),
+)
+def q_slice_table_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 on events: user_id % 5 and hour of day."""
+    e = events_view(spark, sf_dir).withColumns(
+        {"user_bucket": F.col("user_id") % 5, "hour_of_day": F.hour("ts")}
+    )
+    return round_doubles(slice_table(e, "y", "score", "id", ["user_bucket", "hour_of_day"], 0.10))
+
+
+# ---------------------------------------------------------------- splits
+from caprank.operators.split import (  # noqa: E402
+    ordered_half_split,
+    stratified_folds,
+    stratified_split,
+)
+
+
+def h_sql(seed: int, idcol: str = "id") -> str:
+    return f"CAST(('0x' || substr(md5(concat_ws('|', '{seed}', {idcol})), 1, 8)) AS BIGINT)"
+
+
+def alloc_sql(cte: str, label: str, test_size: float) -> str:
+    return f"""
+cls AS (SELECT {label} AS c, count(*) AS nc FROM {cte} GROUP BY 1),
+tot AS (SELECT sum(nc) AS n, CAST(ceil(CAST({test_size} AS DOUBLE) * sum(nc)) AS BIGINT) AS nt FROM cls),
+ex AS (SELECT c, nc, nt, CAST(nt * nc AS DOUBLE) / n AS e, floor(CAST(nt * nc AS DOUBLE) / n) AS fl FROM cls, tot),
+rk AS (SELECT c, fl, row_number() OVER (ORDER BY e - fl DESC, c) AS r,
+              nt - sum(fl) OVER () AS rest FROM ex),
+alloc AS (SELECT c, CAST(fl + CASE WHEN r <= rest THEN 1 ELSE 0 END AS BIGINT) AS ntest FROM rk)
+"""
+
+
+@register(
+    "stratified_split",
+    f"""
+WITH {SQL_E}, {alloc_sql('ev', 'event_type', 0.2)},
+o AS (SELECT id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY {h_sql(42)}, id) AS rn FROM ev)
+SELECT o.id, o.event_type, o.rn <= a.ntest AS is_test FROM o JOIN alloc a ON o.event_type = a.c
+""",
+)
+def q_stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact 20 % per event_type, md5 order."""
+    e = events_view(spark, sf_dir).select("id", "event_type")
+    return stratified_split(e, "event_type", "id", 0.20, seed=42)
+
+
+@register(
+    "kfold_sizes",
+    f"""
+WITH {SQL_O},
+o AS (SELECT id, o_orderstatus,
+             row_number() OVER (PARTITION BY o_orderstatus ORDER BY {h_sql(42)}, id) AS rn FROM od)
+SELECT o_orderstatus, CAST((rn - 1) % 5 AS INTEGER) AS fold, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(sum(id) AS BIGINT) AS id_sum
+FROM o GROUP BY 1, 2
+""",
+)
+def q_kfold_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5 stratified folds of orders by status (size and id checksum per fold)."""
+    o = orders_view(spark, sf_dir).select("id", "o_orderstatus")
+    f = stratified_folds(o, "o_orderstatus", "id", 5, seed=42)
+    return f.groupBy("o_orderstatus", "fold").agg(
+        F.count(F.lit(1)).cast("long").alias("n_rows"), F.sum("id").cast("long").alias("id_sum")
+    )
+
+
+@register(
+    "half_split",
+    f"""
+WITH {SQL_E}
+SELECT id, row_number() OVER (ORDER BY ts, id) <= (count(*) OVER ()) // 2 AS is_reference FROM ev
+""",
+)
+def q_half_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: first half of events by (ts, event_id) is the reference cohort."""
+    e = events_view(spark, sf_dir).select("id", "ts")
+    return ordered_half_split(e, "ts", "id").select("id", "is_reference")
+
+
+# ---------------------------------------------------------------- bootstrap
+from caprank.operators.bootstrap import (  # noqa: E402
+    bootstrap_difference,
+    bootstrap_metric,
+    poisson1_weight_sql,
+)
+
+
+def boot_sql(scores: dict[str, str], n_iter: int = 50, seed: int = 42, fraction: float = 0.1) -> str:
+    """Replicate precision table ``pb(b, p_<name>)`` as SQL CTEs."""
+    sel = ", ".join(f"CAST({e} AS DOUBLE) AS s_{m}" for m, e in scores.items())
+    ctes = [
+        f"base AS (SELECT id, y, {sel} FROM dv)",
+        f"rep AS (SELECT t.b, id, y, {', '.join('s_' + m for m in scores)},"
+        f" CAST(('0x' || substr(md5(concat_ws('|', '{seed}', t.b, id)), 1, 8)) AS BIGINT) AS h"
+        f" FROM base, range(1, {n_iter + 1}) t(b))",
+        f"wt AS (SELECT *, {poisson1_weight_sql('h')} AS w FROM rep)",
+        "nb AS (SELECT b, sum(w) AS nw FROM wt GROUP BY b)",
+    ]
+    for m in scores:
+        ctes.append(
+            f"cum_{m} AS (SELECT wt.b, y, w, sum(w) OVER (PARTITION BY wt.b ORDER BY s_{m} DESC, id ASC"
+            f" ROWS UNBOUNDED PRECEDING) AS cw,"
+            f" greatest(1, CAST(ceil(CAST({fraction} AS DOUBLE) * nb.nw) AS BIGINT)) AS kb"
+            f" FROM wt JOIN nb ON wt.b = nb.b WHERE w > 0)"
+        )
+        ctes.append(
+            f"pb_{m} AS (SELECT b, sum(y * greatest(0, least(w, kb - (cw - w)))) / max(kb) AS p_{m}"
+            f" FROM cum_{m} GROUP BY b)"
+        )
+    return ",\n".join(ctes)
+
+
+def point_sql(expr: str, fraction: float = 0.1) -> str:
+    return f"""(SELECT sum(CASE WHEN rn <= greatest(1, CAST(ceil(CAST({fraction} AS DOUBLE) * n) AS BIGINT))
+                           THEN y ELSE 0 END) / max(greatest(1, CAST(ceil(CAST({fraction} AS DOUBLE) * n) AS BIGINT)))
+           FROM (SELECT y, row_number() OVER (ORDER BY CAST({expr} AS DOUBLE) DESC, id ASC) AS rn,
+                        count(*) OVER () AS n FROM dv))"""
+
+
+@register(
+    "bootstrap_ci",
+    f"""
+WITH {SQL_D}, {boot_sql({'a': '-n_chars'})}
+SELECT 'precision_at_k' AS metric, round({point_sql('-n_chars')}, 6) AS point,
+       round(quantile_cont(p_a, 0.025), 6) AS ci_low, round(quantile_cont(p_a, 0.975), 6) AS ci_high,
+       0.95 AS ci_level
+FROM pb_a
+""",
+)
+def q_bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: 95 % CI of P@10 % for the score -n_chars on documents, B=50."""
+    d = documents_view(spark, sf_dir).withColumn("s", -F.col("n_chars").cast("double"))
+    return round_doubles(bootstrap_metric(d, "y", "s", "id", 0.10, n_iter=50, seed=42))
+
+
+@register(
+    "bootstrap_diff",
+    f"""
+WITH {SQL_D}, {boot_sql({'a': '-n_chars', 'b': 'toxic'})},
+q AS (SELECT quantile_cont(p_a - p_b, 0.025) AS lo, quantile_cont(p_a - p_b, 0.975) AS hi
+      FROM pb_a JOIN pb_b ON pb_a.b = pb_b.b)
+SELECT round({point_sql('-n_chars')} - {point_sql('toxic')}, 6) AS point,
+       round(lo, 6) AS ci_low, round(hi, 6) AS ci_high, 0.95 AS ci_level,
+       (lo > 0 OR hi < 0) AS excludes_zero
+FROM q
+""",
+)
+def q_bootstrap_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: P@10 %(-n_chars) - P@10 %(toxic) on the same 50 resamples."""
+    d = documents_view(spark, sf_dir).withColumns(
+        {"sa": -F.col("n_chars").cast("double"), "sb": F.col("toxic").cast("double")}
+    )
+    return round_doubles(bootstrap_difference(d, "y", "sa", "sb", "id", 0.10, n_iter=50, seed=42))
