@@ -392,3 +392,431 @@ def q_bootstrap_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"sa": -F.col("n_chars").cast("double"), "sb": F.col("toxic").cast("double")}
     )
     return round_doubles(bootstrap_difference(d, "y", "sa", "sb", "id", 0.10, n_iter=50, seed=42))
+
+
+# ---------------------------------------------------------------- validation
+from caprank.operators.profile import (  # noqa: E402
+    add_binary_target,
+    cardinality,
+    correlations,
+    cutoff_inspection,
+    distinct_values,
+    group_stats,
+    histogram,
+    leakage_scan,
+    null_counts,
+    outcome_summary,
+)
+from caprank.operators.validate import (  # noqa: E402
+    Rules,
+    duplicate_rows,
+    learn_categories,
+    unknown_categories,
+    validation_report,
+)
+from caprank.sources.readers import read_table  # noqa: E402
+
+ORDER_RULES = Rules(
+    required=["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"],
+    int_columns=["o_orderkey", "o_custkey"],
+    float_columns=["o_totalprice"],
+    ranges={"o_totalprice": (0.0, 500000.0)},
+    positive=["o_totalprice"],
+    non_negative=["o_custkey"],
+    allowed={"o_orderstatus": ["F", "O", "P"],
+             "o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]},
+    label="y",
+    expected_base_rate=0.33,
+    base_rate_tolerance=0.05,
+)
+
+COHORT_RULES = Rules(
+    required=["id", "enrolled", "approved", "evaluations", "without_eval", "c_acctbal", "y"],
+    int_columns=["enrolled", "approved", "evaluations", "without_eval", "y"],
+    float_columns=["c_acctbal"],
+    ranges={"c_acctbal": (-1000.0, 10000.0)},
+    non_negative=["enrolled", "approved", "evaluations", "without_eval"],
+    allowed={"y": [0, 1]},
+    label="y",
+    expected_base_rate=0.36,
+    base_rate_tolerance=0.05,
+    null_columns=["id", "enrolled", "approved", "evaluations", "without_eval", "c_acctbal", "y"],
+)
+
+
+def _sql_checks(rules: Rules, dtypes: dict[str, str], columns: list[str]) -> list[tuple[str, str, str]]:
+    out = []
+    for c in (rules.null_columns if rules.null_columns is not None else columns):
+        pred = f"{c} IS NULL" + (f" OR isnan({c})" if dtypes.get(c) == "double" else "")
+        out.append(("null", c, pred))
+    for c in rules.int_columns:
+        d = f"TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE)"
+        out.append(("coerce_int", c, f"{c} IS NOT NULL AND ({d} IS NULL OR {d} <> floor({d}))"))
+    for c in rules.float_columns:
+        d = f"TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE)"
+        out.append(("coerce_float", c, f"{c} IS NOT NULL AND {d} IS NULL"))
+    for c, (lo, hi) in rules.ranges.items():
+        out.append(("in_range", c, f"NOT (CAST({c} AS DOUBLE) BETWEEN {lo} AND {hi})"))
+    for c in rules.positive:
+        out.append(("positive", c, f"NOT (CAST({c} AS DOUBLE) > 0)"))
+    for c in rules.non_negative:
+        out.append(("non_negative", c, f"NOT (CAST({c} AS DOUBLE) >= 0)"))
+    for c, vals in rules.allowed.items():
+        lits = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in vals)
+        out.append(("allowed_values", c, f"NOT ({c} IN ({lits}))"))
+    return out
+
+
+def validation_sql(cte: str, label: str, rules: Rules, dtypes: dict[str, str], columns: list[str]) -> str:
+    parts = []
+    for chk, col, pred in _sql_checks(rules, dtypes, columns):
+        parts.append(
+            f"SELECT '{label}' AS view, '{chk}' AS \"check\", '{col}' AS \"column\","
+            f" CAST(count(*) FILTER (WHERE coalesce({pred}, true)) AS BIGINT) AS n_violations,"
+            f" CAST(NULL AS DOUBLE) AS value FROM {cte}"
+        )
+    for c in rules.required:
+        parts.append(f"SELECT '{label}', 'required', '{c}', CAST({0 if c in columns else 1} AS BIGINT),"
+                     f" CAST(NULL AS DOUBLE)")
+    parts.append(
+        f"SELECT '{label}', 'base_rate', '{rules.label}',"
+        f" CAST(coalesce(abs(avg(CAST({rules.label} AS DOUBLE)) - {rules.expected_base_rate}) > "
+        f"{rules.base_rate_tolerance}, true) AS BIGINT), round(avg(CAST({rules.label} AS DOUBLE)), 6) FROM {cte}"
+    )
+    parts.append(f"SELECT '{label}', 'row_count', '*', CAST(0 AS BIGINT), CAST(count(*) AS DOUBLE) FROM {cte}")
+    return " UNION ALL ".join(parts)
+
+
+_O_COLS = ["id", "o_custkey", "o_orderstatus", "o_orderpriority", "order_year", "o_totalprice", "y", "score"]
+_O_SQL_VIEW = "odv AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority," \
+              " CAST(o_orderstatus = 'F' AS INTEGER) AS y FROM orders)"
+_O_RAW_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "y"]
+_C_COLS = ["id", "enrolled", "approved", "evaluations", "without_eval", "avg_price", "c_acctbal",
+           "c_mktsegment", "c_nationkey", "y"]
+
+
+@register(
+    "validation_report",
+    f"WITH {_O_SQL_VIEW}, {SQL_C} "
+    + validation_sql("odv", "O", ORDER_RULES, {"o_totalprice": "double"}, _O_RAW_COLS)
+    + " UNION ALL "
+    + validation_sql("cohort", "C", COHORT_RULES, {"c_acctbal": "double"}, _C_COLS),
+)
+def q_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1-V11 fused: one aggregate per table, long report."""
+    o = read_table(spark, sf_dir, "orders").select(*_O_RAW_COLS[:-1]).withColumn(
+        "y", (F.col("o_orderstatus") == "F").cast("int"))
+    c = customer_cohort(spark, sf_dir)
+    ro = validation_report(o, ORDER_RULES).select(F.lit("O").alias("view"), "*")
+    rc = validation_report(c, COHORT_RULES).select(F.lit("C").alias("view"), "*")
+    return round_doubles(ro.unionByName(rc))
+
+
+@register(
+    "duplicate_rows",
+    """
+SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, CAST(count(*) AS BIGINT) AS n_rows
+FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1
+""",
+)
+def q_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicate (l_orderkey, l_linenumber) groups in lineitem."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return duplicate_rows(li, ["l_orderkey", "l_linenumber"])
+
+
+@register(
+    "duplicate_full_rows",
+    """
+SELECT CAST(count(*) AS BIGINT) AS n_groups, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows
+FROM (SELECT count(*) AS n FROM lineitem GROUP BY ALL_COLUMNS_PLACEHOLDER HAVING count(*) > 1)
+""".replace(
+        "ALL_COLUMNS_PLACEHOLDER",
+        "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,"
+        " l_returnflag, l_linestatus, l_shipdate",
+    ),
+)
+def q_duplicate_full_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V12 on whole lineitem rows: number of duplicate groups and their rows."""
+    li = read_table(spark, sf_dir, "lineitem")
+    d = duplicate_rows(li)
+    return d.agg(F.count(F.lit(1)).cast("long").alias("n_groups"),
+                  F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("n_rows"))
+
+
+@register(
+    "unknown_categories",
+    f"""
+WITH {SQL_O},
+r AS (SELECT *, row_number() OVER (ORDER BY o_orderkey_ts, id) AS rn, count(*) OVER () AS n
+      FROM (SELECT od.*, o.o_orderdate AS o_orderkey_ts FROM od JOIN orders o ON od.id = o.o_orderkey)),
+train AS (SELECT * FROM r WHERE rn <= n // 2),
+cur AS (SELECT * FROM r WHERE rn > n // 2),
+known AS (SELECT DISTINCT 'o_custkey' AS "column", CAST(o_custkey AS VARCHAR) AS code FROM train
+          UNION SELECT DISTINCT 'o_orderpriority', CAST(o_orderpriority AS VARCHAR) FROM train),
+codes AS (SELECT 'o_custkey' AS "column", CAST(o_custkey AS VARCHAR) AS code, count(*) AS n FROM cur GROUP BY 2
+          UNION ALL SELECT 'o_orderpriority', CAST(o_orderpriority AS VARCHAR), count(*) FROM cur GROUP BY 2)
+SELECT c."column", c.code, CAST(c.n AS BIGINT) AS n_rows FROM codes c
+WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k."column" = c."column" AND k.code = c.code)
+""",
+)
+def q_unknown_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of the later half of orders (by date) unseen in the earlier half."""
+    o = orders_view(spark, sf_dir).join(
+        read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_orderdate"), "id")
+    halves = ordered_half_split(o, "o_orderdate", "id", flag_col="_train")
+    cols = ["o_custkey", "o_orderpriority"]
+    known = learn_categories(halves.filter("_train"), cols)
+    return unknown_categories(halves.filter(~F.col("_train")), known, cols)
+
+
+# ---------------------------------------------------------------- profiles
+@register(
+    "binary_target",
+    """
+SELECT o_orderkey AS id, o_orderstatus, CAST(o_orderstatus = 'F' AS INTEGER) AS is_finished FROM orders
+""",
+)
+def q_binary_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binary target from a multi-class column (orders status F)."""
+    o = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_orderstatus")
+    return add_binary_target(o, "o_orderstatus", "F", "is_finished")
+
+
+@register(
+    "outcome_summary",
+    """
+WITH t AS (SELECT count(*) AS n_total, avg(CAST(o_orderstatus = 'F' AS DOUBLE)) AS base_rate FROM orders)
+SELECT o_orderstatus AS class, CAST(count(*) AS BIGINT) AS n_rows, round(count(*) / max(t.n_total), 6) AS share,
+       CAST(max(t.n_total) AS BIGINT) AS n_total, CAST(6 AS BIGINT) AS n_columns,
+       round(max(t.base_rate), 6) AS base_rate,
+       CASE WHEN max(t.base_rate) BETWEEN 0.28 AND 0.38 THEN 'OK' ELSE 'OUT OF RANGE' END AS status
+FROM orders, t GROUP BY o_orderstatus
+""",
+)
+def q_outcome_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1: class counts, shares and base-rate status for orders."""
+    o = read_table(spark, sf_dir, "orders")
+    return round_doubles(outcome_summary(o, "o_orderstatus", "F", 0.28, 0.38))
+
+
+def _null_sql(table: str, cols: list[tuple[str, str]], label: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{label}' AS view, '{c}' AS \"column\", CAST(count(*) FILTER (WHERE {c} IS NULL"
+        + (f" OR isnan({c})" if t == "double" else "")
+        + f") AS BIGINT) AS n_null FROM {table}"
+        for c, t in cols
+    )
+
+
+@register(
+    "null_counts",
+    f"WITH {SQL_D}, {SQL_C} "
+    + _null_sql("dv", [("id", "x"), ("n_chars", "x"), ("lang", "x"), ("source", "x"), ("toxic", "x"), ("y", "x")], "D")
+    + " UNION ALL "
+    + _null_sql("cohort", [("id", "x"), ("enrolled", "x"), ("approved", "x"), ("evaluations", "x"),
+                           ("without_eval", "x"), ("avg_price", "double"), ("c_acctbal", "double"),
+                           ("c_mktsegment", "x"), ("c_nationkey", "x"), ("y", "x")], "C"),
+)
+def q_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2/V8: per-column null counts of the D and C views."""
+    d = null_counts(documents_view(spark, sf_dir)).select(F.lit("D").alias("view"), "*")
+    c = null_counts(customer_cohort(spark, sf_dir)).select(F.lit("C").alias("view"), "*")
+    return d.unionByName(c)
+
+
+def _card_sql(table: str, cols: list[str], label: str, cap: int = 10) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{label}' AS view, '{c}' AS \"column\", CAST(count(DISTINCT {c}) AS BIGINT) AS n_distinct,"
+        f" count(DISTINCT {c}) > {cap} AS is_high_cardinality,"
+        f" CAST(least(count(DISTINCT {c}), {cap}) + CASE WHEN count(DISTINCT {c}) > {cap} THEN 1 ELSE 0 END"
+        f" AS BIGINT) AS onehot_width FROM {table}"
+        for c in cols
+    )
+
+
+@register(
+    "cardinality",
+    f"WITH {SQL_D}, {SQL_O} " + _card_sql("dv", ["lang", "source"], "D") + " UNION ALL "
+    + _card_sql("od", ["o_orderstatus", "o_orderpriority", "o_custkey", "order_year"], "O"),
+)
+def q_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3/Q4: distinct counts, high/low split and capped one-hot width."""
+    d = cardinality(documents_view(spark, sf_dir), ["lang", "source"]).select(F.lit("D").alias("view"), "*")
+    o = cardinality(orders_view(spark, sf_dir),
+                    ["o_orderstatus", "o_orderpriority", "o_custkey", "order_year"]).select(
+        F.lit("O").alias("view"), "*")
+    return d.unionByName(o)
+
+
+@register(
+    "onehot_width",
+    f"""
+WITH {SQL_D}, {SQL_O},
+u AS (SELECT count(DISTINCT lang) AS a, count(DISTINCT source) AS b FROM dv),
+v AS (SELECT count(DISTINCT o_orderstatus) AS a, count(DISTINCT o_orderpriority) AS b,
+             count(DISTINCT o_custkey) AS c, count(DISTINCT order_year) AS d FROM od)
+SELECT 'D' AS view, CAST(least(a, 10) + (a > 10)::INT + least(b, 10) + (b > 10)::INT AS BIGINT) AS design_width FROM u
+UNION ALL
+SELECT 'O', CAST(least(a, 10) + (a > 10)::INT + least(b, 10) + (b > 10)::INT + least(c, 10) + (c > 10)::INT
+                 + least(d, 10) + (d > 10)::INT AS BIGINT) FROM v
+""",
+)
+def q_onehot_width(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4: design width of the capped one-hot encoding per view."""
+    d = cardinality(documents_view(spark, sf_dir), ["lang", "source"]).agg(
+        F.sum("onehot_width").cast("long").alias("design_width")).select(F.lit("D").alias("view"), "*")
+    o = cardinality(orders_view(spark, sf_dir),
+                    ["o_orderstatus", "o_orderpriority", "o_custkey", "order_year"]).agg(
+        F.sum("onehot_width").cast("long").alias("design_width")).select(F.lit("O").alias("view"), "*")
+    return d.unionByName(o)
+
+
+@register(
+    "distinct_values",
+    f"""
+WITH {SQL_D}, {SQL_O},
+v AS (SELECT DISTINCT 'lang' AS "column", CAST(lang AS VARCHAR) AS value FROM dv
+      UNION SELECT DISTINCT 'source', CAST(source AS VARCHAR) FROM dv
+      UNION SELECT DISTINCT 'o_orderpriority', CAST(o_orderpriority AS VARCHAR) FROM od)
+SELECT "column", value, CAST(row_number() OVER (PARTITION BY "column" ORDER BY value) AS BIGINT) AS position FROM v
+""",
+)
+def q_distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5: sorted distinct values of categorical columns."""
+    d = distinct_values(documents_view(spark, sf_dir), ["lang", "source"])
+    o = distinct_values(orders_view(spark, sf_dir), ["o_orderpriority"])
+    return d.unionByName(o)
+
+
+@register(
+    "group_stats",
+    f"""
+WITH {SQL_C},
+f AS (SELECT y, {safe_ratio_sql('approved', 'enrolled')} AS pass_rate FROM cohort)
+SELECT y AS "group", CAST(count(*) AS BIGINT) AS n, round(avg(pass_rate), 6) AS mean,
+       round(median(pass_rate), 6) AS median, round(stddev_samp(pass_rate), 6) AS std,
+       round((SELECT avg(pass_rate) FILTER (WHERE y = 1) - avg(pass_rate) FILTER (WHERE y = 0) FROM f), 6)
+         AS mean_gap
+FROM f GROUP BY y
+""",
+)
+def q_group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6: pass-rate mean / median / sample std by label, and the mean gap."""
+    from caprank.functions.features import safe_ratio
+
+    c = customer_cohort(spark, sf_dir).withColumn("pass_rate", safe_ratio("approved", "enrolled"))
+    return round_doubles(group_stats(c, "pass_rate", "y"))
+
+
+@register(
+    "histogram",
+    f"""
+WITH {SQL_E},
+g AS (SELECT y, min(value) AS lo, max(value) AS hi, count(*) AS n FROM ev GROUP BY y),
+b AS (SELECT ev.y, g.lo, g.hi, g.n,
+             CASE WHEN g.hi > g.lo THEN least(20, floor((value - g.lo) / (g.hi - g.lo) * 20) + 1) ELSE 1 END AS bin
+      FROM ev JOIN g ON ev.y = g.y)
+SELECT y AS "group", CAST(bin AS INTEGER) AS bin, round(max(lo) + (bin - 1) * (max(hi) - max(lo)) / 20, 6) AS bin_lo,
+       round(max(lo) + bin * (max(hi) - max(lo)) / 20, 6) AS bin_hi, CAST(count(*) AS BIGINT) AS n_rows,
+       round(CASE WHEN max(hi) > max(lo) THEN count(*) / (max(n) * ((max(hi) - max(lo)) / 20)) END, 6) AS density
+FROM b GROUP BY y, bin
+""",
+)
+def q_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7: 20-bin density histogram of event value per label."""
+    return round_doubles(histogram(events_view(spark, sf_dir), "value", "y", 20))
+
+
+@register(
+    "correlations",
+    f"""
+WITH {SQL_C},
+f AS (SELECT CAST(y AS DOUBLE) AS y, {safe_ratio_sql('approved', 'enrolled')} AS pass_rate,
+             {safe_ratio_sql('evaluations', 'enrolled')} AS eval_rate,
+             {safe_ratio_sql('without_eval', 'enrolled')} AS unevaluated_ratio FROM cohort),
+r AS (SELECT 'pass_rate' AS a, 'eval_rate' AS b, corr(pass_rate, eval_rate) AS r FROM f
+      UNION ALL SELECT 'pass_rate', 'unevaluated_ratio', corr(pass_rate, unevaluated_ratio) FROM f
+      UNION ALL SELECT 'pass_rate', 'y', corr(pass_rate, y) FROM f
+      UNION ALL SELECT 'eval_rate', 'unevaluated_ratio', corr(eval_rate, unevaluated_ratio) FROM f
+      UNION ALL SELECT 'eval_rate', 'y', corr(eval_rate, y) FROM f
+      UNION ALL SELECT 'unevaluated_ratio', 'y', corr(unevaluated_ratio, y) FROM f)
+SELECT a, b, round(r, 6) AS r, abs(r) > 0.9 AS above_threshold FROM r
+""",
+)
+def q_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q9: Pearson correlations of the three ratios and the label."""
+    from caprank.functions.features import safe_ratio
+
+    c = customer_cohort(spark, sf_dir).select(
+        F.col("y").cast("double").alias("y"),
+        safe_ratio("approved", "enrolled").alias("pass_rate"),
+        safe_ratio("evaluations", "enrolled").alias("eval_rate"),
+        safe_ratio("without_eval", "enrolled").alias("unevaluated_ratio"),
+    )
+    return round_doubles(correlations(c, ["pass_rate", "eval_rate", "unevaluated_ratio", "y"]))
+
+
+@register(
+    "rule_preview",
+    f"WITH {SQL_C}, rc AS (SELECT id, y, 1.0 - {safe_ratio_sql('approved', 'enrolled')} AS score FROM cohort) "
+    + topk_sql("rc", "C"),
+)
+def q_rule_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8: rule-baseline P@10 %, lift and recall on the whole cohort."""
+    c = customer_cohort(spark, sf_dir).withColumn("score", rule_score("approved", "enrolled"))
+    return round_doubles(topk_metrics(c, "y", "score", "id", 0.10).select(F.lit("C").alias("view"), "*"))
+
+
+_LEAK_FEATURES = ["enrolled", "approved", "evaluations", "without_eval", "avg_price", "c_acctbal", "c_nationkey"]
+
+
+def _leak_sql() -> str:
+    parts = []
+    for f in _LEAK_FEATURES:
+        for d, sgn in (("pos", 1), ("neg", -1)):
+            parts.append(
+                f"SELECT '{f}' AS feature, '{d}' AS direction, id, y,"
+                f" coalesce(CAST({f} AS DOUBLE) * {sgn}, CAST('-inf' AS DOUBLE)) AS v FROM cohort"
+            )
+    return f"""
+WITH {SQL_C},
+l AS ({' UNION ALL '.join(parts)}),
+r AS (SELECT feature, direction, y, row_number() OVER (PARTITION BY feature, direction ORDER BY v DESC, id) AS rn,
+             count(*) OVER (PARTITION BY feature, direction) AS n FROM l),
+p AS (SELECT feature, direction,
+             sum(CASE WHEN rn <= greatest(1, CAST(ceil(CAST(0.1 AS DOUBLE) * n) AS BIGINT)) THEN y ELSE 0 END)
+               / max(greatest(1, CAST(ceil(CAST(0.1 AS DOUBLE) * n) AS BIGINT))) AS p, avg(y) AS base
+      FROM r GROUP BY 1, 2),
+b AS (SELECT feature, max(p) FILTER (WHERE direction = 'pos') AS pp, max(p) FILTER (WHERE direction = 'neg') AS pn,
+             max(base) AS base FROM p GROUP BY 1)
+SELECT feature, CASE WHEN pp >= pn THEN 'pos' ELSE 'neg' END AS best_direction,
+       round(greatest(pp, pn), 6) AS precision_at_k,
+       round(CASE WHEN base > 0 THEN greatest(pp, pn) / base ELSE 0.0 END, 6) AS lift_at_k
+FROM b
+"""
+
+
+@register("leakage_scan", _leak_sql())
+def q_leakage_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q10: single-feature ranking scan over the cohort (finds the leak)."""
+    c = customer_cohort(spark, sf_dir)
+    return round_doubles(leakage_scan(c, "y", "id", _LEAK_FEATURES, 0.10))
+
+
+@register(
+    "cutoff_inspection",
+    f"""
+WITH {SQL_O},
+r AS (SELECT y, score, row_number() OVER (ORDER BY score DESC, id) AS rn, count(*) OVER () AS n FROM od),
+k AS (SELECT greatest(1, CAST(ceil(CAST(0.1 AS DOUBLE) * max(n)) AS BIGINT)) AS k FROM r)
+SELECT CAST(k.k AS BIGINT) AS k, CAST(sum(CASE WHEN rn <= k.k THEN y ELSE 0 END) AS BIGINT) AS positives_in_top,
+       round(max(score), 6) AS max_score, round(min(score), 6) AS min_score,
+       round(max(CASE WHEN rn = k.k THEN score END), 6) AS score_at_k,
+       round(max(CASE WHEN rn = k.k + 1 THEN score END), 6) AS score_at_k_plus_1
+FROM r, k GROUP BY k.k
+""",
+)
+def q_cutoff_inspection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q12: positives in the top k and the scores around the cut (orders)."""
+    return round_doubles(cutoff_inspection(orders_view(spark, sf_dir), "y", "score", "id", 0.10))
