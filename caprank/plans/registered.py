@@ -820,3 +820,215 @@ FROM r, k GROUP BY k.k
 def q_cutoff_inspection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q12: positives in the top k and the scores around the cut (orders)."""
     return round_doubles(cutoff_inspection(orders_view(spark, sf_dir), "y", "score", "id", 0.10))
+
+
+# ---------------------------------------------------------------- drift
+from caprank.operators.drift import (  # noqa: E402
+    chi2_statistics,
+    drift_report,
+    drift_verdict,
+    ks_statistics,
+    psi,
+    volume_check,
+)
+
+
+def event_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Reference = first half of events by (ts, event_id), current = rest."""
+    e = events_view(spark, sf_dir)
+    h = ordered_half_split(e, "ts", "id", flag_col="_ref")
+    return h.filter("_ref").drop("_ref"), h.filter(~F.col("_ref")).drop("_ref")
+
+
+SQL_HALVES = """
+h AS (SELECT *, row_number() OVER (ORDER BY ts, id) <= (count(*) OVER ()) // 2 AS is_ref FROM ev)
+"""
+
+
+def ks_sql(cte: str, cols: list[str]) -> str:
+    st = " UNION ALL ".join(
+        f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS v, CASE WHEN is_ref THEN 0 ELSE 1 END AS cur FROM {cte}"
+        for c in cols)
+    return f"""
+st AS ({st}),
+g AS (SELECT col, v, count(*) FILTER (WHERE cur = 0) AS cr, count(*) FILTER (WHERE cur = 1) AS cc
+      FROM st WHERE v IS NOT NULL GROUP BY 1, 2),
+t AS (SELECT col, sum(cr) AS nr, sum(cc) AS nc FROM g GROUP BY 1),
+cu AS (SELECT col, sum(cr) OVER (PARTITION BY col ORDER BY v) AS fr,
+              sum(cc) OVER (PARTITION BY col ORDER BY v) AS fc FROM g),
+d AS (SELECT cu.col, max(abs(fr / t.nr - fc / t.nc)) AS dd, max(t.nr) AS nr, max(t.nc) AS nc
+      FROM cu JOIN t ON cu.col = t.col GROUP BY cu.col),
+l AS (SELECT *, dd * sqrt(nr * nc / (nr + nc)) AS lam FROM d)
+SELECT col AS "column", round(dd, 6) AS statistic, CAST(nr AS BIGINT) AS n_ref, CAST(nc AS BIGINT) AS n_cur,
+       round(CASE WHEN lam < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0,
+         (SELECT sum(2.0 * power(-1.0, j - 1) * exp(-2.0 * j * j * lam * lam)) FROM range(1, 101) r(j)))) END, 6)
+         AS p_value
+FROM l
+"""
+
+
+@register("ks_drift", f"WITH {SQL_E}, {SQL_HALVES}, " + ks_sql("h", ["value", "user_id"]))
+def q_ks_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 numeric: two-sample KS of value and user_id between event halves."""
+    ref, cur = event_halves(spark, sf_dir)
+    return round_doubles(ks_statistics(ref, cur, ["value", "user_id"]))
+
+
+@register(
+    "chi2_drift",
+    f"""
+WITH {SQL_E}, {SQL_HALVES},
+g AS (SELECT event_type AS v, count(*) FILTER (WHERE is_ref) AS o_ref, count(*) FILTER (WHERE NOT is_ref) AS o_cur
+      FROM h GROUP BY 1),
+t AS (SELECT sum(o_ref) AS nr, sum(o_cur) AS nc, count(*) AS nv FROM g)
+SELECT 'event_type' AS "column",
+       round(sum(power(o_ref - (o_ref + o_cur) * nr / (nr + nc), 2) / ((o_ref + o_cur) * nr / (nr + nc))
+               + power(o_cur - (o_ref + o_cur) * nc / (nr + nc), 2) / ((o_ref + o_cur) * nc / (nr + nc))), 6)
+         AS statistic,
+       CAST(max(nv) - 1 AS BIGINT) AS dof
+FROM g, t
+""",
+)
+def q_chi2_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 categorical: chi-square of event_type between event halves."""
+    ref, cur = event_halves(spark, sf_dir)
+    return round_doubles(chi2_statistics(ref, cur, ["event_type"], with_pvalue=False))
+
+
+@register(
+    "psi_drift",
+    f"""
+WITH {SQL_E}, {SQL_HALVES},
+e AS (SELECT quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges FROM h WHERE is_ref),
+b AS (SELECT is_ref, len(list_filter(e.edges, lambda x: x < value)) AS bin FROM h, e WHERE value IS NOT NULL),
+c AS (SELECT bin, count(*) FILTER (WHERE is_ref) AS r, count(*) FILTER (WHERE NOT is_ref) AS k FROM b GROUP BY 1),
+s AS (SELECT greatest(r / sum(r) OVER (), 1e-4) AS pr, greatest(k / sum(k) OVER (), 1e-4) AS pk FROM c)
+SELECT 'value' AS "column", round(sum((pk - pr) * ln(pk / pr)), 6) AS psi FROM s
+""",
+)
+def q_psi_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PSI of value between event halves on reference deciles."""
+    ref, cur = event_halves(spark, sf_dir)
+    return round_doubles(psi(ref, cur, ["value"], bins=10))
+
+
+@register(
+    "score_drift",
+    f"""
+WITH {SQL_O}, ho AS (SELECT od.*, row_number() OVER (ORDER BY o.o_orderdate, od.id) <= (count(*) OVER ()) // 2 AS is_ref
+                      FROM od JOIN orders o ON od.id = o.o_orderkey), """
+    + ks_sql("ho", ["score"]),
+)
+def q_score_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KS drift of the order score between date halves."""
+    o = orders_view(spark, sf_dir).join(
+        read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_orderdate"), "id")
+    h = ordered_half_split(o, "o_orderdate", "id", flag_col="_ref")
+    return round_doubles(ks_statistics(h.filter("_ref"), h.filter(~F.col("_ref")), ["score"]))
+
+
+@register(
+    "volume_check",
+    f"""
+WITH {SQL_E}, {SQL_HALVES},
+rr AS (SELECT value, row_number() OVER (ORDER BY value DESC, id) AS rn, count(*) OVER () AS n FROM h WHERE is_ref),
+cut AS (SELECT max(value) FILTER (WHERE rn = greatest(1, CAST(ceil(CAST(0.1 AS DOUBLE) * n) AS BIGINT))) AS c FROM rr),
+a AS (SELECT count(*) FILTER (WHERE value >= (SELECT c FROM cut)) AS nf, count(*) AS nt FROM h WHERE NOT is_ref)
+SELECT CAST(nf AS BIGINT) AS n_flagged, CAST(nt AS BIGINT) AS n_total, round(nf / nt, 6) AS actual_rate,
+       0.1 AS expected_rate, round(abs(nf / nt - 0.1), 6) AS deviation, abs(nf / nt - 0.1) > 0.3 AS alert
+FROM a
+""",
+)
+def q_volume_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3: flagged share of the current half at the reference half's frozen
+    top-10 % cut-off score (absolute tolerance 0.30)."""
+    from caprank.operators.ranking import top_k_cut
+
+    ref, cur = event_halves(spark, sf_dir)
+    cut, _ = top_k_cut(ref, "value", "id", 0.10)
+    v = volume_check(cur, "value", cut.score, 0.10, 0.30)
+    return round_doubles(v.drop("message"))
+
+
+@register("drift_verdict")
+def q_drift_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 + D2 (+D6): per-column tests over value, user_id (ks) and
+    event_type (chi2) between event halves, then the verdict row."""
+    ref, cur = event_halves(spark, sf_dir)
+    cols = ["value", "user_id", "event_type"]
+    rep = drift_report(ref.select(*cols), cur.select(*cols))
+    return round_doubles(drift_verdict(rep))
+
+
+# ---------------------------------------------------------------- gate
+from caprank.operators.gate import promotion_decision  # noqa: E402
+
+
+@register("gate_decision")
+def q_gate_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 + G2 on documents: candidate -n_chars vs baseline toxic, 50
+    resamples, slices by lang and source; failing slices flattened to a count."""
+    d = documents_view(spark, sf_dir).withColumns(
+        {"sa": -F.col("n_chars").cast("double"), "sb": F.col("toxic").cast("double")})
+    sl = slice_table(d, "y", "sa", "id", ["lang", "source"], 0.10)
+    dec = promotion_decision(d, "y", "sa", "sb", "id", sl, 0.10, n_bootstrap=50, seed=42)
+    return round_doubles(dec.withColumn("n_failing_slices", F.size("failing_slices").cast("long"))
+                         .drop("failing_slices"))
+
+
+def _gate_sql() -> str:
+    sl = slice_sql("dvs", [("lang", "lang"), ("source", "source")])
+    return f"""
+WITH {SQL_D}, {boot_sql({'a': '-n_chars', 'b': 'toxic'})},
+q AS (SELECT quantile_cont(p_a - p_b, 0.025) AS lo, quantile_cont(p_a - p_b, 0.975) AS hi
+      FROM pb_a JOIN pb_b ON pb_a.b = pb_b.b),
+pt AS (SELECT {point_sql('-n_chars')} AS pa, {point_sql('toxic')} AS pb),
+dvs AS (SELECT *, CAST(-n_chars AS DOUBLE) AS score FROM dv),
+slices AS (SELECT * FROM (WITH {sl.strip()}) ),
+fails AS (SELECT count(*) AS nf FROM slices, pt
+          WHERE NOT small_slice AND precision_in_group IS NOT NULL AND precision_in_group < pt.pa - 0.2)
+SELECT (pa > pb) AND (lo > 0 OR hi < 0) AND nf = 0 AS promote,
+       round(pa, 6) AS candidate_precision_at_k, round(pb, 6) AS baseline_precision_at_k,
+       round(pa - pb, 6) AS difference, round(lo, 6) AS difference_ci_low, round(hi, 6) AS difference_ci_high,
+       (lo > 0 OR hi < 0) AS difference_excludes_zero, pa > pb AS beats_baseline,
+       (lo > 0 OR hi < 0) AS ci_gate_passed, nf = 0 AS slice_gate_passed, CAST(nf AS BIGINT) AS n_failing_slices
+FROM q, pt, fails
+"""
+
+
+ORACLE["gate_decision"] = _gate_sql()
+
+
+# ---------------------------------------------------------------- fingerprint
+from caprank.sources.fingerprint import table_fingerprint  # noqa: E402
+
+
+@register(
+    "table_fingerprint",
+    """
+SELECT 'region' AS "table", CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', r_regionkey, r_name)), 1, 8)) AS BIGINT)) AS VARCHAR)
+         AS hash_sum,
+       bit_xor(CAST(('0x' || substr(md5(concat_ws('|', r_regionkey, r_name)), 1, 8)) AS BIGINT)) AS hash_xor
+FROM region
+UNION ALL
+SELECT 'nation', CAST(count(*) AS BIGINT),
+       CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', n_nationkey, n_name, n_regionkey)), 1, 8)) AS BIGINT))
+         AS VARCHAR),
+       bit_xor(CAST(('0x' || substr(md5(concat_ws('|', n_nationkey, n_name, n_regionkey)), 1, 8)) AS BIGINT))
+FROM nation
+""",
+)
+def q_table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 (portable md5 variant) on region and nation."""
+    r = table_fingerprint(read_table(spark, sf_dir, "region"), "md5").select(F.lit("region").alias("table"), "*")
+    n = table_fingerprint(read_table(spark, sf_dir, "nation"), "md5").select(F.lit("nation").alias("table"), "*")
+    return r.unionByName(n)
+
+
+@register("table_fingerprint_xxhash")
+def q_table_fingerprint_xxhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 default (xxhash64, Spark-only) on lineitem and orders."""
+    li = table_fingerprint(read_table(spark, sf_dir, "lineitem")).select(F.lit("lineitem").alias("table"), "*")
+    o = table_fingerprint(read_table(spark, sf_dir, "orders")).select(F.lit("orders").alias("table"), "*")
+    return li.unionByName(o)
