@@ -9,6 +9,7 @@ for the K fits.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,17 +25,23 @@ def _precision(df: DataFrame, spec: CohortSpec, score: str, fraction: float) ->
 
 def cross_val_precision(
     df: DataFrame, spec: CohortSpec, models: Sequence[str], n_folds: int = 5, fraction: float = 0.10,
-    seed: int = 42, **params,
+    seed: int = 42, parallelism: int = 5, **params,
 ) -> DataFrame:
     """One row per model: mean, population std and the per-fold list."""
     folded = stratified_folds(df, spec.label, spec.id, n_folds, seed).persist()
-    rows = []
-    for m in models:
-        for f in range(n_folds):
-            train = folded.filter(F.col("fold") != f)
-            test = folded.filter(F.col("fold") == f)
-            sc = build_scorer(m, spec, **params).fit(train)
-            rows.append((m, f, _precision(sc.score(test, "_score"), spec, "_score", fraction)))
+
+    def run(task: tuple[str, int]) -> tuple[str, int, float]:
+        m, f = task
+        train = folded.filter(F.col("fold") != f)
+        test = folded.filter(F.col("fold") == f)
+        sc = build_scorer(m, spec, **params).fit(train)
+        return m, f, _precision(sc.score(test, "_score"), spec, "_score", fraction)
+
+    # the fits are independent Spark jobs: submit them concurrently so the
+    # scheduler can overlap them on the cluster
+    tasks = [(m, f) for m in models for f in range(n_folds)]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks)))) as pool:
+        rows = list(pool.map(run, tasks))
     folded.unpersist()
     spark = df.sparkSession
     per = spark.createDataFrame(rows, "model string, fold int, precision_at_k double")

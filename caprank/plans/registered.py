@@ -326,11 +326,12 @@ from caprank.operators.bootstrap import (  # noqa: E402
 )
 
 
-def boot_sql(scores: dict[str, str], n_iter: int = 50, seed: int = 42, fraction: float = 0.1) -> str:
+def boot_sql(scores: dict[str, str], n_iter: int = 50, seed: int = 42, fraction: float = 0.1,
+             src: str = "dv") -> str:
     """Replicate precision table ``pb(b, p_<name>)`` as SQL CTEs."""
     sel = ", ".join(f"CAST({e} AS DOUBLE) AS s_{m}" for m, e in scores.items())
     ctes = [
-        f"base AS (SELECT id, y, {sel} FROM dv)",
+        f"base AS (SELECT id, y, {sel} FROM {src})",
         f"rep AS (SELECT t.b, id, y, {', '.join('s_' + m for m in scores)},"
         f" CAST(('0x' || substr(md5(concat_ws('|', '{seed}', t.b, id)), 1, 8)) AS BIGINT) AS h"
         f" FROM base, range(1, {n_iter + 1}) t(b))",
@@ -351,11 +352,11 @@ def boot_sql(scores: dict[str, str], n_iter: int = 50, seed: int = 42, fraction:
     return ",\n".join(ctes)
 
 
-def point_sql(expr: str, fraction: float = 0.1) -> str:
+def point_sql(expr: str, fraction: float = 0.1, src: str = "dv") -> str:
     return f"""(SELECT sum(CASE WHEN rn <= greatest(1, CAST(ceil(CAST({fraction} AS DOUBLE) * n) AS BIGINT))
                            THEN y ELSE 0 END) / max(greatest(1, CAST(ceil(CAST({fraction} AS DOUBLE) * n) AS BIGINT)))
            FROM (SELECT y, row_number() OVER (ORDER BY CAST({expr} AS DOUBLE) DESC, id ASC) AS rn,
-                        count(*) OVER () AS n FROM dv))"""
+                        count(*) OVER () AS n FROM {src}))"""
 
 
 @register(
@@ -1032,3 +1033,207 @@ def q_table_fingerprint_xxhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table_fingerprint(read_table(spark, sf_dir, "lineitem")).select(F.lit("lineitem").alias("table"), "*")
     o = table_fingerprint(read_table(spark, sf_dir, "orders")).select(F.lit("orders").alias("table"), "*")
     return li.unionByName(o)
+
+
+# ---------------------------------------------------------------- encoders
+from caprank.operators.encode import PopulationScaler, capped_categories, class_weights  # noqa: E402
+
+
+def capped_sql(cte: str, cols: list[str], cap: int = 11) -> str:
+    un = " UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS code FROM {cte}" for c in cols)
+    return f"""
+u AS ({un}),
+cn AS (SELECT col, code, count(*) AS n FROM u GROUP BY 1, 2),
+rk AS (SELECT *, row_number() OVER (PARTITION BY col ORDER BY n DESC, code DESC) AS rk,
+              count(*) OVER (PARTITION BY col) AS card FROM cn)
+SELECT col AS "column", code, CAST(n AS BIGINT) AS n_rows, false AS is_infrequent FROM rk
+WHERE card <= {cap} OR rk <= {cap - 1}
+UNION ALL
+SELECT col, 'infrequent', CAST(sum(n) AS BIGINT), true FROM rk WHERE card > {cap} AND rk > {cap - 1} GROUP BY col
+"""
+
+
+@register(
+    "capped_categories",
+    f"WITH {SQL_D}, {SQL_O}, dvo AS (SELECT d.lang, d.source FROM dv d), "
+    + capped_sql("dvo", ["lang", "source"])
+    + " UNION ALL (WITH "
+    + SQL_O.strip()
+    + ", "
+    + capped_sql("od", ["o_orderpriority", "o_custkey"])
+    + ")",
+)
+def q_capped_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept codes and infrequent buckets (cap 11) for D and O columns."""
+    d = capped_categories(documents_view(spark, sf_dir), ["lang", "source"])
+    o = capped_categories(orders_view(spark, sf_dir), ["o_orderpriority", "o_custkey"])
+    return d.unionByName(o)
+
+
+@register(
+    "scaled_numerics",
+    f"""
+WITH {SQL_O}
+SELECT id, round((o_totalprice - avg(o_totalprice) OVER ()) / stddev_pop(o_totalprice) OVER (), 6) AS o_totalprice__z,
+       round((order_year - avg(order_year) OVER ()) / stddev_pop(order_year) OVER (), 6) AS order_year__z
+FROM od
+""",
+)
+def q_scaled_numerics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Population-std standardisation fitted in one aggregate."""
+    o = orders_view(spark, sf_dir)
+    model = PopulationScaler.create(["o_totalprice", "order_year"]).fit(o)
+    return round_doubles(model.transform(o).select("id", "o_totalprice__z", "order_year__z"))
+
+
+@register(
+    "class_weights",
+    """
+SELECT o_orderstatus AS label, CAST(count(*) AS BIGINT) AS n_class,
+       round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight
+FROM orders GROUP BY 1
+""",
+)
+def q_class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: balanced class weights per order status."""
+    return round_doubles(class_weights(read_table(spark, sf_dir, "orders"), "o_orderstatus"))
+
+
+@register(
+    "model_bundle",
+    f"""
+WITH {SQL_C},
+rc AS (SELECT id, y, 1.0 - {safe_ratio_sql('approved', 'enrolled')} AS score FROM cohort),
+{boot_sql({'a': 'score'}, src='rc')},
+tk AS ({topk_sql('rc', 'C')}),
+ap AS ({ap_sql('rc', 'C')}),
+br AS (SELECT avg(power(score - y, 2)) AS brier FROM rc),
+ci AS (SELECT quantile_cont(p_a, 0.025) AS lo, quantile_cont(p_a, 0.975) AS hi FROM pb_a)
+SELECT tk.precision_at_k, round(ci.lo, 6) AS precision_at_k_ci_low, round(ci.hi, 6) AS precision_at_k_ci_high,
+       tk.lift_at_k, tk.recall_at_k, ap.average_precision AS pr_auc, round(br.brier, 6) AS brier, tk.base_rate
+FROM tk, ap, br, ci
+""",
+)
+def q_model_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eight-number bundle (B=50 bootstrap CI) for the rule score
+    on the customer cohort."""
+    from caprank.operators.metrics import evaluate_model
+
+    c = customer_cohort(spark, sf_dir).withColumn("score", rule_score("approved", "enrolled"))
+    return round_doubles(evaluate_model(c, "y", "score", "id", 0.10, n_bootstrap=50, seed=42))
+
+
+# ---------------------------------------------------------------- models (rows-only checks)
+from caprank.operators.scorers import CohortSpec, GBTScorer, LogisticScorer, score_ladder  # noqa: E402
+
+C_SPEC = CohortSpec(
+    id="id", label="y", categorical=["c_mktsegment", "c_nationkey"],
+    numeric=["enrolled", "approved", "evaluations", "without_eval", "avg_price", "c_acctbal"],
+    roles={"enrolled": "enrolled", "approved": "approved", "evaluations": "evaluations",
+           "without_eval": "without_eval"},
+)
+GBT_PARAMS = {"max_iter": 300, "step_size": 0.1, "max_depth": 5, "min_instances": 20, "seed": 42}
+
+
+def model_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return customer_cohort(spark, sf_dir).withColumn("avg_price", F.coalesce("avg_price", F.lit(0.0)))
+
+
+def cohort_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    sp = stratified_split(model_cohort(spark, sf_dir), "y", "id", 0.20, seed=42).persist()
+    return sp.filter(~F.col("is_test")).drop("is_test"), sp.filter("is_test").drop("is_test")
+
+
+@register("ladder_metrics")
+def q_ladder_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M0-M3 + M6: all four rungs fitted on the 80 % split and evaluated on
+    the 20 % split in one grouped job (customer cohort)."""
+    from caprank.operators.metrics import evaluate_ladder
+
+    train, test = cohort_split(spark, sf_dir)
+    wide, fitted = score_ladder(train, test, C_SPEC, gbt=GBT_PARAMS)
+    return round_doubles(evaluate_ladder(wide, "y", "id", {m: f"score_{m}" for m in fitted}))
+
+
+@register("logistic_scores")
+def q_logistic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: logistic scores of the held-out customers with their top linear reason."""
+    from caprank.operators.explain import linear_attributions, top_reasons
+
+    train, test = cohort_split(spark, sf_dir)
+    lr = LogisticScorer(C_SPEC).fit(train)
+    scored = lr.score(test, "score")
+    att = linear_attributions(lr, scored, train, ["id", "score"])
+    return round_doubles(top_reasons(att, lr.feature_names, 1).select("id", "score", "reason_1", "reason_1_value"))
+
+
+@register("gbt_ranked_reasons")
+def q_gbt_ranked_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 + R1 + E3/E4: boosted trees fitted on the 80 % split, the whole
+    cohort ranked, top 10 % with three reasons each."""
+    from caprank.operators.inference import rank_cohort
+
+    train, _ = cohort_split(spark, sf_dir)
+    gbt = GBTScorer(C_SPEC, **GBT_PARAMS).fit(train)
+    return round_doubles(rank_cohort(gbt, model_cohort(spark, sf_dir), 0.10, "id", add_reasons=True))
+
+
+@register("global_importance")
+def q_global_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean |attribution| per model input on the held-out customers."""
+    from caprank.operators.explain import global_importance, tree_attributions
+
+    train, test = cohort_split(spark, sf_dir)
+    gbt = GBTScorer(C_SPEC, **GBT_PARAMS).fit(train)
+    att = tree_attributions(gbt, test, ["id"])
+    return round_doubles(global_importance(att, gbt.feature_names))
+
+
+@register("cv_precision")
+def q_cv_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5-fold stratified CV of P@10 % for the rule baseline and the
+    boosted trees on the whole cohort."""
+    from caprank.operators.crossval import cross_val_precision
+
+    return round_doubles(cross_val_precision(model_cohort(spark, sf_dir), C_SPEC,
+                                             ["passrate_baseline", "gbt"], 5, 0.10, gbt=GBT_PARAMS))
+
+
+@register("ablation")
+def q_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q13: CV with vs without c_acctbal (the leak the scan finds), per model."""
+    from caprank.operators.crossval import ablation
+
+    return round_doubles(ablation(model_cohort(spark, sf_dir), C_SPEC, "c_acctbal",
+                                  ["passrate_baseline", "gbt"], 5, 0.10, gbt=GBT_PARAMS))
+
+
+@register("train_test_gap")
+def q_train_test_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q11: boosted-tree P@10 % on the training vs the held-out split."""
+    from caprank.operators.crossval import train_test_gap
+
+    train, test = cohort_split(spark, sf_dir)
+    return round_doubles(train_test_gap(train, test, C_SPEC, "gbt", 0.10, gbt=GBT_PARAMS))
+
+
+@register("champion_resolution")
+def q_champion_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G3 + G4 (+S15): gate the trees against the rule on the held-out split,
+    save and register when promoted, then resolve the champion."""
+    import uuid
+
+    from caprank.operators.gate import promotion_decision
+    from caprank.operators.registry import alias_events, promote_if, resolution, save_model, versions
+    from caprank.session import ensure_checkpoint_dir
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/registry-{uuid.uuid4().hex}"
+    train, test = cohort_split(spark, sf_dir)
+    gbt = GBTScorer(C_SPEC, **GBT_PARAMS).fit(train)
+    scored = gbt.score(test, "s_gbt").withColumn("s_rule", rule_score("approved", "enrolled"))
+    sl = slice_table(scored, "y", "s_gbt", "id", ["c_mktsegment"], 0.10)
+    dec = promotion_decision(scored, "y", "s_gbt", "s_rule", "id", sl, 0.10, n_bootstrap=200)
+    path = save_model(gbt.model, f"{root}/artifacts/gbt-1")
+    promote_if(spark, root, dec, "cohort-ranker", path, run_id="run-1")
+    return resolution(versions(spark, root), alias_events(spark, root), "cohort-ranker", "champion").select(
+        "model_name", "version", "source")
