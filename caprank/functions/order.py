@@ -3,16 +3,14 @@
 Every ranking in the package orders rows by ``(score DESC, id ASC)``; ids are
 unique, so this is a total order and equal scores are broken the same way on
 every run and every partitioning.  The helpers below compare rows against
-literal *split points* of that order and assign a bucket number with a
-balanced tree of ``CASE WHEN`` (``O(log B)`` comparisons per row, all inside
-whole-stage codegen), which is how the distributed rank and prefix-sum
-operators avoid single-partition windows.
+literal points of that order; bucket numbers come from Spark ML's
+``Bucketizer`` (a JVM binary search per row - a large ``CASE WHEN`` tree
+would switch whole-stage codegen off), see
+:func:`caprank.operators.ranking.assign_buckets`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,37 +30,6 @@ def row_at_or_before(point: tuple[float, int], score: Column, rid: Column) -> Co
     return ~point_precedes(point, score, rid)
 
 
-def composite_bucket(splits: Sequence[tuple[float, int]], score: Column, rid: Column) -> Column:
-    """Number of split points strictly before the row (0 = highest scores).
-
-    ``splits`` must be sorted in the library order.  Built as a balanced
-    binary tree so that each row evaluates ``ceil(log2(len(splits)+1))``
-    comparisons.
-    """
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(point_precedes(splits[mid], score, rid), tree(mid + 1, hi)).otherwise(
-            tree(lo, mid)
-        )
-
-    return tree(0, len(splits))
-
-
-def value_bucket(splits: Sequence[float], value: Column) -> Column:
-    """Ascending bucket of a single value: number of splits strictly below it."""
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(value > F.lit(float(splits[mid])), tree(mid + 1, hi)).otherwise(tree(lo, mid))
-
-    return tree(0, len(splits))
-
-
 def sort_key(row_score: float, row_id: int) -> tuple[float, int]:
     """Python sort key matching the library order."""
     return (-row_score, row_id)

@@ -25,11 +25,14 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caprank.functions.order import as_col, composite_bucket
+from caprank.functions.order import as_col
+from caprank.session import pinned, small_result
 from caprank.operators.ranking import (
     EXACT_LIMIT,
     MAX_BUCKETS,
     TARGET_BUCKET_ROWS,
+    _bucketize,
+    assign_buckets,
     _sample_splits,
     find_cut,
     k_from_fraction,
@@ -65,39 +68,55 @@ def poisson1_weight_sql(h: str) -> str:
     return "(" + " + ".join(f"CASE WHEN {h} >= {t} THEN 1 ELSE 0 END" for t in poisson1_thresholds()) + ")"
 
 
-def _replicates(df: DataFrame, y: str, scores: dict[str, str], rid: str, n_iter: int, seed: int) -> DataFrame:
-    base = df.select(
+def _base(df: DataFrame, y: str, scores: dict[str, str], rid: str) -> DataFrame:
+    return df.select(
         F.col(rid).cast("long").alias("_id"),
         F.col(y).cast("long").alias("_y"),
         *[as_col(c).cast("double").alias(f"_s_{m}") for m, c in scores.items()],
     )
+
+
+def _explode(base: DataFrame, n_iter: int, seed: int, spread: int | None = None) -> DataFrame:
+    """Replicate fan-out as a generator in the same stage as the scan.
+
+    The hash is a column of its own, so the inverse-CDF comparisons reuse it
+    instead of re-hashing per threshold.  With ``spread`` the replicates are
+    hash-partitioned by ``_b`` *before* hashing: the md5 work then runs in
+    parallel and the per-replicate window needs no further exchange."""
     rep = base.withColumn("_b", F.explode(F.sequence(F.lit(1), F.lit(n_iter))))
-    return rep.withColumn("_w", poisson1_weight(hash_u32(seed, F.col("_b"), F.col("_id"))))
+    if spread:
+        rep = rep.repartition(spread, "_b")
+    rep = rep.withColumn("_h", hash_u32(seed, F.col("_b"), F.col("_id")).cast("double"))
+    # w = #(thresholds <= h) by one JVM binary search: the hash is referenced
+    # once (a CASE per threshold would let the optimizer inline md5 13 times)
+    thresholds = [float(t) for t in poisson1_thresholds()]
+    rep = _bucketize(rep, [("_h", thresholds, "_wd")])
+    return rep.withColumn("_w", F.col("_wd").cast("int")).drop("_h", "_wd")
 
 
 def _replicate_precision_small(rep: DataFrame, m: str, fraction: float) -> DataFrame:
+    """One pass: rows with weight 0 add nothing, so they are dropped first;
+    the running weight and the replicate total are two windows over the same
+    ``_b`` partitioning (one exchange, one sort)."""
     s = f"_s_{m}"
-    nb = rep.groupBy("_b").agg(F.sum("_w").alias("_nw"))
-    w = Window.partitionBy("_b").orderBy(F.desc(s), F.asc("_id")).rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    cum = rep.filter(F.col("_w") > 0).withColumn("_cw", F.sum("_w").over(w))
+    part = Window.partitionBy("_b")
+    w = part.orderBy(F.desc(s), F.asc("_id")).rowsBetween(Window.unboundedPreceding, 0)
+    cum = rep.filter(F.col("_w") > 0).select(
+        "_b", "_y", "_w", F.sum("_w").over(w).alias("_cw"), F.sum("_w").over(part).alias("_nw"))
     kb = F.greatest(F.lit(1).cast("long"), F.ceil(F.lit(float(fraction)) * F.col("_nw")).cast("long"))
-    j = cum.join(F.broadcast(nb.withColumn("_kb", kb)), "_b")
-    take = F.greatest(F.lit(0), F.least(F.col("_w"), F.col("_kb") - (F.col("_cw") - F.col("_w"))))
-    return j.groupBy("_b").agg((F.sum(F.col("_y") * take) / F.max("_kb")).alias(f"p_{m}"))
+    take = F.greatest(F.lit(0), F.least(F.col("_w"), kb - (F.col("_cw") - F.col("_w"))))
+    return cum.groupBy("_b").agg((F.sum(F.col("_y") * take) / F.max(kb)).alias(f"p_{m}"))
 
 
 def _replicate_precision_bucketed(
-    df: DataFrame, rep: DataFrame, m: str, score: str, rid: str, fraction: float, n: int, seed: int
+    base: DataFrame, m: str, fraction: float, n: int, n_iter: int, seed: int
 ) -> DataFrame:
     s = f"_s_{m}"
     n_buckets = min(MAX_BUCKETS, max(2, math.ceil(n / TARGET_BUCKET_ROWS)))
-    splits = _sample_splits(
-        df.select(as_col(score).cast("double"), F.col(rid).cast("long")), n, n_buckets, seed
-    )
-    bk = composite_bucket(splits, F.col(s), F.col("_id"))
-    per = rep.withColumn("_bk", bk).groupBy("_b", "_bk").agg(
+    splits = _sample_splits(base.select(s, "_id"), n, n_buckets, seed)
+    # bucket once per row, before the replicate fan-out
+    keyed = _explode(assign_buckets(base, splits, F.col(s), F.col("_id"), "_bk"), n_iter, seed)
+    per = keyed.groupBy("_b", "_bk").agg(
         F.sum("_w").alias("_W"), F.sum(F.col("_w") * F.col("_y")).alias("_WY")
     )
     wb = Window.partitionBy("_b").orderBy("_bk").rowsBetween(Window.unboundedPreceding, 0)
@@ -113,7 +132,7 @@ def _replicate_precision_bucketed(
     boundary = tab.filter((F.col("_cW") - F.col("_W") < F.col("_kb")) & (F.col("_cW") >= F.col("_kb"))).select(
         "_b", "_bk", "_kb", (F.col("_cW") - F.col("_W")).alias("_Wb"), (F.col("_cWY") - F.col("_WY")).alias("_WYb")
     )
-    rows = rep.withColumn("_bk", bk).filter(F.col("_w") > 0).join(F.broadcast(boundary), ["_b", "_bk"])
+    rows = keyed.filter(F.col("_w") > 0).join(F.broadcast(boundary), ["_b", "_bk"])
     w = Window.partitionBy("_b", "_bk").orderBy(F.desc(s), F.asc("_id")).rowsBetween(
         Window.unboundedPreceding, 0
     )
@@ -139,13 +158,14 @@ def replicate_precision(
     scorers see the same weights."""
     if n is None:
         n = df.count()
-    rep = _replicates(df, y, scores, rid, n_iter, seed)
+    base = _base(df, y, scores, rid)
     parts = []
-    for m, c in scores.items():
+    for m in scores:
         if n <= exact_limit:
-            parts.append(_replicate_precision_small(rep, m, fraction))
+            spread = min(n_iter, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+            parts.append(_replicate_precision_small(_explode(base, n_iter, seed, spread), m, fraction))
         else:
-            parts.append(_replicate_precision_bucketed(df, rep, m, c, rid, fraction, n, seed))
+            parts.append(_replicate_precision_bucketed(base, m, fraction, n, n_iter, seed))
     out = parts[0]
     for p in parts[1:]:
         out = out.join(p, "_b")
@@ -171,6 +191,11 @@ def bootstrap_metric(
     **kw,
 ) -> DataFrame:
     """K5: one row ``metric, point, ci_low, ci_high, ci_level``."""
+    with pinned(_base(df, y, {"a": score}, rid)) as base:
+        return small_result(_bootstrap_metric(base, "_y", "_s_a", "_id", fraction, n_iter, ci_level, seed, **kw))
+
+
+def _bootstrap_metric(df, y, score, rid, fraction, n_iter, ci_level, seed, **kw) -> DataFrame:
     n = df.count()
     point = _point_precision(df, y, score, rid, fraction, n)
     reps = replicate_precision(df, y, {"a": score}, rid, fraction, n_iter, seed, n=n, **kw)
@@ -198,6 +223,12 @@ def bootstrap_difference(
     **kw,
 ) -> DataFrame:
     """K6: P@k(a) - P@k(b) with both scorers on the same resamples."""
+    with pinned(_base(df, y, {"a": score_a, "b": score_b}, rid)) as base:
+        return small_result(_bootstrap_difference(base, "_y", "_s_a", "_s_b", "_id", fraction, n_iter, ci_level,
+                                                  seed, **kw))
+
+
+def _bootstrap_difference(df, y, score_a, score_b, rid, fraction, n_iter, ci_level, seed, **kw) -> DataFrame:
     n = df.count()
     point = _point_precision(df, y, score_a, rid, fraction, n) - _point_precision(
         df, y, score_b, rid, fraction, n

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from caprank.functions.order import as_col
 from caprank.operators.prefix import running_totals
 from caprank.operators.ranking import Cut, find_cut, k_from_fraction
+from caprank.session import pinned, small_result
 
 
 def _counts(df: DataFrame, y: str) -> tuple[int, int]:
@@ -36,7 +37,22 @@ def topk_metrics(
     **cut_kw,
 ) -> DataFrame:
     """One row: n, positives, k, tp_at_k, precision/recall/lift at k, base
-    rate and recall ceiling ``least(1, k / positives)``."""
+    rate and recall ceiling ``least(1, k / positives)``.  The narrow input
+    is pinned for the count, cut and aggregate jobs."""
+    with pinned(df.select(rid, y, score)) as base:
+        return small_result(_topk_metrics(base, y, score, rid, fraction, cut, n, **cut_kw))
+
+
+def _topk_metrics(
+    df: DataFrame,
+    y: str,
+    score: str,
+    rid: str,
+    fraction: float = 0.10,
+    cut: Cut | None = None,
+    n: int | None = None,
+    **cut_kw,
+) -> DataFrame:
     if n is None:
         n, _ = _counts(df, y)
     k = k_from_fraction(n, fraction)
@@ -67,10 +83,17 @@ def topk_metrics(
 
 def average_precision(df: DataFrame, y: str, score: str, **kw) -> DataFrame:
     """Step-wise average precision: sum over distinct thresholds (descending)
-    of (recall increase) x precision.  Null when there are no positives."""
+    of (recall increase) x precision.  Null when there are no positives.
+    The per-score table (one row per distinct score) is pinned for the
+    running-total jobs."""
     g = df.groupBy(as_col(score).cast("double").alias("_sc")).agg(
         F.count(F.lit(1)).alias("_c"), F.sum(F.col(y).cast("long")).alias("_p")
     )
+    with pinned(g) as gp:
+        return small_result(_average_precision(gp, **kw))
+
+
+def _average_precision(g: DataFrame, **kw) -> DataFrame:
     cum = running_totals(g, "_sc", ["_c", "_p"], descending=True, **kw)
     out = cum.agg(
         F.sum(F.col("_p") * (F.col("cum__p") / F.col("cum__c"))).alias("_num"),
@@ -108,20 +131,22 @@ def evaluate_model(
     """The eight-number bundle for one scorer as a one-row DataFrame."""
     from caprank.operators.bootstrap import bootstrap_metric
 
-    m = topk_metrics(df, y, score, rid, fraction)
-    ap = average_precision(df, y, score)
-    br = brier(df, y, score).select("brier")
-    ci = bootstrap_metric(df, y, score, rid, fraction, n_iter=n_bootstrap, ci_level=ci_level, seed=seed)
-    return (
-        m.crossJoin(ap)
-        .crossJoin(br)
-        .crossJoin(ci.select(F.col("ci_low").alias("precision_at_k_ci_low"),
-                             F.col("ci_high").alias("precision_at_k_ci_high")))
-        .select(
-            "precision_at_k", "precision_at_k_ci_low", "precision_at_k_ci_high", "lift_at_k",
-            "recall_at_k", F.col("average_precision").alias("pr_auc"), "brier", "base_rate",
-        )
-    )
+    with pinned(df.select(rid, y, score)) as base:
+        m = topk_metrics(base, y, score, rid, fraction).first()
+        ap = average_precision(base, y, score).first()
+        br = brier(base, y, score).first()
+        ci = bootstrap_metric(base, y, score, rid, fraction, n_iter=n_bootstrap, ci_level=ci_level,
+                              seed=seed).first()
+    # the four parts are single rows already on the driver: assemble, no join
+    row = (m["precision_at_k"], ci["ci_low"], ci["ci_high"], m["lift_at_k"], m["recall_at_k"],
+           ap["average_precision"], br["brier"], m["base_rate"])
+    return df.sparkSession.createDataFrame([row], BUNDLE_SCHEMA)
+
+
+BUNDLE_SCHEMA = (
+    "precision_at_k double, precision_at_k_ci_low double, precision_at_k_ci_high double, lift_at_k double, "
+    "recall_at_k double, pr_auc double, brier double, base_rate double"
+)
 
 
 def evaluate_ladder(

@@ -14,7 +14,7 @@ library order is ``(score DESC, id ASC)`` (ids unique, so it is total).
   block of equal scores is split by id like any other range.
 * ``in_top = (score, id) <= cut`` is then a plain predicate: every metric,
   slice table and bootstrap uses it without sorting anything.
-* :func:`rank_rows` gives exact 1-based ranks: bucket by composite splits,
+* :func:`rank_rows` gives exact 1-based ranks: bucket by sampled split points,
   count rows per bucket (a tiny table), turn the counts into offsets and add
   ``row_number()`` inside each bucket.  Buckets are balanced by the sample,
   so no task holds more than about ``target_bucket_rows`` rows.
@@ -28,17 +28,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caprank.functions.order import (
-    as_col,
-    composite_bucket,
-    point_precedes,
-    row_at_or_before,
-    sort_key,
-)
+from caprank.functions.order import as_col, row_at_or_before, sort_key
 
 EXACT_LIMIT = 50_000  # rows ranked inside one task at most
 TARGET_BUCKET_ROWS = 50_000
-MAX_BUCKETS = 1024
+MAX_BUCKETS = 16_384
 SAMPLE_PER_BUCKET = 20
 
 
@@ -76,21 +70,19 @@ def _lng(c: str | Column) -> Column:
     return as_col(c).cast("long")
 
 
-def _in_range(lo, hi, s: Column, i: Column) -> Column:
+def _in_range(first, last, s: Column, i: Column) -> Column:
+    """Rows r with ``first <= r <= last`` in the library order (None = open)."""
     cond = F.lit(True)
-    if lo is not None:
-        cond = cond & point_precedes(lo, s, i)
-    if hi is not None:
-        cond = cond & row_at_or_before(hi, s, i)
+    if first is not None:
+        fs, fi = first
+        cond = cond & ((s < F.lit(float(fs))) | ((s == F.lit(float(fs))) & (i >= F.lit(int(fi)))))
+    if last is not None:
+        cond = cond & row_at_or_before(last, s, i)
     return cond
 
 
-def _sample_splits(df: DataFrame, cnt: int, n_buckets: int, seed: int) -> list[tuple[float, int]]:
-    """Sorted composite split points from a bounded random sample."""
-    target = n_buckets * SAMPLE_PER_BUCKET
-    frac = min(1.0, 1.5 * target / max(cnt, 1))
-    rows = df.sample(False, frac, seed).limit(3 * target).collect()
-    pts = sorted(((float(r[0]), int(r[1])) for r in rows), key=lambda p: sort_key(*p))
+def _splits_from_points(pts: list[tuple[float, int]], n_buckets: int) -> list[tuple[float, int]]:
+    pts = sorted(pts, key=lambda p: sort_key(*p))
     if not pts:
         return []
     step = len(pts) / n_buckets
@@ -102,6 +94,70 @@ def _sample_splits(df: DataFrame, cnt: int, n_buckets: int, seed: int) -> list[t
     return out
 
 
+def _sample_splits(df: DataFrame, cnt: int, n_buckets: int, seed: int) -> list[tuple[float, int]]:
+    """Sorted composite split points from a bounded random sample."""
+    target = n_buckets * SAMPLE_PER_BUCKET
+    frac = min(1.0, 1.5 * target / max(cnt, 1))
+    rows = df.sample(False, frac, seed).limit(3 * target).collect()
+    return _splits_from_points([(float(r[0]), int(r[1])) for r in rows], n_buckets)
+
+
+def _bucketize(df: DataFrame, cols: list[tuple[str, list[float], str]]) -> DataFrame:
+    """JVM binary search (Spark ML ``Bucketizer``): ``out`` = number of
+    split values <= input (ascending), one column per (input, splits, out).
+    Stays a cheap per-row call inside whole-stage codegen, unlike a large
+    CASE WHEN tree."""
+    from pyspark.ml.feature import Bucketizer
+
+    if not cols:
+        return df
+    inf = float("inf")
+    bz = Bucketizer(
+        splitsArray=[[-inf] + sp + [inf] for _, sp, _ in cols],
+        inputCols=[c for c, _, _ in cols], outputCols=[o for _, _, o in cols], handleInvalid="keep",
+    )
+    return bz.transform(df)
+
+
+HEAVY_TIE_MULTIPLICITY = 4  # split points on one score value before ids split it
+MAX_HEAVY_TIES = 64
+
+
+def assign_buckets(df: DataFrame, splits: list[tuple[float, int]], s: Column, i: Column, out: str) -> DataFrame:
+    """Add ``out``: a bucket number that is monotone in the library order.
+
+    Score level: ``#(distinct split scores > score)`` via ``Bucketizer``;
+    equal scores share a bucket.  Giant ties: a score value carrying at least
+    ``HEAVY_TIE_MULTIPLICITY`` split points (so its block is several buckets
+    big) is split again by id with its own id split points - one extra
+    Bucketizer column per heavy value (at most ``MAX_HEAVY_TIES``).  The key
+    is ``score_bucket * (S + 1) + sub`` with ``sub = 0`` for rows above the
+    tie value inside the same score bucket."""
+    uniq = sorted({p[0] for p in splits})
+    mult: dict[float, list[int]] = {}
+    for ps, pi in splits:
+        mult.setdefault(ps, []).append(pi)
+    heavy = sorted((v for v, ids in mult.items() if len(ids) >= HEAVY_TIE_MULTIPLICITY),
+                   key=lambda v: -len(mult[v]))[:MAX_HEAVY_TIES]
+    m = len(uniq)
+    base = df.withColumn("_bs", s).withColumn("_bi", i.cast("double"))
+    specs = [("_bs", uniq, "_basc")]
+    for t, v in enumerate(heavy):
+        base = base.withColumn(f"_tv{t}", F.when(F.col("_bs") == F.lit(v), F.col("_bi")))
+        specs.append((f"_tv{t}", sorted(float(x) for x in mult[v]), f"_tb{t}"))
+    keyed = _bucketize(base, specs)
+    width = max([len(mult[v]) + 2 for v in heavy] + [1])
+    sub = F.lit(0).cast("long")
+    for t, v in enumerate(heavy):
+        # ids below the first id split get 1, ...; rows above v in the bucket keep 0
+        sub = F.when(F.col("_bs") == F.lit(v), (F.col(f"_tb{t}") + 1).cast("long")).otherwise(sub)
+    sb = F.lit(m).cast("long") - F.col("_basc").cast("long")
+    # NaN scores sort first in Spark's descending order: bucket 0 is fine for them
+    sb = F.when(F.isnan("_bs"), F.lit(0).cast("long")).otherwise(sb)
+    drop = ["_bs", "_bi", "_basc"] + [f"_tv{t}" for t in range(len(heavy))] + [f"_tb{t}" for t in range(len(heavy))]
+    return keyed.withColumn(out, sb * F.lit(width) + sub).drop(*drop)
+
+
 def find_cut(
     df: DataFrame,
     score: str | Column,
@@ -118,30 +174,34 @@ def find_cut(
     cnt = n if n is not None else cur.count()
     if k < 1 or k > cnt:
         raise ValueError(f"k={k} outside 1..{cnt}")
-    lo = hi = None
+    first = last = None
     remaining = k
-    rounds = 0
-    while cnt > exact_limit and rounds < 12:
-        rounds += 1
-        scope = cur.filter(_in_range(lo, hi, s, i))
-        splits = _sample_splits(scope, cnt, n_buckets, seed + rounds)
+    for rnd in range(12):
+        if cnt <= exact_limit:
+            break
+        scope = cur.filter(_in_range(first, last, s, i))
+        splits = _sample_splits(scope, cnt, n_buckets, seed + rnd)
         if not splits:
             break
-        counts = dict(
-            scope.groupBy(composite_bucket(splits, s, i).alias("_b")).count().collect()
-        )
-        before = 0
-        for b in range(len(splits) + 1):
-            c = counts.get(b, 0)
-            if before + c >= remaining:
-                new_lo = splits[b - 1] if b > 0 else lo
-                new_hi = splits[b] if b < len(splits) else hi
-                lo, hi = new_lo, new_hi
+        stats = assign_buckets(scope, splits, s, i, "_b").groupBy("_b").agg(
+            F.count(F.lit(1)).alias("c"),
+            F.max(F.struct(s, -i)).alias("hi"),  # first row of the bucket in library order
+            F.min(F.struct(s, -i)).alias("lo"),  # last row of the bucket
+        ).collect()
+        before, found = 0, False
+        for r in sorted(stats, key=lambda r: r["_b"]):
+            if before + r["c"] >= remaining:
+                new_first = (float(r["hi"][0]), -int(r["hi"][1]))
+                new_last = (float(r["lo"][0]), -int(r["lo"][1]))
+                found = r["c"] < cnt
+                first, last = new_first, new_last
                 remaining -= before
-                cnt = c
+                cnt = r["c"]
                 break
-            before += c
-    scope = cur.filter(_in_range(lo, hi, s, i))
+            before += r["c"]
+        if not found:
+            break  # no progress possible with these splits; rank what is left
+    scope = cur.filter(_in_range(first, last, s, i))
     w = Window.orderBy(F.desc("_s"), F.asc("_i"))
     row = (
         scope.select("_s", "_i", F.row_number().over(w).alias("_rn"))
@@ -199,15 +259,15 @@ def rank_rows(
         return df.withColumn(rank_col, F.row_number().over(w).cast("long"))
     n_buckets = min(MAX_BUCKETS, max(2, math.ceil(cnt / target_bucket_rows)))
     splits = _sample_splits(df.select(s, i), cnt, n_buckets, seed)
-    bucketed = df.withColumn("_rb", composite_bucket(splits, s, i))
-    counts = dict(bucketed.groupBy("_rb").count().collect())
-    offsets, acc = [], 0
-    for b in range(len(splits) + 1):
-        offsets.append(acc)
-        acc += counts.get(b, 0)
-    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_rb") + 1)
+    bucketed = assign_buckets(df, splits, s, i, "_rb")
+    # per-bucket counts -> offsets: a table with one row per bucket (bounded
+    # by MAX_BUCKETS, so its window and its broadcast are bounded too)
+    counts = bucketed.groupBy("_rb").count()
+    wo = Window.orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_rb", F.coalesce(F.sum("count").over(wo), F.lit(0)).alias("_off"))
     w = Window.partitionBy("_rb").orderBy(s.desc(), i.asc())
-    return bucketed.withColumn(rank_col, (F.row_number().over(w) + off).cast("long")).drop("_rb")
+    j = bucketed.join(F.broadcast(offsets), "_rb")
+    return j.withColumn(rank_col, (F.row_number().over(w) + F.col("_off")).cast("long")).drop("_rb", "_off")
 
 
 def rank_within(
@@ -228,22 +288,29 @@ def rank_within(
     per-(partition, bucket) counts become offsets.
     """
     s, i = _dbl(score), _lng(rid)
-    sizes = dict(df.groupBy(partition_col).count().collect())
-    big = {p: c for p, c in sizes.items() if c > exact_limit}
+    # only hot partitions come back to the driver (at most n / exact_limit)
+    big = dict(df.groupBy(partition_col).count().filter(F.col("count") > exact_limit).collect())
     base = df.withColumn("_rs", s)
     if not big:
         w = Window.partitionBy(partition_col).orderBy(F.desc("_rs"), i.asc())
         return base.withColumn(rank_col, F.row_number().over(w).cast("long")).drop("_rs")
-    bucket = F.lit(0)
-    split_map = {}
-    for p, c in big.items():
-        nb = min(MAX_BUCKETS, max(2, math.ceil(c / target_bucket_rows)))
-        part = base.filter(F.col(partition_col) == F.lit(p)).select("_rs", i)
-        split_map[p] = _sample_splits(part, c, nb, seed)
-        bucket = F.when(
-            F.col(partition_col) == F.lit(p), composite_bucket(split_map[p], F.col("_rs"), i)
-        ).otherwise(bucket)
-    bucketed = base.withColumn("_rb", bucket)
+    nbs = {p: min(MAX_BUCKETS, max(2, math.ceil(c / target_bucket_rows))) for p, c in big.items()}
+    fractions = {p: min(1.0, 1.5 * nbs[p] * SAMPLE_PER_BUCKET / c) for p, c in big.items()}
+    sample = base.select(F.col(partition_col).alias("_p"), "_rs", i.alias("_ri")).sampleBy(
+        "_p", fractions, seed).collect()
+    points: dict = {p: [] for p in big}
+    for r in sample:
+        points[r["_p"]].append((float(r["_rs"]), int(r["_ri"])))
+    # hot partitions are bucketed one by one (same tie handling as rank_rows);
+    # every other row is in bucket 0 of its (small) partition
+    hot = F.col(partition_col).isin(*big)
+    parts = [base.filter(~hot | F.col(partition_col).isNull()).withColumn("_rb", F.lit(0).cast("long"))]
+    for p in big:
+        splits = _splits_from_points(points[p], nbs[p])
+        parts.append(assign_buckets(base.filter(F.col(partition_col) == F.lit(p)), splits, F.col("_rs"), i, "_rb"))
+    bucketed = parts[0]
+    for part in parts[1:]:
+        bucketed = bucketed.unionByName(part)
     counts = bucketed.groupBy(partition_col, "_rb").count()
     wo = Window.partitionBy(partition_col).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

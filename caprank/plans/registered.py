@@ -1237,3 +1237,73 @@ def q_champion_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     promote_if(spark, root, dec, "cohort-ranker", path, run_id="run-1")
     return resolution(versions(spark, root), alias_events(spark, root), "cohort-ranker", "champion").select(
         "model_name", "version", "source")
+
+
+# ---------------------------------------------------------------- features, ids, snapshots
+from caprank.functions.features import row_max, safe_ratio, scaled_difference, zero_flag  # noqa: E402
+from caprank.operators.columns import assign_row_id  # noqa: E402
+
+
+@register(
+    "cohort_features",
+    f"""
+WITH {SQL_C}
+SELECT id,
+       round({safe_ratio_sql('approved', 'enrolled')}, 6) AS sem1_pass_rate,
+       round({safe_ratio_sql('evaluations', 'enrolled')}, 6) AS sem1_eval_rate,
+       round({safe_ratio_sql('without_eval', 'enrolled')}, 6) AS sem1_unevaluated_ratio,
+       CAST(enrolled = 0 AS INTEGER) AS zero_enrolled_flag,
+       round(avg_price / 500000.0 - c_acctbal / 10000.0, 6) AS price_balance_delta,
+       greatest(approved, without_eval) AS max_count
+FROM cohort
+""",
+)
+def q_cohort_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F0-F7 on the customer cohort: safe ratios with zero denominators, the
+    zero flag, a scale-normalised difference and a null-skipping row max."""
+    c = customer_cohort(spark, sf_dir)
+    return round_doubles(c.select(
+        "id",
+        safe_ratio("approved", "enrolled").alias("sem1_pass_rate"),
+        safe_ratio("evaluations", "enrolled").alias("sem1_eval_rate"),
+        safe_ratio("without_eval", "enrolled").alias("sem1_unevaluated_ratio"),
+        zero_flag("enrolled").alias("zero_enrolled_flag"),
+        scaled_difference("avg_price", 500000.0, "c_acctbal", 10000.0).alias("price_balance_delta"),
+        row_max("approved", "without_eval").alias("max_count"),
+    ))
+
+
+@register(
+    "row_ids",
+    """
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_distinct_ids,
+       CAST(0 AS BIGINT) AS min_id, CAST(count(*) - 1 AS BIGINT) AS max_id
+FROM lineitem
+""",
+)
+def q_row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: dense 0..n-1 ids for lineitem, which has no unique key."""
+    li = assign_row_id(read_table(spark, sf_dir, "lineitem"), "row_id")
+    return li.agg(F.count(F.lit(1)).cast("long").alias("n_rows"),
+                  F.count_distinct("row_id").cast("long").alias("n_distinct_ids"),
+                  F.min("row_id").cast("long").alias("min_id"), F.max("row_id").cast("long").alias("max_id"))
+
+
+@register("snapshot_roundtrip")
+def q_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S4 + S5 + S9: write the customer cohort as a CSV snapshot into the
+    checkpoint folder, fingerprint what was written, read it back with an
+    explicit schema and verify the fingerprint."""
+    import uuid
+
+    from caprank.session import ensure_checkpoint_dir
+    from caprank.sources.fingerprint import assert_fingerprint, write_snapshot
+    from caprank.sources.readers import read_csv
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/snapshot-{uuid.uuid4().hex}"
+    c = customer_cohort(spark, sf_dir)
+    fp = write_snapshot(c, f"{root}/cohort", f"{root}/manifest", fmt="csv")
+    back = read_csv(spark, f"{root}/cohort", c.schema, mode="FAILFAST")
+    verified = assert_fingerprint(spark, back, f"{root}/manifest") == fp
+    return spark.createDataFrame([(fp["n_rows"], fp["hash_sum"], fp["hash_xor"], verified)],
+                                 "n_rows long, hash_sum string, hash_xor long, verified boolean")

@@ -100,3 +100,29 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(out)
     _SHIPPED.add(key)
+
+
+class pinned:
+    """Persist a (narrow) frame for the jobs of one operator, then release.
+
+    Multi-pass operators (count, cut, aggregates) read their input several
+    times; pinning the projection they need (id, label, score: ~24 bytes a
+    row, memory then disk) avoids recomputing upstream joins per pass.  A
+    lost executor only costs recomputing its blocks from lineage."""
+
+    def __init__(self, df: DataFrame):
+        from pyspark import StorageLevel
+
+        self.df = df.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def __enter__(self) -> DataFrame:
+        return self.df
+
+    def __exit__(self, *exc) -> None:
+        self.df.unpersist()
+
+
+def small_result(df: DataFrame) -> DataFrame:
+    """Materialise a tiny result (a few rows) so it survives the release of
+    the pinned input it was computed from."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
