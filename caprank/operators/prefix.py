@@ -20,7 +20,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caprank.operators.ranking import EXACT_LIMIT
+from caprank.operators.ranking import EXACT_LIMIT, _bucketize
+
+MAX_BUCKETIZER_COLUMNS = 64
 
 
 def running_totals(
@@ -43,15 +45,28 @@ def running_totals(
 
     probs = [i / n_buckets for i in range(1, n_buckets)]
     with_key = df.withColumn("_ok", okey)
-    splits = with_key.groupBy(*part).agg(
-        F.percentile_approx("_ok", probs, 10_000).alias("_splits")
-    )
-    joined = with_key.join(F.broadcast(splits), part, "inner") if part else with_key.crossJoin(
-        F.broadcast(splits)
-    )
-    bucketed = joined.withColumn(
-        "_bk", F.size(F.filter("_splits", lambda s: s < F.col("_ok")))
-    ).drop("_splits")
+    # split values per partition: #partitions x n_buckets numbers on the driver
+    split_rows = with_key.groupBy(*part).agg(F.percentile_approx("_ok", probs, 10_000).alias("_splits")).collect()
+    if len(split_rows) <= MAX_BUCKETIZER_COLUMNS:
+        # one Bucketizer column per partition (JVM binary search per row)
+        specs, bucket = [], F.lit(0).cast("double")
+        keyed = with_key
+        for t, r in enumerate(split_rows):
+            cond = F.lit(True)
+            for c in part:
+                cond = cond & F.col(c).eqNullSafe(F.lit(r[c]))
+            keyed = keyed.withColumn(f"_in{t}", F.when(cond, F.col("_ok")))
+            specs.append((f"_in{t}", sorted({float(v) for v in r["_splits"] if v is not None}), f"_bo{t}"))
+            bucket = F.when(cond, F.col(f"_bo{t}")).otherwise(bucket)
+        keyed = _bucketize(keyed, specs)
+        # Bucketizer counts splits <= value; ties at a split stay in one bucket
+        bucketed = keyed.withColumn("_bk", bucket.cast("int")).drop(
+            *[f"_in{t}" for t in range(len(split_rows))], *[f"_bo{t}" for t in range(len(split_rows))])
+    else:
+        splits = with_key.sparkSession.createDataFrame(split_rows) if part else None
+        joined = with_key.join(F.broadcast(splits), part, "inner")
+        bucketed = joined.withColumn(
+            "_bk", F.size(F.filter("_splits", lambda v: v <= F.col("_ok")))).drop("_splits")
     totals = bucketed.groupBy(*part, "_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     wt = Window.partitionBy(*part).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

@@ -99,17 +99,24 @@ def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def group_stats(df: DataFrame, feature: str, by: str) -> DataFrame:
     """Q6: mean, median, sample std per group and the gap of means
-    (group 1 minus group 0)."""
+    (group 1 minus group 0).  ``by`` is a label (few groups); each median is
+    exact by distributed selection, not by gathering a group in one task."""
+    from caprank.operators.ranking import exact_quantiles
+
+    groups = [r[0] for r in df.select(_c(by)).distinct().collect()]
+    med = {g: exact_quantiles(df.filter(_c(by) == F.lit(g)), feature, [0.5])[0] for g in groups if g is not None}
+    med_map = F.create_map(*[x for g, m in med.items() for x in (F.lit(g), F.lit(m).cast("double"))]) \
+        if med else F.create_map().cast("map<int,double>")
     g = df.groupBy(_c(by).alias("group")).agg(
         F.count(F.lit(1)).cast("long").alias("n"),
         F.avg(_c(feature)).alias("mean"),
-        F.median(_c(feature)).alias("median"),
         F.stddev_samp(_c(feature)).alias("std"),
     )
     gap = df.agg(
         (F.avg(F.when(_c(by) == 1, _c(feature))) - F.avg(F.when(_c(by) == 0, _c(feature)))).alias("mean_gap")
     )
-    return g.crossJoin(F.broadcast(gap))
+    return g.crossJoin(F.broadcast(gap)).select("group", "n", "mean", med_map[F.col("group")].alias("median"),
+                                                 "std", "mean_gap")
 
 
 def histogram(df: DataFrame, feature: str, by: str, bins: int = 20, shared_range: bool = False) -> DataFrame:
@@ -153,44 +160,49 @@ def correlations(df: DataFrame, columns: Sequence[str], threshold: float = 0.9)
 
 
 def leakage_scan(
-    df: DataFrame, y: str, rid: str, features: Sequence[str], fraction: float = 0.10
+    df: DataFrame, y: str, rid: str, features: Sequence[str], fraction: float = 0.10,
+    exact_limit: int | None = None,
 ) -> DataFrame:
     """Q10: single-feature P@k in both directions, best direction, lift.
 
-    All features are unpivoted once into ``(feature, direction, value)``;
-    one partitioned rank (spread over buckets for large inputs) flags the
-    top k of every (feature, direction) pair, and one grouped aggregate
-    reads all results.  Nulls rank last in both directions."""
-    n = df.count()
-    k = k_from_fraction(n, fraction)
+    Small inputs: all features unpivoted once into ``(feature|direction,
+    value)`` and ranked by one partitioned window.  Large inputs: one exact
+    cut per (feature, direction) on a pinned narrow frame (each selection
+    reads one feature), then ONE aggregate evaluates every top-k predicate.
+    Nulls rank last in both directions."""
+    from caprank.operators.ranking import EXACT_LIMIT
+    from caprank.session import pinned
+
+    limit = EXACT_LIMIT if exact_limit is None else exact_limit
     neg_inf = F.lit(float("-inf"))
-    arr = F.array(*[
-        F.struct(F.lit(f"{f}|{d}").alias("_fd"),
-                 F.coalesce((_c(f).cast("double") * F.lit(float(sgn))), neg_inf).alias("_v"))
-        for f in features for d, sgn in (("pos", 1), ("neg", -1))
-    ])
-    long = df.select(_c(rid).cast("long").alias("_id"), _c(y).cast("long").alias("_y"),
-                     F.explode(arr).alias("r")).select("_id", "_y", "r.*")
-    ranked = rank_within(long, "_fd", "_v", "_id", rank_col="_rn")
-    per = ranked.groupBy("_fd").agg(
-        F.sum(F.when(F.col("_rn") <= k, F.col("_y")).otherwise(0)).alias("_tp"),
-        F.avg("_y").alias("_base"),
-    )
-    parts = F.split("_fd", r"\|")
-    per = per.select(parts[0].alias("feature"), parts[1].alias("direction"),
-                     (F.col("_tp") / F.lit(k)).alias("p"), "_base")
-    best = per.groupBy("feature").agg(
-        F.max(F.when(F.col("direction") == "pos", F.col("p"))).alias("_pp"),
-        F.max(F.when(F.col("direction") == "neg", F.col("p"))).alias("_pn"),
-        F.first("_base").alias("_base"),
-    )
-    prec = F.greatest("_pp", "_pn")
-    return best.select(
-        "feature",
-        F.when(F.col("_pp") >= F.col("_pn"), "pos").otherwise("neg").alias("best_direction"),
-        prec.alias("precision_at_k"),
-        F.when(F.col("_base") > 0, prec / F.col("_base")).otherwise(0.0).alias("lift_at_k"),
-    )
+    dirs = [(f, d, F.coalesce(_c(f).cast("double") * F.lit(float(sgn)), neg_inf))
+            for f in features for d, sgn in (("pos", 1), ("neg", -1))]
+    with pinned(df.select(_c(rid).cast("long").alias("_id"), _c(y).cast("long").alias("_y"),
+                          *[_c(f) for f in features])) as base:
+        n = base.count()
+        k = k_from_fraction(n, fraction)
+        if n <= limit:
+            arr = F.array(*[F.struct(F.lit(f"{f}|{d}").alias("_fd"), e.alias("_v")) for f, d, e in dirs])
+            long = base.select("_id", "_y", F.explode(arr).alias("r")).select("_id", "_y", "r.*")
+            w = Window.partitionBy("_fd").orderBy(F.desc("_v"), F.asc("_id"))
+            tp = long.withColumn("_rn", F.row_number().over(w)).groupBy("_fd").agg(
+                F.sum(F.when(F.col("_rn") <= k, F.col("_y")).otherwise(0)).alias("_tp")).collect()
+            tps = {r["_fd"]: r["_tp"] for r in tp}
+            rate = base.agg(F.avg("_y")).first()[0]
+        else:
+            cuts = {(f, d): find_cut(base.select("_id", e.alias("_v")), "_v", "_id", k, n=n) for f, d, e in dirs}
+            row = base.agg(F.avg("_y").alias("_rate"), *[
+                F.sum(F.when(cuts[(f, d)].contains(e, "_id"), F.col("_y")).otherwise(0)).alias(f"_t{j}")
+                for j, (f, d, e) in enumerate(dirs)]).first()
+            tps = {f"{f}|{d}": row[f"_t{j}"] for j, (f, d, _) in enumerate(dirs)}
+            rate = row["_rate"]
+    out = []
+    for f in features:
+        pp, pn = tps[f"{f}|pos"] / k, tps[f"{f}|neg"] / k
+        best = max(pp, pn)
+        out.append((f, "pos" if pp >= pn else "neg", float(best), float(best / rate) if rate else 0.0))
+    return df.sparkSession.createDataFrame(
+        out, "feature string, best_direction string, precision_at_k double, lift_at_k double")
 
 
 def cutoff_inspection(df: DataFrame, y: str, score: str, rid: str, fraction: float = 0.10) -> DataFrame:

@@ -144,9 +144,9 @@ def assign_buckets(df: DataFrame, splits: list[tuple[float, int]], s: Column, i:
     specs = [("_bs", uniq, "_basc")]
     for t, v in enumerate(heavy):
         base = base.withColumn(f"_tv{t}", F.when(F.col("_bs") == F.lit(v), F.col("_bi")))
-        specs.append((f"_tv{t}", sorted(float(x) for x in mult[v]), f"_tb{t}"))
+        specs.append((f"_tv{t}", sorted({float(x) for x in mult[v]}), f"_tb{t}"))
     keyed = _bucketize(base, specs)
-    width = max([len(mult[v]) + 2 for v in heavy] + [1])
+    width = max([len(set(mult[v])) + 2 for v in heavy] + [1])
     sub = F.lit(0).cast("long")
     for t, v in enumerate(heavy):
         # ids below the first id split get 1, ...; rows above v in the bucket keep 0
@@ -167,8 +167,11 @@ def find_cut(
     exact_limit: int = EXACT_LIMIT,
     n_buckets: int = 256,
     seed: int = 17,
+    value_only: bool = False,
 ) -> Cut:
-    """Exact k-th row of ``(score DESC, id ASC)`` over ``df``."""
+    """Exact k-th row of ``(score DESC, id ASC)`` over ``df``.  With
+    ``value_only`` only its score is wanted: selection stops once the
+    boundary bucket holds a single score (``id`` is then -1)."""
     cur = df.select(_dbl(score).alias("_s"), _lng(rid).alias("_i"))
     s, i = F.col("_s"), F.col("_i")
     cnt = n if n is not None else cur.count()
@@ -191,6 +194,8 @@ def find_cut(
         before, found = 0, False
         for r in sorted(stats, key=lambda r: r["_b"]):
             if before + r["c"] >= remaining:
+                if value_only and r["hi"][0] == r["lo"][0]:
+                    return Cut(k=k, score=float(r["hi"][0]), id=-1)
                 new_first = (float(r["hi"][0]), -int(r["hi"][1]))
                 new_last = (float(r["lo"][0]), -int(r["lo"][1]))
                 found = r["c"] < cnt
@@ -340,3 +345,34 @@ def rank_top_k(
     return rank_rows(top, score, rid, rank_col=rank_col, n=cut.k, **{
         k: v for k, v in kw.items() if k in ("exact_limit", "target_bucket_rows")
     })
+
+
+def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], n: int | None = None,
+                    **kw) -> list[float | None]:
+    """Linear-interpolated quantiles (numpy "linear", SQL ``quantile_cont``)
+    by distributed selection instead of gathering the column in one task:
+    the order statistics at ``floor(h)`` and ``ceil(h)``, ``h = (n-1) p``, are
+    found with :func:`find_cut` on ``-value`` (ascending), ties broken by a
+    row hash.  Nulls are ignored."""
+    v = as_col(value).cast("double")
+    base = df.select(v.alias("_qv")).filter(F.col("_qv").isNotNull() & ~F.isnan("_qv"))
+    # equal values need no tie-break for a quantile: id = hash of the value,
+    # and selection stops as soon as the boundary bucket holds one value
+    base = base.withColumn("_qk", -F.col("_qv")).withColumn("_qi", F.xxhash64("_qv"))
+    cnt = n if n is not None else base.count()
+    if cnt == 0:
+        return [None for _ in probs]
+    cache: dict[int, float] = {}
+
+    def order_stat(pos: int) -> float:  # 0-based ascending position
+        if pos not in cache:
+            cache[pos] = -find_cut(base, "_qk", "_qi", pos + 1, n=cnt, value_only=True, **kw).score
+        return cache[pos]
+
+    out = []
+    for p in probs:
+        h = (cnt - 1) * float(p)
+        lo, hi = math.floor(h), math.ceil(h)
+        a = order_stat(lo)
+        out.append(a if hi == lo else a + (h - lo) * (order_stat(hi) - a))
+    return out

@@ -141,3 +141,26 @@ def test_bootstrap_bucketed_equals_small_path(spark):
     b = replicate_precision(df, "y", {"a": "score"}, "id", 0.1, n_iter=20, seed=42,
                             exact_limit=100).orderBy("_b").collect()
     assert [round(r["p_a"], 12) for r in a] == [round(r["p_a"], 12) for r in b]
+
+
+def test_exact_quantiles_by_selection_match_numpy(spark):
+    import numpy as np
+
+    from caprank.operators.ranking import exact_quantiles
+
+    df = _random(spark, 4000, seed=13, ties=True).withColumn("score", F.col("score") + F.col("id") % 7)
+    vals = np.array([r["score"] for r in df.select("score").collect()])
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = exact_quantiles(df, "score", probs, exact_limit=50, n_buckets=8)
+    assert got == pytest.approx(list(np.quantile(vals, probs)), abs=1e-12)
+
+
+def test_leakage_scan_paths_agree(spark):
+    from caprank.operators.profile import leakage_scan
+
+    df = _random(spark, 3000, seed=17, ties=True).withColumn("f2", F.col("id") % 5)
+    a = {r["feature"]: r for r in leakage_scan(df, "y", "id", ["score", "f2"], 0.1).collect()}
+    b = {r["feature"]: r for r in leakage_scan(df, "y", "id", ["score", "f2"], 0.1, exact_limit=100).collect()}
+    for f in ("score", "f2"):
+        assert a[f]["precision_at_k"] == pytest.approx(b[f]["precision_at_k"])
+        assert a[f]["best_direction"] == b[f]["best_direction"]
