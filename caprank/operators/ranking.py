@@ -362,17 +362,24 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], n: i
     cnt = n if n is not None else base.count()
     if cnt == 0:
         return [None for _ in probs]
-    cache: dict[int, float] = {}
-
-    def order_stat(pos: int) -> float:  # 0-based ascending position
-        if pos not in cache:
-            cache[pos] = -find_cut(base, "_qk", "_qi", pos + 1, n=cnt, value_only=True, **kw).score
-        return cache[pos]
-
+    positions = set()
+    for p in probs:
+        h = (cnt - 1) * float(p)
+        positions.update({math.floor(h), math.ceil(h)})
+    limit = kw.get("exact_limit", EXACT_LIMIT)
+    if cnt <= limit:
+        # one bounded window pass serves every order statistic
+        w = Window.orderBy("_qv")
+        rows = base.select("_qv", F.row_number().over(w).alias("_rn")).filter(
+            F.col("_rn").isin(*[q + 1 for q in positions])).collect()
+        cache = {int(r["_rn"]) - 1: float(r["_qv"]) for r in rows}
+    else:
+        cache = {q: -find_cut(base, "_qk", "_qi", q + 1, n=cnt, value_only=True, **kw).score
+                 for q in sorted(positions)}
     out = []
     for p in probs:
         h = (cnt - 1) * float(p)
         lo, hi = math.floor(h), math.ceil(h)
-        a = order_stat(lo)
-        out.append(a if hi == lo else a + (h - lo) * (order_stat(hi) - a))
+        a = cache[lo]
+        out.append(a if hi == lo else a + (h - lo) * (cache[hi] - a))
     return out
