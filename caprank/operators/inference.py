@@ -27,9 +27,14 @@ def rank_cohort(
 ) -> DataFrame:
     """Columns: student_id, risk_score, rank [, reason_1..n, reason_i_value].
 
-    Without ``id_column`` the cohort must carry the spec's id (row ids are
-    assigned once at ingest, never by position here)."""
+    The id is ``id_column``, else the spec's id column; when the cohort has
+    neither, dense ids 0..n-1 are assigned once (P10)."""
     rid = id_column or scorer.spec.id
+    if rid not in cohort.columns:
+        # P10: no id column - dense ids assigned once (checkpointed frame)
+        from caprank.operators.columns import assign_row_id
+
+        cohort = assign_row_id(cohort, rid)
     scored = scorer.score(cohort, "risk_score")
     top = rank_top_k(scored, "risk_score", rid, fraction)
     if not add_reasons:

@@ -130,7 +130,10 @@ def histogram(df: DataFrame, feature: str, by: str, bins: int = 20, shared_range
     else:
         grp = df.groupBy(_c(by).alias("group")).agg(
             F.min(x).alias("_lo"), F.max(x).alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    j = df.select(_c(by).alias("group"), x.alias("_x")).join(F.broadcast(grp), "group")
+    from caprank.session import broadcast_if_small
+
+    # one row per group: broadcast only after the size check
+    j = df.select(_c(by).alias("group"), x.alias("_x")).join(broadcast_if_small(grp), "group")
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
     b = F.when(F.col("_hi") > F.col("_lo"),
                F.least(F.lit(bins), F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))

@@ -101,8 +101,10 @@ class RuleScorer:
 def _weighted(df: DataFrame, label: str, class_weight: str | None) -> tuple[DataFrame, str | None]:
     if class_weight != "balanced":
         return df, None
+    from caprank.session import broadcast_if_small
+
     w = class_weights(df, label).select(F.col("label").alias(label), F.col("weight").alias("_cw"))
-    return df.join(F.broadcast(w), label), "_cw"
+    return df.join(broadcast_if_small(w), label), "_cw"
 
 
 class LogisticScorer:

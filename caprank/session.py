@@ -126,3 +126,15 @@ def small_result(df: DataFrame) -> DataFrame:
     """Materialise a tiny result (a few rows) so it survives the release of
     the pinned input it was computed from."""
     return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+BROADCAST_ROW_LIMIT = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Broadcast hint only after checking the row count of a (normally tiny,
+    aggregated) side; above the bound the join stays a shuffle join."""
+    from pyspark.sql import functions as F
+
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
