@@ -119,3 +119,12 @@ def log_metrics(root: str, run_id: str, metrics: DataFrame, model_col: str = "mo
         model_col, vals, "metric", "value")
     long.select(F.lit(run_id).alias("run_id"), F.col(model_col).alias("model"), "metric", "value").write.mode(
         "append").parquet(f"{root}/run_metrics")
+
+
+def write_run_table(df: DataFrame, root: str, name: str, run_id: str) -> str:
+    """Persist a run's result table (slice table, global
+    importance, ...) as Parquet partitioned by ``run_id``; appending keeps
+    earlier runs, and readers prune to one run by its partition."""
+    path = f"{root}/{name}"
+    df.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)
+    return path

@@ -204,14 +204,23 @@ def build_scorer(name: str, spec: CohortSpec, **params):
     raise ValueError(f"unknown scorer {name!r}")
 
 
-def score_ladder(train: DataFrame, test: DataFrame, spec: CohortSpec, rungs=LADDER, **params):
+def score_ladder(train: DataFrame, test: DataFrame, spec: CohortSpec, rungs=LADDER, parallel: bool = True,
+                 **params):
     """M6: fit each rung on ``train`` and score ``test`` into ONE wide
     DataFrame with a ``score_<rung>`` column per rung (persisted once, since
-    every metric, slice and bootstrap job reads it)."""
-    fitted = {}
+    every metric, slice and bootstrap job reads it).  The fits are
+    independent jobs and are submitted concurrently."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def fit(name: str):
+        return name, build_scorer(name, spec, **params).fit(train)
+
+    if parallel:
+        with ThreadPoolExecutor(max_workers=len(rungs)) as pool:
+            fitted = dict(pool.map(fit, rungs))
+    else:
+        fitted = dict(fit(name) for name in rungs)
     wide = test
     for name in rungs:
-        sc = build_scorer(name, spec, **params).fit(train)
-        fitted[name] = sc
-        wide = sc.score(wide, f"score_{name}")
-    return wide.persist(), fitted
+        wide = fitted[name].score(wide, f"score_{name}")
+    return wide.persist(), {name: fitted[name] for name in rungs}

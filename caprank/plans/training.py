@@ -20,7 +20,7 @@ from caprank.operators.crossval import cross_val_precision
 from caprank.operators.explain import global_importance, tree_attributions
 from caprank.operators.gate import promotion_decision
 from caprank.operators.metrics import average_precision, evaluate_ladder
-from caprank.operators.registry import log_metrics, log_params, promote_if, save_model
+from caprank.operators.registry import log_metrics, log_params, promote_if, save_model, write_run_table
 from caprank.operators.scorers import LADDER, CohortSpec, score_ladder
 from caprank.operators.slices import slice_table
 from caprank.operators.split import stratified_split
@@ -85,6 +85,10 @@ def training_run(spark: SparkSession, cohort: DataFrame, cfg: TrainingConfig) ->
     cand = fitted[cfg.candidate]
     if hasattr(cand, "categorical_slots"):
         importance = global_importance(tree_attributions(cand, test, [s.id]), cand.feature_names)
+    if slices is not None:
+        write_run_table(slices, cfg.registry_root, "slice_tables", run_id)
+    if importance is not None:
+        write_run_table(importance, cfg.registry_root, "global_importance", run_id)
     path = save_model(cand.model, f"{cfg.registry_root}/artifacts/{run_id}")
     version = promote_if(spark, cfg.registry_root, decision, cfg.model_name, path, run_id, cfg.alias)
     return {"run_id": run_id, "metrics": metrics, "ci": ci, "average_precision": ap, "slices": slices,

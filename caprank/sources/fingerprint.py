@@ -113,3 +113,18 @@ def load_checked(spark: SparkSession, path: str, manifest_path: str, drop_prefix
     drop = [c for c in df.columns if drop_prefix and c.startswith(drop_prefix)]
     drop += [c for c in drop_outcomes if c in df.columns]
     return df.drop(*drop)
+
+
+def load_reference_and_current(spark: SparkSession, path: str, manifest_path: str, order_col: str, id_col: str,
+                               drop_prefix: str | None = None,
+                               drop_outcomes: tuple[str, ...] = ("Target", "dropout")):
+    """Checked load (S4, S1/S5), leakage prefix and outcomes dropped
+    (P2, P3), then the first half by ``(order_col, id)`` is the reference and
+    the rest the current cohort (T5)."""
+    from pyspark.sql import functions as F
+
+    from caprank.operators.split import ordered_half_split
+
+    df = load_checked(spark, path, manifest_path, drop_prefix, drop_outcomes)
+    h = ordered_half_split(df, order_col, id_col, flag_col="_ref")
+    return h.filter("_ref").drop("_ref"), h.filter(~F.col("_ref")).drop("_ref")
