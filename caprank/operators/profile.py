@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caprank.operators.ranking import find_cut, k_from_fraction, rank_within
+from caprank.operators.ranking import find_cut, k_from_fraction
 
 
 def _c(name: str):

@@ -23,7 +23,6 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caprank.operators.bootstrap import hash_u32
 from caprank.operators.ranking import find_cut, rank_within
 
 
