@@ -188,16 +188,20 @@ def bootstrap_metric(
     n_iter: int = 2000,
     ci_level: float = 0.95,
     seed: int = 42,
+    n: int | None = None,
+    point: float | None = None,
     **kw,
 ) -> DataFrame:
-    """K5: one row ``metric, point, ci_low, ci_high, ci_level``."""
+    """K5: one row ``metric, point, ci_low, ci_high, ci_level``.  Callers that
+    already know ``n`` and the point estimate pass them in."""
     with pinned(_base(df, y, {"a": score}, rid)) as base:
-        return small_result(_bootstrap_metric(base, "_y", "_s_a", "_id", fraction, n_iter, ci_level, seed, **kw))
+        return small_result(_bootstrap_metric(base, "_y", "_s_a", "_id", fraction, n_iter, ci_level, seed,
+                                              n, point, **kw))
 
 
-def _bootstrap_metric(df, y, score, rid, fraction, n_iter, ci_level, seed, **kw) -> DataFrame:
-    n = df.count()
-    point = _point_precision(df, y, score, rid, fraction, n)
+def _bootstrap_metric(df, y, score, rid, fraction, n_iter, ci_level, seed, n=None, point=None, **kw) -> DataFrame:
+    n = n if n is not None else df.count()
+    point = point if point is not None else _point_precision(df, y, score, rid, fraction, n)
     reps = replicate_precision(df, y, {"a": score}, rid, fraction, n_iter, seed, n=n, **kw)
     a = 1.0 - ci_level
     q = reps.agg(F.percentile("p_a", [a / 2, 1 - a / 2]).alias("_q"))
@@ -220,19 +224,22 @@ def bootstrap_difference(
     n_iter: int = 2000,
     ci_level: float = 0.95,
     seed: int = 42,
+    n: int | None = None,
+    points: tuple[float, float] | None = None,
     **kw,
 ) -> DataFrame:
     """K6: P@k(a) - P@k(b) with both scorers on the same resamples."""
     with pinned(_base(df, y, {"a": score_a, "b": score_b}, rid)) as base:
         return small_result(_bootstrap_difference(base, "_y", "_s_a", "_s_b", "_id", fraction, n_iter, ci_level,
-                                                  seed, **kw))
+                                                  seed, n, points, **kw))
 
 
-def _bootstrap_difference(df, y, score_a, score_b, rid, fraction, n_iter, ci_level, seed, **kw) -> DataFrame:
-    n = df.count()
-    point = _point_precision(df, y, score_a, rid, fraction, n) - _point_precision(
-        df, y, score_b, rid, fraction, n
-    )
+def _bootstrap_difference(df, y, score_a, score_b, rid, fraction, n_iter, ci_level, seed, n=None, points=None,
+                          **kw) -> DataFrame:
+    n = n if n is not None else df.count()
+    if points is None:
+        points = (_point_precision(df, y, score_a, rid, fraction, n), _point_precision(df, y, score_b, rid, fraction, n))
+    point = points[0] - points[1]
     reps = replicate_precision(df, y, {"a": score_a, "b": score_b}, rid, fraction, n_iter, seed, n=n, **kw)
     a = 1.0 - ci_level
     q = reps.agg(F.percentile(F.col("p_a") - F.col("p_b"), [a / 2, 1 - a / 2]).alias("_q"))

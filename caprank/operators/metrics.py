@@ -136,7 +136,7 @@ def evaluate_model(
         ap = average_precision(base, y, score).first()
         br = brier(base, y, score).first()
         ci = bootstrap_metric(base, y, score, rid, fraction, n_iter=n_bootstrap, ci_level=ci_level,
-                              seed=seed).first()
+                              seed=seed, n=m["n"], point=m["precision_at_k"]).first()
     # the four parts are single rows already on the driver: assemble, no join
     row = (m["precision_at_k"], ci["ci_low"], ci["ci_high"], m["lift_at_k"], m["recall_at_k"],
            ap["average_precision"], br["brier"], m["base_rate"])

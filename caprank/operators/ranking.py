@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from caprank.functions.order import as_col, row_at_or_before, sort_key
 
-EXACT_LIMIT = 50_000  # rows ranked inside one task at most
+EXACT_LIMIT = 200_000  # rows ranked inside one task at most
 TARGET_BUCKET_ROWS = 50_000
 MAX_BUCKETS = 16_384
 SAMPLE_PER_BUCKET = 20
