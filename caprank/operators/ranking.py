@@ -121,9 +121,24 @@ def _bucketize(df: DataFrame, cols: list[tuple[str, list[float], str]]) -> DataF
 
 HEAVY_TIE_MULTIPLICITY = 4  # split points on one score value before ids split it
 MAX_HEAVY_TIES = 64
+MAX_HOT_IN_ONE_PASS = 64  # hot partitions bucketed in a single projection
 
 
-def assign_buckets(df: DataFrame, splits: list[tuple[float, int]], s: Column, i: Column, out: str) -> DataFrame:
+def _key_plan(splits: list[tuple[float, int]]):
+    """Distinct split scores, heavy tie values with their id splits, and the
+    key width, for :func:`assign_buckets`."""
+    uniq = sorted({p[0] for p in splits}) or [0.0]  # Bucketizer needs one split at least
+    mult: dict[float, set[int]] = {}
+    for ps, pi in splits:
+        mult.setdefault(ps, set()).add(pi)
+    heavy = sorted((v for v, ids in mult.items() if len(ids) >= HEAVY_TIE_MULTIPLICITY),
+                   key=lambda v: -len(mult[v]))[:MAX_HEAVY_TIES]
+    width = max([len(mult[v]) + 2 for v in heavy] + [1])
+    return uniq, [(v, sorted(float(x) for x in mult[v])) for v in heavy], width
+
+
+def assign_buckets(df: DataFrame, splits: list[tuple[float, int]], s: Column, i: Column, out: str,
+                   partition_col: str | None = None, splits_by_part: dict | None = None) -> DataFrame:
     """Add ``out``: a bucket number that is monotone in the library order.
 
     Score level: ``#(distinct split scores > score)`` via ``Bucketizer``;
@@ -131,31 +146,36 @@ def assign_buckets(df: DataFrame, splits: list[tuple[float, int]], s: Column, i:
     ``HEAVY_TIE_MULTIPLICITY`` split points (so its block is several buckets
     big) is split again by id with its own id split points - one extra
     Bucketizer column per heavy value (at most ``MAX_HEAVY_TIES``).  The key
-    is ``score_bucket * (S + 1) + sub`` with ``sub = 0`` for rows above the
-    tie value inside the same score bucket."""
-    uniq = sorted({p[0] for p in splits})
-    mult: dict[float, list[int]] = {}
-    for ps, pi in splits:
-        mult.setdefault(ps, []).append(pi)
-    heavy = sorted((v for v, ids in mult.items() if len(ids) >= HEAVY_TIE_MULTIPLICITY),
-                   key=lambda v: -len(mult[v]))[:MAX_HEAVY_TIES]
-    m = len(uniq)
+    is ``score_bucket * width + sub`` with ``sub = 0`` for rows above the
+    tie value inside the same score bucket.
+
+    With ``partition_col`` / ``splits_by_part`` every listed partition gets
+    its own split points in the same single projection (rows of other
+    partitions get bucket 0)."""
+    plans = {None: splits} if partition_col is None else dict(splits_by_part or {})
     base = df.withColumn("_bs", s).withColumn("_bi", i.cast("double"))
-    specs = [("_bs", uniq, "_basc")]
-    for t, v in enumerate(heavy):
-        base = base.withColumn(f"_tv{t}", F.when(F.col("_bs") == F.lit(v), F.col("_bi")))
-        specs.append((f"_tv{t}", sorted({float(x) for x in mult[v]}), f"_tb{t}"))
+    specs, temp = [], ["_bs", "_bi"]
+    key = F.lit(0).cast("long")
+    for t, (p, sp) in enumerate(plans.items()):
+        uniq, heavy, width = _key_plan(sp)
+        inpart = F.lit(True) if partition_col is None else (F.col(partition_col) == F.lit(p))
+        base = base.withColumn(f"_ps{t}", F.when(inpart, F.col("_bs")))
+        specs.append((f"_ps{t}", uniq, f"_pb{t}"))
+        temp += [f"_ps{t}", f"_pb{t}"]
+        sub = F.lit(0).cast("long")
+        for h, (v, ids) in enumerate(heavy):
+            hit = inpart & (F.col("_bs") == F.lit(v))
+            base = base.withColumn(f"_pv{t}_{h}", F.when(hit, F.col("_bi")))
+            specs.append((f"_pv{t}_{h}", ids, f"_pw{t}_{h}"))
+            temp += [f"_pv{t}_{h}", f"_pw{t}_{h}"]
+            # ids below the first id split get 1, ...; rows above v keep 0
+            sub = F.when(hit, (F.col(f"_pw{t}_{h}") + 1).cast("long")).otherwise(sub)
+        sb = F.lit(len(uniq)).cast("long") - F.col(f"_pb{t}").cast("long")
+        # NaN scores sort first in Spark's descending order: bucket 0
+        sb = F.when(F.isnan("_bs"), F.lit(0).cast("long")).otherwise(sb)
+        key = F.when(inpart, sb * F.lit(width) + sub).otherwise(key)
     keyed = _bucketize(base, specs)
-    width = max([len(set(mult[v])) + 2 for v in heavy] + [1])
-    sub = F.lit(0).cast("long")
-    for t, v in enumerate(heavy):
-        # ids below the first id split get 1, ...; rows above v in the bucket keep 0
-        sub = F.when(F.col("_bs") == F.lit(v), (F.col(f"_tb{t}") + 1).cast("long")).otherwise(sub)
-    sb = F.lit(m).cast("long") - F.col("_basc").cast("long")
-    # NaN scores sort first in Spark's descending order: bucket 0 is fine for them
-    sb = F.when(F.isnan("_bs"), F.lit(0).cast("long")).otherwise(sb)
-    drop = ["_bs", "_bi", "_basc"] + [f"_tv{t}" for t in range(len(heavy))] + [f"_tb{t}" for t in range(len(heavy))]
-    return keyed.withColumn(out, sb * F.lit(width) + sub).drop(*drop)
+    return keyed.withColumn(out, key).drop(*temp)
 
 
 def find_cut(
@@ -288,9 +308,10 @@ def rank_within(
     """Exact rank inside each value of ``partition_col``.
 
     Partitions up to ``exact_limit`` rows use a plain partitioned window.
-    Larger partitions get their own composite split points, so a hot
-    partition (say a third of all rows) is spread over many tasks; the
-    per-(partition, bucket) counts become offsets.
+    Larger partitions get their own split points (one ``sampleBy`` job for
+    all of them, bucketed in one projection), so a hot partition (say a
+    third of all rows) is spread over many tasks; the per-(partition,
+    bucket) counts become offsets.
     """
     s, i = _dbl(score), _lng(rid)
     # only hot partitions come back to the driver (at most n / exact_limit)
@@ -306,16 +327,20 @@ def rank_within(
     points: dict = {p: [] for p in big}
     for r in sample:
         points[r["_p"]].append((float(r["_rs"]), int(r["_ri"])))
-    # hot partitions are bucketed one by one (same tie handling as rank_rows);
-    # every other row is in bucket 0 of its (small) partition
-    hot = F.col(partition_col).isin(*big)
-    parts = [base.filter(~hot | F.col(partition_col).isNull()).withColumn("_rb", F.lit(0).cast("long"))]
-    for p in big:
-        splits = _splits_from_points(points[p], nbs[p])
-        parts.append(assign_buckets(base.filter(F.col(partition_col) == F.lit(p)), splits, F.col("_rs"), i, "_rb"))
-    bucketed = parts[0]
-    for part in parts[1:]:
-        bucketed = bucketed.unionByName(part)
+    splits_by_part = {p: _splits_from_points(points[p], nbs[p]) for p in big}
+    if len(big) <= MAX_HOT_IN_ONE_PASS:
+        # one projection: a Bucketizer column per hot partition (+ heavy ties)
+        bucketed = assign_buckets(base, [], F.col("_rs"), i, "_rb", partition_col, splits_by_part)
+    else:
+        # many hot partitions: one branch each (same bucketing), unioned
+        hot = F.col(partition_col).isin(*big)
+        parts = [base.filter(~hot | F.col(partition_col).isNull()).withColumn("_rb", F.lit(0).cast("long"))]
+        for p in big:
+            parts.append(assign_buckets(base.filter(F.col(partition_col) == F.lit(p)), splits_by_part[p],
+                                        F.col("_rs"), i, "_rb"))
+        bucketed = parts[0]
+        for part in parts[1:]:
+            bucketed = bucketed.unionByName(part)
     counts = bucketed.groupBy(partition_col, "_rb").count()
     wo = Window.partitionBy(partition_col).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
