@@ -1307,3 +1307,91 @@ def q_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     verified = assert_fingerprint(spark, back, f"{root}/manifest") == fp
     return spark.createDataFrame([(fp["n_rows"], fp["hash_sum"], fp["hash_xor"], verified)],
                                  "n_rows long, hash_sum string, hash_xor long, verified boolean")
+
+
+# ---------------------------------------------------------------- fit-free rungs with oracles
+def _cohort_split_sql() -> str:
+    return f"""
+{alloc_sql('cohort', 'y', 0.2)},
+ranked AS (SELECT cohort.*, row_number() OVER (PARTITION BY y ORDER BY {h_sql(42)}, id) AS rn FROM cohort),
+sp AS (SELECT r.*, r.rn <= a.ntest AS is_test FROM ranked r JOIN alloc a ON r.y = a.c)
+"""
+
+
+def _rung_sql(model: str, rung: int, score_expr: str) -> str:
+    return f"""
+SELECT {rung} AS rung, '{model}' AS model, CAST(max(k) AS BIGINT) AS k,
+       round(sum(CASE WHEN rn2 <= k THEN y ELSE 0 END) / max(k), 6) AS precision_at_k,
+       round(CASE WHEN sum(y) > 0 THEN sum(CASE WHEN rn2 <= k THEN y ELSE 0 END) / sum(y) ELSE 0.0 END, 6)
+         AS recall_at_k,
+       round(CASE WHEN sum(y) > 0 THEN (sum(CASE WHEN rn2 <= k THEN y ELSE 0 END) / max(k)) / (sum(y) / count(*))
+             ELSE 0.0 END, 6) AS lift_at_k,
+       round(avg(power(s - y, 2)), 6) AS brier, round(avg(y), 6) AS base_rate
+FROM (SELECT y, s, row_number() OVER (ORDER BY s DESC, id) AS rn2,
+             greatest(1, CAST(ceil(CAST(0.1 AS DOUBLE) * count(*) OVER ()) AS BIGINT)) AS k
+      FROM (SELECT id, y, {score_expr} AS s FROM sp WHERE is_test))
+"""
+
+
+@register(
+    "baseline_ladder",
+    f"WITH {SQL_C}, {_cohort_split_sql()}, tr AS (SELECT avg(y) AS rate FROM sp WHERE NOT is_test) "
+    + _rung_sql("majority_baseline", 0, "(SELECT rate FROM tr)")
+    + " UNION ALL "
+    + _rung_sql("passrate_baseline", 1, f"1.0 - {safe_ratio_sql('approved', 'enrolled')}"),
+)
+def q_baseline_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M0 + M1 + M6: the two fit-free rungs fitted on the exact 80 % split of
+    the customer cohort and evaluated on the 20 % split in one grouped job."""
+    from caprank.operators.metrics import evaluate_ladder
+
+    train, test = cohort_split(spark, sf_dir)
+    wide, fitted = score_ladder(train, test, C_SPEC, rungs=("majority_baseline", "passrate_baseline"))
+    return round_doubles(evaluate_ladder(wide, "y", "id", {m: f"score_{m}" for m in fitted}))
+
+
+@register(
+    "cv_rule_baseline",
+    f"""
+WITH {SQL_C},
+f AS (SELECT id, y, 1.0 - {safe_ratio_sql('approved', 'enrolled')} AS s,
+             (row_number() OVER (PARTITION BY y ORDER BY {h_sql(42)}, id) - 1) % 5 AS fold FROM cohort),
+r AS (SELECT fold, y, row_number() OVER (PARTITION BY fold ORDER BY s DESC, id) AS rn,
+             greatest(1, CAST(ceil(CAST(0.1 AS DOUBLE) * count(*) OVER (PARTITION BY fold)) AS BIGINT)) AS k FROM f),
+p AS (SELECT fold, sum(CASE WHEN rn <= k THEN y ELSE 0 END) / max(k) AS p FROM r GROUP BY fold)
+SELECT 'passrate_baseline' AS model, round(avg(p), 6) AS cv_precision_at_k_mean,
+       round(stddev_pop(p), 6) AS cv_precision_at_k_std, CAST(count(*) AS BIGINT) AS n_folds FROM p
+""",
+)
+def q_cv_rule_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K12 for the rule rung: 5 stratified folds (md5 order), P@10 % per
+    held-out fold, mean and population std."""
+    from caprank.operators.crossval import cross_val_precision
+
+    cv = cross_val_precision(model_cohort(spark, sf_dir), C_SPEC, ["passrate_baseline"], 5, 0.10)
+    return round_doubles(cv.select("model", "cv_precision_at_k_mean", "cv_precision_at_k_std",
+                                   F.size("cv_folds").cast("long").alias("n_folds")))
+
+
+def _split_precision_sql(flag: str) -> str:
+    return f"""(SELECT sum(CASE WHEN rn2 <= k THEN y ELSE 0 END) / max(k)
+      FROM (SELECT y, row_number() OVER (ORDER BY s DESC, id) AS rn2,
+                   greatest(1, CAST(ceil(CAST(0.1 AS DOUBLE) * count(*) OVER ()) AS BIGINT)) AS k
+            FROM (SELECT id, y, 1.0 - {safe_ratio_sql('approved', 'enrolled')} AS s FROM sp WHERE {flag})))"""
+
+
+@register(
+    "rule_train_test_gap",
+    f"""
+WITH {SQL_C}, {_cohort_split_sql()},
+g AS (SELECT {_split_precision_sql('NOT is_test')} AS a, {_split_precision_sql('is_test')} AS b)
+SELECT 'passrate_baseline' AS model, round(a, 6) AS train_precision_at_k, round(b, 6) AS test_precision_at_k,
+       round(a - b, 6) AS gap FROM g
+""",
+)
+def q_rule_train_test_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q11 for the rule rung on the exact 80/20 split of the customer cohort."""
+    from caprank.operators.crossval import train_test_gap
+
+    train, test = cohort_split(spark, sf_dir)
+    return round_doubles(train_test_gap(train, test, C_SPEC, "passrate_baseline", 0.10))
