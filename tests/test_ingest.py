@@ -58,3 +58,20 @@ def test_ingest_recombines_by_key(spark, toy):
     df, fp = ingest_snapshot(feats, targets, "id", "Target", "Dropout", "dropout", f"{d}/s", f"{d}/m")
     assert fp["n_rows"] == 4 and df.filter("dropout = 1").count() == 2
     assert os.path.isdir(f"{d}/s")
+
+
+def test_reference_current_loader_and_run_tables(spark, toy):
+    from caprank.operators.registry import write_run_table
+    from caprank.sources.fingerprint import load_reference_and_current
+
+    d = tempfile.mkdtemp(prefix="caprank-test-")
+    write_snapshot(toy.withColumn("Curricular units 2nd sem (x)", toy.feat_a), f"{d}/snap", f"{d}/manifest")
+    ref, cur = load_reference_and_current(spark, f"{d}/snap", f"{d}/manifest", "feat_a", "id",
+                                          drop_prefix="Curricular units 2nd sem")
+    assert ref.count() == 2 and cur.count() == 2
+    assert "Target" not in ref.columns and "Curricular units 2nd sem (x)" not in ref.columns
+    assert sorted(r["feat_a"] for r in ref.collect()) == [1, 2]
+    write_run_table(toy, d, "slice_tables", "run-a")
+    write_run_table(toy, d, "slice_tables", "run-b")
+    t = spark.read.parquet(f"{d}/slice_tables")
+    assert t.filter("run_id = 'run-b'").count() == 4 and t.count() == 8
