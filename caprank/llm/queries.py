@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from caprank.llm.bpe import op1_bpe
 from caprank.llm.language import op4_language_id
 
 QUERIES = {
+    "op1_bpe": op1_bpe,
     "op4_language_id": op4_language_id,
 }
 
