@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from caprank.llm.bpe import op1_bpe
+from caprank.llm.jaccard import op3_jaccard_join
 from caprank.llm.language import op4_language_id
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_language_id": op4_language_id,
 }
 
