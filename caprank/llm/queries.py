@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 from caprank.llm.bpe import op1_bpe
+from caprank.llm import curriculum
+from caprank.llm.curriculum import op9_curriculum_mix
 from caprank.llm.jaccard import op3_jaccard_join
 from caprank.llm.language import op4_language_id
+from caprank.llm.repeats import op2_suffix_dedup
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_language_id": op4_language_id,
+    "op9_curriculum_mix": op9_curriculum_mix,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_curriculum_mix": curriculum.ORACLE_SQL,
+}
