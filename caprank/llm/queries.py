@@ -7,6 +7,7 @@ from caprank.llm import curriculum
 from caprank.llm.curriculum import op9_curriculum_mix
 from caprank.llm.jaccard import op3_jaccard_join
 from caprank.llm.language import op4_language_id
+from caprank.llm.quality import op8_quality_rules
 from caprank.llm.repeats import op2_suffix_dedup
 
 QUERIES = {
@@ -14,9 +15,11 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_language_id": op4_language_id,
+    "op8_quality_rules": op8_quality_rules,
     "op9_curriculum_mix": op9_curriculum_mix,
 }
 
 ORACLE: dict[str, str] = {
+    "op8_quality_rules": op8_quality_rules,
     "op9_curriculum_mix": curriculum.ORACLE_SQL,
 }
