@@ -10,6 +10,7 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 import uuid
+import zlib
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,14 +23,27 @@ from caprank.session import ensure_checkpoint_dir, ship_package
 BROADCAST_IDS = 2_000_000
 
 #: Target size of one in-memory text batch inside a task, in characters.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 500_000
 
 #: Word separators of every contract: space and U+0009 to U+000D.
 WORD_SPACE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Arrow batches between the JVM and Python hold at most this many bytes.
+ARROW_BYTES = 4 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ship the package to the workers, and keep Arrow batches of whole texts
+    small (the default, 64 MB, is several times that as Python objects)."""
     ship_package(spark)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) == "67108864b":
+        spark.conf.set(key, str(ARROW_BYTES))
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -165,6 +179,20 @@ def lower_ascii(cps: np.ndarray) -> np.ndarray:
     return out
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Unsigned integers with as many bytes each as the largest needs."""
+    width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    planes = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return bytes([width]) + zlib.compress(planes.tobytes(), 1)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(raw[1:]), dtype=np.uint8).reshape(raw[0], -1)
+    out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    out[:, :raw[0]] = planes.T
+    return out.reshape(-1).view("<u8").astype(np.uint64)
+
+
 def exact_copies(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, sha, rep): ``rep`` is the smallest doc_id with the same
     text.  Only ids and digests are shuffled; the group of copies is reduced by

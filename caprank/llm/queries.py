@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
-from caprank.llm.bpe import op1_bpe
 from caprank.llm import curriculum
+from caprank.llm.bpe import op1_bpe
 from caprank.llm.curriculum import op9_curriculum_mix
 from caprank.llm.jaccard import op3_jaccard_join
 from caprank.llm.language import op4_language_id
 from caprank.llm.quality import op8_quality_rules
 from caprank.llm.repeats import op2_suffix_dedup
+from caprank.llm.scoring import op5_backoff_score
+from caprank.llm.token_files import op6_token_files
 
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_language_id": op4_language_id,
+    "op5_backoff_score": op5_backoff_score,
+    "op6_token_files": op6_token_files,
     "op8_quality_rules": op8_quality_rules,
     "op9_curriculum_mix": op9_curriculum_mix,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_backoff_score": op5_backoff_score,
+    "op6_token_files": op6_token_files,
     "op8_quality_rules": op8_quality_rules,
     "op9_curriculum_mix": curriculum.ORACLE_SQL,
 }
