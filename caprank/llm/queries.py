@@ -7,6 +7,7 @@ from caprank.llm.bpe import op1_bpe
 from caprank.llm.curriculum import op9_curriculum_mix
 from caprank.llm.jaccard import op3_jaccard_join
 from caprank.llm.language import op4_language_id
+from caprank.llm.neighbours import op10_nearest
 from caprank.llm.quality import op8_quality_rules
 from caprank.llm.repeats import op2_suffix_dedup
 from caprank.llm.scoring import op5_backoff_score
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_token_files": op6_token_files,
     "op8_quality_rules": op8_quality_rules,
     "op9_curriculum_mix": op9_curriculum_mix,
+    "op10_nearest": op10_nearest,
 }
 
 ORACLE: dict[str, str] = {
