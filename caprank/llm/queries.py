@@ -7,6 +7,7 @@ from caprank.llm.bpe import op1_bpe
 from caprank.llm.curriculum import op9_curriculum_mix
 from caprank.llm.jaccard import op3_jaccard_join
 from caprank.llm.language import op4_language_id
+from caprank.llm.licenses import op7_license_scan
 from caprank.llm.neighbours import op10_nearest
 from caprank.llm.quality import op8_quality_rules
 from caprank.llm.repeats import op2_suffix_dedup
@@ -20,6 +21,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_backoff_score": op5_backoff_score,
     "op6_token_files": op6_token_files,
+    "op7_license_scan": op7_license_scan,
     "op8_quality_rules": op8_quality_rules,
     "op9_curriculum_mix": op9_curriculum_mix,
     "op10_nearest": op10_nearest,
@@ -28,6 +30,7 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op5_backoff_score": op5_backoff_score,
     "op6_token_files": op6_token_files,
+    "op7_license_scan": op7_license_scan,
     "op8_quality_rules": op8_quality_rules,
     "op9_curriculum_mix": curriculum.ORACLE_SQL,
 }
