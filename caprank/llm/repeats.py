@@ -17,7 +17,8 @@ task.  Anchor lists are window functions, which spill.
 
 Defined results: null and empty texts have no bytes and no spans; a text shorter
 than ``length`` keeps all its bytes; repeats inside one document alone remove
-nothing; rows that repeat a doc_id count as one document.
+nothing; rows that repeat a doc_id count as one document with one of its texts;
+rows without a doc_id are left out (a pipeline keeps them as they are).
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from caprank.llm.common import (documents, exact_copies, first_copies, mix64, sm
 LENGTH = 50
 SEED = 20
 #: Bytes of contexts that one suffix array holds; one anchor's contexts stay together.
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -365,7 +366,7 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = written(exact_copies(docs), "reps")
     spans = written(removed_spans(docs, copies), "spans")
     cut = kept_texts(whole_text(docs).join(small_side(spans.select("doc_id")), "doc_id", "left_semi"), spans)
-    cut = cut.select("doc_id", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    cut = cut.select("doc_id", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")).dropDuplicates(["doc_id"])
     copy = (F.col("rep") != F.col("doc_id")) & (F.col("n_bytes") >= LENGTH)
     empty = F.lit(hashlib.sha256(b"").hexdigest())
     return copies.join(cut, "doc_id", "left").select(
@@ -384,7 +385,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     whole = copies.where(f"rep <> doc_id and n_bytes >= {LENGTH}").select("doc_id", F.lit("").alias("kept_text"))
     cut = cut.select("doc_id", F.try_validate_utf8(F.col("kept").cast("string")).alias("ok"), "kept")
     cut = written(cut.select("doc_id", F.coalesce("ok", F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")),
-                                                                          "�", "")).alias("kept_text")).unionByName(whole), "cut")
+                                                                          "�", "")).alias("kept_text")).unionByName(whole).dropDuplicates(["doc_id"]), "cut")
     joined = docs.join(cut, "doc_id", "left")
     text = F.coalesce("kept_text", "text")
     kept = joined.withColumn("text", text).where("kept_text is null or kept_text rlike '\\\\S'")
