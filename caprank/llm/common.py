@@ -4,7 +4,8 @@ broadcasts, exact-copy collapsing and numpy views of text batches.
 Conventions of every operator here: ``doc_id`` identifies a document, a null
 text counts as the empty text, other columns are ignored (each operator selects
 what it needs first, so clashing names of extra columns cannot disturb it), and
-an empty table gives an empty result.
+an empty table gives an empty result.  Null ids travel through Python as
+``NO_ID``, because a column of integers with nulls would arrive as floats.
 """
 
 from __future__ import annotations
@@ -68,6 +69,20 @@ def whole_text(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+#: Stands for a null doc_id inside Python code.
+NO_ID = -(1 << 63)
+
+
+def with_id(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) for Python code: no nulls in either."""
+    return whole_text(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+
+
+def null_id() -> Column:
+    """doc_id with ``NO_ID`` turned into null again."""
+    return F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id")
+
+
 def crc_mod(col: str, mod: int) -> Column:
     """crc32 of the id as decimal text, modulo ``mod``; null ids give null."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % mod
@@ -194,12 +209,15 @@ def unpacked(raw: bytes) -> np.ndarray:
 
 
 def exact_copies(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, sha, rep): ``rep`` is the smallest doc_id with the same
-    text.  Only ids and digests are shuffled; the group of copies is reduced by
+    """(doc_id, n_bytes, sha, rep), one row for each doc_id that is not null:
+    ``rep`` is the smallest doc_id with the same text.  Of several texts under
+    one doc_id the one with the smallest digest counts.  Only ids and digests are shuffled; the group of copies is reduced by
     a combining aggregate, so a text that a third of all rows carry is no hot
     task."""
     d = whole_text(docs).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
                                 F.sha2(F.encode("text", "UTF-8"), 256).alias("sha"))
+    d = (d.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("sha", "n_bytes")).alias("x"))
+         .select("doc_id", "x.n_bytes", "x.sha"))
     d = written(d, "digests")
     firsts = d.groupBy(F.col("sha").alias("s")).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
     firsts = written(firsts.where("n > 1").select("s", "rep"), "copies")
@@ -208,6 +226,7 @@ def exact_copies(docs: DataFrame) -> DataFrame:
 
 
 def first_copies(docs: DataFrame, copies: DataFrame) -> DataFrame:
-    """(doc_id, text) of the documents that are their own representative."""
+    """(doc_id, text) of the documents that are their own representative;
+    null ids are left out."""
     later = copies.where("doc_id <> rep").select("doc_id")
-    return whole_text(docs).join(small_side(later), "doc_id", "left_anti")
+    return whole_text(docs).where("doc_id is not null").join(small_side(later), "doc_id", "left_anti")

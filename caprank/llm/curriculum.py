@@ -108,7 +108,7 @@ def mixed(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float =
         start = F.col(f"c{e}") + e * F.col("source_size")
         took = (F.when((F.col("size") > 0) & (start + F.col("size") / 2 < F.col("target")), F.col("size")).otherwise(F.lit(0)) if whole
                 else F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.floor("target") - start)))
-        y = (start + took / 2) / F.col("target")
+        y = F.try_divide(start + took / 2, F.col("target"))
         at = F.coalesce(*[F.when(F.col("class") == i, when_reached(y, k)) for i, k in enumerate(schedules)])
         copies.append(F.struct(F.lit(e).alias("copy"), took.cast("long").alias("taken"), F.least(at, F.lit(1.0)).alias("position")))
     rows = rows.withColumn("copies", F.filter(F.array(*copies), lambda x: x["taken"] > 0))
@@ -129,7 +129,7 @@ def training_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     decision, that of the smallest size."""
     plan = mixed(docs, whole=True).groupBy("doc_id").agg(F.min_by("copies", "size").alias("copies"))
     plan = plan.select(F.col("doc_id").alias("_id"), F.explode("copies").alias("_copy"))
-    joined = docs.join(plan, docs["doc_id"] == plan["_id"])
+    joined = docs.join(plan, docs["doc_id"].eqNullSafe(plan["_id"]))
     return joined.orderBy("_copy.position", "_id", "_copy.copy").select(*[docs[c] for c in docs.columns])
 
 

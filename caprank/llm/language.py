@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caprank.llm.common import code_points, crc_mod, documents, small_side, text_batches, written
+from caprank.llm.common import code_points, crc_mod, documents, null_id, small_side, text_batches, with_id, written
 
 DIM = 1024
 SEED = 20_231
@@ -140,10 +140,9 @@ def identify(docs: DataFrame, langs: list[str], protos: np.ndarray, seed: int =
                 score = np.where(letters > 0, score, 0.0)
             else:
                 pred, score = [UNKNOWN] * len(ids), np.zeros(len(ids))
-            yield pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "lang_pred": pred, "score": score})
+            yield pd.DataFrame({"doc_id": ids, "lang_pred": pred, "score": score})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        part, "doc_id long, lang_pred string, score double")
+    return with_id(docs).mapInPandas(part, "doc_id long, lang_pred string, score double").select(null_id(), "lang_pred", "score")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,5 +162,5 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     langs, protos = prototypes(docs.select("text", "lang"))
     gone = identify(docs, langs, protos).where(F.col("lang_pred") == UNKNOWN) if langs else (
         docs.where(~F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}")))
-    gone = written(gone.select("doc_id").distinct(), "rejected")
-    return docs.join(small_side(gone), "doc_id", "left_anti").select(docs.columns)
+    gone = written(gone.select(F.col("doc_id").alias("_gone")).distinct(), "rejected")
+    return docs.join(small_side(gone), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")

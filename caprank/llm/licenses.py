@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caprank.llm.common import code_points, documents, mix64, span_hashes, text_batches, whole_text
+from caprank.llm.common import code_points, documents, mix64, null_id, span_hashes, text_batches, with_id
 from caprank.llm.pieces import LETTER, NUMBER, class_table
 
 GRAM, WINDOW, BAND, MIN_COVERAGE = 3, 2, 6, 0.75
@@ -192,7 +192,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, min_coverage: float = MIN_COVERAG
             if out:
                 yield pd.DataFrame(out, columns=["doc_id", "license", "template", "matched", "coverage", "start", "stop"])
 
-    return whole_text(docs).mapInPandas(part, MATCHES)
+    return with_id(docs).mapInPandas(part, MATCHES).withColumn("doc_id", null_id())
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

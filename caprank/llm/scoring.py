@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caprank.llm.common import (code_points, crc_mod, documents, lower_ascii, mix64, packed, span_hashes, unpacked, word_spans,
+from caprank.llm.common import (NO_ID, code_points, crc_mod, documents, lower_ascii, mix64, null_id, packed, span_hashes, unpacked, word_spans,
                                 written)
 
 #: Weight of the arcs of word states against the root.
@@ -148,7 +148,7 @@ def scored(docs: DataFrame, train: Column, arc_weight: float = ARC_WEIGHT) -> Da
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of (doc_id,
     text); ``train`` says which documents teach.  base_score is the sum of the
     root arcs alone."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
                        F.coalesce(train, F.lit(False)).cast("int").alias("train"))
     size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars"),
                     F.coalesce(F.sum("train"), F.lit(0)).alias("texts")).first()
@@ -182,7 +182,8 @@ def scored(docs: DataFrame, train: Column, arc_weight: float = ARC_WEIGHT) -> Da
 
     blocks = rows.select("doc_id", "text").mapInPandas(cut, "block long, doc_id long, text string")
     own = found.where("block is not null").select("block", "kind", "part", "counts")
-    return blocks.groupBy("block").cogroup(own.groupBy("block")).applyInPandas(traverse, SCORES)
+    return (blocks.groupBy("block").cogroup(own.groupBy("block")).applyInPandas(traverse, SCORES)
+            .withColumn("doc_id", null_id()))
 
 
 def op5_backoff_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caprank.llm.common import documents, packed, small_side, text_batches, unpacked, whole_text, written
+from caprank.llm.common import NO_ID, documents, packed, small_side, text_batches, unpacked, with_id, written
 from caprank.llm.pieces import WordIds, encode_batch
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -44,7 +44,6 @@ SHARD_TOKENS, BLOCK_TOKENS, LANES, CHECK_STEPS = 2_000_000, 1 << 18, 1024, 128
 PARTITION_CHARS = 16_000_000
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
-NO_ID = -(1 << 63)
 
 SHARDS = "file long, shard int, n_tokens long, data binary"
 
@@ -200,10 +199,9 @@ def tokenizer_file(path: str | None = None) -> str:
 
 def write_shards(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """Shards (file, shard, n_tokens, data) of (doc_id, text)."""
-    rows = whole_text(docs)
+    rows = with_id(docs)
     chars = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
-    ordered = (rows.repartitionByRange(max(1, -(-chars // PARTITION_CHARS)), F.col("doc_id").asc_nulls_first())
-               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text"))
+    ordered = (rows.repartitionByRange(max(1, -(-chars // PARTITION_CHARS)), "doc_id").sortWithinPartitions("doc_id", "text"))
 
     def part(batches):
         file, shard = TaskContext.get().partitionId(), 0
@@ -219,7 +217,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataF
         for some, texts in text_batches(batches):
             ids, offsets = encode_batch(table, texts)
             tokens.append(np.insert(ids, offsets[1:], end_id))
-            doc_ids += [NO_ID if d is None or d != d else int(d) for d in some]
+            doc_ids += some
             lengths += (np.diff(offsets) + 1).tolist()
             held += len(tokens[-1])
             if held >= SHARD_TOKENS:
