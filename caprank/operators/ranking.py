@@ -18,6 +18,12 @@ library order is ``(score DESC, id ASC)`` (ids unique, so it is total).
   count rows per bucket (a tiny table), turn the counts into offsets and add
   ``row_number()`` inside each bucket.  Buckets are balanced by the sample,
   so no task holds more than about ``target_bucket_rows`` rows.
+
+Scores of any value have a place: NaN, +inf, finite values descending, -inf,
+null, and ids ascending among equals - Spark's own order of ``score DESC NULLS
+LAST, id ASC``.  Splitting works on :func:`order_value`, a finite double that is
+monotone in that order, so a block of nulls or NaNs is split by id like any
+other giant tie, and small and large inputs give the same rows and ranks.
 """
 
 from __future__ import annotations
@@ -37,12 +43,11 @@ SAMPLE_PER_BUCKET = 20
 
 
 def k_from_fraction(n: int, fraction: float) -> int:
-    """``max(1, ceil(fraction * n))`` in binary double arithmetic."""
-    if n <= 0:
-        raise ValueError("n must be positive")
-    if not 0 < fraction <= 1:
-        raise ValueError("fraction must be in (0, 1]")
-    return max(1, math.ceil(float(fraction) * n))
+    """Driver-side value of :func:`k_column` for a known row count."""
+    share = float(fraction)
+    if not (n >= 1 and 0.0 < share <= 1.0):
+        raise ValueError(f"no budget for {n} rows at fraction {fraction}")
+    return int(math.ceil(share * n)) or 1
 
 
 def k_column(n: Column, fraction: float) -> Column:
@@ -52,14 +57,29 @@ def k_column(n: Column, fraction: float) -> Column:
 
 @dataclass(frozen=True)
 class Cut:
-    """The k-th row of the order; rows at or before it form the top k."""
+    """The k-th row of the order; rows at or before it form the top k.  A
+    cut among null scores has ``score`` None."""
 
     k: int
-    score: float
+    score: float | None
     id: int
 
     def contains(self, score: str | Column, rid: str | Column) -> Column:
-        return row_at_or_before((self.score, self.id), _dbl(score), _lng(rid))
+        s, i = _dbl(score), _lng(rid)
+        if self.score is None:
+            return s.isNotNull() | (i <= F.lit(self.id))
+        if math.isnan(self.score):
+            return F.coalesce(F.isnan(s) & (i <= F.lit(self.id)), F.lit(False))
+        # Spark orders NaN above +inf, as the library does; null is never inside
+        inside = row_at_or_before((self.score, self.id), s, i)
+        return inside if math.isfinite(self.score) else F.coalesce(inside, F.lit(False))
+
+
+def order_value(s: Column) -> Column:
+    """Finite double, monotone (not strictly) in the order of scores."""
+    inf = F.lit(float("inf"))
+    return (F.when(s.isNull(), F.lit(-1.5e308)).when(F.isnan(s), F.lit(1.5e308)).when(s == inf, F.lit(1.0e308))
+            .when(s == -inf, F.lit(-1.0e308)).otherwise(s * F.lit(0.25)))
 
 
 def _dbl(c: str | Column) -> Column:
@@ -171,8 +191,6 @@ def assign_buckets(df: DataFrame, splits: list[tuple[float, int]], s: Column, i:
             # ids below the first id split get 1, ...; rows above v keep 0
             sub = F.when(hit, (F.col(f"_pw{t}_{h}") + 1).cast("long")).otherwise(sub)
         sb = F.lit(len(uniq)).cast("long") - F.col(f"_pb{t}").cast("long")
-        # NaN scores sort first in Spark's descending order: bucket 0
-        sb = F.when(F.isnan("_bs"), F.lit(0).cast("long")).otherwise(sb)
         key = F.when(inpart, sb * F.lit(width) + sub).otherwise(key)
     keyed = _bucketize(base, specs)
     return keyed.withColumn(out, key).drop(*temp)
@@ -192,7 +210,7 @@ def find_cut(
     """Exact k-th row of ``(score DESC, id ASC)`` over ``df``.  With
     ``value_only`` only its score is wanted: selection stops once the
     boundary bucket holds a single score (``id`` is then -1)."""
-    cur = df.select(_dbl(score).alias("_s"), _lng(rid).alias("_i"))
+    cur = df.select(_dbl(score).alias("_real"), order_value(_dbl(score)).alias("_s"), _lng(rid).alias("_i"))
     s, i = F.col("_s"), F.col("_i")
     cnt = n if n is not None else cur.count()
     if k < 1 or k > cnt:
@@ -203,19 +221,20 @@ def find_cut(
         if cnt <= exact_limit:
             break
         scope = cur.filter(_in_range(first, last, s, i))
-        splits = _sample_splits(scope, cnt, n_buckets, seed + rnd)
+        splits = _sample_splits(scope.select("_s", "_i"), cnt, n_buckets, seed + rnd)
         if not splits:
             break
         stats = assign_buckets(scope, splits, s, i, "_b").groupBy("_b").agg(
             F.count(F.lit(1)).alias("c"),
             F.max(F.struct(s, -i)).alias("hi"),  # first row of the bucket in library order
             F.min(F.struct(s, -i)).alias("lo"),  # last row of the bucket
+            F.first("_real").alias("real"),
         ).collect()
         before, found = 0, False
         for r in sorted(stats, key=lambda r: r["_b"]):
             if before + r["c"] >= remaining:
                 if value_only and r["hi"][0] == r["lo"][0]:
-                    return Cut(k=k, score=float(r["hi"][0]), id=-1)
+                    return Cut(k=k, score=r["real"], id=-1)
                 new_first = (float(r["hi"][0]), -int(r["hi"][1]))
                 new_last = (float(r["lo"][0]), -int(r["lo"][1]))
                 found = r["c"] < cnt
@@ -227,15 +246,15 @@ def find_cut(
         if not found:
             break  # no progress possible with these splits; rank what is left
     scope = cur.filter(_in_range(first, last, s, i))
-    w = Window.orderBy(F.desc("_s"), F.asc("_i"))
+    w = Window.orderBy(F.desc("_s"), F.desc("_real"), F.asc("_i"))
     row = (
-        scope.select("_s", "_i", F.row_number().over(w).alias("_rn"))
+        scope.select("_real", "_i", F.row_number().over(w).alias("_rn"))
         .filter(F.col("_rn") == remaining)
         .collect()
     )
     if not row:
         raise RuntimeError("cut row not found; is the id column unique?")
-    return Cut(k=k, score=float(row[0]["_s"]), id=int(row[0]["_i"]))
+    return Cut(k=k, score=row[0]["_real"], id=int(row[0]["_i"]))
 
 
 def top_k_cut(
@@ -283,8 +302,8 @@ def rank_rows(
         w = Window.orderBy(s.desc(), i.asc())
         return df.withColumn(rank_col, F.row_number().over(w).cast("long"))
     n_buckets = min(MAX_BUCKETS, max(2, math.ceil(cnt / target_bucket_rows)))
-    splits = _sample_splits(df.select(s, i), cnt, n_buckets, seed)
-    bucketed = assign_buckets(df, splits, s, i, "_rb")
+    splits = _sample_splits(df.select(order_value(s), i), cnt, n_buckets, seed)
+    bucketed = assign_buckets(df, splits, order_value(s), i, "_rb")
     # per-bucket counts -> offsets: a table with one row per bucket (bounded
     # by MAX_BUCKETS, so its window and its broadcast are bounded too)
     counts = bucketed.groupBy("_rb").count()
@@ -314,15 +333,17 @@ def rank_within(
     bucket) counts become offsets.
     """
     s, i = _dbl(score), _lng(rid)
+    # a key that is never null, so that null is a partition like any other
+    key = F.concat(F.lit("="), F.col(partition_col).cast("string"))
+    base = df.withColumns({"_rs": s, "_pk": F.coalesce(key, F.lit("null"))})
     # only hot partitions come back to the driver (at most n / exact_limit)
-    big = dict(df.groupBy(partition_col).count().filter(F.col("count") > exact_limit).collect())
-    base = df.withColumn("_rs", s)
+    big = dict(base.groupBy("_pk").count().filter(F.col("count") > exact_limit).collect())
     if not big:
-        w = Window.partitionBy(partition_col).orderBy(F.desc("_rs"), i.asc())
-        return base.withColumn(rank_col, F.row_number().over(w).cast("long")).drop("_rs")
+        w = Window.partitionBy("_pk").orderBy(F.desc("_rs"), i.asc())
+        return base.withColumn(rank_col, F.row_number().over(w).cast("long")).drop("_rs", "_pk")
     nbs = {p: min(MAX_BUCKETS, max(2, math.ceil(c / target_bucket_rows))) for p, c in big.items()}
     fractions = {p: min(1.0, 1.5 * nbs[p] * SAMPLE_PER_BUCKET / c) for p, c in big.items()}
-    sample = base.select(F.col(partition_col).alias("_p"), "_rs", i.alias("_ri")).sampleBy(
+    sample = base.select(F.col("_pk").alias("_p"), order_value(F.col("_rs")).alias("_rs"), i.alias("_ri")).sampleBy(
         "_p", fractions, seed).collect()
     points: dict = {p: [] for p in big}
     for r in sample:
@@ -330,26 +351,27 @@ def rank_within(
     splits_by_part = {p: _splits_from_points(points[p], nbs[p]) for p in big}
     if len(big) <= MAX_HOT_IN_ONE_PASS:
         # one projection: a Bucketizer column per hot partition (+ heavy ties)
-        bucketed = assign_buckets(base, [], F.col("_rs"), i, "_rb", partition_col, splits_by_part)
+        bucketed = assign_buckets(base, [], order_value(F.col("_rs")), i, "_rb", "_pk", splits_by_part)
     else:
         # many hot partitions: one branch each (same bucketing), unioned
-        hot = F.col(partition_col).isin(*big)
-        parts = [base.filter(~hot | F.col(partition_col).isNull()).withColumn("_rb", F.lit(0).cast("long"))]
+        hot = F.col("_pk").isin(*big)
+        parts = [base.filter(~hot).withColumn("_rb", F.lit(0).cast("long"))]
         for p in big:
-            parts.append(assign_buckets(base.filter(F.col(partition_col) == F.lit(p)), splits_by_part[p],
-                                        F.col("_rs"), i, "_rb"))
+            parts.append(assign_buckets(base.filter(F.col("_pk") == F.lit(p)), splits_by_part[p],
+                                        order_value(F.col("_rs")), i, "_rb"))
         bucketed = parts[0]
         for part in parts[1:]:
             bucketed = bucketed.unionByName(part)
-    counts = bucketed.groupBy(partition_col, "_rb").count()
-    wo = Window.partitionBy(partition_col).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        partition_col, "_rb", F.coalesce(F.sum("count").over(wo), F.lit(0)).alias("_off")
-    )
-    j = bucketed.join(F.broadcast(offsets), [partition_col, "_rb"])
-    w = Window.partitionBy(partition_col, "_rb").orderBy(F.desc("_rs"), i.asc())
-    return j.withColumn(rank_col, (F.row_number().over(w) + F.col("_off")).cast("long")).drop(
-        "_rs", "_rb", "_off"
+    # cold partitions are one bucket and need no offset, so the offsets are the
+    # buckets of the hot ones: at most n / target_bucket_rows rows, joined as
+    # their size asks for
+    counts = bucketed.filter(F.col("_pk").isin(*big)).groupBy("_pk", "_rb").count()
+    wo = Window.partitionBy("_pk").orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pk", "_rb", F.sum("count").over(wo).alias("_off"))
+    j = bucketed.join(offsets, ["_pk", "_rb"], "left")
+    w = Window.partitionBy("_pk", "_rb").orderBy(F.desc("_rs"), i.asc())
+    return j.withColumn(rank_col, (F.row_number().over(w) + F.coalesce(F.col("_off"), F.lit(0))).cast("long")).drop(
+        "_rs", "_rb", "_off", "_pk"
     )
 
 
