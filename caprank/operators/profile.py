@@ -124,6 +124,8 @@ def histogram(df: DataFrame, feature: str, by: str, bins: int = 20, shared_range
     min..max by default, or one shared range).  The maximum falls in the
     last bin; density = count / (n_group * width)."""
     x = _c(feature).cast("double")
+    # a missing value has no bin and does not count towards the density
+    df = df.filter(x.isNotNull() & ~F.isnan(x))
     if shared_range:
         rng = df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
         grp = df.groupBy(_c(by).alias("group")).agg(F.count(F.lit(1)).alias("_n")).crossJoin(rng)

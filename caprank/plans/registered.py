@@ -714,10 +714,11 @@ def q_group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     "histogram",
     f"""
 WITH {SQL_E},
-g AS (SELECT y, min(value) AS lo, max(value) AS hi, count(*) AS n FROM ev GROUP BY y),
+p AS (SELECT y, value FROM ev WHERE value IS NOT NULL AND NOT isnan(CAST(value AS DOUBLE))),
+g AS (SELECT y, min(value) AS lo, max(value) AS hi, count(*) AS n FROM p GROUP BY y),
 b AS (SELECT ev.y, g.lo, g.hi, g.n,
              CASE WHEN g.hi > g.lo THEN least(20, floor((value - g.lo) / (g.hi - g.lo) * 20) + 1) ELSE 1 END AS bin
-      FROM ev JOIN g ON ev.y = g.y)
+      FROM p AS ev JOIN g ON ev.y = g.y)
 SELECT y AS "group", CAST(bin AS INTEGER) AS bin, round(max(lo) + (bin - 1) * (max(hi) - max(lo)) / 20, 6) AS bin_lo,
        round(max(lo) + bin * (max(hi) - max(lo)) / 20, 6) AS bin_hi, CAST(count(*) AS BIGINT) AS n_rows,
        round(CASE WHEN max(hi) > max(lo) THEN count(*) / (max(n) * ((max(hi) - max(lo)) / 20)) END, 6) AS density
