@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,9 +37,13 @@ class NoModelError(LookupError):
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table, or an empty one before its first write.  Any other failure
+    (denied, corrupt) is raised: an unreadable registry is not an empty one."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # table not created yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 

@@ -14,7 +14,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from caprank import catalog as C
 
@@ -78,6 +77,20 @@ def _isnull(name: str, dtype: str) -> Column:
     return c.isNull()
 
 
+def _number(name: str, dtype: str) -> Column:
+    """The column as a double; a text that is no number gives null."""
+    return _c(name).try_cast("double") if dtype == "string" else _c(name).cast("double")
+
+
+def _whole(name: str, dtype: str) -> Column:
+    """The column as a BIGINT; what is no whole number in range gives null."""
+    c = _c(name)
+    if dtype != "string":
+        return c.try_cast("long")
+    d = c.try_cast("double")  # '1.0' is a whole number, '1.5' is not
+    return F.coalesce(c.try_cast("long"), F.when(d == F.floor(d), d.try_cast("long")))
+
+
 def _checks(df: DataFrame, rules: Rules) -> list[tuple[str, str, Column]]:
     """(check, column, violation predicate) for every present column."""
     dtypes = dict(df.dtypes)
@@ -88,22 +101,23 @@ def _checks(df: DataFrame, rules: Rules) -> list[tuple[str, str, Column]]:
             out.append(("null", c, _isnull(c, dtypes[c])))
     for c in rules.int_columns:
         if c in dtypes:
-            d = _c(c).cast("string").try_cast("double")
-            out.append(("coerce_int", c, _c(c).isNotNull() & (d.isNull() | (d != F.floor(d)))))
+            # a violation is exactly what coerce() would turn into null or round
+            whole = _whole(c, dtypes[c])
+            lossy = _c(c) != whole if dtypes[c] in ("double", "float") or dtypes[c].startswith("decimal") else F.lit(False)
+            out.append(("coerce_int", c, _c(c).isNotNull() & (whole.isNull() | lossy)))
     for c in rules.float_columns:
         if c in dtypes:
-            d = _c(c).cast("string").try_cast("double")
-            out.append(("coerce_float", c, _c(c).isNotNull() & d.isNull()))
+            out.append(("coerce_float", c, _c(c).isNotNull() & _number(c, dtypes[c]).isNull()))
     for c, (lo, hi) in rules.ranges.items():
         if c in dtypes:
-            d = _c(c).cast("string").try_cast("double")
+            d = _number(c, dtypes[c])
             out.append(("in_range", c, ~d.between(float(lo), float(hi))))
     for c in rules.positive:
         if c in dtypes:
-            out.append(("positive", c, ~(_c(c).cast("string").try_cast("double") > 0)))
+            out.append(("positive", c, ~(_number(c, dtypes[c]) > 0)))
     for c in rules.non_negative:
         if c in dtypes:
-            out.append(("non_negative", c, ~(_c(c).cast("string").try_cast("double") >= 0)))
+            out.append(("non_negative", c, ~(_number(c, dtypes[c]) >= 0)))
     for c, vals in rules.allowed.items():
         if c in dtypes:
             out.append(("allowed_values", c, ~_c(c).isin(*vals)))
@@ -154,8 +168,11 @@ PRECEDENCE = ["null", "base_rate", "required", "coerce_int", "coerce_float", "in
 
 
 def coerce(df: DataFrame, rules: Rules) -> DataFrame:
-    casts = {c: _c(c).cast(T.IntegerType()) for c in rules.int_columns if c in df.columns}
-    casts.update({c: _c(c).cast(T.DoubleType()) for c in rules.float_columns if c in df.columns})
+    """Typed columns (BIGINT, DOUBLE); what the report counts as a violation
+    becomes null and nothing throws."""
+    dtypes = dict(df.dtypes)
+    casts = {c: _whole(c, dtypes[c]) for c in rules.int_columns if c in dtypes}
+    casts.update({c: _number(c, dtypes[c]) for c in rules.float_columns if c in dtypes})
     return df.withColumns(casts)
 
 
