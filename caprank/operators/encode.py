@@ -111,16 +111,24 @@ class CappedOneHotEncoder(Estimator, _JsonParams, DefaultParamsReadable, Default
         return CappedOneHotEncoder(spec=json.dumps({"columns": columns, "max_categories": max_categories}))
 
     def frequency_table(self, df: DataFrame) -> DataFrame:
-        """``(column, code, n, rk)``: one grouped count over the unpivoted
-        categoricals and a per-column rank (count DESC, code DESC)."""
+        """``(column, code, n, rk, card, total)`` of the most frequent codes of each
+        column (count DESC, code DESC), as many as an encoder can keep.  The
+        counts are one grouped aggregate over the unpivoted categoricals; the
+        rank is taken inside hash parts of a column first, so no task sees all
+        codes of a column, and then among the leaders of its parts."""
         s = self._spec()
+        cap = int(s.get("max_categories", 11))
         arr = F.array(*[F.struct(F.lit(c).alias("column"), _c(c).cast("string").alias("code"))
                         for c in s["columns"]])
         counts = df.select(F.explode(arr).alias("r")).select("r.*").groupBy("column", "code").agg(
             F.count(F.lit(1)).alias("n"))
-        w = Window.partitionBy("column").orderBy(F.desc("n"), F.desc("code"))
-        wc = Window.partitionBy("column")
-        return counts.withColumns({"rk": F.row_number().over(w), "card": F.count(F.lit(1)).over(wc)})
+        counts = counts.withColumn("_part", F.pmod(F.xxhash64("code"), F.lit(64)))
+        order = F.desc("n"), F.desc("code")
+        lead = counts.withColumn("_rk", F.row_number().over(Window.partitionBy("column", "_part").orderBy(*order)))
+        lead = lead.filter(F.col("_rk") <= cap).withColumn("rk", F.row_number().over(Window.partitionBy("column").orderBy(*order)))
+        card = counts.groupBy("column").agg(F.count(F.lit(1)).alias("card"), F.sum("n").alias("total"))  # one row per column
+        return (lead.filter(F.col("rk") <= cap).drop("_part", "_rk").join(F.broadcast(card), "column")
+                .select("column", "code", "n", "rk", "card", "total"))
 
     def _fit(self, df: DataFrame) -> CappedOneHotModel:
         s = self._spec()
@@ -187,8 +195,8 @@ def capped_categories(df: DataFrame, columns: list[str], max_categories: int = 1
     ft = enc.frequency_table(df)
     kept = ft.filter((F.col("card") <= max_categories) | (F.col("rk") <= max_categories - 1)).select(
         "column", "code", F.col("n").cast("long").alias("n_rows"), F.lit(False).alias("is_infrequent"))
-    other = ft.filter((F.col("card") > max_categories) & (F.col("rk") > max_categories - 1)).groupBy(
-        "column").agg(F.sum("n").cast("long").alias("n_rows")).select(
+    other = ft.filter((F.col("card") > max_categories) & (F.col("rk") <= max_categories - 1)).groupBy(
+        "column").agg((F.first("total") - F.sum("n")).cast("long").alias("n_rows")).select(
         "column", F.lit("infrequent").alias("code"), "n_rows", F.lit(True).alias("is_infrequent"))
     return kept.unionByName(other)
 

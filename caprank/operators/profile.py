@@ -215,9 +215,11 @@ def cutoff_inspection(df: DataFrame, y: str, score: str, rid: str, fraction: flo
     n = df.count()
     k = k_from_fraction(n, fraction)
     cut = find_cut(df, score, rid, k, n=n)
-    nxt = find_cut(df, score, rid, k + 1, n=n) if k < n else None
+    inside = cut.contains(score, rid)
     agg = df.agg(
-        F.sum(F.when(cut.contains(score, rid), _c(y).cast("long")).otherwise(0)).alias("positives_in_top"),
+        F.sum(F.when(inside, _c(y).cast("long")).otherwise(0)).alias("positives_in_top"),
+        # the best of the rows that are not in is row k + 1
+        F.max(F.when(~inside, _c(score).cast("double"))).alias("next_score"),
         F.max(_c(score).cast("double")).alias("max_score"),
         F.min(_c(score).cast("double")).alias("min_score"),
     )
@@ -225,6 +227,6 @@ def cutoff_inspection(df: DataFrame, y: str, score: str, rid: str, fraction: flo
         F.lit(k).cast("long").alias("k"),
         F.col("positives_in_top").cast("long").alias("positives_in_top"),
         "max_score", "min_score",
-        F.lit(cut.score).alias("score_at_k"),
-        F.lit(nxt.score if nxt else None).cast("double").alias("score_at_k_plus_1"),
+        F.lit(cut.score).cast("double").alias("score_at_k"),
+        F.col("next_score").alias("score_at_k_plus_1"),
     )

@@ -56,10 +56,11 @@ def stratified_split(
     for cls, n_test in alloc.items():
         if n_test <= 0:
             continue
-        part = keyed.filter(F.col(label) == F.lit(cls))
+        mine = F.col(label).eqNullSafe(F.lit(cls))  # null is a class like any other
+        part = keyed.filter(mine)
         # order (h ASC, id ASC) == score DESC on -h
         cut = find_cut(part.withColumn("_nh", -F.col("_h")), "_nh", rid, n_test, n=counts[cls])
-        cond = cond | ((F.col(label) == F.lit(cls)) & cut.contains(-F.col("_h"), rid))
+        cond = cond | (mine & cut.contains(-F.col("_h"), rid))
     return keyed.withColumn(flag_col, cond).drop("_h")
 
 

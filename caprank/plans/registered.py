@@ -421,11 +421,12 @@ ORDER_RULES = Rules(
     required=["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"],
     int_columns=["o_orderkey", "o_custkey"],
     float_columns=["o_totalprice"],
-    ranges={"o_totalprice": (0.0, 500000.0)},
+    # bounds and sets that part of the rows break, so that each count is put to the test
+    ranges={"o_totalprice": (50000.0, 250000.0)},
     positive=["o_totalprice"],
     non_negative=["o_custkey"],
-    allowed={"o_orderstatus": ["F", "O", "P"],
-             "o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]},
+    allowed={"o_orderstatus": ["F", "O"],
+             "o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]},
     label="y",
     expected_base_rate=0.33,
     base_rate_tolerance=0.05,
@@ -435,8 +436,9 @@ COHORT_RULES = Rules(
     required=["id", "enrolled", "approved", "evaluations", "without_eval", "c_acctbal", "y"],
     int_columns=["enrolled", "approved", "evaluations", "without_eval", "y"],
     float_columns=["c_acctbal"],
-    ranges={"c_acctbal": (-1000.0, 10000.0)},
-    non_negative=["enrolled", "approved", "evaluations", "without_eval"],
+    ranges={"c_acctbal": (-500.0, 9000.0), "enrolled": (0.0, 8.0)},
+    positive=["approved", "c_acctbal"],
+    non_negative=["enrolled", "approved", "evaluations", "without_eval", "c_acctbal"],
     allowed={"y": [0, 1]},
     label="y",
     expected_base_rate=0.36,
