@@ -170,37 +170,27 @@ def leakage_scan(
 ) -> DataFrame:
     """Q10: single-feature P@k in both directions, best direction, lift.
 
-    Small inputs: all features unpivoted once into ``(feature|direction,
-    value)`` and ranked by one partitioned window.  Large inputs: one exact
-    cut per (feature, direction) on a pinned narrow frame (each selection
-    reads one feature), then ONE aggregate evaluates every top-k predicate.
-    Nulls rank last in both directions."""
-    from caprank.operators.ranking import EXACT_LIMIT
+    The features are unpivoted once into ``(feature|direction, value)``, one
+    selection finds the cut of each, and one aggregate evaluates every top-k
+    predicate.  Nulls rank last in both directions."""
+    from caprank.operators.ranking import EXACT_LIMIT, find_cuts
     from caprank.session import pinned
 
-    limit = EXACT_LIMIT if exact_limit is None else exact_limit
-    neg_inf = F.lit(float("-inf"))
-    dirs = [(f, d, F.coalesce(_c(f).cast("double") * F.lit(float(sgn)), neg_inf))
-            for f in features for d, sgn in (("pos", 1), ("neg", -1))]
+    dirs = [(f, d, _c(f).cast("double") * F.lit(float(sgn))) for f in features for d, sgn in (("pos", 1), ("neg", -1))]
     with pinned(df.select(_c(rid).cast("long").alias("_id"), _c(y).cast("long").alias("_y"),
                           *[_c(f) for f in features])) as base:
         n = base.count()
         k = k_from_fraction(n, fraction)
-        if n <= limit:
-            arr = F.array(*[F.struct(F.lit(f"{f}|{d}").alias("_fd"), e.alias("_v")) for f, d, e in dirs])
-            long = base.select("_id", "_y", F.explode(arr).alias("r")).select("_id", "_y", "r.*")
-            w = Window.partitionBy("_fd").orderBy(F.desc("_v"), F.asc("_id"))
-            tp = long.withColumn("_rn", F.row_number().over(w)).groupBy("_fd").agg(
-                F.sum(F.when(F.col("_rn") <= k, F.col("_y")).otherwise(0)).alias("_tp")).collect()
-            tps = {r["_fd"]: r["_tp"] for r in tp}
-            rate = base.agg(F.avg("_y")).first()[0]
-        else:
-            cuts = {(f, d): find_cut(base.select("_id", e.alias("_v")), "_v", "_id", k, n=n) for f, d, e in dirs}
-            row = base.agg(F.avg("_y").alias("_rate"), *[
-                F.sum(F.when(cuts[(f, d)].contains(e, "_id"), F.col("_y")).otherwise(0)).alias(f"_t{j}")
-                for j, (f, d, e) in enumerate(dirs)]).first()
-            tps = {f"{f}|{d}": row[f"_t{j}"] for j, (f, d, _) in enumerate(dirs)}
-            rate = row["_rate"]
+        arr = F.array(*[F.struct(F.lit(f"{f}|{d}").alias("_fd"), e.alias("_v")) for f, d, e in dirs])
+        long = base.select("_id", F.explode(arr).alias("r")).select("_id", "r.*")
+        names = [f"{f}|{d}" for f, d, _ in dirs]
+        cuts = find_cuts(long, "_v", "_id", {m: [k] for m in names}, dict.fromkeys(names, n), by="_fd",
+                         exact_limit=EXACT_LIMIT if exact_limit is None else exact_limit)
+        row = base.agg(F.avg("_y").alias("_rate"), *[
+            F.sum(F.when(cuts[m, k].contains(e, "_id"), F.col("_y")).otherwise(0)).alias(f"_t{j}")
+            for j, (m, (_, _, e)) in enumerate(zip(names, dirs, strict=True))]).first()
+        tps = {m: row[f"_t{j}"] for j, m in enumerate(names)}
+        rate = row["_rate"]
     out = []
     for f in features:
         pp, pn = tps[f"{f}|pos"] / k, tps[f"{f}|neg"] / k

@@ -196,65 +196,112 @@ def assign_buckets(df: DataFrame, splits: list[tuple[float, int]], s: Column, i:
     return keyed.withColumn(out, key).drop(*temp)
 
 
-def find_cut(
+@dataclass
+class _Range:
+    """Rows between two points of the order (inside one group) that hold some
+    of the wanted positions."""
+
+    group: object
+    first: tuple[float, int] | None
+    last: tuple[float, int] | None
+    count: int
+    wanted: dict[int, int]  # k -> position inside the range
+
+
+def find_cuts(
     df: DataFrame,
     score: str | Column,
     rid: str | Column,
-    k: int,
-    n: int | None = None,
+    targets: dict[object, list[int]],
+    counts: dict[object, int],
+    by: str | None = None,
     exact_limit: int = EXACT_LIMIT,
     n_buckets: int = 256,
     seed: int = 17,
     value_only: bool = False,
-) -> Cut:
-    """Exact k-th row of ``(score DESC, id ASC)`` over ``df``.  With
-    ``value_only`` only its score is wanted: selection stops once the
-    boundary bucket holds a single score (``id`` is then -1)."""
-    cur = df.select(_dbl(score).alias("_real"), order_value(_dbl(score)).alias("_s"), _lng(rid).alias("_i"))
+) -> dict[tuple[object, int], Cut]:
+    """Exact rows at several positions at once: ``targets`` has the positions
+    wanted of each group (a value of ``by``; without ``by`` the one group None) and
+    ``counts`` the groups' sizes.
+
+    All ranges that still hold more than ``exact_limit`` rows are sampled and
+    counted together, two jobs a round however many positions there are; the
+    last job ranks inside the ranges, one window partition each."""
+    group = F.lit(None).cast("string") if by is None else F.col(by)
+    cur = df.select(_dbl(score).alias("_real"), order_value(_dbl(score)).alias("_s"), _lng(rid).alias("_i"), group.alias("_g"))
     s, i = F.col("_s"), F.col("_i")
-    cnt = n if n is not None else cur.count()
-    if k < 1 or k > cnt:
-        raise ValueError(f"k={k} outside 1..{cnt}")
-    first = last = None
-    remaining = k
-    for rnd in range(12):
-        if cnt <= exact_limit:
+    for g, ks in targets.items():
+        for k in ks:
+            if k < 1 or k > counts[g]:
+                raise ValueError(f"position {k} outside 1..{counts[g]}")
+
+    def tagged(ranges: list[_Range]) -> DataFrame:
+        tag = F.lit(None).cast("int")
+        for j, r in enumerate(ranges):
+            mine = _in_range(r.first, r.last, s, i)
+            if by is not None:
+                mine = F.col("_g").eqNullSafe(F.lit(r.group)) & mine
+            tag = F.when(mine, F.lit(j)).otherwise(tag)
+        return cur.withColumn("_t", tag).filter(F.col("_t").isNotNull())
+
+    found: dict[tuple[object, int], Cut] = {}
+    ready: list[_Range] = []
+    todo = [_Range(g, None, None, counts[g], {k: k for k in ks}) for g, ks in targets.items() if ks]
+    rnd = 0
+    while todo:
+        ready += [r for r in todo if r.count <= exact_limit]
+        todo = [r for r in todo if r.count > exact_limit]
+        if not todo:
             break
-        scope = cur.filter(_in_range(first, last, s, i))
-        splits = _sample_splits(scope.select("_s", "_i"), cnt, n_buckets, seed + rnd)
-        if not splits:
-            break
-        stats = assign_buckets(scope, splits, s, i, "_b").groupBy("_b").agg(
+        scope = tagged(todo)
+        size = 1.5 * n_buckets * SAMPLE_PER_BUCKET
+        points: dict[int, list] = {j: [] for j in range(len(todo))}
+        for r in scope.sampleBy("_t", {j: min(1.0, size / r.count) for j, r in enumerate(todo)}, seed + rnd).select("_t", "_s", "_i").collect():
+            points[r["_t"]].append((r["_s"], r["_i"]))
+        splits = {j: _splits_from_points(p, n_buckets) for j, p in points.items()}
+        stats = assign_buckets(scope, [], s, i, "_b", "_t", splits).groupBy("_t", "_b").agg(
             F.count(F.lit(1)).alias("c"),
             F.max(F.struct(s, -i)).alias("hi"),  # first row of the bucket in library order
             F.min(F.struct(s, -i)).alias("lo"),  # last row of the bucket
             F.first("_real").alias("real"),
         ).collect()
-        before, found = 0, False
-        for r in sorted(stats, key=lambda r: r["_b"]):
-            if before + r["c"] >= remaining:
-                if value_only and r["hi"][0] == r["lo"][0]:
-                    return Cut(k=k, score=r["real"], id=-1)
-                new_first = (float(r["hi"][0]), -int(r["hi"][1]))
-                new_last = (float(r["lo"][0]), -int(r["lo"][1]))
-                found = r["c"] < cnt
-                first, last = new_first, new_last
-                remaining -= before
-                cnt = r["c"]
-                break
-            before += r["c"]
-        if not found:
-            break  # no progress possible with these splits; rank what is left
-    scope = cur.filter(_in_range(first, last, s, i))
-    w = Window.orderBy(F.desc("_s"), F.desc("_real"), F.asc("_i"))
-    row = (
-        scope.select("_real", "_i", F.row_number().over(w).alias("_rn"))
-        .filter(F.col("_rn") == remaining)
-        .collect()
-    )
-    if not row:
-        raise RuntimeError("cut row not found; is the id column unique?")
-    return Cut(k=k, score=row[0]["_real"], id=int(row[0]["_i"]))
+        rnd += 1
+        smaller: list[_Range] = []
+        for j, r in enumerate(todo):
+            before = 0
+            for x in sorted((x for x in stats if x["_t"] == j), key=lambda x: x["_b"]):
+                inside = {k: p - before for k, p in r.wanted.items() if before < p <= before + x["c"]}
+                before += x["c"]
+                if not inside:
+                    continue
+                if value_only and x["hi"][0] == x["lo"][0]:
+                    found.update({(r.group, k): Cut(k=k, score=x["real"], id=-1) for k in inside})
+                    continue
+                part = _Range(r.group, (x["hi"][0], -x["hi"][1]), (x["lo"][0], -x["lo"][1]), x["c"], inside)
+                # equal (score, id) pairs cannot be split further
+                (smaller if x["c"] < r.count else ready).append(part)
+        todo = smaller
+    if ready:
+        w = Window.partitionBy("_t").orderBy(F.desc("_s"), F.desc("_real"), F.asc("_i"))
+        at = F.lit(False)
+        for j, r in enumerate(ready):
+            at = at | ((F.col("_t") == j) & F.col("_rn").isin(*r.wanted.values()))
+        rows = {(x["_t"], x["_rn"]): x for x in
+                tagged(ready).select("_t", "_real", "_i", F.row_number().over(w).alias("_rn")).filter(at).collect()}
+        for j, r in enumerate(ready):
+            for k, p in r.wanted.items():
+                if (j, p) not in rows:
+                    raise RuntimeError("cut row not found; is the id column unique?")
+                found[r.group, k] = Cut(k=k, score=rows[j, p]["_real"], id=int(rows[j, p]["_i"]))
+    return found
+
+
+def find_cut(df: DataFrame, score: str | Column, rid: str | Column, k: int, n: int | None = None, **kw) -> Cut:
+    """Exact k-th row of ``(score DESC, id ASC)`` over ``df``.  With
+    ``value_only`` only its score is wanted: selection stops once the
+    boundary bucket holds a single score (``id`` is then -1)."""
+    n = df.count() if n is None else n
+    return find_cuts(df, score, rid, {None: [k]}, {None: n}, **kw)[None, k]
 
 
 def top_k_cut(
@@ -413,16 +460,9 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], n: i
     for p in probs:
         h = (cnt - 1) * float(p)
         positions.update({math.floor(h), math.ceil(h)})
-    limit = kw.get("exact_limit", EXACT_LIMIT)
-    if cnt <= limit:
-        # one bounded window pass serves every order statistic
-        w = Window.orderBy("_qv")
-        rows = base.select("_qv", F.row_number().over(w).alias("_rn")).filter(
-            F.col("_rn").isin(*[q + 1 for q in positions])).collect()
-        cache = {int(r["_rn"]) - 1: float(r["_qv"]) for r in rows}
-    else:
-        cache = {q: -find_cut(base, "_qk", "_qi", q + 1, n=cnt, value_only=True, **kw).score
-                 for q in sorted(positions)}
+    # every order statistic in one selection
+    cuts = find_cuts(base, "_qk", "_qi", {None: sorted(q + 1 for q in positions)}, {None: cnt}, value_only=True, **kw)
+    cache = {q: -cuts[None, q + 1].score for q in positions}
     out = []
     for p in probs:
         h = (cnt - 1) * float(p)

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caprank.operators.ranking import find_cut, rank_within
+from caprank.operators.ranking import find_cut, find_cuts, rank_within
 
 
 def hash_order(seed: int, rid: str | Column) -> Column:
@@ -52,15 +52,12 @@ def stratified_split(
     counts = dict(df.groupBy(label).count().collect())
     alloc = allocate_test_counts(counts, test_size)
     keyed = df.withColumn("_h", hash_order(seed, rid))
+    # order (h ASC, id ASC) == score DESC on -h; null is a class like any other
+    wanted = {cls: [n] for cls, n in alloc.items() if n > 0}
+    cuts = find_cuts(keyed.withColumn("_nh", -F.col("_h")), "_nh", rid, wanted, counts, by=label)
     cond = F.lit(False)
-    for cls, n_test in alloc.items():
-        if n_test <= 0:
-            continue
-        mine = F.col(label).eqNullSafe(F.lit(cls))  # null is a class like any other
-        part = keyed.filter(mine)
-        # order (h ASC, id ASC) == score DESC on -h
-        cut = find_cut(part.withColumn("_nh", -F.col("_h")), "_nh", rid, n_test, n=counts[cls])
-        cond = cond | (mine & cut.contains(-F.col("_h"), rid))
+    for (cls, _), cut in cuts.items():
+        cond = cond | (F.col(label).eqNullSafe(F.lit(cls)) & cut.contains(-F.col("_h"), rid))
     return keyed.withColumn(flag_col, cond).drop("_h")
 
 

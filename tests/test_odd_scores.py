@@ -59,3 +59,35 @@ def test_report_and_coercion_agree(spark):
     rows = coerce(d, rules).collect()
     assert [r["k"] for r in rows] == [1, 1, None, 3_000_000_000, None]
     assert [r["v"] for r in rows] == [2.5, None, None, 1000.0, 7.0]
+
+
+@pytest.mark.parametrize("limit", [200_000, 400])
+def test_several_cuts_of_several_groups(odd, limit):
+    from caprank.operators.ranking import find_cuts
+
+    rank = expected(odd, "part")
+    part = {r["id"]: r["part"] for r in odd.collect()}
+    counts = {g: sum(p == g for p in part.values()) for g in (None, "a", "b")}
+    wanted = {g: [1, n // 3, n // 2, n] for g, n in counts.items()}
+    cuts = find_cuts(odd, "score", "id", wanted, counts, by="part", exact_limit=limit, n_buckets=16)
+    for (g, k), cut in cuts.items():
+        mine = odd.where(F.col("part").eqNullSafe(F.lit(g)) & cut.contains("score", "id"))
+        assert {r["id"] for r in mine.select("id").collect()} == {i for i, r in rank.items() if part[i] == g and r <= k}
+
+
+def test_quantiles_take_few_jobs(spark):
+    from caprank.operators.ranking import exact_quantiles
+
+    d = spark.range(20_000).select((F.pmod(F.xxhash64("id"), F.lit(10_000)) / 7).alias("x")).cache()
+    x = sorted(r["x"] for r in d.collect())
+    probs = [i / 10 for i in range(1, 10)]
+    sc = spark.sparkContext
+    sc.setJobGroup("quantiles", "quantiles")
+    got = exact_quantiles(d, "x", probs, exact_limit=1000, n_buckets=64)
+    jobs = len(sc.statusTracker().getJobIdsForGroup("quantiles"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    for p, g in zip(probs, got, strict=True):
+        h = p * (len(x) - 1)
+        lo = int(h)
+        assert g == pytest.approx(x[lo] + (h - lo) * (x[min(lo + 1, len(x) - 1)] - x[lo]))
+    assert jobs <= 12
