@@ -5,26 +5,38 @@ the sum of ``c`` over all rows of the same partition whose order value is
 at or before the row's.  The order values must be distinct inside a
 partition (the input is normally a ``groupBy(partition, value)`` result).
 
-Small inputs use one window.  Large inputs never put a whole partition into
-one task: rows are bucketed by per-partition quantile splits
-(``percentile_approx``, one aggregate), per-bucket totals form a tiny table
-whose own prefix sums give an offset per (partition, bucket), and the final
-window runs per (partition, bucket).  The offset table is broadcast: its
-size is ``#partitions x n_buckets``, bounded by parameters, not by data.
+The number of buckets of a partition follows the row count (one for about
+``TARGET_BUCKET_ROWS`` rows), so no task holds a whole partition: rows are bucketed
+by per-partition quantile splits (``percentile_approx``, one aggregate), per-bucket
+totals form a small table whose own prefix sums give an offset per (partition,
+bucket), and the final window runs per (partition, bucket).  With one bucket there
+are no splits and no offsets, which leaves the window alone.  The offsets join
+as their size asks for, null partition values included.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caprank.operators.ranking import EXACT_LIMIT, _bucketize
+from caprank.operators.ranking import EXACT_LIMIT, TARGET_BUCKET_ROWS, _bucketize
 
 MAX_BUCKETIZER_COLUMNS = 64
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Inner join on equal columns, null equal to null; the right side's key
+    columns are dropped."""
+    keys = {c: f"_j_{c}" for c in columns}
+    cond = F.lit(True)
+    for c, k in keys.items():
+        cond = cond & F.col(c).eqNullSafe(F.col(k))
+    return left.join(right.withColumnsRenamed(keys), cond).drop(*keys.values())
+
+
 def running_totals(
     df: DataFrame,
     order: str,
@@ -32,14 +44,16 @@ def running_totals(
     partition_by: Sequence[str] = (),
     descending: bool = False,
     exact_limit: int = EXACT_LIMIT,
-    n_buckets: int = 64,
+    n_buckets: int | None = None,
     n: int | None = None,
 ) -> DataFrame:
     part = list(partition_by)
     key = F.col(order).cast("double")
     okey = -key if descending else key
     cnt = n if n is not None else df.count()
-    if cnt <= exact_limit:
+    if n_buckets is None:
+        n_buckets = max(2, math.ceil(cnt / TARGET_BUCKET_ROWS))
+    if cnt <= exact_limit:  # one bucket
         w = Window.partitionBy(*part).orderBy(okey).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({f"cum_{c}": F.sum(c).over(w) for c in sums})
 
@@ -64,7 +78,7 @@ def running_totals(
             *[f"_in{t}" for t in range(len(split_rows))], *[f"_bo{t}" for t in range(len(split_rows))])
     else:
         splits = with_key.sparkSession.createDataFrame(split_rows) if part else None
-        joined = with_key.join(F.broadcast(splits), part, "inner")
+        joined = _null_safe_join(with_key, splits, part)
         bucketed = joined.withColumn(
             "_bk", F.size(F.filter("_splits", lambda v: v <= F.col("_ok")))).drop("_splits")
     totals = bucketed.groupBy(*part, "_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
@@ -72,7 +86,7 @@ def running_totals(
     offsets = totals.select(
         *part, "_bk", *[F.coalesce(F.sum(f"_t_{c}").over(wt), F.lit(0)).alias(f"_o_{c}") for c in sums]
     )
-    withoff = bucketed.join(F.broadcast(offsets), [*part, "_bk"], "inner")
+    withoff = _null_safe_join(bucketed, offsets, [*part, "_bk"])
     w = Window.partitionBy(*part, "_bk").orderBy("_ok").rowsBetween(Window.unboundedPreceding, 0)
     out = withoff.withColumns({f"cum_{c}": F.sum(c).over(w) + F.col(f"_o_{c}") for c in sums})
     return out.drop("_ok", "_bk", *[f"_o_{c}" for c in sums])

@@ -115,10 +115,11 @@ def _splits_from_points(pts: list[tuple[float, int]], n_buckets: int) -> list[tu
 
 
 def _sample_splits(df: DataFrame, cnt: int, n_buckets: int, seed: int) -> list[tuple[float, int]]:
-    """Sorted composite split points from a bounded random sample."""
+    """Sorted composite split points from a random sample of about
+    ``1.5 * n_buckets * SAMPLE_PER_BUCKET`` rows of the whole input."""
     target = n_buckets * SAMPLE_PER_BUCKET
     frac = min(1.0, 1.5 * target / max(cnt, 1))
-    rows = df.sample(False, frac, seed).limit(3 * target).collect()
+    rows = df.sample(False, frac, seed).collect()
     return _splits_from_points([(float(r[0]), int(r[1])) for r in rows], n_buckets)
 
 
@@ -357,7 +358,7 @@ def rank_rows(
     wo = Window.orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_rb", F.coalesce(F.sum("count").over(wo), F.lit(0)).alias("_off"))
     w = Window.partitionBy("_rb").orderBy(s.desc(), i.asc())
-    j = bucketed.join(F.broadcast(offsets), "_rb")
+    j = bucketed.join(offsets, "_rb")
     return j.withColumn(rank_col, (F.row_number().over(w) + F.col("_off")).cast("long")).drop("_rb", "_off")
 
 

@@ -91,3 +91,14 @@ def test_quantiles_take_few_jobs(spark):
         lo = int(h)
         assert g == pytest.approx(x[lo] + (h - lo) * (x[min(lo + 1, len(x) - 1)] - x[lo]))
     assert jobs <= 12
+
+
+@pytest.mark.parametrize("limit", [200_000, 500])
+def test_running_totals_with_null_partitions(odd, limit):
+    from caprank.operators.prefix import running_totals
+
+    d = odd.select("part", F.col("id").alias("at"), F.lit(1).alias("one"))
+    got = running_totals(d, "at", ["one"], ["part"], exact_limit=limit, n_buckets=7)
+    w = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    want = {r["at"]: r["x"] for r in d.withColumn("x", F.sum("one").over(w)).collect()}
+    assert {r["at"]: r["cum_one"] for r in got.collect()} == want
