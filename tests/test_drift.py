@@ -47,3 +47,14 @@ def test_chi2_survival_values():
     assert _chi2_sf(3.841458820694124, 1) == pytest.approx(0.05, abs=1e-9)
     assert _chi2_sf(1.442083, 4) == pytest.approx(0.8368, abs=1e-3)
     assert _chi2_sf(30.0, 4) < 1e-5
+
+
+def test_decimals_dates_and_times_are_ordered(spark):
+    d = spark.range(400).select((F.col("id") / 7).cast("decimal(12,2)").alias("amount"),
+                                F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("day"),
+                                F.timestamp_seconds("id").alias("at"), F.when(F.col("id") % 2 == 0, float("nan")).otherwise(1.0).alias("gap"))
+    from caprank.operators.drift import drift_report
+
+    rows = {r["column"]: r for r in drift_report(d.where("amount < 30"), d.where("amount >= 30")).collect()}
+    assert {r["method"] for r in rows.values()} == {"ks"}
+    assert all(rows[c]["statistic"] == 1.0 for c in ("amount", "day", "at")) and rows["gap"]["statistic"] == 0.0
