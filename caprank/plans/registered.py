@@ -954,14 +954,34 @@ def q_volume_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(v.drop("message"))
 
 
-@register("drift_verdict")
+@register(
+    "drift_verdict",
+    f"""
+WITH {SQL_E}, {SQL_HALVES},
+k AS (WITH """ + ks_sql("h", ["value", "user_id"]) + """),
+c AS (WITH g2 AS (SELECT event_type AS v, count(*) FILTER (WHERE is_ref) AS o_ref, count(*) FILTER (WHERE NOT is_ref) AS o_cur
+                  FROM h GROUP BY 1),
+           t2 AS (SELECT sum(o_ref) AS nr, sum(o_cur) AS nc FROM g2)
+      SELECT sum(power(o_ref - (o_ref + o_cur) * nr / (nr + nc), 2) / ((o_ref + o_cur) * nr / (nr + nc))
+                 + power(o_cur - (o_ref + o_cur) * nc / (nr + nc), 2) / ((o_ref + o_cur) * nc / (nr + nc))) AS x FROM g2, t2),
+-- five event types: 4 degrees of freedom, whose tail is exp(-x/2) (1 + x/2)
+r AS (SELECT "column" AS col, p_value < 0.05 AS drifted FROM k
+      UNION ALL SELECT 'event_type', exp(-x / 2) * (1 + x / 2) < 0.05 FROM c),
+a AS (SELECT count(*) FILTER (WHERE drifted) AS n, count(*) AS m, string_agg(col, ',' ORDER BY col) FILTER (WHERE drifted) AS cols FROM r)
+SELECT CAST(n AS BIGINT) AS drifted_count, round(n / m, 6) AS drifted_share, CAST(m AS BIGINT) AS n_columns_compared,
+       n / m > 0.5 AS alert, coalesce(cols, '') AS drifted_columns,
+       CASE WHEN n / m > 0.5 THEN printf('alert: the cohort differs in %d of %d columns (share %.2f)', n, m, n / m)
+            ELSE printf('ok: the cohort differs in %d of %d columns', n, m) END AS message
+FROM a
+""",
+)
 def q_drift_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1 + D2 (+D6): per-column tests over value, user_id (ks) and
     event_type (chi2) between event halves, then the verdict row."""
     ref, cur = event_halves(spark, sf_dir)
     cols = ["value", "user_id", "event_type"]
     rep = drift_report(ref.select(*cols), cur.select(*cols))
-    return round_doubles(drift_verdict(rep))
+    return round_doubles(drift_verdict(rep).withColumn("drifted_columns", F.array_join("drifted_columns", ",")))
 
 
 # ---------------------------------------------------------------- gate
@@ -1312,6 +1332,30 @@ def q_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  "n_rows long, hash_sum string, hash_xor long, verified boolean")
 
 
+@register(
+    "snapshot_loaded",
+    f"""
+WITH {SQL_C}
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(enrolled) AS BIGINT) AS enrolled, CAST(sum(approved) AS BIGINT) AS approved,
+       CAST(0 AS BIGINT) AS outcome_columns FROM cohort
+""",
+)
+def q_snapshot_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4-S6 + S9: write the customer cohort as a Parquet snapshot, load it
+    through the checked loader without its outcome, and sum what came back."""
+    import uuid
+
+    from caprank.session import ensure_checkpoint_dir
+    from caprank.sources.fingerprint import load_checked, write_snapshot
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/snapshot-{uuid.uuid4().hex}"
+    write_snapshot(customer_cohort(spark, sf_dir), f"{root}/cohort", f"{root}/manifest")
+    back = load_checked(spark, f"{root}/cohort", f"{root}/manifest", drop_outcomes=("y",))
+    return back.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("enrolled").cast("long").alias("enrolled"),
+                    F.sum("approved").cast("long").alias("approved"),
+                    F.lit(int("y" in back.columns)).cast("long").alias("outcome_columns"))
+
+
 # ---------------------------------------------------------------- fit-free rungs with oracles
 def _cohort_split_sql() -> str:
     return f"""
