@@ -102,7 +102,14 @@ def log_ratios(docs: DataFrame, buckets: int) -> DataFrame:
     """One row, one array: log(p_trusted / p_raw) of each bucket, from (text,
     trusted)."""
     spark = docs.sparkSession
-    counts = (with_grams(docs, buckets).select(F.explode("grams").alias("g"), F.col("trusted").cast("long").alias("t"))
+    tokens = docs.select(F.col("trusted").cast("long").alias("t"), F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)).alias("a"))
+    # a row for each token and the one behind it: plain generated code, no boxed arrays
+    behind = F.slice("a", 2, F.greatest(F.size("a"), F.lit(1)))
+    rows = tokens.select("t", F.explode(F.arrays_zip(F.col("a").alias("a"), behind.alias("b"))).alias("x")).select(
+        "t", F.xxhash64("x.a").alias("u"), F.when(F.col("x.b").isNotNull(), F.xxhash64("x.b")).alias("v"))
+    size = F.lit(buckets)
+    both = F.array(F.pmod("u", size).cast("int"), F.when(F.col("v").isNotNull(), F.pmod(F.xxhash64("u", "v"), size)).cast("int"))
+    counts = (rows.select("t", F.explode(both).alias("g")).where("g is not null")
               .groupBy("g").agg(F.count("*").alias("raw"), F.sum("t").alias("good")))
     counts = written(counts, "gram-counts")
     total = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("all_raw"), F.coalesce(F.sum("good"), F.lit(0)).alias("all_good"))
