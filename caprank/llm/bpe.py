@@ -29,7 +29,7 @@ from caprank.llm.pieces import WordIds, encode_batch
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 
 
 def rank_file(path: str | None = None) -> bytes:
@@ -62,7 +62,7 @@ class MergeReplay:
         key = a << 32 | b
         r = self.joined.get(key)
         if r is None:
-            if len(self.joined) > 2_000_000:
+            if len(self.joined) > 600_000:
                 self.joined.clear()
             r = self.joined[key] = self.rank.get(self.token[a] + self.token[b], -1)
         return r
@@ -206,7 +206,7 @@ def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
             for lo in range(0, len(ids), 512):
                 some = ids.slice(lo, 512)
                 flat = some.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                if len(flat) and not (lens[flat] > 0).all():
+                if len(flat) and not ((flat >= 0) & (flat < top) & (lens[np.clip(flat, 0, top - 1)] > 0)).all():
                     raise ValueError("an id is not in the vocabulary")
                 size = lens[flat]
                 first = np.cumsum(size) - size
