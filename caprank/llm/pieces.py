@@ -83,7 +83,7 @@ class WordIds:
 
     SLOTS = 1 << 20
 
-    def __init__(self, encode_words: Callable[[list[str]], list[list[int]]], max_words: int = 400_000):
+    def __init__(self, encode_words: Callable[[list[str]], list[list[int]]], max_words: int = 250_000):
         self.encode_words = encode_words
         self.max_words = max_words
         self._reset()
@@ -129,8 +129,9 @@ class WordIds:
             if len(new):
                 at = miss[first[new]]
                 idx[new] = np.arange(self.n, self.n + len(new))
-                self._store(self.encode_words([joined[a:b] for a, b in
-                                               zip(starts[at].tolist(), ends[at].tolist(), strict=True)]))
+                words = [joined[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+                for lo in range(0, len(words), 8192):
+                    self._store(self.encode_words(words[lo:lo + 8192]))
                 self.known.update(zip(uniq[new].tolist(), idx[new].tolist(), strict=True))
             out[miss] = idx[inv]
             s = (uniq & np.uint64(self.SLOTS - 1)).astype(np.int64)

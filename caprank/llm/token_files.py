@@ -40,7 +40,7 @@ from caprank.llm.pieces import WordIds, encode_batch
 TOKENIZER_FILE = "byte_bpe_50k.json"
 END_ID = 2
 MAGIC = b"TOKRANS1"
-SHARD_TOKENS, BLOCK_TOKENS, LANES, CHECK_STEPS = 2_000_000, 1 << 18, 1024, 128
+SHARD_TOKENS, BLOCK_TOKENS, LANES, CHECK_STEPS = 2_000_000, 1 << 20, 4096, 128
 PARTITION_CHARS = 16_000_000
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
@@ -70,7 +70,6 @@ def encode_block(sym: np.ndarray, freq: np.ndarray, cum: np.ndarray, bits: int,
     n = len(sym)
     steps = (n + lanes - 1) // lanes
     x = np.full(lanes, LOW, dtype=np.uint64)
-    f_all, c_all = freq[sym], cum[sym]
     room = np.uint64(63 - bits)  # a state below freq << (63 - bits) stays below 2**63
     parts: list[np.ndarray] = []
     emitted = 0
@@ -79,7 +78,8 @@ def encode_block(sym: np.ndarray, freq: np.ndarray, cum: np.ndarray, bits: int,
     for s in range(steps - 1, -1, -1):
         if (s + 1) % every == 0 and s + 1 < steps:
             marks.append((s + 1, emitted, x.copy()))
-        f, c = f_all[s * lanes:(s + 1) * lanes], c_all[s * lanes:(s + 1) * lanes]
+        at = sym[s * lanes:(s + 1) * lanes]
+        f, c = freq[at], cum[at]
         own = x[:len(f)]
         full = own >= (f << room)
         if full.any():
@@ -124,7 +124,11 @@ def _section(raw: bytes) -> bytes:
 def write_shard(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray, block: int = BLOCK_TOKENS, lanes: int = LANES,
                 every: int = CHECK_STEPS) -> bytes:
     """Documents (ids and number of tokens each) and all their tokens."""
-    symbols, index, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    counts = np.bincount(ids) if len(ids) else np.empty(0, dtype=np.int64)
+    symbols = np.flatnonzero(counts)
+    place = np.zeros(len(counts), dtype=np.int32)
+    place[symbols] = np.arange(len(symbols))
+    index, counts = place[ids], counts[symbols]
     bits = max(16, int(len(symbols)).bit_length() + 4)
     freq = quantized(counts, bits) if len(symbols) else np.empty(0, dtype=np.int64)
     f = freq.astype(np.uint64)
