@@ -4,10 +4,11 @@ Texts and templates are sequences of lower-case words of letters and digits.  Th
 hashes of ``GRAM`` words in a row are winnowed (the smallest of each ``WINDOW``, the
 rightmost if equal), so any ``GRAM + WINDOW - 1`` words in common share a
 fingerprint.  An inverted index from fingerprints to (template, place) turns those
-of a document into hits; hits on near diagonals form a candidate.  Each candidate
-is aligned with its template inside a band around its diagonals (match 2,
-mismatch and gap -1, local), which gives matched words, coverage of the template
-and the span in characters.  Matches of at least ``MIN_COVERAGE`` are reported; of
+of a document into hits; hits on near diagonals, in the order of the template, form
+a candidate.  Each candidate is aligned with its template inside a band around its
+diagonals (match 2, mismatch and gap -1, local), and again left and right of the
+match, which gives matched words, coverage of the template and the span in
+characters.  Matches of at least ``MIN_COVERAGE`` are reported; of
 matches that overlap, the one with more matched words (then the smaller name).
 
 The index is that of the templates, a parameter, and goes along with the
@@ -19,6 +20,8 @@ its own, however many; repeated rows are scanned each; texts are scanned whole.
 
 from __future__ import annotations
 
+from bisect import bisect_right, insort
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -97,10 +100,11 @@ class Index:
 
     def __init__(self, templates):
         self.names = [(a, b) for a, b, _ in templates]
-        self.words, entries = [], []
+        self.words, self.sets, entries = [], [], []
         for i, (_, _, text) in enumerate(templates):
             h, *_ = words_of([text])
             self.words.append(h.tolist())
+            self.sets.append(np.unique(h))
             f, at = fingerprints(h)
             entries += [(x, i, p) for x, p in zip(f.tolist(), at.tolist(), strict=True)]
         entries.sort()
@@ -109,22 +113,31 @@ class Index:
         self.place = np.array([e[2] for e in entries], dtype=np.int64)
 
     def candidates(self, h: np.ndarray):
-        """(template, first diagonal, last diagonal) of runs of hits."""
+        """(template, [(hits, first diagonal, last diagonal, first and last text
+        place)]) of chains of hits.  A chain goes forward in text and template and
+        moves by at most ``BAND`` diagonals from hit to hit, so a new pass over the
+        template is a new chain and no chain is wider than its template allows."""
         f, at = fingerprints(h)
         lo, hi = np.searchsorted(self.keys, f, side="left"), np.searchsorted(self.keys, f, side="right")
         found: dict[int, list[tuple[int, int]]] = {}
         for x in np.flatnonzero(hi > lo).tolist():
             for e in range(int(lo[x]), int(hi[x])):
-                found.setdefault(int(self.template[e]), []).append((int(at[x]) - int(self.place[e]), int(at[x])))
+                found.setdefault(int(self.template[e]), []).append((int(at[x]), int(self.place[e])))
         for t, hits in sorted(found.items()):
-            hits.sort()
-            run = [hits[0]]
-            for hit in hits[1:]:
-                if hit[0] - run[-1][0] > BAND:
-                    yield t, run[0][0], run[-1][0]
-                    run = []
-                run.append(hit)
-            yield t, run[0][0], run[-1][0]
+            far = len(self.words[t]) + BAND
+            done, live = [], []  # chains: [hits, first diagonal, last diagonal, first text place, text place, place]
+            for x, p in sorted(hits):
+                if live and live[0][4] < x - far:
+                    done += [c for c in live if c[4] < x - far]
+                    live = [c for c in live if c[4] >= x - far]
+                near = [(abs(x - p - c[4] + c[5]), -c[4], k) for k, c in enumerate(live) if c[4] < x and c[5] < p]
+                step, _, k = min(near, default=(BAND + 1, 0, 0))
+                if step > BAND:
+                    live.append([1, x - p, x - p, x, x, p])
+                else:
+                    c = live.pop(k)
+                    live.append([c[0] + 1, min(c[1], x - p), max(c[2], x - p), c[3], x, p])
+            yield t, sorted((c[:5] for c in done + live), key=lambda c: (-c[0], c[3]))
 
 
 def banded(template: list, text: list, low: int, high: int):
@@ -159,21 +172,38 @@ def banded(template: list, text: list, low: int, high: int):
 
 def matches(index: Index, h: np.ndarray, min_coverage: float = MIN_COVERAGE):
     """(template, matched, first word, last word), overlapping ones resolved."""
-    found = []
+    found = set()
     text = None
-    for t, low, high in index.candidates(h):
+    for t, chains in index.candidates(h):
         text = h.tolist() if text is None else text
         words = index.words[t]
-        at = max(0, low - BAND)
-        best = banded(words, text[at:high + len(words) + BAND], low - BAND - at, high + BAND - at)
-        if best and best[0] >= min_coverage * len(words):
-            found.append((t, best[0], best[1] + at, best[2] + at))
-    found.sort(key=lambda x: (-x[1], index.names[x[0]], x[2]))
-    kept: list[tuple[int, int, int, int]] = []
-    for x in found:
-        if all(x[3] < y[2] or x[2] > y[3] for y in kept):
-            kept.append(x)
-    return sorted(kept, key=lambda x: x[2])
+        need = min_coverage * len(words)
+        # a piece of text with fewer words of the template than needed has no match
+        run = np.concatenate(([0], np.cumsum(np.isin(h, index.sets[t])))).tolist()
+        spans: list[tuple[int, int]] = []
+        for _, low, high, first, last in chains:
+            k = bisect_right(spans, (first, len(text)))
+            if k and last <= spans[k - 1][1]:
+                continue
+            # what lies left and right of a match is aligned again
+            todo = [(max(0, low - BAND), min(len(text), high + len(words) + BAND))]
+            while todo:
+                a, b = todo.pop()
+                if b <= a or run[b] - run[a] < need:
+                    continue
+                best = banded(words, text[a:b], low - BAND - a, high + BAND - a)
+                if best and best[0] >= need:
+                    match = (t, best[0], best[1] + a, best[2] + a)
+                    if match not in found:
+                        found.add(match)
+                        insort(spans, match[2:])
+                    todo += [(a, match[2]), (match[3] + 1, b)]
+    kept: list[tuple[int, int, int, int]] = []  # (first word, last word, template, matched), in order
+    for t, m, a, b in sorted(found, key=lambda x: (-x[1], index.names[x[0]], x[2], x[3])):
+        k = bisect_right(kept, (b, len(h)))
+        if not k or kept[k - 1][1] < a:
+            kept.insert(k, (a, b, t, m))
+    return [(t, m, a, b) for a, b, t, m in kept]
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, min_coverage: float = MIN_COVERAGE) -> DataFrame:

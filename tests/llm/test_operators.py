@@ -308,6 +308,20 @@ def test_licenses_on_a_table(s):
     assert got == {(i, a) for i, t in sf_rows() for a, x in lines.items() if x in (t or "")}
 
 
+def test_licenses_back_to_back(s):
+    mit, rng = "Released under the MIT License.", np.random.default_rng(3)
+    notice = dict((t[:2], t[2]) for t in licenses.TEMPLATES)["MIT", "permission"]
+    texts = ["\n".join([mit] * 4), (mit + " yes ") * 5, (mit + " ") * 3000, (notice + "\n") * 6,
+             " ".join(mit + " w" * int(k) for k in rng.integers(0, 9, 200)),
+             "Released under the MIT licence. Released under that MIT License. " + mit]
+    got = licenses.scan(docs(s, [(i, t, None, None) for i, t in enumerate(texts)])).orderBy("doc_id", "start").collect()
+    for i, t in enumerate(texts[:5]):
+        part = notice[:-1] if i == 3 else mit[:-1]
+        want = [(k, k + len(part)) for k in range(len(t)) if t.startswith(part, k)]
+        assert [(r["start"], r["stop"]) for r in got if r["doc_id"] == i and r["coverage"] == 1] == want
+    assert [r["matched"] for r in got if r["doc_id"] == 5] == [4, 4, 5]
+
+
 # 8 ---------------------------------------------------------------------------
 
 def base_counts(text):
