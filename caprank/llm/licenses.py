@@ -8,8 +8,9 @@ of a document into hits; hits on near diagonals, in the order of the template, f
 a candidate.  Each candidate is aligned with its template inside a band around its
 diagonals (match 2, mismatch and gap -1, local), and again left and right of the
 match, which gives matched words, coverage of the template and the span in
-characters.  Matches of at least ``MIN_COVERAGE`` are reported; of
-matches that overlap, the one with more matched words (then the smaller name).
+characters.  Matches of at least ``MIN_COVERAGE`` that hold the phrases of their
+template (name, version) are reported; of matches that overlap, the one with more
+matched words (then the smaller name).  ``license_texts`` holds the templates.
 
 The index is that of the templates, a parameter, and goes along with the
 function; documents are scanned where they lie, without a shuffle.
@@ -28,38 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caprank.llm.common import code_points, documents, mix64, null_id, span_hashes, text_batches, with_id
+from caprank.llm.license_texts import PHRASES, TEMPLATES
 from caprank.llm.pieces import LETTER, NUMBER, class_table
 
 GRAM, WINDOW, BAND, MIN_COVERAGE = 3, 2, 6, 0.75
 
-# Public notices, as their licences ask for them.
-TEMPLATES = [
-    ("MIT", "line", "Released under the MIT License."),
-    ("MIT", "permission", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
-        associated documentation files (the "Software"), to deal in the Software without restriction, including without
-        limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the
-        Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The
-        above copyright notice and this permission notice shall be included in all copies or substantial portions of the
-        Software."""),
-    ("Apache-2.0", "line", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "notice", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
-        compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless
-        required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS
-        IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""),
-    ("GPL-3.0", "line", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "notice", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
-        General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your
-        option) any later version."""),
-    ("CC-BY-NC-4.0", "line", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "notice", """This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International
-        License."""),
-    ("BSD-3-Clause", "redistribution", """Redistribution and use in source and binary forms, with or without modification, are
-        permitted provided that the following conditions are met: Redistributions of source code must retain the above
-        copyright notice, this list of conditions and the following disclaimer."""),
-    ("ISC", "permission", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
-        hereby granted, provided that the above copyright notice and this permission notice appear in all copies."""),
-]
-
 MATCHES = ("doc_id long, license string, template string, matched int, coverage double, start long, stop long")
 
 
@@ -99,6 +73,7 @@ class Index:
     """Inverted index of the fingerprints of the templates."""
 
     def __init__(self, templates):
+        self.phrases = [[words_of([x])[0].tolist() for x in PHRASES.get((a, b), ())] for a, b, _ in templates]
         self.names = [(a, b) for a, b, _ in templates]
         self.words, self.sets, entries = [], [], []
         for i, (_, _, text) in enumerate(templates):
@@ -194,7 +169,9 @@ def matches(index: Index, h: np.ndarray, min_coverage: float = MIN_COVERAGE):
                 best = banded(words, text[a:b], low - BAND - a, high + BAND - a)
                 if best and best[0] >= need:
                     match = (t, best[0], best[1] + a, best[2] + a)
-                    if match not in found:
+                    passage = text[match[2]:match[3] + 1]
+                    named = all(any(passage[k:k + len(x)] == x for k in range(len(passage))) for x in index.phrases[t])
+                    if named and match not in found:
                         found.add(match)
                         insort(spans, match[2:])
                     todo += [(a, match[2]), (match[3] + 1, b)]

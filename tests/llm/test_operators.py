@@ -322,6 +322,19 @@ def test_licenses_back_to_back(s):
     assert [r["matched"] for r in got if r["doc_id"] == 5] == [4, 4, 5]
 
 
+def test_licenses_whole_notices_and_names(s):
+    rows = [(i, f"Copyright 2020 Some Body\n{t}\nint main() {{}}", a, b) for i, (a, b, t) in enumerate(licenses.TEMPLATES)]
+    got = licenses.scan(docs(s, [(i, t, None, None) for i, t, *_ in rows])).collect()
+    assert sorted((r["doc_id"], r["license"], r["template"], r["coverage"]) for r in got) == [(i, a, b, 1) for i, _, a, b in rows]
+    for r in got:
+        assert rows[r["doc_id"]][1][r["start"]:r["stop"]] == licenses.TEMPLATES[r["doc_id"]][2].rstrip("./>")
+    near = ["Released under the BSD License.", "Licensed under the Apache License, Version 1.1.", "Licensed under CC BY-NC 3.0.",
+            "This work is licensed under the GNU General Public License, version 1.", "Licensed under CC BY-SA 4.0.",
+            "Distributed and licensed under the GNU General Public License, version 2.", "Licensed under the GNU Affero General Public License v3.0"]
+    got = licenses.scan(docs(s, [(i, t, None, None) for i, t in enumerate(near)])).orderBy("doc_id").collect()
+    assert [(r["doc_id"], r["license"]) for r in got] == [(4, "CC-BY-SA-4.0"), (5, "GPL-2.0"), (6, "AGPL-3.0")]
+
+
 # 8 ---------------------------------------------------------------------------
 
 def base_counts(text):
