@@ -28,9 +28,5 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
-    "op5_backoff_score": op5_backoff_score,
-    "op6_token_files": op6_token_files,
-    "op7_license_scan": op7_license_scan,
-    "op8_quality_rules": op8_quality_rules,
     "op9_curriculum_mix": curriculum.ORACLE_SQL,
 }

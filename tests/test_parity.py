@@ -32,3 +32,11 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_every_oracle_is_sql_that_runs(con):
+    import __spark_entry__ as e
+
+    for name, sql in e.oracle_sql().items():
+        assert isinstance(sql, str), name
+        con.execute(sql)
