@@ -27,6 +27,9 @@ from caprank.llm.common import code_points, crc_mod, documents, null_id, small_s
 DIM = 1024
 SEED = 20_231
 UNKNOWN = "und"
+#: Of the median score of labelled texts of a size, how many of them it takes, and
+#: the fewest trigrams at which clean texts and letter noise differ.
+LEVEL, LEVEL_TEXTS, LEVEL_TRIGRAMS = 0.22, 20, 32
 
 _LETTER: np.ndarray | None = None
 _VECTORS: dict[int, np.ndarray] = {}
@@ -51,14 +54,14 @@ def letter_vector(cp: int, dim: int, seed: int) -> np.ndarray:
     return v
 
 
-def bundles(texts: list[str], dim: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bundle of each text (n x dim) and its number of letters."""
+def bundles(texts: list[str], dim: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bundle of each text (n x dim), its number of letters and of trigrams."""
     n = len(texts)
     cps, offsets, _ = code_points([t.lower() for t in texts])
-    letters = np.zeros(n, dtype=np.int64)
+    letters, trigrams = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
     out = np.zeros((n, dim), dtype=np.float32)
     if not len(cps):
-        return out, letters
+        return out, letters, trigrams
     isl = letter_table()[cps]
     run = np.concatenate(([0], np.cumsum(isl)))
     letters[:] = run[offsets[1:]] - run[offsets[:-1]]
@@ -70,16 +73,17 @@ def bundles(texts: list[str], dim: int, seed: int) -> tuple[np.ndarray, np.ndarr
     doc = doc[keep]
     alphabet, ids = np.unique(sym, return_inverse=True)
     if len(sym) < 3:
-        return out, letters
+        return out, letters, trigrams
     k = len(alphabet)
     code = (ids[:-2].astype(np.int64) * k + ids[1:-1]) * k + ids[2:]
     same = doc[:-2] == doc[2:]
     code, doc = code[same], doc[:-2][same]
     grams, at = np.unique(code, return_inverse=True)
     if not len(grams):
-        return out, letters
+        return out, letters, trigrams
     base = np.stack([letter_vector(int(c), dim, seed) for c in alphabet])
     bounds = np.searchsorted(doc, np.arange(n + 1))
+    trigrams = np.diff(bounds)
     step = 4096
     for lo in range(0, len(grams), step):
         g = grams[lo:lo + step]
@@ -91,7 +95,7 @@ def bundles(texts: list[str], dim: int, seed: int) -> tuple[np.ndarray, np.ndarr
             if len(a):
                 counts[d] = np.bincount(a - lo, minlength=len(g))
         out += counts @ vec
-    return out, letters
+    return out, letters, trigrams
 
 
 def prototypes(train: DataFrame, dim: int = DIM, seed: int = SEED) -> tuple[list[str], np.ndarray]:
@@ -102,7 +106,7 @@ def prototypes(train: DataFrame, dim: int = DIM, seed: int = SEED) -> tuple[list
     def part(batches):
         sums: dict[str, np.ndarray] = {}
         for langs, texts in text_batches(batches, 1_000_000):
-            vecs, letters = bundles(texts, dim, seed)
+            vecs, letters, _ = bundles(texts, dim, seed)
             for i, lang in enumerate(langs):
                 if letters[i]:
                     sums[lang] = sums.get(lang, 0) + vecs[i].astype(np.float64)
@@ -123,13 +127,13 @@ def prototypes(train: DataFrame, dim: int = DIM, seed: int = SEED) -> tuple[list
 
 
 def identify(docs: DataFrame, langs: list[str], protos: np.ndarray, seed: int = SEED) -> DataFrame:
-    """(doc_id, lang_pred, score): score is the cosine with the best prototype,
-    negative values as 0."""
+    """(doc_id, lang_pred, score, trigrams): score is the cosine with the best
+    prototype, negative values as 0."""
     dim = protos.shape[1]
 
     def part(batches):
         for ids, texts in text_batches(batches, 1_000_000):
-            vecs, letters = bundles(texts, dim, seed)
+            vecs, letters, trigrams = bundles(texts, dim, seed)
             v = vecs.astype(np.float64)
             norms = np.linalg.norm(v, axis=1)
             if len(langs):
@@ -140,9 +144,10 @@ def identify(docs: DataFrame, langs: list[str], protos: np.ndarray, seed: int =
                 score = np.where(letters > 0, score, 0.0)
             else:
                 pred, score = [UNKNOWN] * len(ids), np.zeros(len(ids))
-            yield pd.DataFrame({"doc_id": ids, "lang_pred": pred, "score": score})
+            yield pd.DataFrame({"doc_id": ids, "lang_pred": pred, "score": score, "trigrams": trigrams})
 
-    return with_id(docs).mapInPandas(part, "doc_id long, lang_pred string, score double").select(null_id(), "lang_pred", "score")
+    return (with_id(docs).mapInPandas(part, "doc_id long, lang_pred string, score double, trigrams long")
+            .select(null_id(), "lang_pred", "score", "trigrams"))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,12 +160,33 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (F.coalesce(crc_mod("doc_id", 3), F.lit(0)) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def levels(scores: DataFrame) -> list[tuple[int, float]]:
+    """(smallest number of trigrams, lowest score that stays), ascending, from the
+    (score, trigrams) of labelled texts: ``LEVEL`` of the median score of each power
+    of two of trigrams.  One with fewer than ``LEVEL_TEXTS`` texts takes the level
+    of the next shorter one, or rejects nothing, as do texts of fewer than
+    ``LEVEL_TRIGRAMS``: short clean ones score as low as noise."""
+    size = F.floor(F.log2("trigrams"))
+    rows = (scores.where(F.col("trigrams") >= LEVEL_TRIGRAMS).groupBy(size.alias("size"))
+            .agg(F.count("*").alias("n"), F.percentile_approx("score", 0.5).alias("middle")).collect())
+    return sorted((2 ** int(r["size"]), LEVEL * r["middle"]) for r in rows if r["n"] >= LEVEL_TEXTS)
+
+
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: drop the documents that have no language (null text or
-    no letter).  A low cosine alone rejects nothing: short clean texts have
-    one.  Prototypes are learnt from the stage's own input."""
+    """Pipeline stage: drop the documents that have no language: null text, no
+    letter, or a score under the level of their number of trigrams (letter noise).
+    Prototypes and levels are learnt from the labelled texts of the stage's own
+    input."""
     langs, protos = prototypes(docs.select("text", "lang"))
-    gone = identify(docs, langs, protos).where(F.col("lang_pred") == UNKNOWN) if langs else (
-        docs.where(~F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}")))
+    if langs:
+        known = F.col("lang").isNotNull()
+        scores = written(identify(docs.where(known), langs, protos).withColumn("labelled", F.lit(True)).unionByName(
+            identify(docs.where(~known), langs, protos).withColumn("labelled", F.lit(False))), "scores")
+        level = F.lit(0.0)
+        for least, lowest in levels(scores.where("labelled")):
+            level = F.when(F.col("trigrams") >= least, F.lit(lowest)).otherwise(level)
+        gone = scores.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < level))
+    else:
+        gone = docs.where(~F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}"))
     gone = written(gone.select(F.col("doc_id").alias("_gone")).distinct(), "rejected")
     return docs.join(small_side(gone), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")

@@ -192,6 +192,26 @@ def test_language_awkward_rows(s):
     assert {i for i, *_ in TEXTS} - {r["doc_id"] for r in kept.collect()} == {2, 3, 4, 11}
 
 
+def test_language_stage_rejects_letter_noise(s):
+    import base64
+    import random
+
+    rng = random.Random(5)
+    own = duckdb.sql("select text, lang from read_parquet('/root/testdata/sf0.01/documents.parquet') where text is not null").fetchall()
+    own += [(t[k:k + n], lang) for t, lang in own[:200] for k, n in ((0, 30), (40, 60), (120, 120)) if len(t) > k + n]
+    clean = ["Hi.", "Yes, of course.", "The weather is nice today.", "La maison est grande et belle.", "Das Haus ist sehr alt und klein.",
+             "Released under the MIT License."]
+    noise = []
+    for n in (60, 300, 2000, 20000):
+        noise += ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)), base64.b64encode(rng.randbytes(n)).decode(),
+                  " ".join("".join(rng.choice("asdfghjkl") for _ in range(rng.randint(3, 9))) for _ in range(n // 6)), "漢字仮名交" * (n // 5)]
+    rows = [*own, *((t, None) for t in clean), *((t, "en" if i % 4 == 0 else None) for i, t in enumerate(noise))]
+    kept = language.keep_identified(s, docs(s, [(i, t, lang, "a") for i, (t, lang) in enumerate(rows)]), SF)
+    gone = set(range(len(rows))) - {r["doc_id"] for r in kept.select("doc_id").collect()}
+    first = len(own) + len(clean)
+    assert gone - {i for i, (t, _) in enumerate(own) if not any(c.isalpha() for c in t)} == set(range(first, len(rows)))
+
+
 # 5 ---------------------------------------------------------------------------
 
 def check_scores(got, rows, train):
