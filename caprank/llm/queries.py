@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from caprank.llm import curriculum
+from caprank.llm import curriculum, merkle
 from caprank.llm.bpe import op1_bpe
 from caprank.llm.curriculum import op9_curriculum_mix
 from caprank.llm.jaccard import op3_jaccard_join
 from caprank.llm.language import op4_language_id
 from caprank.llm.licenses import op7_license_scan
+from caprank.llm.merkle import op11_merkle_manifest
 from caprank.llm.neighbours import op10_nearest
 from caprank.llm.quality import op8_quality_rules
 from caprank.llm.repeats import op2_suffix_dedup
@@ -25,8 +26,10 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_curriculum_mix": op9_curriculum_mix,
     "op10_nearest": op10_nearest,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
     "op9_curriculum_mix": curriculum.ORACLE_SQL,
+    "op11_merkle_manifest": merkle.ORACLE_SQL,
 }
