@@ -26,6 +26,9 @@ BROADCAST_IDS = 2_000_000
 #: Target size of one in-memory text batch inside a task, in characters.
 BATCH_CHARS = 500_000
 
+#: Most texts of one in-memory batch, however short they are.
+BATCH_ROWS = 4096
+
 #: Word separators of every contract: space and U+0009 to U+000D.
 WORD_SPACE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
@@ -88,16 +91,17 @@ def crc_mod(col: str, mod: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % mod
 
 
-def text_batches(batches, chars: int = BATCH_CHARS):
+def text_batches(batches, chars: int = BATCH_CHARS, rows: int = BATCH_ROWS):
     """Regroup Arrow/pandas batches (first column id, second text) into lists
-    (ids, texts) of about ``chars`` characters; one longer text is one batch."""
+    (ids, texts) of about ``chars`` characters and at most ``rows`` texts; one
+    longer text is one batch."""
     ids: list = []
     texts: list = []
     n = 0
     for pdf in batches:
         for i, t in zip(pdf.iloc[:, 0].tolist(), pdf.iloc[:, 1].tolist(), strict=True):
             t = "" if t is None else t
-            if n and n + len(t) > chars:
+            if ids and (n + len(t) > chars or len(ids) >= rows):
                 yield ids, texts
                 ids, texts, n = [], [], 0
             ids.append(i)

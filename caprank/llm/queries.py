@@ -10,9 +10,11 @@ from caprank.llm.language import op4_language_id
 from caprank.llm.licenses import op7_license_scan
 from caprank.llm.merkle import op11_merkle_manifest
 from caprank.llm.neighbours import op10_nearest
+from caprank.llm.periodic import op13_periodic_runs
 from caprank.llm.quality import op8_quality_rules
 from caprank.llm.repeats import op2_suffix_dedup
 from caprank.llm.scoring import op5_backoff_score
+from caprank.llm.slots import op12_virtual_slots
 from caprank.llm.token_files import op6_token_files
 
 QUERIES = {
@@ -27,6 +29,8 @@ QUERIES = {
     "op9_curriculum_mix": op9_curriculum_mix,
     "op10_nearest": op10_nearest,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_virtual_slots": op12_virtual_slots,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
