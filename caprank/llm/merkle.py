@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caprank.llm.common import documents, written
-from caprank.llm.positions import ROWS_PER_PART, numbered
+from caprank.llm.positions import numbered
 
 FAN = 16
 #: Tree levels that one superblock finishes.
@@ -143,7 +143,7 @@ def descended(nodes: DataFrame, outer: DataFrame, fan: int = FAN, levels: int =
 
 def manifest(docs: DataFrame, tampered: Column | None = None, changed: dict[str, Column] | None = None,
              columns: tuple[str, ...] = COLUMNS, key: str = "doc_id", source: str = "source", paths: bool = False,
-             rows_per_part: int = ROWS_PER_PART, fan: int = FAN, levels: int = LEVELS) -> DataFrame:
+             rows_per_part: int | None = None, fan: int = FAN, levels: int = LEVELS) -> DataFrame:
     """key, source, leaf, subroot, root, proof_sha256, folded_root and verified of
     every row (and ``path``, the proof itself, if ``paths``).
 

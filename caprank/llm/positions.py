@@ -17,17 +17,19 @@ from pyspark.sql import functions as F
 
 from caprank.llm.common import small_side, written
 
-#: Rows of one range part; the number of parts follows the number of rows.
-ROWS_PER_PART = 100_000
+#: A range part of n rows in all holds about this times the root of n, so that both
+#: the parts and the table of their offsets grow slowly (12,500 parts for 1e10 rows).
+PART_FACTOR = 8
 
 
-def numbered(rows: DataFrame, group: list[str], order: list[str], rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+def numbered(rows: DataFrame, group: list[str], order: list[str], rows_per_part: int | None = None) -> DataFrame:
     """``rows`` (a table that can be read again) with ``pos``, 0 to n-1 inside
     each group in ascending ``order``, and ``total``, the group's n.  Nulls are a
     group of their own and come first in an order."""
     own = rows.columns
     by: list[Column] = [F.col(c) for c in order] + [F.col("_place")]
-    parts = max(1, math.ceil(rows.count() / rows_per_part))
+    n = rows.count()
+    parts = max(1, math.ceil(n / (rows_per_part or max(1.0, PART_FACTOR * math.sqrt(n)))))
     ranged = rows.withColumn("_place", F.monotonically_increasing_id())
     ranged = ranged.repartitionByRange(parts, *[F.col(c) for c in group], *by) if parts > 1 else ranged.coalesce(1)
     ranged = written(ranged.withColumn("_part", F.spark_partition_id()), "ranged")
