@@ -7,16 +7,18 @@ all their positions, and only the two touched neighbours get new index entries.
 Texts are cut by the public pattern first, so no merge crosses a piece.
 
 Everything is local to a task: no shuffle, the vocabulary (a file of bounded
-size) travels with the function, and a worker keeps a bounded table of words.
+size) travels with the function, and a worker keeps a bounded table of words, each
+compared letter by letter when it is met again.
 
-Defined results: a null or empty text has no ids; an unknown id decodes to
-nothing known and raises; repeated rows are encoded each; very long texts and
-words are encoded whole.
+Defined results: a null or empty text has no ids; an id that is not in the
+vocabulary raises; repeated rows are encoded each; very long texts and words are
+encoded whole; an empty table has no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 
 import numpy as np
@@ -24,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caprank.llm.common import documents, whole_text
+from caprank.llm.common import BATCH_ROWS, CACHES, claim, documents, slices, whole_text
 from caprank.llm.pieces import WordIds, encode_batch
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 500_000
 
 
 def rank_file(path: str | None = None) -> bytes:
@@ -55,17 +57,14 @@ class MergeReplay:
                 r = self.rank.get(bytes((a, b)))
                 if r is not None:
                     self.pair[a * 256 + b] = r
-        self.joined: dict[int, int] = {}
-
-    def _join(self, a: int, b: int) -> int:
-        """Rank of the token that a followed by b make, or -1."""
-        key = a << 32 | b
-        r = self.joined.get(key)
-        if r is None:
-            if len(self.joined) > 600_000:
-                self.joined.clear()
-            r = self.joined[key] = self.rank.get(self.token[a] + self.token[b], -1)
-        return r
+        #: a << 32 | b -> rank of a followed by b, for every way to cut a token into
+        #: two tokens: bounded by the vocabulary, unlike a cache of pairs met
+        self.joined = {}
+        for token, r in self.rank.items():
+            for cut in range(1, len(token)):
+                a, b = self.rank.get(token[:cut]), self.rank.get(token[cut:])
+                if a is not None and b is not None:
+                    self.joined[a << 32 | b] = r
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of each word.  A word that is a token itself is that token."""
@@ -96,7 +95,7 @@ class MergeReplay:
         index = {r: p.tolist() for r, p in zip(ranks.tolist(), np.split(order, first[1:]), strict=True)} if len(order) else {}
         heap = ranks.tolist()
         tok, nxt, prv, pr = self.byte[data].tolist(), after.tolist(), before.tolist(), right.tolist()
-        join, known, push = self._join, self.joined.get, heapq.heappush
+        known, push = self.joined.get, heapq.heappush
         while heap:
             r = heapq.heappop(heap)
             places = index.pop(r, None)
@@ -113,10 +112,7 @@ class MergeReplay:
                 if m >= 0:
                     prv[m] = p
                     t = tok[m]
-                    x = known(r << 32 | t)
-                    if x is None:
-                        x = join(r, t)
-                    pr[p] = x
+                    x = pr[p] = known(r << 32 | t, -1)
                     if x >= 0:
                         lower = x < r
                         if x in index:
@@ -129,10 +125,7 @@ class MergeReplay:
                 o = prv[p]
                 if o >= 0:
                     t = tok[o]
-                    x = known(t << 32 | r)
-                    if x is None:
-                        x = join(t, r)
-                    pr[o] = x
+                    x = pr[o] = known(t << 32 | r, -1)
                     if x >= 0:
                         lower = lower or x < r
                         if x in index:
@@ -152,13 +145,16 @@ class MergeReplay:
         return [ids[a:b] for a, b in zip(upto[starts].tolist(), upto[ends].tolist(), strict=True)]
 
 
-_LOADED: dict[int, tuple[MergeReplay, WordIds]] = {}
+_LOADED: dict[bytes, tuple[MergeReplay, WordIds]] = {}
+CACHES["bpe"] = _LOADED.clear
 
 
 def loaded(ranks: bytes) -> tuple[MergeReplay, WordIds]:
-    """Encoder and word table of this worker for a rank file."""
-    key = hash(ranks)
+    """Encoder and word table of this worker for a rank file (one at a time)."""
+    claim("bpe")
+    key = hashlib.sha256(ranks).digest()
     if key not in _LOADED:
+        _LOADED.clear()
         replay = MergeReplay(ranks)
         _LOADED[key] = (replay, WordIds(replay.encode_words))
     return _LOADED[key]
@@ -168,14 +164,8 @@ def arrow_batches(batches, chars: int):
     """(ids, texts) lists of about ``chars`` characters from Arrow batches."""
     for rb in batches:
         texts = rb.column(1).to_pylist()
-        lo = n = 0
-        for i, t in enumerate(texts):
-            if n and n + len(t) > chars:
-                yield rb.column(0).slice(lo, i - lo), texts[lo:i]
-                lo, n = i, 0
-            n += len(t)
-        if lo < len(texts):
-            yield rb.column(0).slice(lo), texts[lo:]
+        for lo, hi in slices([len(t) for t in texts], chars, BATCH_ROWS):
+            yield rb.column(0).slice(lo, hi - lo), texts[lo:hi]
 
 
 def encode(docs: DataFrame, ranks: bytes) -> DataFrame:

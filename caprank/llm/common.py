@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,18 @@ BATCH_ROWS = 4096
 WORD_SPACE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 
+#: What operators keep in a Python worker between tasks: name -> function that
+#: frees it.  Workers outlive a stage, so the next operator frees the others' tables.
+CACHES: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str) -> None:
+    """Called in a task before work: frees the tables of every other operator."""
+    for name, free in CACHES.items():
+        if name != owner:
+            free()
+
+
 #: Arrow batches between the JVM and Python hold at most this many bytes.
 ARROW_BYTES = 4 << 20
 
@@ -91,10 +104,12 @@ def crc_mod(col: str, mod: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % mod
 
 
-def text_batches(batches, chars: int = BATCH_CHARS, rows: int = BATCH_ROWS):
+def text_batches(batches, chars: int = BATCH_CHARS, rows: int = BATCH_ROWS, owner: str = ""):
     """Regroup Arrow/pandas batches (first column id, second text) into lists
     (ids, texts) of about ``chars`` characters and at most ``rows`` texts; one
-    longer text is one batch."""
+    longer text is one batch.  Tables that other operators than ``owner`` left in
+    this worker are freed."""
+    claim(owner)
     ids: list = []
     texts: list = []
     n = 0
@@ -111,6 +126,27 @@ def text_batches(batches, chars: int = BATCH_CHARS, rows: int = BATCH_ROWS):
         yield ids, texts
 
 
+def slices(sizes: list[int], chars: int, rows: int):
+    """Bounds (lo, hi) of consecutive items, at most ``rows`` of them and about
+    ``chars`` in all."""
+    lo = n = 0
+    for i, size in enumerate(sizes):
+        if i > lo and (n + size > chars or i - lo >= rows):
+            yield lo, i
+            lo, n = i, 0
+        n += size
+    if lo < len(sizes):
+        yield lo, len(sizes)
+
+
+def unused(frame: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``frame`` has in any case."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray, str]:
     """Code points of the concatenation, document offsets (len + 1) and the
     concatenated string."""
@@ -153,9 +189,17 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
+def span_positions(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """All places of the spans of ``lens`` from ``starts`` on, one after another."""
+    first = np.cumsum(lens) - lens
+    return np.repeat(starts - first, lens) + np.arange(int(lens.sum()), dtype=np.int64)
+
+
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """One 64-bit hash for each span [start, end) of ``values``; the spans are
-    sorted, disjoint and not empty.  Equal spans have equal hashes."""
+    sorted, disjoint and not empty.  Equal spans have equal hashes.  Each value is
+    mixed with its place before the sum, which a plain polynomial does not do: its
+    sums collide for whole families of words whatever the base."""
     if not len(starts):
         return np.empty(0, dtype=np.uint64)
     lens = ends - starts
@@ -164,6 +208,9 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     at = np.arange(total, dtype=np.int64) - np.repeat(first, lens)
     inside = values[np.repeat(starts, lens) + at] if total != len(values) else values
     terms = (inside.astype(np.uint64) + np.uint64(1)) * _powers(int(lens.max()))[at]
+    terms ^= terms >> np.uint64(29)
+    terms *= np.uint64(0xBF58476D1CE4E5B9)
+    terms ^= terms >> np.uint64(32)
     sums = np.add.reduceat(terms, first)
     return mix64(sums ^ (lens.astype(np.uint64) << np.uint64(40)))
 
@@ -212,25 +259,50 @@ def unpacked(raw: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8").astype(np.uint64)
 
 
+def text_sha() -> Column:
+    """Digest of a row's text (null: that of the empty text)."""
+    return F.sha2(F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8"), 256)
+
+
 def exact_copies(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, sha, rep), one row for each doc_id that is not null:
-    ``rep`` is the smallest doc_id with the same text.  Of several texts under
-    one doc_id the one with the smallest digest counts.  Only ids and digests are shuffled; the group of copies is reduced by
-    a combining aggregate, so a text that a third of all rows carry is no hot
-    task."""
-    d = whole_text(docs).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
-                                F.sha2(F.encode("text", "UTF-8"), 256).alias("sha"))
-    d = (d.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("sha", "n_bytes")).alias("x"))
-         .select("doc_id", "x.n_bytes", "x.sha"))
+    """(doc_id, n_bytes, sha, n_rows, rep), one row for each doc_id that is not
+    null: ``rep`` is the smallest doc_id with the same text, ``n_rows`` the number of
+    rows with this doc_id.  Of several texts under one doc_id the one with the
+    smallest digest counts.  Only ids and digests are shuffled; the group of copies
+    is reduced by a combining aggregate, so a text that a third of all rows carry is
+    no hot task."""
+    d = whole_text(docs).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), text_sha().alias("sha"))
+    d = (d.where("doc_id is not null").groupBy("doc_id")
+         .agg(F.min(F.struct("sha", "n_bytes")).alias("x"), F.count("*").alias("n_rows"))
+         .select("doc_id", "x.n_bytes", "x.sha", "n_rows"))
     d = written(d, "digests")
     firsts = d.groupBy(F.col("sha").alias("s")).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
     firsts = written(firsts.where("n > 1").select("s", "rep"), "copies")
     return (d.join(small_side(firsts, BROADCAST_IDS // 4), d.sha == firsts.s, "left")
-            .select("doc_id", "n_bytes", "sha", F.coalesce("rep", "doc_id").alias("rep")))
+            .select("doc_id", "n_bytes", "sha", "n_rows", F.coalesce("rep", "doc_id").alias("rep")))
+
+
+def repeated_ids(copies: DataFrame) -> DataFrame | None:
+    """(doc_id, sha) of the ids that several rows have, or None if all differ."""
+    some = copies.where("n_rows > 1").select("doc_id", "sha")
+    return None if some.isEmpty() else some
+
+
+def counted_texts(docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """(doc_id, text), one row for each doc_id: the text that ``exact_copies``
+    chose.  Only rows of ids that repeat are looked at twice."""
+    d = whole_text(docs).where("doc_id is not null")
+    several = repeated_ids(copies)
+    if several is None:
+        return d
+    several = small_side(several)
+    own = (d.withColumn("sha", text_sha()).join(several, ["doc_id", "sha"], "left_semi").dropDuplicates(["doc_id"])
+           .select("doc_id", "text"))
+    return d.join(several, "doc_id", "left_anti").unionByName(own)
 
 
 def first_copies(docs: DataFrame, copies: DataFrame) -> DataFrame:
     """(doc_id, text) of the documents that are their own representative;
     null ids are left out."""
     later = copies.where("doc_id <> rep").select("doc_id")
-    return whole_text(docs).where("doc_id is not null").join(small_side(later), "doc_id", "left_anti")
+    return counted_texts(docs, copies).join(small_side(later), "doc_id", "left_anti")

@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-from caprank.llm.common import span_hashes
+from caprank.llm.common import span_hashes, span_positions
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
@@ -78,46 +78,62 @@ def piece_spans(cps: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 class WordIds:
     """Token ids of words, kept for the life of a Python worker.
 
-    At most ``max_words`` words are held; when they are exceeded the table
-    starts anew, so memory is bounded whatever the vocabulary of the corpus."""
+    Words are looked up by a 64-bit hash and compared with the stored letters on
+    every hit, so that two words of one hash never share ids.  At most ``max_words``
+    words and ``max_chars`` letters are held; beyond either the table starts anew
+    with the next batch, so memory is bounded whatever the vocabulary of the corpus."""
 
     SLOTS = 1 << 20
 
-    def __init__(self, encode_words: Callable[[list[str]], list[list[int]]], max_words: int = 250_000):
+    def __init__(self, encode_words: Callable[[list[str]], list[list[int]]], max_words: int = 200_000, max_chars: int = 4_000_000):
         self.encode_words = encode_words
-        self.max_words = max_words
+        self.max_words, self.max_chars = max_words, max_chars
         self._reset()
 
     def _reset(self) -> None:
         self.keys = np.zeros(self.SLOTS, dtype=np.uint64)
         self.vals = np.zeros(self.SLOTS, dtype=np.int32)
         self.known: dict[int, int] = {}
-        self.n = 0
+        self.odd: dict[str, int] = {}  # words whose hash another word has
+        self.n = self.used = self.n_chars = 0
         self.offs = np.zeros(1024, dtype=np.int64)
         self.lens = np.zeros(1024, dtype=np.int64)
         self.flat = np.zeros(8192, dtype=np.int32)
-        self.used = 0
+        self.char_offs = np.zeros(1024, dtype=np.int64)
+        self.char_lens = np.zeros(1024, dtype=np.int64)
+        self.chars = np.zeros(8192, dtype=np.uint32)
 
-    def _store(self, ids: list[list[int]]) -> None:
+    def _store(self, words: list[str]) -> None:
+        ids = self.encode_words(words)
         k, total = len(ids), sum(map(len, ids))
+        text = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         while self.n + k > len(self.offs):
-            self.offs = np.concatenate((self.offs, np.zeros_like(self.offs)))
-            self.lens = np.concatenate((self.lens, np.zeros_like(self.lens)))
+            for name in ("offs", "lens", "char_offs", "char_lens"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate((old, np.zeros_like(old))))
         while self.used + total > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        while self.n_chars + len(text) > len(self.chars):
+            self.chars = np.concatenate((self.chars, np.zeros_like(self.chars)))
         lens = np.fromiter(map(len, ids), dtype=np.int64, count=k)
         self.lens[self.n:self.n + k] = lens
         self.offs[self.n:self.n + k] = self.used + np.cumsum(lens) - lens
         self.flat[self.used:self.used + total] = [x for w in ids for x in w]
+        size = np.fromiter(map(len, words), dtype=np.int64, count=k)
+        self.char_lens[self.n:self.n + k] = size
+        self.char_offs[self.n:self.n + k] = self.n_chars + np.cumsum(size) - size
+        self.chars[self.n_chars:self.n_chars + len(text)] = text
         self.n += k
         self.used += total
+        self.n_chars += len(text)
 
     def words(self, joined: str, cps: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Index of every piece in this table, encoding the new ones."""
+        """Index of every piece in this table, encoding the new ones.  The pieces
+        are sorted, disjoint and cover ``cps``."""
         h = span_hashes(cps, starts, ends)
         h[h == 0] = 1
         slot = (h & np.uint64(self.SLOTS - 1)).astype(np.int64)
-        if self.n > self.max_words:
+        if self.n > self.max_words or self.n_chars > self.max_chars:
             self._reset()
         hit = self.keys[slot] == h
         out = np.where(hit, self.vals[slot], -1)
@@ -131,19 +147,40 @@ class WordIds:
                 idx[new] = np.arange(self.n, self.n + len(new))
                 words = [joined[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
                 for lo in range(0, len(words), 8192):
-                    self._store(self.encode_words(words[lo:lo + 8192]))
+                    self._store(words[lo:lo + 8192])
                 self.known.update(zip(uniq[new].tolist(), idx[new].tolist(), strict=True))
             out[miss] = idx[inv]
             s = (uniq & np.uint64(self.SLOTS - 1)).astype(np.int64)
             self.keys[s], self.vals[s] = uniq, idx
+        return self._checked(out.astype(np.int64), joined, cps, starts, ends)
+
+    def _checked(self, out: np.ndarray, joined: str, cps: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """``out`` with the words that differ from what the table holds under their
+        hash replaced by entries of their own."""
+        lens = ends - starts
+        other = np.flatnonzero(self.char_lens[out] != lens)
+        if not len(other):
+            differs = self.chars[span_positions(self.char_offs[out], lens)] != cps
+            if not differs.any():
+                return out
+            other = np.unique(np.searchsorted(starts, np.flatnonzero(differs), side="right") - 1)
+        else:  # lengths first: the rest can only be compared letter by letter
+            same = np.flatnonzero(self.char_lens[out] == lens)
+            differs = (self.chars[span_positions(self.char_offs[out[same]], lens[same])]
+                       != cps[span_positions(starts[same], lens[same])])
+            upto = np.cumsum(lens[same])
+            other = np.union1d(other, same[np.searchsorted(upto, np.flatnonzero(differs), side="right")])
+        for i in other.tolist():
+            word = joined[starts[i]:ends[i]]
+            if word not in self.odd:
+                self._store([word])
+                self.odd[word] = self.n - 1
+            out[i] = self.odd[word]
         return out
 
     def ids(self, words: np.ndarray) -> np.ndarray:
         """Token ids of the words, concatenated."""
-        lens = self.lens[words]
-        total = int(lens.sum())
-        first = np.cumsum(lens) - lens
-        return self.flat[np.repeat(self.offs[words] - first, lens) + np.arange(total, dtype=np.int64)]
+        return self.flat[span_positions(self.offs[words], self.lens[words])]
 
 
 def encode_batch(table: WordIds, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

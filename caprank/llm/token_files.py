@@ -24,6 +24,7 @@ no shard.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import struct
 import zlib
@@ -34,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caprank.llm.common import NO_ID, documents, packed, small_side, text_batches, unpacked, with_id, written
+from caprank.llm.common import CACHES, NO_ID, documents, packed, small_side, text_batches, unpacked, with_id, written
 from caprank.llm.pieces import WordIds, encode_batch
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -176,13 +177,15 @@ def read_shard(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc_ids, lengths, ids
 
 
-_TABLES: dict[int, WordIds] = {}
+_TABLES: dict[bytes, WordIds] = {}
+CACHES["tokens"] = _TABLES.clear
 
 
 def _table(tokenizer: str) -> WordIds:
     """Word table of this worker for a tokenizer (content of its json file)."""
-    key = hash(tokenizer)
+    key = hashlib.sha256(tokenizer.encode()).digest()
     if key not in _TABLES:
+        _TABLES.clear()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -218,7 +221,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataF
                                  "data": [write_shard(np.array(doc_ids, dtype=np.int64), np.array(lengths, dtype=np.int64), ids)]})
 
         held = 0
-        for some, texts in text_batches(batches):
+        for some, texts in text_batches(batches, owner="tokens"):
             ids, offsets = encode_batch(table, texts)
             tokens.append(np.insert(ids, offsets[1:], end_id))
             doc_ids += some
