@@ -12,17 +12,22 @@ is one pass whose tasks each emit one partial bundle per language.
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 with no training text at all everything is ``und``; equal cosines go to the
 smaller language code.  Very long texts are bundled whole (counts of distinct
-trigrams, never a prefix).
+trigrams, never a prefix).  Rows that repeat an id, or have none, are each judged by
+their own text; an empty table has no rows; other columns are ignored by the
+operator and kept by the stage.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from caprank.llm.common import code_points, crc_mod, documents, null_id, small_side, text_batches, with_id, written
+from caprank.llm.common import (CACHES, claim, code_points, crc_mod, documents, null_id, slices, text_batches, unused, with_id,
+                                written)
 
 DIM = 1024
 SEED = 20_231
@@ -33,6 +38,9 @@ LEVEL, LEVEL_TEXTS, LEVEL_TRIGRAMS = 0.22, 20, 32
 
 _LETTER: np.ndarray | None = None
 _VECTORS: dict[int, np.ndarray] = {}
+CACHES["language"] = _VECTORS.clear
+#: Letter vectors that a worker keeps (4 kB each), and most texts bundled at once.
+VECTORS, BUNDLE_ROWS, BUNDLE_CHARS = 4096, 512, 1_000_000
 
 
 def letter_table() -> np.ndarray:
@@ -47,7 +55,7 @@ def letter_vector(cp: int, dim: int, seed: int) -> np.ndarray:
     key = cp * 65_536 + dim
     v = _VECTORS.get(key)
     if v is None:
-        if len(_VECTORS) > 20_000:
+        if len(_VECTORS) >= VECTORS:
             _VECTORS.clear()
         rng = np.random.Generator(np.random.PCG64([seed, cp]))
         v = _VECTORS[key] = (rng.integers(0, 2, dim, dtype=np.int8) * 2 - 1).astype(np.float32)
@@ -105,7 +113,7 @@ def prototypes(train: DataFrame, dim: int = DIM, seed: int = SEED) -> tuple[list
 
     def part(batches):
         sums: dict[str, np.ndarray] = {}
-        for langs, texts in text_batches(batches, 1_000_000):
+        for langs, texts in text_batches(batches, BUNDLE_CHARS, BUNDLE_ROWS, "language"):
             vecs, letters, _ = bundles(texts, dim, seed)
             for i, lang in enumerate(langs):
                 if letters[i]:
@@ -126,30 +134,56 @@ def prototypes(train: DataFrame, dim: int = DIM, seed: int = SEED) -> tuple[list
     return langs, protos / np.where(norms > 0, norms, 1)
 
 
+def predictions(texts: list[str], langs: list[str], protos: np.ndarray, seed: int):
+    """(language, score, trigrams) of each text."""
+    if not langs:
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), dtype=np.int64)
+    vecs, letters, trigrams = bundles(texts, protos.shape[1], seed)
+    v = vecs.astype(np.float64)
+    norms = np.linalg.norm(v, axis=1)
+    cos = (v @ protos.T) / np.where(norms > 0, norms, 1)[:, None]
+    best = cos.argmax(axis=1)
+    score = np.clip(cos[np.arange(len(texts)), best], 0.0, 1.0)
+    pred = [langs[b] if n else UNKNOWN for b, n in zip(best, letters, strict=True)]
+    return pred, np.where(letters > 0, score, 0.0), trigrams
+
+
 def identify(docs: DataFrame, langs: list[str], protos: np.ndarray, seed: int = SEED) -> DataFrame:
     """(doc_id, lang_pred, score, trigrams): score is the cosine with the best
     prototype, negative values as 0."""
-    dim = protos.shape[1]
 
     def part(batches):
-        for ids, texts in text_batches(batches, 1_000_000):
-            vecs, letters, trigrams = bundles(texts, dim, seed)
-            v = vecs.astype(np.float64)
-            norms = np.linalg.norm(v, axis=1)
-            if len(langs):
-                cos = (v @ protos.T) / np.where(norms > 0, norms, 1)[:, None]
-                best = cos.argmax(axis=1)
-                score = np.clip(cos[np.arange(len(ids)), best], 0.0, 1.0)
-                pred = [langs[b] if n else UNKNOWN for b, n in zip(best, letters, strict=True)]
-                score = np.where(letters > 0, score, 0.0)
-            else:
-                pred, score = [UNKNOWN] * len(ids), np.zeros(len(ids))
+        for ids, texts in text_batches(batches, BUNDLE_CHARS, BUNDLE_ROWS, "language"):
+            pred, score, trigrams = predictions(texts, langs, protos, seed)
             yield pd.DataFrame({"doc_id": ids, "lang_pred": pred, "score": score, "trigrams": trigrams})
 
     return (with_id(docs).mapInPandas(part, "doc_id long, lang_pred string, score double, trigrams long")
             .select(null_id(), "lang_pred", "score", "trigrams"))
 
 
+def with_predictions(docs: DataFrame, langs: list[str], protos: np.ndarray, seed: int = SEED) -> tuple[DataFrame, str]:
+    """Every row of ``docs`` as it is, with one more column, a struct (lang, score,
+    trigrams), and that column's name.  Rows pass as Arrow batches, so columns of
+    any type and rows that share an id, or have none, stay apart."""
+    name = unused(docs, "language")
+    at = docs.columns.index("text")
+    schema = StructType([*docs.schema.fields, StructField(name, StructType([
+        StructField("lang", StringType()), StructField("score", DoubleType()), StructField("trigrams", LongType())]))])
+
+    def part(batches):
+        claim("language")
+        for rb in batches:
+            texts = ["" if t is None else t for t in rb.column(at).to_pylist()]
+            for lo, hi in slices([len(t) for t in texts], BUNDLE_CHARS, BUNDLE_ROWS):
+                pred, score, trigrams = predictions(texts[lo:hi], langs, protos, seed)
+                made = pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64()),
+                                                   pa.array(trigrams, pa.int64())], ["lang", "score", "trigrams"])
+                some = rb.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*some.columns, made], [*some.schema.names, name])
+
+    return docs.mapInArrow(part, schema), name
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from those whose crc32(doc_id) mod 3
     is not 1 (held_out: it is 1)."""
@@ -176,17 +210,15 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Pipeline stage: drop the documents that have no language: null text, no
     letter, or a score under the level of their number of trigrams (letter noise).
     Prototypes and levels are learnt from the labelled texts of the stage's own
-    input."""
+    input; without one, only texts without a letter go.  Each row is judged on its
+    own text, whatever its id."""
     langs, protos = prototypes(docs.select("text", "lang"))
-    if langs:
-        known = F.col("lang").isNotNull()
-        scores = written(identify(docs.where(known), langs, protos).withColumn("labelled", F.lit(True)).unionByName(
-            identify(docs.where(~known), langs, protos).withColumn("labelled", F.lit(False))), "scores")
-        level = F.lit(0.0)
-        for least, lowest in levels(scores.where("labelled")):
-            level = F.when(F.col("trigrams") >= least, F.lit(lowest)).otherwise(level)
-        gone = scores.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < level))
-    else:
-        gone = docs.where(~F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}"))
-    gone = written(gone.select(F.col("doc_id").alias("_gone")).distinct(), "rejected")
-    return docs.join(small_side(gone), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    if not langs:
+        return docs.where(F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}"))
+    judged, name = with_predictions(docs, langs, protos)
+    judged = written(judged, "identified")
+    found = F.col(f"`{name}`")
+    level = F.lit(0.0)
+    for least, lowest in levels(judged.where("lang is not null").select(found["score"].alias("score"), found["trigrams"].alias("trigrams"))):
+        level = F.when(found["trigrams"] >= least, F.lit(lowest)).otherwise(level)
+    return judged.where((found["lang"] != UNKNOWN) & (found["score"] >= level)).select(docs.columns)
