@@ -39,11 +39,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caprank.llm.common import (NO_ID, code_points, documents, exact_copies, first_copies, lower_ascii, mix64, packed, small_side,
-                                span_hashes, text_batches, unpacked, word_spans, written)
+from caprank.llm.common import (NO_ID, code_points, documents, exact_copies, first_copies, lower_ascii, mix64, packed, repeated_ids,
+                                small_side, span_hashes, text_batches, text_sha, unpacked, unused, word_spans, written)
 from caprank.llm.components import components
 
 WORDS = 5
@@ -331,8 +331,8 @@ def mixed_entries(entries: DataFrame, comps: DataFrame) -> DataFrame:
 
 def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, sketch_size: int | None = None,
                    max_match: int = MAX_MATCH, verify_cost: float = VERIFY_COST) -> tuple[DataFrame, DataFrame]:
-    """(members, links).  members: doc_id, n_shingles, component_id for every
-    document.  links: verified pairs (a, b) of different texts; their closure,
+    """(members, links).  members: doc_id, n_shingles, component_id, sha and n_rows
+    (see ``exact_copies``) for every document.  links: verified pairs (a, b) of different texts; their closure,
     with the copies, is the closure of all links."""
     copies = written(exact_copies(docs), "reps")
     firsts = first_copies(docs, copies)
@@ -374,21 +374,36 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     final = written(components(links), "classes")
 
     n = F.coalesce("n", F.lit(0).cast("long"))
-    members = (copies.select("doc_id", "rep")
+    members = (copies.select("doc_id", "sha", "n_rows", "rep")
                .join(sizes.select(F.col("doc_id").alias("rep"), "n"), "rep", "left")
                .join(final.withColumnRenamed("node", "rep"), "rep", "left")
                .select("doc_id", n.alias("n_shingles"),
-                       F.when(n == 0, F.col("doc_id")).otherwise(F.coalesce("component", "rep")).alias("component_id")))
+                       F.when(n == 0, F.col("doc_id")).otherwise(F.coalesce("component", "rep")).alias("component_id"),
+                       "sha", "n_rows"))
     return members, links
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle set size and class of near copies of every document."""
-    return similar_groups(documents(spark, sf_dir))[0]
+    return similar_groups(documents(spark, sf_dir))[0].select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the document with the smallest doc_id of each class."""
+    """Pipeline stage: the document with the smallest doc_id of each class.  Of rows
+    that repeat a doc_id, those with the text that counts are one document (one
+    stays); rows with other texts, and rows without a doc_id, stay as they are."""
     members, _ = similar_groups(docs)
-    gone = written(members.where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(small_side(gone), "doc_id", "left_anti").select(docs.columns)
+    members = written(members, "members")
+    gone = members.where("doc_id <> component_id").select("doc_id", "sha")
+    several = repeated_ids(members)
+    if several is None:
+        return docs.join(small_side(gone.select("doc_id")), "doc_id", "left_anti").select(docs.columns)
+    sha, row = unused(docs, "text_digest"), unused(docs, "row_number")
+    own = docs.withColumn(sha, text_sha())
+    several = several.withColumnRenamed("sha", sha)
+    rest = own.join(small_side(several), ["doc_id", sha], "left_anti")
+    first = Window.partitionBy("doc_id").orderBy(row)
+    once = (own.join(small_side(several), ["doc_id", sha], "left_semi").withColumn(row, F.monotonically_increasing_id())
+            .withColumn(row, F.row_number().over(first)).where(F.col(row) == 1).drop(row))
+    kept = rest.unionByName(once).join(small_side(gone.withColumnRenamed("sha", sha)), ["doc_id", sha], "left_anti")
+    return kept.select(docs.columns)

@@ -13,30 +13,41 @@ Scale: anchors are narrow rows, about one for 16 bytes; only repeated ones carry
 text further.  Exact copies of whole texts collapse first; equal contexts
 collapse inside the map task (the smallest doc_id stays, the others are covered
 whole), so a passage of a third of all documents reaches its task once per map
-task.  Anchor lists are window functions, which spill.
+task.  An anchor with very many different contexts (a common short line) is split
+into its windows, which only need the smallest document of each string.  Anchor
+lists are window functions, which spill.
 
 Defined results: null and empty texts have no bytes and no spans; a text shorter
 than ``length`` keeps all its bytes; repeats inside one document alone remove
-nothing; rows that repeat a doc_id count as one document with one of its texts;
-rows without a doc_id are left out (a pipeline keeps them as they are).
+nothing; rows that repeat a doc_id count as one document with one of its texts, the
+one with the smallest digest; rows without a doc_id are left out (a pipeline keeps
+them as they are); an empty table has no rows; other columns are ignored by the
+operator and kept by the stage.
 """
 
 from __future__ import annotations
 
 import hashlib
+from array import array
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caprank.llm.common import (documents, exact_copies, first_copies, mix64, small_side, text_batches, utf8_bytes,
-                                whole_text, written)
+from caprank.llm.common import (claim, counted_texts, documents, exact_copies, first_copies, mix64, repeated_ids, small_side,
+                                text_batches, text_sha, unused, utf8_bytes, written)
 
 LENGTH = 50
 SEED = 20
 #: Bytes of contexts that one suffix array holds; one anchor's contexts stay together.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
+#: An anchor with more contexts is split into its windows.
+HOT_CONTEXTS = 8192
+#: Strings of one window's length that a join may broadcast (about 150 bytes each).
+WINDOWS = 200_000
+#: Occurrences of maximal repeats laid out at once.
+OCCURRENCES = 250_000
 
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -212,19 +223,19 @@ def suffix_array(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, group:
     return order, lcp
 
 
-def maximal_repeats(lcp: np.ndarray, left: np.ndarray, least: int):
-    """Intervals (lo, hi, depth) of the common-prefix interval tree with depth
-    ``least`` or more whose left extensions differ.  ``lcp[i]`` belongs to suffixes
-    i-1 and i in sorted order; a negative ``left`` differs from everything."""
+def maximal_repeats(lcp: np.ndarray, left: np.ndarray, least: int) -> np.ndarray:
+    """Intervals (rows of lo, hi, depth) of the common-prefix interval tree with
+    depth ``least`` or more whose left extensions differ.  ``lcp[i]`` belongs to
+    suffixes i-1 and i in sorted order; a negative ``left`` differs from everything."""
     deep = lcp >= least
     edge = np.flatnonzero(np.diff(np.concatenate(([False], deep, [False])).astype(np.int8)))
-    out: list[tuple[int, int, int]] = []
+    out = array("q")
     changes = np.concatenate(([0], np.cumsum((left[1:] != left[:-1]) | (left[1:] < 0))))
     for lo, hi in zip((edge[::2] - 1).tolist(), (edge[1::2] - 1).tolist(), strict=True):
         if changes[lo] == changes[hi]:
             continue  # every occurrence extends to the left: found one byte earlier
         if hi - lo == 1:
-            out.append((lo, hi, int(lcp[hi])))
+            out.extend((lo, hi, int(lcp[hi])))
             continue
         stack = [(int(lcp[lo + 1]), lo)]
         for i, v in enumerate(lcp[lo + 2:hi + 1].tolist() + [-1], lo + 2):
@@ -232,52 +243,80 @@ def maximal_repeats(lcp: np.ndarray, left: np.ndarray, least: int):
             while stack and stack[-1][0] > v:
                 depth, begin = stack.pop()
                 if changes[begin] != changes[i - 1]:
-                    out.append((begin, i - 1, depth))
+                    out.extend((begin, i - 1, depth))
             if v >= 0 and (not stack or stack[-1][0] < v):
                 stack.append((v, begin))
-    return out
-
-
-def repeats_of_chunk(pdf: pd.DataFrame, length: int):
-    """Maximal repeats among the contexts of whole anchors: arrays group, size,
-    doc_id, start with one row for each occurrence."""
-    raw = pdf["bytes"].tolist()
-    lens = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
-    data = np.frombuffer(b"".join(raw), dtype=np.uint8)
-    base = np.cumsum(lens) - lens
-    counts = lens - length + 1
-    ctx = np.repeat(np.arange(len(raw)), counts)
-    inner = np.arange(len(ctx)) - np.repeat(np.cumsum(counts) - counts, counts)
-    starts = base[ctx] + inner
-    stops = (base + lens)[ctx]
-    left = np.where(inner > 0, data[np.maximum(starts - 1, 0)].astype(np.int64), -1)
-    _, group = np.unique(pdf["h"].to_numpy(), return_inverse=True)
-    order, lcp = suffix_array(data, starts, stops, group[ctx])
-    found = maximal_repeats(lcp, left[order], length)
-    if not found:
-        return None
-    lo, hi, depth = (np.array(x, dtype=np.int64) for x in zip(*found, strict=True))
-    size = hi - lo + 1
-    which = np.repeat(np.arange(len(lo)), size)
-    at = order[np.repeat(lo, size) + np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)]
-    doc = pdf["doc_id"].to_numpy()[ctx[at]]
-    start = pdf["start"].to_numpy()[ctx[at]] + inner[at]
-    return which, depth[which], doc, start, np.minimum.reduceat(doc, np.cumsum(size) - size)[which]
-
-
-def repeat_groups(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """(occurrences, covered) of (doc_id, text).
-
-    occurrences: doc_id, start, size, first_doc - each occurrence of each maximal
-    repeat of ``length`` bytes or more among distinct contexts, with the smallest
-    document that has it (repeats that go on beyond a context appear as
-    overlapping pieces).  covered: doc_id, start, stop of further equal contexts,
-    which lie in a smaller document whole."""
-    repeated = written(repeated_anchors(docs, length, seed), "anchors")
-    ids = repeated.select("doc_id")
-    some = written(contexts(docs.join(small_side(ids), "doc_id", "left_semi"), repeated, length, seed), "contexts")
+    return np.array(out, dtype=np.int64).reshape(-1, 3)
+
+
+class Chunk:
+    """Enhanced suffix array and maximal repeats of the contexts of whole anchors."""
+
+    def __init__(self, pdf: pd.DataFrame, length: int):
+        raw = pdf["bytes"].tolist()
+        lens = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        self.base = np.cumsum(lens) - lens
+        counts = lens - length + 1
+        self.ctx = np.repeat(np.arange(len(raw)), counts)
+        self.inner = np.arange(len(self.ctx)) - np.repeat(np.cumsum(counts) - counts, counts)
+        starts = self.base[self.ctx] + self.inner
+        left = np.where(self.inner > 0, data[np.maximum(starts - 1, 0)].astype(np.int64), -1)
+        _, group = np.unique(pdf["h"].to_numpy(), return_inverse=True)
+        self.order, lcp = suffix_array(data, starts, (self.base + lens)[self.ctx], group[self.ctx])
+        self.doc, self.start = pdf["doc_id"].to_numpy(), pdf["start"].to_numpy()
+        self.intervals = maximal_repeats(lcp, left[self.order], length)
+
+    def occurrences(self):
+        """Suffix, depth and smallest document of each occurrence of each maximal
+        repeat, a bounded number at a time (an interval stays together)."""
+        lo, hi, depth = self.intervals.T
+        size = hi - lo + 1
+        upto = np.cumsum(size)
+        at = 0
+        while at < len(lo):
+            stop = max(at + 1, int(np.searchsorted(upto, upto[at] - size[at] + OCCURRENCES, side="right")))
+            n = size[at:stop]
+            first = np.cumsum(n) - n
+            own = np.repeat(np.arange(stop - at), n)
+            suffix = self.order[np.repeat(lo[at:stop] - first, n) + np.arange(len(own))]
+            doc = self.doc[self.ctx[suffix]]
+            yield suffix, depth[at:stop][own], np.minimum.reduceat(doc, first)[own]
+            at = stop
+
+    def repeats(self):
+        """Frames doc_id, start, size, first_doc of all occurrences."""
+        for suffix, depth, first in self.occurrences():
+            yield pd.DataFrame({"doc_id": self.doc[self.ctx[suffix]], "start": self.start[self.ctx[suffix]] + self.inner[suffix],
+                                "size": depth, "first_doc": first})
+
+    def covered(self):
+        """Frame doc_id, start, stop of the bytes that repeat a smaller document:
+        of all intervals that hold a suffix the deepest one with a smaller document
+        counts, and what overlaps inside a context is one span."""
+        best = np.zeros(len(self.ctx), dtype=np.int64)
+        for suffix, depth, first in self.occurrences():
+            later = first < self.doc[self.ctx[suffix]]
+            np.maximum.at(best, suffix[later], depth[later])
+        some = np.flatnonzero(best)
+        if not len(some):
+            return
+        ctx, a = self.ctx[some], self.base[self.ctx[some]] + self.inner[some]
+        reach = np.maximum.accumulate(a + best[some])
+        new = np.ones(len(some), dtype=bool)
+        new[1:] = (a[1:] > reach[:-1]) | (ctx[1:] != ctx[:-1])
+        at = np.flatnonzero(new)
+        stop = reach[np.append(at[1:], len(some)) - 1]
+        shift = self.start[ctx[at]] - self.base[ctx[at]]
+        yield pd.DataFrame({"doc_id": self.doc[ctx[at]], "start": a[at] + shift, "stop": stop + shift})
+
+
+def in_chunks(some: DataFrame, length: int, search, schema: str) -> DataFrame:
+    """``search`` over chunks of the contexts (h, doc_id, start, bytes); those with
+    one anchor stay together."""
 
     def part(batches):
+        claim("")
         held: list[pd.DataFrame] = []
         size = 0
         for pdf in batches:
@@ -289,20 +328,60 @@ def repeat_groups(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> tu
                 held = [whole[last]]
                 size = int(held[0]["bytes"].map(len).sum())
                 if (~last).any():
-                    yield from emit(whole[~last])
+                    yield from search(Chunk(whole[~last], length))
         if held:
-            yield from emit(pd.concat(held, ignore_index=True))
+            yield from search(Chunk(pd.concat(held, ignore_index=True), length))
+
+    return some.repartition("h").sortWithinPartitions("h").mapInPandas(part, schema)
+
+
+def repeated_windows(hot: DataFrame, length: int) -> DataFrame:
+    """(doc_id, start, stop) of the windows of the contexts of hot anchors that a
+    smaller document has as well.  Each string of ``length`` bytes is a group of its
+    own, reduced to its smallest document by a combining aggregate, so neither the
+    anchor nor a common string meets in one task."""
+    window = F.substring("bytes", F.col("i") + 1, F.lit(length))
+    rows = (hot.withColumn("i", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - length)))
+            .select("doc_id", (F.col("start") + F.col("i")).alias("start"), window.alias("w")))
+    firsts = rows.groupBy("w").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    firsts = written(firsts.select("w", "first"), "windows")
+    return (rows.join(small_side(firsts, WINDOWS), "w").where("first < doc_id")
+            .select("doc_id", "start", (F.col("start") + length).alias("stop")))
+
+
+def gathered(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """(contexts of anchors, contexts of hot anchors or None, covered spans)."""
+    repeated = written(repeated_anchors(docs, length, seed), "anchors")
+    ids = repeated.select("doc_id")
+    some = written(contexts(docs.join(small_side(ids), "doc_id", "left_semi"), repeated, length, seed), "contexts")
+    distinct = some.where("h is not null").select("h", "doc_id", "start", "bytes")
+    hot = written(distinct.groupBy("h").count().where(f"count > {HOT_CONTEXTS}").select("h"), "hot-anchors")
+    covered = some.where("h is null").select("doc_id", "start", "stop")
+    if hot.isEmpty():
+        return distinct, None, covered
+    hot = small_side(hot)
+    return distinct.join(hot, "h", "left_anti"), distinct.join(hot, "h", "left_semi"), covered
+
+
+def repeat_groups(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """(occurrences, covered) of (doc_id, text).
+
+    occurrences: doc_id, start, size, first_doc - each occurrence of each maximal
+    repeat of ``length`` bytes or more among distinct contexts, with the smallest
+    document that has it (repeats that go on beyond a context appear as
+    overlapping pieces).  covered: doc_id, start, stop of spans that lie in a smaller
+    document whole: further equal contexts, and windows of hot anchors."""
+    some, hot, covered = gathered(docs, length, seed)
+    occurrences = in_chunks(some, length, lambda c: c.repeats(), "doc_id long, start long, size long, first_doc long")
+    return occurrences, covered if hot is None else covered.unionByName(repeated_windows(hot, length))
 
-    def emit(pdf):
-        found = repeats_of_chunk(pdf, length)
-        if found is not None:
-            _, depth, doc, start, first = found
-            yield pd.DataFrame({"doc_id": doc, "start": start, "size": depth, "first_doc": first})
 
-    occurrences = (some.where("h is not null").select("h", "doc_id", "start", "bytes").repartition("h")
-                   .sortWithinPartitions("h")
-                   .mapInPandas(part, "doc_id long, start long, size long, first_doc long"))
-    return occurrences, some.where("h is null").select("doc_id", "start", "stop")
+def repeat_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
+    """(doc_id, start, stop) of bytes that repeat a smaller document: the maximal
+    repeats reduced to what they cover before they leave their task."""
+    some, hot, covered = gathered(docs, length, seed)
+    spans = in_chunks(some, length, lambda c: c.covered(), "doc_id long, start long, stop long").unionByName(covered)
+    return spans if hot is None else spans.unionByName(repeated_windows(hot, length))
 
 
 def kept_texts(docs: DataFrame, spans: DataFrame) -> DataFrame:
@@ -336,9 +415,7 @@ def kept_texts(docs: DataFrame, spans: DataFrame) -> DataFrame:
 def removed_spans(docs: DataFrame, copies: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """(doc_id, spans) of bytes that repeat a smaller document, for documents
     that are not whole copies of another."""
-    occurrences, covered = repeat_groups(first_copies(docs, copies), length, seed)
-    spans = (occurrences.where("first_doc < doc_id").select("doc_id", "start", (F.col("start") + F.col("size")).alias("stop"))
-             .unionByName(covered))
+    spans = repeat_spans(first_copies(docs, copies), length, seed)
 
     def merge(batches):
         for pdf in batches:
@@ -359,14 +436,18 @@ def removed_spans(docs: DataFrame, copies: DataFrame, length: int = LENGTH, seed
     return spans.groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
+def cut_texts(docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """``kept_texts`` of the documents with something to remove."""
+    spans = written(removed_spans(docs, copies), "spans")
+    return kept_texts(counted_texts(docs, copies).join(small_side(spans.select("doc_id")), "doc_id", "left_semi"), spans)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that remain when each 50-byte string that also
     starts in a document with a smaller doc_id is removed."""
     docs = documents(spark, sf_dir)
     copies = written(exact_copies(docs), "reps")
-    spans = written(removed_spans(docs, copies), "spans")
-    cut = kept_texts(whole_text(docs).join(small_side(spans.select("doc_id")), "doc_id", "left_semi"), spans)
-    cut = cut.select("doc_id", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")).dropDuplicates(["doc_id"])
+    cut = cut_texts(docs, copies).select("doc_id", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
     copy = (F.col("rep") != F.col("doc_id")) & (F.col("n_bytes") >= LENGTH)
     empty = F.lit(hashlib.sha256(b"").hexdigest())
     return copies.join(cut, "doc_id", "left").select(
@@ -378,18 +459,23 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: texts without the bytes that repeat a smaller document;
     documents of which nothing but white space is left go.  A cut that splits a
-    character drops its broken bytes.  n_chars follows the text."""
+    character drops its broken bytes.  n_chars follows the text.  Of rows that
+    repeat a doc_id only those with the text that counts are cut; rows with other
+    texts, and rows without a doc_id, stay as they are."""
     copies = written(exact_copies(docs), "reps")
-    spans = written(removed_spans(docs, copies), "spans")
-    cut = kept_texts(whole_text(docs).join(small_side(spans.select("doc_id")), "doc_id", "left_semi"), spans)
-    whole = copies.where(f"rep <> doc_id and n_bytes >= {LENGTH}").select("doc_id", F.lit("").alias("kept_text"))
-    cut = cut.select("doc_id", F.try_validate_utf8(F.col("kept").cast("string")).alias("ok"), "kept")
-    cut = written(cut.select("doc_id", F.coalesce("ok", F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")),
-                                                                          "�", "")).alias("kept_text")).unionByName(whole).dropDuplicates(["doc_id"]), "cut")
-    joined = docs.join(cut, "doc_id", "left")
-    text = F.coalesce("kept_text", "text")
-    kept = joined.withColumn("text", text).where("kept_text is null or kept_text rlike '\\\\S'")
+    cut = cut_texts(docs, copies).select("doc_id", "kept")
+    whole = copies.where(f"rep <> doc_id and n_bytes >= {LENGTH}").select("doc_id", F.lit(b"").alias("kept"))
+    valid = F.try_validate_utf8(F.col("kept").cast("string"))
+    repaired = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
+    key, sha, kept = unused(docs, "cut_id"), unused(docs, "cut_sha"), unused(docs, "kept_text")
+    cut = (cut.unionByName(whole).join(copies.select("doc_id", "sha"), "doc_id")
+           .select(F.col("doc_id").alias(key), F.col("sha").alias(sha), F.coalesce(valid, repaired).alias(kept)))
+    cut = written(cut, "cut")
+    same = docs["doc_id"] == cut[key]
+    if repeated_ids(copies) is not None:
+        same = same & (text_sha() == cut[sha])
+    joined = docs.join(cut, same, "left").where(F.col(kept).isNull() | F.col(kept).rlike(r"\S"))
+    columns = {"text": F.coalesce(kept, "text")}
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("kept_text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType))
-                               .otherwise(F.col("n_chars")))
-    return kept.select(docs.columns)
+        columns["n_chars"] = F.when(F.col(kept).isNotNull(), F.length(kept).cast(docs.schema["n_chars"].dataType)).otherwise(docs["n_chars"])
+    return joined.select(*[columns[c].alias(c) if c in columns else docs[c] for c in docs.columns])
