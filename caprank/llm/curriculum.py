@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caprank.llm.common import documents, written
+from caprank.llm.common import documents, unused, written
 
 WEIGHTS = (5, 2, 1)
 #: (time, relative weight) knots for each weight class: heavy sources lead the
@@ -117,10 +117,13 @@ def mixed(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float =
 
 
 def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many words of every document the mix takes, in training order."""
+    """How many words of every document the mix takes, and the training positions
+    of its first and last copy (null if it takes none), in training order."""
     mix = mixed(documents(spark, sf_dir))
-    first = F.array_min(F.transform("copies", lambda c: c["position"]))
-    return mix.orderBy(first.asc_nulls_last(), "doc_id").select("doc_id", "size", "source_size", "target", "taken")
+    at = F.transform("copies", lambda c: c["position"])
+    mix = mix.withColumns({"first_position": F.array_min(at), "last_position": F.array_max(at)})
+    return mix.orderBy(F.col("first_position").asc_nulls_last(), "doc_id").select(
+        "doc_id", "size", "source_size", "target", "taken", "first_position", "last_position")
 
 
 def training_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -128,26 +131,37 @@ def training_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     range-sorted by training position.  Rows that repeat a doc_id share one
     decision, that of the smallest size."""
     plan = mixed(docs, whole=True).groupBy("doc_id").agg(F.min_by("copies", "size").alias("copies"))
-    plan = plan.select(F.col("doc_id").alias("_id"), F.explode("copies").alias("_copy"))
-    joined = docs.join(plan, docs["doc_id"].eqNullSafe(plan["_id"]))
-    return joined.orderBy("_copy.position", "_id", "_copy.copy").select(*[docs[c] for c in docs.columns])
+    key, copy = unused(docs, "plan_id"), unused(docs, "plan_copy")
+    plan = plan.select(F.col("doc_id").alias(key), F.explode("copies").alias(copy))
+    joined = docs.join(plan, docs["doc_id"].eqNullSafe(plan[key]))
+    return joined.orderBy(f"{copy}.position", key, f"{copy}.copy").select(*[docs[c] for c in docs.columns])
 
 
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 t AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size FROM d GROUP BY source),
-s AS (SELECT *, ([5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE])[1 + (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3] AS w FROM t),
+s AS (SELECT *, (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 AS class,
+        ([5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE])[1 + (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3] AS w FROM t),
 m AS (SELECT *, source_size * 2.0::DOUBLE AS most, CAST(SUM(source_size) OVER () AS DOUBLE) * 1.5::DOUBLE AS all_words FROM s),
 l AS (SELECT *, most / w < (all_words - COALESCE(SUM(most) OVER (ORDER BY most / w, w DESC, source ASC NULLS LAST
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / SUM(w) OVER (ORDER BY most / w, w DESC, source ASC NULLS LAST
         ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS is_full FROM m),
-g AS (SELECT source, source_size, CASE WHEN is_full THEN most ELSE
+g AS (SELECT source, source_size, class, CASE WHEN is_full THEN most ELSE
         w * (all_words - COALESCE(SUM(CASE WHEN is_full THEN most END) OVER (), 0)) / SUM(CASE WHEN NOT is_full THEN w END) OVER () END AS target FROM l),
-c AS (SELECT d.doc_id, d.size, g.source_size, g.target,
+c AS (SELECT d.doc_id, d.size, g.source_size, g.target, g.class,
         COALESCE(SUM(d.size) OVER (PARTITION BY d.source ORDER BY md5('17:0:' || d.doc_id) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c0,
         g.source_size + COALESCE(SUM(d.size) OVER (PARTITION BY d.source ORDER BY md5('17:1:' || d.doc_id) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c1
-      FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
-SELECT doc_id, size, source_size, target,
-  CAST(greatest(0, least(size, floor(target) - c0)) + greatest(0, least(size, floor(target) - c1)) AS BIGINT) AS taken FROM c
+      FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+k AS (SELECT *, greatest(0, least(size, floor(target) - c0)) AS k0, greatest(0, least(size, floor(target) - c1)) AS k1 FROM c),
+y AS (SELECT *, (c0 + k0 / 2) / NULLIF(target, 0) AS y0, (c1 + k1 / 2) / NULLIF(target, 0) AS y1 FROM k),
+-- a schedule that falls from 1.5 to 0.5, one that stays at 1, one that rises from 0.5 over 1 at half time to 1.5
+p AS (SELECT *,
+  CASE class WHEN 0 THEN 1.5 - sqrt(2.25 - 2 * y0) WHEN 1 THEN y0 ELSE
+    CASE WHEN y0 < 0.375 THEN sqrt(0.25 + 2 * y0) - 0.5 ELSE 0.5 + sqrt(1 + 2 * (y0 - 0.375)) - 1 END END AS p0,
+  CASE class WHEN 0 THEN 1.5 - sqrt(2.25 - 2 * y1) WHEN 1 THEN y1 ELSE
+    CASE WHEN y1 < 0.375 THEN sqrt(0.25 + 2 * y1) - 0.5 ELSE 0.5 + sqrt(1 + 2 * (y1 - 0.375)) - 1 END END AS p1 FROM y)
+SELECT doc_id, size, source_size, target, CAST(k0 + k1 AS BIGINT) AS taken,
+  least(CASE WHEN k0 > 0 THEN p0 END, CASE WHEN k1 > 0 THEN p1 END) AS first_position,
+  greatest(CASE WHEN k0 > 0 THEN p0 END, CASE WHEN k1 > 0 THEN p1 END) AS last_position FROM p
 """

@@ -65,6 +65,46 @@ def test_bpe_random_pieces(s):
         assert ids[a:b].tolist() == want.encode_ordinary(t)
 
 
+def colliding_words(n):
+    """Two words of n letters whose plain polynomial hashes agree modulo 2 ** 64
+    for every base: the parity of the bits of each place, and its complement."""
+    parity = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[p] for p in parity), "".join("ba"[p] for p in parity)
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_of_one_hash_keep_their_own_ids(s, monkeypatch, n):
+    from tokenizers import Tokenizer
+
+    import public_tokenizers as p
+    from caprank.llm import common, pieces
+
+    one, two = colliding_words(n)
+    rows = [(1, one, "en", "a"), (2, two, "en", "a"), (3, f"{one} {two} {one}", "en", "a"), (4, "a plain text", "en", "a")]
+    ranks = bpe.rank_file()
+    want = tiktoken_encoding(ranks)
+    for r in bpe.decode(bpe.encode(docs(s, rows), ranks), ranks).collect():
+        text = rows[r["doc_id"] - 1][1]
+        assert r["ids"] == want.encode_ordinary(text) and bytes(r["decoded"]) == text.encode()
+    t = Tokenizer.from_file(p.path("byte_bpe_50k.json"))
+    shards = written(token_files.write_shards(docs(s, rows), token_files.tokenizer_file()), "t")
+    for r in token_files.read_shards(shards).collect():
+        assert r["ids"] == [*t.encode(rows[r["doc_id"] - 1][1], add_special_tokens=False).ids, 2]
+    h = common.span_hashes(*(lambda c, o, _: (c, o[:-1], o[1:]))(*common.code_points([one, two])))
+    assert h[0] != h[1]
+    # even if all words of a length had one hash
+    monkeypatch.setattr(pieces, "span_hashes", lambda v, a, b: (b - a).astype(np.uint64))
+    _, table = bpe.loaded(ranks)
+    table._reset()
+    rng = np.random.default_rng(1)
+    for _ in range(3):
+        texts = [" ".join("".join(rng.choice(list("abcé"), rng.integers(1, 6))) for _ in range(200)), one, two]
+        ids, offsets = bpe.encode_batch(table, texts)
+        for t, a, b in zip(texts, offsets[:-1], offsets[1:], strict=True):
+            assert ids[a:b].tolist() == want.encode_ordinary(t)
+    table._reset()
+
+
 def test_bpe_awkward_rows(s):
     ranks = bpe.rank_file()
     assert bpe.digests(bpe.encode(empty(s), ranks), ranks).count() == 0
@@ -112,6 +152,63 @@ def test_repeats_awkward_rows(s):
     assert removed(s, with_nulls(s)).where("doc_id is null").count() == 0
 
 
+def chosen_texts(frame):
+    """doc_id -> its text with the smallest digest."""
+    out = {}
+    for r in frame.select("doc_id", "text").collect():
+        if r["doc_id"] is not None:
+            t = r["text"] or ""
+            out[r["doc_id"]] = min(out.get(r["doc_id"], t), t, key=lambda x: hashlib.sha256(x.encode()).hexdigest())
+    return out
+
+
+def test_repeats_take_one_text_of_an_id_and_leave_the_others(s):
+    rows = [*TEXTS, (2, PASSAGE + " a second text of two", "en", "a"), (6, "short text of six", "en", "b"), (6, "short text of six", "en", "b"),
+            (None, PASSAGE, "en", "a"), (30, "Here again: " + PASSAGE, "en", "a")]
+    frame = docs(s, rows).withColumns({"kept_text": F.lit("clash"), "cut_id": F.lit("clash")})
+    own = chosen_texts(frame)
+    want = brute_repeats(list(own.items()))
+    first = {}
+    for i, t in sorted(own.items()):
+        first.setdefault(t, i)
+    got = {r["doc_id"]: bytes(r["kept"]) for r in repeats.cut_texts(frame, written(exact_copies(frame), "t")).collect()}
+    assert got == {i: kept_bytes(*want[i]) for i, t in own.items() if sum(want[i][1]) and first[t] == i}
+    stage = repeats.without_repeats(s, frame, SF)
+    assert stage.columns == frame.columns
+    left = []
+    for i, t, *_ in rows:
+        cut = i is not None and (t or "") == own[i]
+        text = kept_bytes(*want[i]).decode("utf-8", "ignore") if cut and sum(want[i][1]) else t
+        if text is t or text.strip():
+            left.append((i, text))
+    assert sorted(map(str, left)) == sorted(str(tuple(r)) for r in stage.select("doc_id", "text").collect())
+
+
+def test_repeats_of_hot_anchors_and_in_slices(s, monkeypatch):
+    line = "this very common line of seventy-odd bytes stands in most documents of all."
+    rows = [(i, f"start {i * 7919} {'x' * (i % 13)} {line} {'y' * (i % 7)} end {i * 104729}", "en", "a") for i in range(60)]
+    frame = docs(s, rows + TEXTS[60:])
+    want = brute_repeats([(i, t) for i, t, *_ in rows])
+    for hot, chunk, at_once in ((5, 1_000_000, 250_000), (10**9, 2000, 50), (20, 500, 1)):
+        monkeypatch.setattr(repeats, "HOT_CONTEXTS", hot)
+        monkeypatch.setattr(repeats, "CHUNK", chunk)
+        monkeypatch.setattr(repeats, "OCCURRENCES", at_once)
+        got = {r["doc_id"]: (r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in removed(s, frame).collect()}
+        assert got == {i: (sum(f), n_spans(f), kept_bytes(raw, f)) for i, (raw, f) in want.items() if sum(f)}
+
+
+def test_occurrences_are_those_of_the_interval_tree():
+    rng = np.random.default_rng(8)
+    ctx = [bytes(rng.integers(97, 99, 30).astype(np.uint8)) for _ in range(12)]
+    pdf = __import__("pandas").DataFrame({"h": 1, "doc_id": np.arange(12), "start": 100 * np.arange(12), "bytes": ctx})
+    chunk = repeats.Chunk(pdf, 8)
+    rows = [tuple(r) for f in chunk.repeats() for r in f.itertuples(index=False)]
+    assert rows and len(rows) == sum(hi - lo + 1 for lo, hi, _ in chunk.intervals.tolist())
+    for d, a, n, first in rows:
+        sub = ctx[d][a - 100 * d:a - 100 * d + n]
+        assert len(sub) == n and first == min(i for i, c in enumerate(ctx) if sub in c)
+
+
 def test_interval_tree_against_all_substrings():
     rng = np.random.default_rng(3)
     texts = [bytes(rng.integers(97, 99, 40).astype(np.uint8)) for _ in range(6)]
@@ -162,8 +259,27 @@ def test_jaccard_on_a_table(s):
 
 def test_jaccard_awkward_rows(s):
     assert jaccard.similar_groups(empty(s))[0].count() == 0
-    got = jaccard.similar_groups(with_nulls(s))[0].collect()
-    assert sorted(r["doc_id"] for r in got) == [i for i, *_ in TEXTS]
+    frame = with_nulls(s)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.similar_groups(frame)[0].collect()}
+    assert got == brute_groups(chosen_texts(frame).items())
+
+
+def test_near_duplicate_stage_keeps_other_texts_of_an_id(s):
+    rows = [*TEXTS, (9, "an unlike text under the id of a near copy", "en", "a"), (1, TEXTS[0][1], "en", "a"), (None, NEAR, "en", "a"),
+            (None, None, None, None)]
+    frame = docs(s, rows).withColumns({"text_digest": F.lit("clash"), "row_number": F.lit("clash")})
+    own = chosen_texts(frame)
+    groups = brute_groups(own.items())
+    want, seen = [], set()
+    for i, t, *_ in rows:
+        if i is not None and (t or "") == own[i]:
+            if groups[i][1] != i or i in seen:
+                continue
+            seen.add(i)
+        want.append((i, t))
+    stage = jaccard.keep_one_of_each_group(s, frame, SF)
+    assert stage.columns == frame.columns
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in stage.select("doc_id", "text").collect())
 
 
 # 4 ---------------------------------------------------------------------------
@@ -192,6 +308,32 @@ def test_language_awkward_rows(s):
     assert {i for i, *_ in TEXTS} - {r["doc_id"] for r in kept.collect()} == {2, 3, 4, 11}
 
 
+def test_language_stage_judges_each_row_by_its_text(s):
+    bad = [(1, "1234 5678", "en", "a"), (None, "99999", "en", "a"), (None, None, "de", "a"), (5, "", None, "a")]
+    good = [r for r in TEXTS if r[1] and any(c.isalpha() for c in r[1])] + [(None, "a clean text without an id", "en", "a")]
+    frame = docs(s, [*bad, *good]).withColumns({"language": F.array(F.lit("clash")), "m": F.create_map(F.lit(1), F.lit("x"))})
+    kept = language.keep_identified(s, frame, SF)
+    assert kept.columns == frame.columns and kept.schema["m"].dataType.simpleString() == "map<int,string>"
+    assert sorted(str((i, t)) for i, t, *_ in good) == sorted(str(tuple(r)) for r in kept.select("doc_id", "text").collect())
+
+
+def test_language_of_very_many_short_texts(s):
+    import tracemalloc
+
+    import pandas as pd
+
+    texts = ["ein Wort", "", "two words", "x"] * 25_000
+    proto = np.random.default_rng(0).normal(size=(2, language.DIM))
+    tracemalloc.start()
+    n = 0
+    from caprank.llm.common import text_batches
+    for ids, some in text_batches([pd.DataFrame({"i": range(len(texts)), "t": texts})], language.BUNDLE_CHARS, language.BUNDLE_ROWS):
+        pred, score, _ = language.predictions(some, ["a", "b"], proto, 1)
+        n += len(pred)
+    assert n == 100_000 and tracemalloc.get_traced_memory()[1] < 120e6
+    tracemalloc.stop()
+
+
 def test_language_stage_rejects_letter_noise(s):
     import base64
     import random
@@ -405,7 +547,9 @@ def test_mix_matches_the_sql(s):
     con = duckdb.connect()
     con.register("documents", table)
     want = {r[0]: r[1:] for r in con.execute(curriculum.ORACLE_SQL).fetchall()}
-    got = {r["doc_id"]: tuple(r)[1:] for r in curriculum.mixed(docs(s)).select("doc_id", "size", "source_size", "target", "taken").collect()}
+    at = F.transform("copies", lambda c: c["position"])
+    got = {r["doc_id"]: tuple(r)[1:] for r in curriculum.mixed(docs(s)).select(
+        "doc_id", "size", "source_size", "target", "taken", F.array_min(at), F.array_max(at)).collect()}
     assert got == want
 
 
@@ -437,5 +581,6 @@ def test_mix_whole_copies_and_awkward_rows(s):
     assert curriculum.mixed(empty(s)).count() == 0
     out = curriculum.mixed(with_nulls(s), whole=True).collect()
     assert len(out) == len(TEXTS) + 4 and all(r["taken"] in (0, r["size"], 2 * r["size"]) for r in out)
-    order = curriculum.training_order(s, docs(s), SF)
-    assert order.columns == docs(s).columns
+    frame = docs(s).withColumns({"plan_id": F.lit("clash"), "plan_copy": F.lit("clash"), "_id": F.lit("clash")})
+    order = curriculum.training_order(s, frame, SF)
+    assert order.columns == frame.columns
