@@ -42,8 +42,8 @@ LENGTH = 50
 SEED = 20
 #: Bytes of contexts that one suffix array holds; one anchor's contexts stay together.
 CHUNK = 1_000_000
-#: An anchor with more contexts is split into its windows.
-HOT_CONTEXTS = 8192
+#: An anchor with more distinct contexts is split into its windows.
+HOT_CONTEXTS = 32_768
 #: Strings of one window's length that a join may broadcast (about 150 bytes each).
 WINDOWS = 200_000
 #: Occurrences of maximal repeats laid out at once.
@@ -311,28 +311,48 @@ class Chunk:
         yield pd.DataFrame({"doc_id": self.doc[ctx[at]], "start": a[at] + shift, "stop": stop + shift})
 
 
-def in_chunks(some: DataFrame, length: int, search, schema: str) -> DataFrame:
+def in_chunks(some: DataFrame, length: int, search, copies, schema: str) -> DataFrame:
     """``search`` over chunks of the contexts (h, doc_id, start, bytes); those with
-    one anchor stay together."""
+    one anchor stay together.  Of equal contexts only those of the smallest document
+    enter a chunk; ``copies(rows, first)`` makes the rows of the others, which stream
+    by, so a chunk holds distinct contexts."""
 
     def part(batches):
         claim("")
         held: list[pd.DataFrame] = []
-        size = 0
+        size, last = 0, None  # last: anchor, bytes and smallest document of the context met last
         for pdf in batches:
+            owners = np.empty(len(pdf), dtype=np.int64)
+            for i, row in enumerate(zip(pdf["h"].tolist(), pdf["bytes"].tolist(), pdf["doc_id"].tolist(), strict=True)):
+                if last is None or row[:2] != last[:2]:
+                    last = row
+                owners[i] = last[2]
+            later = owners < pdf["doc_id"].to_numpy()
+            if later.any():
+                yield copies(pdf[later], owners[later])
+            pdf = pdf[~later]
             held.append(pdf)
             size += int(pdf["bytes"].map(len).sum())
             if size >= CHUNK:
                 whole = pd.concat(held, ignore_index=True)
-                last = whole["h"] == whole["h"].iloc[-1]
-                held = [whole[last]]
+                open_ = whole["h"] == whole["h"].iloc[-1]
+                held = [whole[open_]]
                 size = int(held[0]["bytes"].map(len).sum())
-                if (~last).any():
-                    yield from search(Chunk(whole[~last], length))
+                if (~open_).any():
+                    yield from search(Chunk(whole[~open_], length))
+        held = [x for x in held if len(x)]
         if held:
             yield from search(Chunk(pd.concat(held, ignore_index=True), length))
 
-    return some.repartition("h").sortWithinPartitions("h").mapInPandas(part, schema)
+    return some.repartition("h").sortWithinPartitions("h", "bytes", "doc_id").mapInPandas(part, schema)
+
+
+def _copied_occurrences(rows: pd.DataFrame, first: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"doc_id": rows["doc_id"], "start": rows["start"], "size": rows["bytes"].map(len), "first_doc": first})
+
+
+def _copied_spans(rows: pd.DataFrame, first: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"doc_id": rows["doc_id"], "start": rows["start"], "stop": rows["start"] + rows["bytes"].map(len)})
 
 
 def repeated_windows(hot: DataFrame, length: int) -> DataFrame:
@@ -355,7 +375,7 @@ def gathered(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> tuple[D
     ids = repeated.select("doc_id")
     some = written(contexts(docs.join(small_side(ids), "doc_id", "left_semi"), repeated, length, seed), "contexts")
     distinct = some.where("h is not null").select("h", "doc_id", "start", "bytes")
-    hot = written(distinct.groupBy("h").count().where(f"count > {HOT_CONTEXTS}").select("h"), "hot-anchors")
+    hot = written(distinct.groupBy("h").agg(F.count_distinct(F.xxhash64("bytes")).alias("n")).where(f"n > {HOT_CONTEXTS}").select("h"), "hot-anchors")
     covered = some.where("h is null").select("doc_id", "start", "stop")
     if hot.isEmpty():
         return distinct, None, covered
@@ -367,12 +387,12 @@ def repeat_groups(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> tu
     """(occurrences, covered) of (doc_id, text).
 
     occurrences: doc_id, start, size, first_doc - each occurrence of each maximal
-    repeat of ``length`` bytes or more among distinct contexts, with the smallest
-    document that has it (repeats that go on beyond a context appear as
-    overlapping pieces).  covered: doc_id, start, stop of spans that lie in a smaller
+    repeat of ``length`` bytes or more among distinct contexts, and of each further
+    equal context, with the smallest document that has it (repeats that go on beyond
+    a context appear as overlapping pieces).  covered: doc_id, start, stop of spans that lie in a smaller
     document whole: further equal contexts, and windows of hot anchors."""
     some, hot, covered = gathered(docs, length, seed)
-    occurrences = in_chunks(some, length, lambda c: c.repeats(), "doc_id long, start long, size long, first_doc long")
+    occurrences = in_chunks(some, length, lambda c: c.repeats(), _copied_occurrences, "doc_id long, start long, size long, first_doc long")
     return occurrences, covered if hot is None else covered.unionByName(repeated_windows(hot, length))
 
 
@@ -380,7 +400,7 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Dat
     """(doc_id, start, stop) of bytes that repeat a smaller document: the maximal
     repeats reduced to what they cover before they leave their task."""
     some, hot, covered = gathered(docs, length, seed)
-    spans = in_chunks(some, length, lambda c: c.covered(), "doc_id long, start long, stop long").unionByName(covered)
+    spans = in_chunks(some, length, lambda c: c.covered(), _copied_spans, "doc_id long, start long, stop long").unionByName(covered)
     return spans if hot is None else spans.unionByName(repeated_windows(hot, length))
 
 
