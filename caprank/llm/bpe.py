@@ -23,10 +23,10 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from caprank.llm.common import BATCH_ROWS, CACHES, claim, documents, slices, whole_text
+from caprank.llm.common import BATCH_ROWS, CACHES, claim, documents, slices, span_positions, whole_text
 from caprank.llm.pieces import WordIds, encode_batch
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -181,53 +181,71 @@ def encode(docs: DataFrame, ranks: bytes) -> DataFrame:
     return whole_text(docs).mapInArrow(part, "doc_id long, ids array<int>")
 
 
+class Decoder:
+    """Bytes of token ids by one gather from all tokens laid end to end."""
+
+    def __init__(self, token: dict[int, bytes]):
+        self.top = max(token) + 1
+        self.lens = np.array([len(token.get(i, b"")) for i in range(self.top)], dtype=np.int64)
+        self.offs = np.cumsum(self.lens) - self.lens
+        self.store = np.frombuffer(b"".join(token.get(i, b"") for i in range(self.top)), dtype=np.uint8)
+
+    def texts(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """Bytes of each text; ``offsets`` (one more than texts) cut ``ids``."""
+        ids = ids.astype(np.int64)
+        if len(ids) and not ((ids >= 0) & (ids < self.top) & (self.lens[np.clip(ids, 0, self.top - 1)] > 0)).all():
+            raise ValueError("an id is not in the vocabulary")
+        size = self.lens[ids]
+        raw = self.store[span_positions(self.offs[ids], size)].tobytes()
+        bounds = np.concatenate(([0], np.cumsum(size)))[offsets]
+        return [raw[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
+
 def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
     """(doc_id, ids, decoded binary): the bytes that the ids stand for; null
     ids give null."""
 
     def part(batches):
-        replay, _ = loaded(ranks)
-        top = max(replay.token) + 1
-        lens = np.array([len(replay.token.get(i, b"")) for i in range(top)], dtype=np.int64)
-        offs = np.cumsum(lens) - lens
-        store = np.frombuffer(b"".join(replay.token.get(i, b"") for i in range(top)), dtype=np.uint8)
+        decoder = Decoder(loaded(ranks)[0].token)
         for rb in batches:
-            ids = rb.column(1)
-            for lo in range(0, len(ids), 512):
-                some = ids.slice(lo, 512)
-                flat = some.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                if len(flat) and not ((flat >= 0) & (flat < top) & (lens[np.clip(flat, 0, top - 1)] > 0)).all():
-                    raise ValueError("an id is not in the vocabulary")
-                size = lens[flat]
-                first = np.cumsum(size) - size
-                data = store[np.repeat(offs[flat] - first, size) + np.arange(int(size.sum()), dtype=np.int64)]
-                upto = np.concatenate(([0], np.cumsum(size)))
-                counts = np.concatenate(([0], np.cumsum([0 if c is None else c for c in
-                                                         pa.compute.list_value_length(some).to_pylist()]))).astype(np.int64)
-                bounds = upto[counts]
-                raw = data.tobytes()
-                out = [raw[a:b] if v else None for a, b, v in
-                       zip(bounds[:-1].tolist(), bounds[1:].tolist(), some.is_valid().to_pylist(), strict=True)]
+            for lo in range(0, rb.num_rows, 512):
+                some = rb.column(1).slice(lo, 512)
+                sizes = [0 if c is None else c for c in pa.compute.list_value_length(some).to_pylist()]
+                flat = some.flatten().to_numpy(zero_copy_only=False)
+                texts = decoder.texts(flat, np.concatenate(([0], np.cumsum(sizes))).astype(np.int64))
+                out = [t if v else None for t, v in zip(texts, some.is_valid().to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([rb.column(0).slice(lo, 512), some, pa.array(out, type=pa.binary())],
                                                  ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(part, "doc_id long, ids array<int>, decoded binary")
 
 
-def digests(encoded: DataFrame, ranks: bytes) -> DataFrame:
-    return decode(encoded, ranks).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+def digests(docs: DataFrame, ranks: bytes) -> DataFrame:
+    """Number of ids and the digests of a round trip for each row of (doc_id,
+    text): ``encode`` and ``decode`` in one Python process a task, which keeps the
+    ids there."""
+
+    def part(batches):
+        replay, table = loaded(ranks)
+        decoder = Decoder(replay.token)
+        decimal = [b"%d" % i for i in range(decoder.top)]
+        for doc_ids, texts in arrow_batches(batches, BATCH_CHARS):
+            ids, offsets = encode_batch(table, texts)
+            cuts = list(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [doc_ids, pa.array(np.diff(offsets)),
+                 pa.array([hashlib.sha256(b",".join([decimal[i] for i in ids[a:b].tolist()])).hexdigest() for a, b in cuts], pa.string()),
+                 pa.array([hashlib.sha256(t).hexdigest() for t in decoder.texts(ids, offsets)], pa.string())],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return whole_text(docs).mapInArrow(part, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document, decode the ids, return the digests of both."""
-    ranks = rank_file()
-    return digests(encode(documents(spark, sf_dir), ranks), ranks)
+    return digests(documents(spark, sf_dir), rank_file())
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Last pipeline stage: ids of every row and the digests of the round trip."""
-    ranks = rank_file()
-    return digests(encode(docs, ranks), ranks)
+    return digests(docs, rank_file())

@@ -107,9 +107,14 @@ def test_words_of_one_hash_keep_their_own_ids(s, monkeypatch, n):
 
 def test_bpe_awkward_rows(s):
     ranks = bpe.rank_file()
-    assert bpe.digests(bpe.encode(empty(s), ranks), ranks).count() == 0
-    out = bpe.digests(bpe.encode(with_nulls(s), ranks), ranks).collect()
+    assert bpe.digests(empty(s), ranks).count() == 0
+    out = bpe.digests(with_nulls(s), ranks).collect()
     assert len(out) == len(TEXTS) + 4 and sum(r["doc_id"] is None for r in out) == 2
+    want = tiktoken_encoding(ranks)
+    made = {(r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in out}
+    assert made == {(r["doc_id"], len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                     hashlib.sha256((r["text"] or "").encode()).hexdigest())
+                    for r in with_nulls(s).collect() for ids in [want.encode_ordinary(r["text"] or "")]}
     with pytest.raises(Exception, match="not in the vocabulary"):
         bpe.decode(s.createDataFrame([(1, [10_000_000])], "doc_id long, ids array<int>"), ranks).collect()
 
