@@ -10,6 +10,7 @@ an empty table gives an empty result.  Null ids travel through Python as
 
 from __future__ import annotations
 
+import gc
 import uuid
 import zlib
 from collections.abc import Callable
@@ -59,6 +60,13 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_BYTES))
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of finished work: shuffle files are removed once neither Python nor the
+    driver's JVM refers to their plans, and both collect rarely on their own."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -19,15 +19,15 @@ operator and kept by the stage.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from caprank.llm.common import (CACHES, claim, code_points, crc_mod, documents, null_id, slices, text_batches, unused, with_id,
-                                written)
+from caprank.llm.common import (BROADCAST_IDS, CACHES, code_points, crc_mod, documents, null_id, small_side, text_batches, text_sha,
+                                unused, with_id, written)
 
 DIM = 1024
 SEED = 20_231
@@ -161,27 +161,19 @@ def identify(docs: DataFrame, langs: list[str], protos: np.ndarray, seed: int =
             .select(null_id(), "lang_pred", "score", "trigrams"))
 
 
-def with_predictions(docs: DataFrame, langs: list[str], protos: np.ndarray, seed: int = SEED) -> tuple[DataFrame, str]:
-    """Every row of ``docs`` as it is, with one more column, a struct (lang, score,
-    trigrams), and that column's name.  Rows pass as Arrow batches, so columns of
-    any type and rows that share an id, or have none, stay apart."""
-    name = unused(docs, "language")
-    at = docs.columns.index("text")
-    schema = StructType([*docs.schema.fields, StructField(name, StructType([
-        StructField("lang", StringType()), StructField("score", DoubleType()), StructField("trigrams", LongType())]))])
+def judged_texts(docs: DataFrame, langs: list[str], protos: np.ndarray, seed: int = SEED) -> DataFrame:
+    """(sha, labelled, lang, score, trigrams) of each row of (text, lang): a text is
+    known by its digest, so rows that share an id, or have none, stay apart, and
+    the texts themselves go no further."""
 
     def part(batches):
-        claim("language")
-        for rb in batches:
-            texts = ["" if t is None else t for t in rb.column(at).to_pylist()]
-            for lo, hi in slices([len(t) for t in texts], BUNDLE_CHARS, BUNDLE_ROWS):
-                pred, score, trigrams = predictions(texts[lo:hi], langs, protos, seed)
-                made = pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64()),
-                                                   pa.array(trigrams, pa.int64())], ["lang", "score", "trigrams"])
-                some = rb.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*some.columns, made], [*some.schema.names, name])
+        for labelled, texts in text_batches(batches, BUNDLE_CHARS, BUNDLE_ROWS, "language"):
+            pred, score, trigrams = predictions(texts, langs, protos, seed)
+            yield pd.DataFrame({"sha": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in texts],
+                                "labelled": labelled, "lang": pred, "score": score, "trigrams": trigrams})
 
-    return docs.mapInArrow(part, schema), name
+    return (docs.select(F.col("lang").isNotNull().alias("labelled"), F.coalesce("text", F.lit("")).alias("text"))
+            .mapInPandas(part, "sha string, labelled boolean, lang string, score double, trigrams long"))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,10 +207,11 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     langs, protos = prototypes(docs.select("text", "lang"))
     if not langs:
         return docs.where(F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}"))
-    judged, name = with_predictions(docs, langs, protos)
-    judged = written(judged, "identified")
-    found = F.col(f"`{name}`")
+    judged = written(judged_texts(docs, langs, protos), "judged")
     level = F.lit(0.0)
-    for least, lowest in levels(judged.where("lang is not null").select(found["score"].alias("score"), found["trigrams"].alias("trigrams"))):
-        level = F.when(found["trigrams"] >= least, F.lit(lowest)).otherwise(level)
-    return judged.where((found["lang"] != UNKNOWN) & (found["score"] >= level)).select(docs.columns)
+    for least, lowest in levels(judged.where("labelled").select("score", "trigrams")):
+        level = F.when(F.col("trigrams") >= least, F.lit(lowest)).otherwise(level)
+    name = unused(docs, "text_digest")
+    gone = judged.where((F.col("lang") == UNKNOWN) | (F.col("score") < level)).select(F.col("sha").alias(name)).distinct()
+    gone = small_side(written(gone, "rejected"), BROADCAST_IDS // 4)
+    return docs.withColumn(name, text_sha()).join(gone, name, "left_anti").select(docs.columns)

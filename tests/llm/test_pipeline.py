@@ -4,11 +4,12 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from caprank.llm import bpe, curriculum
 from caprank.llm.common import prepare
-from helpers import TEXTS, brute_groups, brute_repeats, docs, kept_bytes, with_nulls, words
+from helpers import TEXTS, brute_groups, brute_repeats, docs, kept_bytes, words
 
 SF = "/root/testdata/sf0.001"
 
@@ -86,4 +87,30 @@ def test_pipeline_matches_plain_python(s):
 def test_pipeline_on_awkward_rows(s):
     assert counted(through(s, docs(s)).collect()) == brute([(i, t, src) for i, t, _, src in TEXTS])
     assert through(s, docs(s, [])).count() == 0
-    assert through(s, with_nulls(s)).count() > 0
+
+
+def test_stages_keep_rows_without_an_id_and_other_texts_of_one(s):
+    rows = [*TEXTS, (None, "text without an id, rather long so that it has words", "en", "a"), (5, "another text under a used id", "en", "a"),
+            (None, "1234", "en", "a"), (1, TEXTS[0][1], "en", "a")]
+    frame = docs(s, rows).withColumns({c: F.lit("clash") for c in ("kept_text", "_id", "_copy", "_gone", "text_digest", "plan_id", "cut_id")})
+    for name, stage in corpus_pipeline.STAGES[:-2]:
+        before = frame.columns
+        frame = stage(s, frame, SF).cache()
+        assert frame.columns == before
+    left = [(r["doc_id"], r["text"]) for r in frame.collect()]
+    assert (None, rows[20][1]) in left and (5, rows[21][1]) in left and (None, "1234") not in left
+    assert sum(i == 1 for i, _ in left) == 1  # equal rows are one document
+    ids = {i for i, _ in left}
+    plain = brute_ids([(i, t) for i, t, *_ in TEXTS])
+    assert ids - {None} == plain
+    out = corpus_pipeline.STAGES[-1][1](s, corpus_pipeline.STAGES[-2][1](s, frame, SF), SF).collect()
+    assert {r["doc_id"] for r in out} <= ids and len(out) > 5
+
+
+def brute_ids(rows):
+    """Ids that language, near duplicates and repeated passages keep."""
+    rows = [(i, t) for i, t in rows if t and any(c.isalpha() for c in t)]
+    groups = brute_groups(rows)
+    rows = [(i, t) for i, t in rows if groups[i][1] == i]
+    cut = brute_repeats(rows)
+    return {i for i, _ in rows if kept_bytes(*cut[i]).strip()}
