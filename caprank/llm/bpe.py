@@ -31,7 +31,7 @@ from caprank.llm.pieces import WordIds, encode_batch
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
-BATCH_CHARS = 500_000
+BATCH_CHARS = 250_000
 
 
 def rank_file(path: str | None = None) -> bytes:

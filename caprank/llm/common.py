@@ -10,6 +10,8 @@ an empty table gives an empty result.  Null ids travel through Python as
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import uuid
 import zlib
@@ -40,11 +42,22 @@ WORD_SPACE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 CACHES: dict[str, Callable[[], None]] = {}
 
 
+_OWNER = ""
+
+
 def claim(owner: str) -> None:
-    """Called in a task before work: frees the tables of every other operator."""
+    """Called in a task before work: if another operator worked in this process
+    before, its tables are freed and the freed memory goes back to the system."""
+    global _OWNER
+    if owner == _OWNER:
+        return
+    _OWNER = owner
     for name, free in CACHES.items():
         if name != owner:
             free()
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 #: Arrow batches between the JVM and Python hold at most this many bytes.
@@ -112,7 +125,7 @@ def crc_mod(col: str, mod: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % mod
 
 
-def text_batches(batches, chars: int = BATCH_CHARS, rows: int = BATCH_ROWS, owner: str = ""):
+def text_batches(batches, chars: int = BATCH_CHARS, rows: int = BATCH_ROWS, owner: str = "texts"):
     """Regroup Arrow/pandas batches (first column id, second text) into lists
     (ids, texts) of about ``chars`` characters and at most ``rows`` texts; one
     longer text is one batch.  Tables that other operators than ``owner`` left in

@@ -308,7 +308,7 @@ class Chunk:
         at = np.flatnonzero(new)
         stop = reach[np.append(at[1:], len(some)) - 1]
         shift = self.start[ctx[at]] - self.base[ctx[at]]
-        yield pd.DataFrame({"doc_id": self.doc[ctx[at]], "start": a[at] + shift, "stop": stop + shift})
+        yield merged(pd.DataFrame({"doc_id": self.doc[ctx[at]], "start": a[at] + shift, "stop": stop + shift}))
 
 
 def in_chunks(some: DataFrame, length: int, search, copies, schema: str) -> DataFrame:
@@ -318,7 +318,7 @@ def in_chunks(some: DataFrame, length: int, search, copies, schema: str) -> Data
     by, so a chunk holds distinct contexts."""
 
     def part(batches):
-        claim("")
+        claim("repeats")
         held: list[pd.DataFrame] = []
         size, last = 0, None  # last: anchor, bytes and smallest document of the context met last
         for pdf in batches:
@@ -352,7 +352,7 @@ def _copied_occurrences(rows: pd.DataFrame, first: np.ndarray) -> pd.DataFrame:
 
 
 def _copied_spans(rows: pd.DataFrame, first: np.ndarray) -> pd.DataFrame:
-    return pd.DataFrame({"doc_id": rows["doc_id"], "start": rows["start"], "stop": rows["start"] + rows["bytes"].map(len)})
+    return merged(pd.DataFrame({"doc_id": rows["doc_id"], "start": rows["start"], "stop": rows["start"] + rows["bytes"].map(len)}))
 
 
 def repeated_windows(hot: DataFrame, length: int) -> DataFrame:
@@ -400,7 +400,8 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Dat
     """(doc_id, start, stop) of bytes that repeat a smaller document: the maximal
     repeats reduced to what they cover before they leave their task."""
     some, hot, covered = gathered(docs, length, seed)
-    spans = in_chunks(some, length, lambda c: c.covered(), _copied_spans, "doc_id long, start long, stop long").unionByName(covered)
+    spans = in_chunks(some, length, lambda c: c.covered(), _copied_spans, "doc_id long, start long, stop long")
+    spans = spans.unionByName(merged_parts(covered))  # one Python process a task in each branch
     return spans if hot is None else spans.unionByName(repeated_windows(hot, length))
 
 
@@ -432,27 +433,37 @@ def kept_texts(docs: DataFrame, spans: DataFrame) -> DataFrame:
         part, "doc_id long, n_removed long, n_spans long, kept binary")
 
 
+def merged(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Spans (doc_id, start, stop) with those that touch or overlap joined."""
+    if len(pdf) < 2:
+        return pdf
+    d, a, b = (pdf[c].to_numpy() for c in ("doc_id", "start", "stop"))
+    order = np.lexsort((a, d))
+    d, a, b = d[order], a[order], b[order]
+    # stops grow along a document: documents are kept apart by an offset
+    doc = np.concatenate(([0], np.cumsum(d[1:] != d[:-1])))
+    base = doc * (int(b.max()) + 2)
+    reach = np.maximum.accumulate(b + base)
+    new = np.concatenate(([True], a[1:] + base[1:] > reach[:-1]))
+    at = np.flatnonzero(new)
+    last = np.append(at[1:], len(d)) - 1
+    return pd.DataFrame({"doc_id": d[at], "start": a[at], "stop": reach[last] - base[last]})
+
+
+def merged_parts(spans: DataFrame) -> DataFrame:
+    """Spans joined as far as they meet in a batch."""
+
+    def part(batches):
+        for pdf in batches:
+            yield merged(pdf)
+
+    return spans.mapInPandas(part, "doc_id long, start long, stop long")
+
+
 def removed_spans(docs: DataFrame, copies: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """(doc_id, spans) of bytes that repeat a smaller document, for documents
     that are not whole copies of another."""
     spans = repeat_spans(first_copies(docs, copies), length, seed)
-
-    def merge(batches):
-        for pdf in batches:
-            pdf = pdf.sort_values(["doc_id", "start"], kind="stable")
-            d, a, b = (pdf[c].to_numpy() for c in ("doc_id", "start", "stop"))
-            if len(d):
-                out_d, out_a, out_b = [], [], []
-                for x, lo, hi in zip(d.tolist(), a.tolist(), b.tolist(), strict=True):
-                    if out_d and out_d[-1] == x and lo <= out_b[-1]:
-                        out_b[-1] = max(out_b[-1], hi)
-                    else:
-                        out_d.append(x)
-                        out_a.append(lo)
-                        out_b.append(hi)
-                yield pd.DataFrame({"doc_id": out_d, "start": out_a, "stop": out_b})
-
-    spans = spans.mapInPandas(merge, "doc_id long, start long, stop long")
     return spans.groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caprank.llm.common import CACHES, NO_ID, documents, packed, small_side, text_batches, unpacked, with_id, written
+from caprank.llm.common import CACHES, NO_ID, claim, documents, packed, small_side, text_batches, unpacked, with_id, written
 from caprank.llm.pieces import WordIds, encode_batch
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -43,6 +43,8 @@ END_ID = 2
 MAGIC = b"TOKRANS1"
 SHARD_TOKENS, BLOCK_TOKENS, LANES, CHECK_STEPS = 2_000_000, 1 << 20, 4096, 128
 PARTITION_CHARS = 16_000_000
+#: Characters encoded at once.
+BATCH_CHARS = 250_000
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
 
@@ -221,7 +223,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataF
                                  "data": [write_shard(np.array(doc_ids, dtype=np.int64), np.array(lengths, dtype=np.int64), ids)]})
 
         held = 0
-        for some, texts in text_batches(batches, owner="tokens"):
+        for some, texts in text_batches(batches, BATCH_CHARS, owner="tokens"):
             ids, offsets = encode_batch(table, texts)
             tokens.append(np.insert(ids, offsets[1:], end_id))
             doc_ids += some
@@ -242,6 +244,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
     shards, ``at`` counting the ids before it in its shard."""
 
     def part(batches):
+        claim("token reader")
         for pdf in batches:
             for f, s, raw in zip(pdf["file"], pdf["shard"], pdf["data"], strict=True):
                 doc_ids, lengths, ids = read_shard(raw)
@@ -261,6 +264,7 @@ def doc_index(shards: DataFrame) -> DataFrame:
     document never leave the task that decodes them."""
 
     def part(batches):
+        claim("token reader")
         for pdf in batches:
             for f, s, raw in zip(pdf["file"], pdf["shard"], pdf["data"], strict=True):
                 doc_ids, lengths, ids = read_shard(raw)

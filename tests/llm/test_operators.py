@@ -202,6 +202,28 @@ def test_repeats_of_hot_anchors_and_in_slices(s, monkeypatch):
         assert got == {i: (sum(f), n_spans(f), kept_bytes(raw, f)) for i, (raw, f) in want.items() if sum(f)}
 
 
+def test_spans_that_touch_are_joined():
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    rows = [(int(rng.integers(0, 6)) - 3, int(a), int(a + rng.integers(1, 9))) for a in rng.integers(0, 80, 120)]
+    got = {tuple(r) for r in repeats.merged(pd.DataFrame(rows, columns=["doc_id", "start", "stop"])).itertuples(index=False)}
+    want = set()
+    for d in {r[0] for r in rows}:
+        flags = [any(i == d and a <= p < b for i, a, b in rows) for p in range(100)]
+        touch = {b for i, _, b in rows if i == d} & {a for i, a, _ in rows if i == d}
+        p = 0
+        while p < 100:
+            if flags[p]:
+                q = p
+                while flags[q] or q in touch and flags[q]:
+                    q += 1
+                want.add((d, p, q))
+                p = q
+            p += 1
+    assert got == want
+
+
 def test_occurrences_are_those_of_the_interval_tree():
     rng = np.random.default_rng(8)
     ctx = [bytes(rng.integers(97, 99, 30).astype(np.uint8)) for _ in range(12)]
