@@ -1,7 +1,11 @@
-"""Resampled confidence intervals for precision at k (K5) and for the
+"""Resampled confidence intervals for a metric at k (K5) and for the
 difference between two scorers on the same resamples (K6).
 
-Engine: Poisson bootstrap.  Replicate ``b`` gives row ``id`` the weight
+The engine is fixed-size resampling (:mod:`caprank.operators.resample`).  With
+``method="poisson"`` it is the Poisson bootstrap of precision at k below, whose
+resamples have a random size.
+
+Poisson bootstrap: replicate ``b`` gives row ``id`` the weight
 ``w ~ Poisson(1)`` drawn by inverse CDF from a 32-bit hash uniform
 ``h = hex(md5(seed|b|id))[0:8]``; integer thresholds make the draw bit-exact
 in any SQL engine.  Per replicate: ``n_b = sum(w)``, ``k_b = max(1,
@@ -26,7 +30,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caprank.functions.order import as_col
-from caprank.session import pinned, small_result
+from caprank.operators.resample import METRICS, interval, point_values, replicates
+from caprank.session import pinned
 from caprank.operators.ranking import (
     EXACT_LIMIT,
     MAX_BUCKETS,
@@ -36,6 +41,7 @@ from caprank.operators.ranking import (
     _sample_splits,
     find_cut,
     k_from_fraction,
+    order_value,
 )
 
 POISSON_MAX = 12
@@ -70,7 +76,7 @@ def poisson1_weight_sql(h: str) -> str:
 
 def _base(df: DataFrame, y: str, scores: dict[str, str], rid: str) -> DataFrame:
     return df.select(
-        F.col(rid).cast("long").alias("_id"),
+        F.col(rid).alias("_id"),
         F.col(y).cast("long").alias("_y"),
         *[as_col(c).cast("double").alias(f"_s_{m}") for m, c in scores.items()],
     )
@@ -113,9 +119,9 @@ def _replicate_precision_bucketed(
 ) -> DataFrame:
     s = f"_s_{m}"
     n_buckets = min(MAX_BUCKETS, max(2, math.ceil(n / TARGET_BUCKET_ROWS)))
-    splits = _sample_splits(base.select(s, "_id"), n, n_buckets, seed)
+    splits = _sample_splits(base.select(order_value(F.col(s)), "_id"), n, n_buckets, seed)
     # bucket once per row, before the replicate fan-out
-    keyed = _explode(assign_buckets(base, splits, F.col(s), F.col("_id"), "_bk"), n_iter, seed)
+    keyed = _explode(assign_buckets(base, splits, order_value(F.col(s)), F.col("_id"), "_bk"), n_iter, seed)
     per = keyed.groupBy("_b", "_bk").agg(
         F.sum("_w").alias("_W"), F.sum(F.col("_w") * F.col("_y")).alias("_WY")
     )
@@ -190,28 +196,27 @@ def bootstrap_metric(
     seed: int = 42,
     n: int | None = None,
     point: float | None = None,
+    metric: str = "precision_at_k",
+    method: str = "fixed",
     **kw,
 ) -> DataFrame:
     """K5: one row ``metric, point, ci_low, ci_high, ci_level``.  Callers that
     already know ``n`` and the point estimate pass them in."""
-    with pinned(_base(df, y, {"a": score}, rid)) as base:
-        return small_result(_bootstrap_metric(base, "_y", "_s_a", "_id", fraction, n_iter, ci_level, seed,
-                                              n, point, **kw))
-
-
-def _bootstrap_metric(df, y, score, rid, fraction, n_iter, ci_level, seed, n=None, point=None, **kw) -> DataFrame:
-    n = n if n is not None else df.count()
-    point = point if point is not None else _point_precision(df, y, score, rid, fraction, n)
-    reps = replicate_precision(df, y, {"a": score}, rid, fraction, n_iter, seed, n=n, **kw)
-    a = 1.0 - ci_level
-    q = reps.agg(F.percentile("p_a", [a / 2, 1 - a / 2]).alias("_q"))
-    return q.select(
-        F.lit("precision_at_k").alias("metric"),
-        F.lit(float(point)).alias("point"),
-        F.col("_q")[0].alias("ci_low"),
-        F.col("_q")[1].alias("ci_high"),
-        F.lit(float(ci_level)).alias("ci_level"),
-    )
+    with pinned(df.select(F.col(rid), F.col(y), F.col(score))) as base:
+        n = n if n is not None else base.count()
+        if method == "poisson":
+            reps = replicate_precision(base, y, {"a": score}, rid, fraction, n_iter, seed, n=n, **kw)
+            value = F.col("p_a")
+            _precision_only(metric)
+        else:
+            reps = replicates(base, y, {"a": score}, rid, fraction, n_iter, seed, n=n, **kw)
+            value = F.col(f"{_at_k(metric)}_a")
+        lo, hi = reps.agg(interval(value, ci_level)).first()[0]
+        if point is None:
+            point = point_values(base, y, score, rid, fraction, n)[metric]
+    return df.sparkSession.createDataFrame(
+        [(metric, float(point), lo, hi, float(ci_level))],
+        "metric string, point double, ci_low double, ci_high double, ci_level double")
 
 
 def bootstrap_difference(
@@ -226,28 +231,35 @@ def bootstrap_difference(
     seed: int = 42,
     n: int | None = None,
     points: tuple[float, float] | None = None,
+    metric: str = "precision_at_k",
+    method: str = "fixed",
     **kw,
 ) -> DataFrame:
-    """K6: P@k(a) - P@k(b) with both scorers on the same resamples."""
-    with pinned(_base(df, y, {"a": score_a, "b": score_b}, rid)) as base:
-        return small_result(_bootstrap_difference(base, "_y", "_s_a", "_s_b", "_id", fraction, n_iter, ci_level,
-                                                  seed, n, points, **kw))
-
-
-def _bootstrap_difference(df, y, score_a, score_b, rid, fraction, n_iter, ci_level, seed, n=None, points=None,
-                          **kw) -> DataFrame:
-    n = n if n is not None else df.count()
-    if points is None:
-        points = (_point_precision(df, y, score_a, rid, fraction, n), _point_precision(df, y, score_b, rid, fraction, n))
-    point = points[0] - points[1]
-    reps = replicate_precision(df, y, {"a": score_a, "b": score_b}, rid, fraction, n_iter, seed, n=n, **kw)
-    a = 1.0 - ci_level
-    q = reps.agg(F.percentile(F.col("p_a") - F.col("p_b"), [a / 2, 1 - a / 2]).alias("_q"))
-    lo, hi = F.col("_q")[0], F.col("_q")[1]
-    return q.select(
-        F.lit(float(point)).alias("point"),
-        lo.alias("ci_low"),
-        hi.alias("ci_high"),
-        F.lit(float(ci_level)).alias("ci_level"),
-        ((lo > 0) | (hi < 0)).alias("excludes_zero"),
-    )
+    """K6: metric(a) - metric(b) with both scorers on the same resamples."""
+    with pinned(df.select(F.col(rid), F.col(y), F.col(score_a).alias("_a"), F.col(score_b).alias("_b"))) as base:
+        n = n if n is not None else base.count()
+        scores = {"a": "_a", "b": "_b"}
+        if method == "poisson":
+            reps = replicate_precision(base, y, scores, rid, fraction, n_iter, seed, n=n, **kw)
+            difference = F.col("p_a") - F.col("p_b")
+            _precision_only(metric)
+        else:
+            reps = replicates(base, y, scores, rid, fraction, n_iter, seed, n=n, **kw)
+            difference = F.col(f"{_at_k(metric)}_a") - F.col(f"{metric}_b")
+        lo, hi = reps.agg(interval(difference, ci_level)).first()[0]
+        if points is None:
+            points = tuple(point_values(base, y, s, rid, fraction, n)[metric] for s in scores.values())
+    row = (float(points[0] - points[1]), lo, hi, float(ci_level), bool(lo > 0 or hi < 0))
+    return df.sparkSession.createDataFrame(
+        [row], "point double, ci_low double, ci_high double, ci_level double, excludes_zero boolean")
+
+
+def _at_k(metric: str) -> str:
+    if metric not in METRICS:
+        raise ValueError(f"no metric {metric!r} at k; there are {', '.join(METRICS)}")
+    return metric
+
+
+def _precision_only(metric: str) -> None:
+    if metric != "precision_at_k":
+        raise ValueError("the Poisson bootstrap knows precision at k alone")

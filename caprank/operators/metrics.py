@@ -124,7 +124,7 @@ def evaluate_model(
     score: str,
     rid: str,
     fraction: float = 0.10,
-    n_bootstrap: int = 200,
+    n_bootstrap: int = 2000,
     ci_level: float = 0.95,
     seed: int = 42,
 ) -> DataFrame:
@@ -143,6 +143,31 @@ def evaluate_model(
     return df.sparkSession.createDataFrame([row], BUNDLE_SCHEMA)
 
 
+def evaluate_rungs(
+    scored: DataFrame,
+    y: str,
+    rid: str,
+    score_cols: Mapping[str, str],
+    fraction: float = 0.10,
+    n_bootstrap: int = 2000,
+    ci_level: float = 0.95,
+    seed: int = 42,
+) -> DataFrame:
+    """K10 for every rung (M6): ``model`` and the eight numbers of the bundle, one
+    row a rung in ladder order.  The metrics at k are one grouped aggregate, the
+    intervals one set of resamples that all rungs share."""
+    from caprank.operators.resample import interval, replicates
+
+    with pinned(scored.select(rid, y, *score_cols.values())) as base:
+        rows = {r["model"]: r for r in evaluate_ladder(base, y, rid, score_cols, fraction).collect()}
+        reps = replicates(base, y, score_cols, rid, fraction, n_bootstrap, seed)
+        ends = reps.agg(*[interval(F.col(f"precision_at_k_{m}"), ci_level).alias(m) for m in score_cols]).first()
+        ap = {m: average_precision(base, y, c).first()["average_precision"] for m, c in score_cols.items()}
+    out = [(m, rows[m]["precision_at_k"], *ends[m], rows[m]["lift_at_k"], rows[m]["recall_at_k"], ap[m], rows[m]["brier"],
+            rows[m]["base_rate"]) for m in score_cols]
+    return scored.sparkSession.createDataFrame(out, f"model string, {BUNDLE_SCHEMA}")
+
+
 BUNDLE_SCHEMA = (
     "precision_at_k double, precision_at_k_ci_low double, precision_at_k_ci_high double, lift_at_k double, "
     "recall_at_k double, pr_auc double, brier double, base_rate double"
