@@ -177,7 +177,7 @@ def leakage_scan(
     from caprank.session import pinned
 
     dirs = [(f, d, _c(f).cast("double") * F.lit(float(sgn))) for f in features for d, sgn in (("pos", 1), ("neg", -1))]
-    with pinned(df.select(_c(rid).cast("long").alias("_id"), _c(y).cast("long").alias("_y"),
+    with pinned(df.select(_c(rid).alias("_id"), _c(y).cast("long").alias("_y"),
                           *[_c(f) for f in features])) as base:
         n = base.count()
         k = k_from_fraction(n, fraction)

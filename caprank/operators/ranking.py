@@ -21,7 +21,8 @@ library order is ``(score DESC, id ASC)`` (ids unique, so it is total).
 
 Scores of any value have a place: NaN, +inf, finite values descending, -inf,
 null, and ids ascending among equals - Spark's own order of ``score DESC NULLS
-LAST, id ASC``.  Splitting works on :func:`order_value`, a finite double that is
+LAST, id ASC``.  Ids are compared in their own type, whatever it is (``1 << 60``,
+text, binary, dates).  Splitting works on :func:`order_value`, a finite double that is
 monotone in that order, so a block of nulls or NaNs is split by id like any
 other giant tie, and small and large inputs give the same rows and ranks.
 """
@@ -34,7 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caprank.functions.order import as_col, row_at_or_before, sort_key
+from caprank.functions.order import as_col, row_at_or_before, sort_key, splits_at_or_before
 
 EXACT_LIMIT = 200_000  # rows ranked inside one task at most
 TARGET_BUCKET_ROWS = 50_000
@@ -62,10 +63,10 @@ class Cut:
 
     k: int
     score: float | None
-    id: int
+    id: object
 
     def contains(self, score: str | Column, rid: str | Column) -> Column:
-        s, i = _dbl(score), _lng(rid)
+        s, i = _dbl(score), as_col(rid)
         if self.score is None:
             return s.isNotNull() | (i <= F.lit(self.id))
         if math.isnan(self.score):
@@ -86,27 +87,23 @@ def _dbl(c: str | Column) -> Column:
     return as_col(c).cast("double")
 
 
-def _lng(c: str | Column) -> Column:
-    return as_col(c).cast("long")
-
-
 def _in_range(first, last, s: Column, i: Column) -> Column:
     """Rows r with ``first <= r <= last`` in the library order (None = open)."""
     cond = F.lit(True)
     if first is not None:
         fs, fi = first
-        cond = cond & ((s < F.lit(float(fs))) | ((s == F.lit(float(fs))) & (i >= F.lit(int(fi)))))
+        cond = cond & ((s < F.lit(float(fs))) | ((s == F.lit(float(fs))) & (i >= F.lit(fi))))
     if last is not None:
         cond = cond & row_at_or_before(last, s, i)
     return cond
 
 
-def _splits_from_points(pts: list[tuple[float, int]], n_buckets: int) -> list[tuple[float, int]]:
+def _splits_from_points(pts: list[tuple[float, object]], n_buckets: int) -> list[tuple[float, object]]:
     pts = sorted(pts, key=lambda p: sort_key(*p))
     if not pts:
         return []
     step = len(pts) / n_buckets
-    out: list[tuple[float, int]] = []
+    out: list[tuple[float, object]] = []
     for b in range(1, n_buckets):
         p = pts[min(len(pts) - 1, int(b * step))]
         if not out or out[-1] != p:
@@ -114,13 +111,13 @@ def _splits_from_points(pts: list[tuple[float, int]], n_buckets: int) -> list[tu
     return out
 
 
-def _sample_splits(df: DataFrame, cnt: int, n_buckets: int, seed: int) -> list[tuple[float, int]]:
+def _sample_splits(df: DataFrame, cnt: int, n_buckets: int, seed: int) -> list[tuple[float, object]]:
     """Sorted composite split points from a random sample of about
     ``1.5 * n_buckets * SAMPLE_PER_BUCKET`` rows of the whole input."""
     target = n_buckets * SAMPLE_PER_BUCKET
     frac = min(1.0, 1.5 * target / max(cnt, 1))
     rows = df.sample(False, frac, seed).collect()
-    return _splits_from_points([(float(r[0]), int(r[1])) for r in rows], n_buckets)
+    return _splits_from_points([(float(r[0]), r[1]) for r in rows], n_buckets)
 
 
 def _bucketize(df: DataFrame, cols: list[tuple[str, list[float], str]]) -> DataFrame:
@@ -145,28 +142,28 @@ MAX_HEAVY_TIES = 64
 MAX_HOT_IN_ONE_PASS = 64  # hot partitions bucketed in a single projection
 
 
-def _key_plan(splits: list[tuple[float, int]]):
+def _key_plan(splits: list[tuple[float, object]]):
     """Distinct split scores, heavy tie values with their id splits, and the
     key width, for :func:`assign_buckets`."""
     uniq = sorted({p[0] for p in splits}) or [0.0]  # Bucketizer needs one split at least
-    mult: dict[float, set[int]] = {}
+    mult: dict[float, set] = {}
     for ps, pi in splits:
         mult.setdefault(ps, set()).add(pi)
     heavy = sorted((v for v, ids in mult.items() if len(ids) >= HEAVY_TIE_MULTIPLICITY),
                    key=lambda v: -len(mult[v]))[:MAX_HEAVY_TIES]
     width = max([len(mult[v]) + 2 for v in heavy] + [1])
-    return uniq, [(v, sorted(float(x) for x in mult[v])) for v in heavy], width
+    return uniq, [(v, sorted(mult[v])) for v in heavy], width
 
 
-def assign_buckets(df: DataFrame, splits: list[tuple[float, int]], s: Column, i: Column, out: str,
+def assign_buckets(df: DataFrame, splits: list[tuple[float, object]], s: Column, i: Column, out: str,
                    partition_col: str | None = None, splits_by_part: dict | None = None) -> DataFrame:
     """Add ``out``: a bucket number that is monotone in the library order.
 
     Score level: ``#(distinct split scores > score)`` via ``Bucketizer``;
     equal scores share a bucket.  Giant ties: a score value carrying at least
     ``HEAVY_TIE_MULTIPLICITY`` split points (so its block is several buckets
-    big) is split again by id with its own id split points - one extra
-    Bucketizer column per heavy value (at most ``MAX_HEAVY_TIES``).  The key
+    big) is split again by id with its own id split points, searched in the id's
+    own type (at most ``MAX_HEAVY_TIES`` such values).  The key
     is ``score_bucket * width + sub`` with ``sub = 0`` for rows above the
     tie value inside the same score bucket.
 
@@ -174,7 +171,7 @@ def assign_buckets(df: DataFrame, splits: list[tuple[float, int]], s: Column, i:
     its own split points in the same single projection (rows of other
     partitions get bucket 0)."""
     plans = {None: splits} if partition_col is None else dict(splits_by_part or {})
-    base = df.withColumn("_bs", s).withColumn("_bi", i.cast("double"))
+    base = df.withColumn("_bs", s).withColumn("_bi", i)
     specs, temp = [], ["_bs", "_bi"]
     key = F.lit(0).cast("long")
     for t, (p, sp) in enumerate(plans.items()):
@@ -186,11 +183,8 @@ def assign_buckets(df: DataFrame, splits: list[tuple[float, int]], s: Column, i:
         sub = F.lit(0).cast("long")
         for h, (v, ids) in enumerate(heavy):
             hit = inpart & (F.col("_bs") == F.lit(v))
-            base = base.withColumn(f"_pv{t}_{h}", F.when(hit, F.col("_bi")))
-            specs.append((f"_pv{t}_{h}", ids, f"_pw{t}_{h}"))
-            temp += [f"_pv{t}_{h}", f"_pw{t}_{h}"]
             # ids below the first id split get 1, ...; rows above v keep 0
-            sub = F.when(hit, (F.col(f"_pw{t}_{h}") + 1).cast("long")).otherwise(sub)
+            sub = F.when(hit, (splits_at_or_before(F.col("_bi"), ids) + 1).cast("long")).otherwise(sub)
         sb = F.lit(len(uniq)).cast("long") - F.col(f"_pb{t}").cast("long")
         key = F.when(inpart, sb * F.lit(width) + sub).otherwise(key)
     keyed = _bucketize(base, specs)
@@ -203,8 +197,8 @@ class _Range:
     of the wanted positions."""
 
     group: object
-    first: tuple[float, int] | None
-    last: tuple[float, int] | None
+    first: tuple[float, object] | None
+    last: tuple[float, object] | None
     count: int
     wanted: dict[int, int]  # k -> position inside the range
 
@@ -229,7 +223,7 @@ def find_cuts(
     counted together, two jobs a round however many positions there are; the
     last job ranks inside the ranges, one window partition each."""
     group = F.lit(None).cast("string") if by is None else F.col(by)
-    cur = df.select(_dbl(score).alias("_real"), order_value(_dbl(score)).alias("_s"), _lng(rid).alias("_i"), group.alias("_g"))
+    cur = df.select(_dbl(score).alias("_real"), order_value(_dbl(score)).alias("_s"), as_col(rid).alias("_i"), group.alias("_g"))
     s, i = F.col("_s"), F.col("_i")
     for g, ks in targets.items():
         for k in ks:
@@ -262,8 +256,8 @@ def find_cuts(
         splits = {j: _splits_from_points(p, n_buckets) for j, p in points.items()}
         stats = assign_buckets(scope, [], s, i, "_b", "_t", splits).groupBy("_t", "_b").agg(
             F.count(F.lit(1)).alias("c"),
-            F.max(F.struct(s, -i)).alias("hi"),  # first row of the bucket in library order
-            F.min(F.struct(s, -i)).alias("lo"),  # last row of the bucket
+            F.min(F.struct(-s, i)).alias("hi"),  # first row of the bucket in library order
+            F.max(F.struct(-s, i)).alias("lo"),  # last row of the bucket
             F.first("_real").alias("real"),
         ).collect()
         rnd += 1
@@ -278,7 +272,7 @@ def find_cuts(
                 if value_only and x["hi"][0] == x["lo"][0]:
                     found.update({(r.group, k): Cut(k=k, score=x["real"], id=-1) for k in inside})
                     continue
-                part = _Range(r.group, (x["hi"][0], -x["hi"][1]), (x["lo"][0], -x["lo"][1]), x["c"], inside)
+                part = _Range(r.group, (-x["hi"][0], x["hi"][1]), (-x["lo"][0], x["lo"][1]), x["c"], inside)
                 # equal (score, id) pairs cannot be split further
                 (smaller if x["c"] < r.count else ready).append(part)
         todo = smaller
@@ -293,7 +287,7 @@ def find_cuts(
             for k, p in r.wanted.items():
                 if (j, p) not in rows:
                     raise RuntimeError("cut row not found; is the id column unique?")
-                found[r.group, k] = Cut(k=k, score=rows[j, p]["_real"], id=int(rows[j, p]["_i"]))
+                found[r.group, k] = Cut(k=k, score=rows[j, p]["_real"], id=rows[j, p]["_i"])
     return found
 
 
@@ -344,7 +338,7 @@ def rank_rows(
     seed: int = 29,
 ) -> DataFrame:
     """Exact 1-based rank of every row in ``(score DESC, id ASC)`` order."""
-    s, i = _dbl(score), _lng(rid)
+    s, i = _dbl(score), as_col(rid)
     cnt = n if n is not None else df.count()
     if cnt <= exact_limit:
         w = Window.orderBy(s.desc(), i.asc())
@@ -380,7 +374,7 @@ def rank_within(
     third of all rows) is spread over many tasks; the per-(partition,
     bucket) counts become offsets.
     """
-    s, i = _dbl(score), _lng(rid)
+    s, i = _dbl(score), as_col(rid)
     # a key that is never null, so that null is a partition like any other
     key = F.concat(F.lit("="), F.col(partition_col).cast("string"))
     base = df.withColumns({"_rs": s, "_pk": F.coalesce(key, F.lit("null"))})
@@ -395,7 +389,7 @@ def rank_within(
         "_p", fractions, seed).collect()
     points: dict = {p: [] for p in big}
     for r in sample:
-        points[r["_p"]].append((float(r["_rs"]), int(r["_ri"])))
+        points[r["_p"]].append((float(r["_rs"]), r["_ri"]))
     splits_by_part = {p: _splits_from_points(points[p], nbs[p]) for p in big}
     if len(big) <= MAX_HOT_IN_ONE_PASS:
         # one projection: a Bucketizer column per hot partition (+ heavy ties)
