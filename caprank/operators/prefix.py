@@ -3,7 +3,10 @@
 ``running_totals(df, order, sums, partition_by)`` adds ``cum_<c>`` columns:
 the sum of ``c`` over all rows of the same partition whose order value is
 at or before the row's.  The order values must be distinct inside a
-partition (the input is normally a ``groupBy(partition, value)`` result).
+partition (the input is normally a ``groupBy(partition, value)`` result).  With
+``following``, a column of that name holds the next order value of the partition
+(null at its end): inside a bucket the next row's, at its end the first one of the
+next bucket that has rows.
 
 The number of buckets of a partition follows the row count (one for about
 ``TARGET_BUCKET_ROWS`` rows), so no task holds a whole partition: rows are bucketed
@@ -46,6 +49,7 @@ def running_totals(
     exact_limit: int = EXACT_LIMIT,
     n_buckets: int | None = None,
     n: int | None = None,
+    following: str | None = None,
 ) -> DataFrame:
     part = list(partition_by)
     key = F.col(order).cast("double")
@@ -54,8 +58,10 @@ def running_totals(
     if n_buckets is None:
         n_buckets = max(2, math.ceil(cnt / TARGET_BUCKET_ROWS))
     if cnt <= exact_limit:  # one bucket
-        w = Window.partitionBy(*part).orderBy(okey).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({f"cum_{c}": F.sum(c).over(w) for c in sums})
+        in_order = Window.partitionBy(*part).orderBy(okey)
+        w = in_order.rowsBetween(Window.unboundedPreceding, 0)
+        new = {f"cum_{c}": F.sum(c).over(w) for c in sums}
+        return df.withColumns(new | ({following: F.lead(key).over(in_order)} if following else {}))
 
     probs = [i / n_buckets for i in range(1, n_buckets)]
     with_key = df.withColumn("_ok", okey)
@@ -81,12 +87,17 @@ def running_totals(
         joined = _null_safe_join(with_key, splits, part)
         bucketed = joined.withColumn(
             "_bk", F.size(F.filter("_splits", lambda v: v <= F.col("_ok")))).drop("_splits")
-    totals = bucketed.groupBy(*part, "_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
-    wt = Window.partitionBy(*part).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    totals = bucketed.groupBy(*part, "_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums], F.min("_ok").alias("_lo"))
+    by_bucket = Window.partitionBy(*part).orderBy("_bk")
+    wt = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *part, "_bk", *[F.coalesce(F.sum(f"_t_{c}").over(wt), F.lit(0)).alias(f"_o_{c}") for c in sums]
-    )
+        *part, "_bk", *[F.coalesce(F.sum(f"_t_{c}").over(wt), F.lit(0)).alias(f"_o_{c}") for c in sums],
+        F.lead("_lo").over(by_bucket).alias("_next"))
     withoff = _null_safe_join(bucketed, offsets, [*part, "_bk"])
-    w = Window.partitionBy(*part, "_bk").orderBy("_ok").rowsBetween(Window.unboundedPreceding, 0)
-    out = withoff.withColumns({f"cum_{c}": F.sum(c).over(w) + F.col(f"_o_{c}") for c in sums})
-    return out.drop("_ok", "_bk", *[f"_o_{c}" for c in sums])
+    in_order = Window.partitionBy(*part, "_bk").orderBy("_ok")
+    w = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    new = {f"cum_{c}": F.sum(c).over(w) + F.col(f"_o_{c}") for c in sums}
+    if following:
+        after = F.coalesce(F.lead("_ok").over(in_order), F.col("_next"))
+        new[following] = -after if descending else after
+    return withoff.withColumns(new).drop("_ok", "_bk", "_next", *[f"_o_{c}" for c in sums])
