@@ -209,14 +209,19 @@ def tree_attributions(
     return mat.mapInPandas(explain, schema)
 
 
-def linear_attributions(scorer, df: DataFrame, background: DataFrame, keep: Sequence[str],
+def feature_means(scorer, background: DataFrame) -> list[float]:
+    """Mean of each model input over some rows (one Summarizer pass)."""
+    mat = model_matrix(scorer, background)
+    return [float(x) for x in mat.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray()]
+
+
+def linear_attributions(scorer, df: DataFrame, background: DataFrame | Sequence[float], keep: Sequence[str],
                         out: str = "attributions") -> DataFrame:
     """Closed form for the logistic rung: ``beta_j * (x_j - mean_j)`` with
-    means over ``background`` (one Summarizer pass); pure column math."""
+    means over ``background`` (rows, or their means); pure column math."""
     lr = scorer.model.stages[-1]
     beta = [float(b) for b in lr.coefficients.toArray()]
-    mat_bg = model_matrix(scorer, background)
-    mean = mat_bg.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray()
+    mean = feature_means(scorer, background) if isinstance(background, DataFrame) else background
     mat = model_matrix(scorer, df)
     b = F.array(*[F.lit(x) for x in beta])
     mu = F.array(*[F.lit(float(x)) for x in mean])

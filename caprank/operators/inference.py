@@ -13,8 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caprank.operators.explain import top_reasons, tree_attributions
+from caprank.operators.artifact import attributions, load_scorer
+from caprank.operators.explain import top_reasons
 from caprank.operators.ranking import rank_top_k
+from caprank.operators.registry import resolve_champion
 
 
 def rank_cohort(
@@ -39,28 +41,22 @@ def rank_cohort(
     top = rank_top_k(scored, "risk_score", rid, fraction)
     if not add_reasons:
         return top.select(F.col(rid).alias("student_id"), "risk_score", "rank")
-    if not hasattr(scorer, "categorical_slots"):
-        raise ValueError("reasons need a tree scorer")
-    keep = [rid, "risk_score", "rank"]
-    attr = tree_attributions(scorer, top, keep)
-    out = top_reasons(attr, scorer.feature_names, top_n)
+    # a small list is ranked in one task; its rows are explained in many
+    top = top.repartition(F.col(rid))
+    attr, names = attributions(scorer, top, [rid, "risk_score", "rank"])
+    out = top_reasons(attr, names, min(top_n, len(names)))
+    for j in range(len(names) + 1, top_n + 1):
+        out = out.withColumns({f"reason_{j}": F.lit(None).cast("string"), f"reason_{j}_value": F.lit(None).cast("double")})
     cols = [F.col(rid).alias("student_id"), "risk_score", "rank"]
     for j in range(1, top_n + 1):
         cols += [f"reason_{j}", f"reason_{j}_value"]
     return out.select(*cols)
 
 
-def score_and_rank(spark, registry_root: str, model_name: str, cohort: DataFrame, spec, fraction: float = 0.10,
+def score_and_rank(spark, registry_root: str, model_name: str, cohort: DataFrame, spec=None, fraction: float = 0.10,
                    alias: str = "champion", add_reasons: bool = True) -> DataFrame:
-    """R2: resolve the champion (alias, else newest version) and rank."""
-    from pyspark.ml import PipelineModel
-
-    from caprank.operators.registry import resolve_champion
-    from caprank.operators.scorers import GBTScorer
-
+    """R2: resolve the champion (alias, else newest version), of whatever rung, and
+    rank.  Its artifact says which columns it reads; ``spec`` may name another id."""
     _, path = resolve_champion(spark, registry_root, model_name, alias)
-    sc = GBTScorer(spec)
-    sc.model = PipelineModel.load(path)
-    sc.feature_names = list(spec.categorical) + spec.numeric_inputs()
-    sc.categorical_slots = list(range(len(spec.categorical)))
-    return rank_cohort(sc, cohort, fraction, spec.id, add_reasons)
+    scorer = load_scorer(spark, path)
+    return rank_cohort(scorer, cohort, fraction, (spec or scorer.spec).id, add_reasons)

@@ -207,11 +207,13 @@ def build_scorer(name: str, spec: CohortSpec, **params):
 def score_ladder(train: DataFrame, test: DataFrame, spec: CohortSpec, rungs=LADDER, parallel: bool = True,
                  **params):
     """M6: fit each rung on ``train`` and score ``test`` into ONE wide
-    DataFrame with a ``score_<rung>`` column per rung (persisted once, since
-    every metric, slice and bootstrap job reads it).  The fits are
-    independent jobs and are submitted concurrently."""
+    DataFrame with a ``score_<rung>`` column per rung (checkpointed, since every
+    metric, slice and bootstrap job reads it).  The fits are independent jobs and
+    are submitted concurrently."""
     from concurrent.futures import ThreadPoolExecutor
 
+    from caprank.session import cut_lineage
+
     def fit(name: str):
         return name, build_scorer(name, spec, **params).fit(train)
 
@@ -223,4 +225,4 @@ def score_ladder(train: DataFrame, test: DataFrame, spec: CohortSpec, rungs=LADD
     wide = test
     for name in rungs:
         wide = fitted[name].score(wide, f"score_{name}")
-    return wide.persist(), {name: fitted[name] for name in rungs}
+    return cut_lineage(wide), {name: fitted[name] for name in rungs}

@@ -1,10 +1,9 @@
 """Training plan (3.1): load -> validate -> split -> ladder -> metrics ->
 slices -> CV -> gate -> importance -> persist + promote.
 
-Spark shape: one fused validation aggregate, a split *column* (no
-materialised copies), one fit per rung, one wide scored DataFrame (persisted
-once) read by the metrics, slice and bootstrap jobs, then a one-row decision
-and append-only registry rows.
+Spark shape: one fused validation aggregate, a split *column* (checkpointed), one
+fit per rung, one wide scored DataFrame (checkpointed) read by the metrics, slice
+and bootstrap jobs, then a one-row decision and one registry commit.
 """
 
 from __future__ import annotations
@@ -15,16 +14,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caprank.operators.bootstrap import bootstrap_metric
+from caprank.operators.artifact import save_scorer
 from caprank.operators.crossval import cross_val_precision
 from caprank.operators.explain import global_importance, tree_attributions
 from caprank.operators.gate import promotion_decision
-from caprank.operators.metrics import average_precision, evaluate_ladder
-from caprank.operators.registry import log_metrics, log_params, promote_if, save_model, write_run_table
+from caprank.operators.metrics import evaluate_rungs
+from caprank.operators.registry import log_metrics, log_params, promote_if, write_run_table
 from caprank.operators.scorers import LADDER, CohortSpec, score_ladder
 from caprank.operators.slices import slice_table
 from caprank.operators.split import stratified_split
 from caprank.operators.validate import Rules, validate
+from caprank.session import cut_lineage
 
 
 @dataclass
@@ -58,17 +58,18 @@ def training_run(spark: SparkSession, cohort: DataFrame, cfg: TrainingConfig) ->
         "cv_folds": cfg.cv_folds, "use_engineered": s.use_engineered, "candidate": cfg.candidate,
     })
     data = validate(cohort, cfg.rules) if cfg.rules is not None else cohort
-    split = stratified_split(data, s.label, s.id, cfg.test_size, cfg.seed).persist()
+    split = cut_lineage(stratified_split(data, s.label, s.id, cfg.test_size, cfg.seed))
     train = split.filter(~F.col("is_test")).drop("is_test")
     test = split.filter("is_test").drop("is_test")
 
     wide, fitted = score_ladder(train, test, s, cfg.rungs, **cfg.model_params)
     score_cols = {m: f"score_{m}" for m in fitted}
-    metrics = evaluate_ladder(wide, s.label, s.id, score_cols, cfg.fraction)
-    ci = bootstrap_metric(wide, s.label, score_cols[cfg.candidate], s.id, cfg.fraction, cfg.n_bootstrap,
-                          cfg.ci_level, cfg.seed)
-    ap = average_precision(wide, s.label, score_cols[cfg.candidate])
-    log_metrics(cfg.registry_root, run_id, metrics)
+    metrics = evaluate_rungs(wide, s.label, s.id, score_cols, cfg.fraction, cfg.n_bootstrap, cfg.ci_level, cfg.seed)
+    own = metrics.where(F.col("model") == cfg.candidate)
+    ci = own.select(F.lit("precision_at_k").alias("metric"), F.col("precision_at_k").alias("point"),
+                    F.col("precision_at_k_ci_low").alias("ci_low"), F.col("precision_at_k_ci_high").alias("ci_high"),
+                    F.lit(float(cfg.ci_level)).alias("ci_level"))
+    ap = own.select(F.col("pr_auc").alias("average_precision"))
 
     slices = None
     if cfg.slice_columns:
@@ -89,7 +90,10 @@ def training_run(spark: SparkSession, cohort: DataFrame, cfg: TrainingConfig) ->
         write_run_table(slices, cfg.registry_root, "slice_tables", run_id)
     if importance is not None:
         write_run_table(importance, cfg.registry_root, "global_importance", run_id)
-    path = save_model(cand.model, f"{cfg.registry_root}/artifacts/{run_id}")
+    # the whole run log: bundles with their intervals, folds, and the gate's figures
+    gate = decision.drop("failing_slices").withColumn("model", F.lit(cfg.candidate))
+    log_metrics(cfg.registry_root, run_id, metrics, *([cv] if cv is not None else []), gate)
+    path = save_scorer(spark, cand, f"{cfg.registry_root}/artifacts/{run_id}", train)
     version = promote_if(spark, cfg.registry_root, decision, cfg.model_name, path, run_id, cfg.alias)
     return {"run_id": run_id, "metrics": metrics, "ci": ci, "average_precision": ap, "slices": slices,
             "cv": cv, "decision": decision, "importance": importance, "version": version,
