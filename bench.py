@@ -20,6 +20,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import caprank.plans.lifecycle  # noqa: E402, F401
 from caprank.plans.registered import QUERIES  # noqa: E402
 from caprank.session import build_session  # noqa: E402
 

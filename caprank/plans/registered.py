@@ -8,6 +8,7 @@ cast to BIGINT on both sides so that value digests compare exactly.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from caprank.functions.features import rule_score
 from caprank.operators.ranking import rank_top_k
+from caprank.session import cut_lineage, ensure_checkpoint_dir
 from caprank.sources.views import customer_cohort
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -324,6 +326,7 @@ from caprank.operators.bootstrap import (  # noqa: E402
     bootstrap_metric,
     poisson1_weight_sql,
 )
+from caprank.operators.resample import METRICS, metric_intervals, replicates, replicates_sql  # noqa: E402
 
 
 def boot_sql(scores: dict[str, str], n_iter: int = 50, seed: int = 42, fraction: float = 0.1,
@@ -359,9 +362,91 @@ def point_sql(expr: str, fraction: float = 0.1, src: str = "dv") -> str:
                         count(*) OVER () AS n FROM {src}))"""
 
 
+def ends_sql(expr: str) -> str:
+    return f"SELECT quantile_cont({expr}, 0.025) AS lo, quantile_cont({expr}, 0.975) AS hi"
+
+
 @register(
     "bootstrap_ci",
     f"""
+WITH {SQL_D}, {replicates_sql({'a': '-n_chars'})},
+q AS ({ends_sql('p_a')} FROM pb)
+SELECT 'precision_at_k' AS metric, round({point_sql('-n_chars')}, 6) AS point,
+       round(lo, 6) AS ci_low, round(hi, 6) AS ci_high, 0.95 AS ci_level
+FROM q
+""",
+)
+def q_bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: 95 % CI of P@10 % for the score -n_chars on documents, 2,000
+    fixed-size resamples."""
+    d = documents_view(spark, sf_dir).withColumn("s", -F.col("n_chars").cast("double"))
+    return round_doubles(bootstrap_metric(d, "y", "s", "id", 0.10, seed=42))
+
+
+@register(
+    "bootstrap_diff",
+    f"""
+WITH {SQL_D}, {replicates_sql({'a': '-n_chars', 'b': 'toxic'})},
+q AS ({ends_sql('p_a - p_b')} FROM pb)
+SELECT round({point_sql('-n_chars')} - {point_sql('toxic')}, 6) AS point,
+       round(lo, 6) AS ci_low, round(hi, 6) AS ci_high, 0.95 AS ci_level,
+       (lo > 0 OR hi < 0) AS excludes_zero
+FROM q
+""",
+)
+def q_bootstrap_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: P@10 %(-n_chars) - P@10 %(toxic) on the same 2,000 resamples."""
+    d = documents_view(spark, sf_dir).withColumns(
+        {"sa": -F.col("n_chars").cast("double"), "sb": F.col("toxic").cast("double")}
+    )
+    return round_doubles(bootstrap_difference(d, "y", "sa", "sb", "id", 0.10, seed=42))
+
+
+@register("bootstrap_replicates")
+def q_bootstrap_replicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 resamples themselves: positives, and those in the top 10 %."""
+    d = documents_view(spark, sf_dir).withColumn("s", -F.col("n_chars").cast("double"))
+    return replicates(d, "y", {"a": "s"}, "id").select("_b", "positives", "tp_a")
+
+
+ORACLE["bootstrap_replicates"] = f"""
+WITH {SQL_D}, {replicates_sql({'a': '-n_chars'})}
+SELECT b AS "_b", CAST(positives AS BIGINT) AS positives, CAST(tp_a AS BIGINT) AS tp_a FROM pb
+"""
+
+
+def _metric_ci_sql() -> str:
+    value = {"precision_at_k": "p_a", "recall_at_k": "CASE WHEN positives > 0 THEN tp_a / CAST(positives AS DOUBLE) ELSE 0 END",
+             "lift_at_k": "CASE WHEN positives > 0 THEN p_a / (CAST(positives AS DOUBLE) / n) ELSE 0 END"}
+    rows = " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, tk.{m} AS point, round(quantile_cont({v}, 0.025), 6) AS ci_low,"
+        f" round(quantile_cont({v}, 0.975), 6) AS ci_high, 0.95 AS ci_level FROM pb, tk GROUP BY tk.{m}" for m, v in value.items())
+    return f"""
+WITH {SQL_D}, rc AS (SELECT id, y, CAST(-n_chars AS DOUBLE) AS score FROM dv),
+{replicates_sql({'a': 'score'}, src='rc')}, tk AS ({topk_sql('rc', 'D')})
+{rows}
+"""
+
+
+@register("resampled_metrics", _metric_ci_sql())
+def q_resampled_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 with other metrics: 95 % CIs of precision, recall and lift at 10 % on the
+    same 2,000 resamples."""
+    d = documents_view(spark, sf_dir).withColumn("s", -F.col("n_chars").cast("double"))
+    return round_doubles(metric_intervals(d, "y", "s", "id", metrics=METRICS))
+
+
+@register("resampled_average_precision")
+def q_resampled_average_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 with whole-order metrics: 95 % CIs of average precision and ROC area over
+    2,000 resamples of the score ladder (multinomial draws, no SQL twin)."""
+    d = documents_view(spark, sf_dir).withColumn("s", -F.col("n_chars").cast("double"))
+    return round_doubles(metric_intervals(d, "y", "s", "id", metrics=("average_precision", "roc_auc")))
+
+
+@register(
+    "poisson_ci",
+    f"""
 WITH {SQL_D}, {boot_sql({'a': '-n_chars'})}
 SELECT 'precision_at_k' AS metric, round({point_sql('-n_chars')}, 6) AS point,
        round(quantile_cont(p_a, 0.025), 6) AS ci_low, round(quantile_cont(p_a, 0.975), 6) AS ci_high,
@@ -369,14 +454,14 @@ SELECT 'precision_at_k' AS metric, round({point_sql('-n_chars')}, 6) AS point,
 FROM pb_a
 """,
 )
-def q_bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K5: 95 % CI of P@10 % for the score -n_chars on documents, B=50."""
+def q_poisson_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 by the Poisson bootstrap: 95 % CI of P@10 % for the score -n_chars."""
     d = documents_view(spark, sf_dir).withColumn("s", -F.col("n_chars").cast("double"))
-    return round_doubles(bootstrap_metric(d, "y", "s", "id", 0.10, n_iter=50, seed=42))
+    return round_doubles(bootstrap_metric(d, "y", "s", "id", 0.10, n_iter=50, seed=42, method="poisson"))
 
 
 @register(
-    "bootstrap_diff",
+    "poisson_diff",
     f"""
 WITH {SQL_D}, {boot_sql({'a': '-n_chars', 'b': 'toxic'})},
 q AS (SELECT quantile_cont(p_a - p_b, 0.025) AS lo, quantile_cont(p_a - p_b, 0.975) AS hi
@@ -387,12 +472,12 @@ SELECT round({point_sql('-n_chars')} - {point_sql('toxic')}, 6) AS point,
 FROM q
 """,
 )
-def q_bootstrap_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K6: P@10 %(-n_chars) - P@10 %(toxic) on the same 50 resamples."""
+def q_poisson_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 by the Poisson bootstrap: P@10 %(-n_chars) - P@10 %(toxic)."""
     d = documents_view(spark, sf_dir).withColumns(
         {"sa": -F.col("n_chars").cast("double"), "sb": F.col("toxic").cast("double")}
     )
-    return round_doubles(bootstrap_difference(d, "y", "sa", "sb", "id", 0.10, n_iter=50, seed=42))
+    return round_doubles(bootstrap_difference(d, "y", "sa", "sb", "id", 0.10, n_iter=50, seed=42, method="poisson"))
 
 
 # ---------------------------------------------------------------- validation
@@ -990,12 +1075,12 @@ from caprank.operators.gate import promotion_decision  # noqa: E402
 
 @register("gate_decision")
 def q_gate_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G1 + G2 on documents: candidate -n_chars vs baseline toxic, 50
-    resamples, slices by lang and source; failing slices flattened to a count."""
+    """G1 + G2 on documents: candidate -n_chars vs baseline toxic,
+    2,000 resamples, slices by lang and source; failing slices flattened to a count."""
     d = documents_view(spark, sf_dir).withColumns(
         {"sa": -F.col("n_chars").cast("double"), "sb": F.col("toxic").cast("double")})
     sl = slice_table(d, "y", "sa", "id", ["lang", "source"], 0.10)
-    dec = promotion_decision(d, "y", "sa", "sb", "id", sl, 0.10, n_bootstrap=50, seed=42)
+    dec = promotion_decision(d, "y", "sa", "sb", "id", sl, 0.10, seed=42)
     return round_doubles(dec.withColumn("n_failing_slices", F.size("failing_slices").cast("long"))
                          .drop("failing_slices"))
 
@@ -1003,9 +1088,8 @@ def q_gate_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _gate_sql() -> str:
     sl = slice_sql("dvs", [("lang", "lang"), ("source", "source")])
     return f"""
-WITH {SQL_D}, {boot_sql({'a': '-n_chars', 'b': 'toxic'})},
-q AS (SELECT quantile_cont(p_a - p_b, 0.025) AS lo, quantile_cont(p_a - p_b, 0.975) AS hi
-      FROM pb_a JOIN pb_b ON pb_a.b = pb_b.b),
+WITH {SQL_D}, {replicates_sql({'a': '-n_chars', 'b': 'toxic'})},
+q AS ({ends_sql('p_a - p_b')} FROM pb),
 pt AS (SELECT {point_sql('-n_chars')} AS pa, {point_sql('toxic')} AS pb),
 dvs AS (SELECT *, CAST(-n_chars AS DOUBLE) AS score FROM dv),
 slices AS (SELECT * FROM (WITH {sl.strip()}) ),
@@ -1127,23 +1211,23 @@ def q_class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 WITH {SQL_C},
 rc AS (SELECT id, y, 1.0 - {safe_ratio_sql('approved', 'enrolled')} AS score FROM cohort),
-{boot_sql({'a': 'score'}, src='rc')},
+{replicates_sql({'a': 'score'}, src='rc')},
 tk AS ({topk_sql('rc', 'C')}),
 ap AS ({ap_sql('rc', 'C')}),
 br AS (SELECT avg(power(score - y, 2)) AS brier FROM rc),
-ci AS (SELECT quantile_cont(p_a, 0.025) AS lo, quantile_cont(p_a, 0.975) AS hi FROM pb_a)
+ci AS ({ends_sql('p_a')} FROM pb)
 SELECT tk.precision_at_k, round(ci.lo, 6) AS precision_at_k_ci_low, round(ci.hi, 6) AS precision_at_k_ci_high,
        tk.lift_at_k, tk.recall_at_k, ap.average_precision AS pr_auc, round(br.brier, 6) AS brier, tk.base_rate
 FROM tk, ap, br, ci
 """,
 )
 def q_model_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The eight-number bundle (B=50 bootstrap CI) for the rule score
-    on the customer cohort."""
+    """The eight-number bundle (CI over 2,000 resamples) for the
+    rule score on the customer cohort."""
     from caprank.operators.metrics import evaluate_model
 
     c = customer_cohort(spark, sf_dir).withColumn("score", rule_score("approved", "enrolled"))
-    return round_doubles(evaluate_model(c, "y", "score", "id", 0.10, n_bootstrap=50, seed=42))
+    return round_doubles(evaluate_model(c, "y", "score", "id", 0.10, n_bootstrap=2000, seed=42))
 
 
 # ---------------------------------------------------------------- models (rows-only checks)
@@ -1163,7 +1247,7 @@ def model_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cohort_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    sp = stratified_split(model_cohort(spark, sf_dir), "y", "id", 0.20, seed=42).persist()
+    sp = cut_lineage(stratified_split(model_cohort(spark, sf_dir), "y", "id", 0.20, seed=42))
     return sp.filter(~F.col("is_test")).drop("is_test"), sp.filter("is_test").drop("is_test")
 
 
@@ -1240,28 +1324,60 @@ def q_train_test_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(train_test_gap(train, test, C_SPEC, "gbt", 0.10, gbt=GBT_PARAMS))
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own on the shared storage of the session."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 @register("champion_resolution")
 def q_champion_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G3 + G4 (+S15): gate the trees against the rule on the held-out split,
     save and register when promoted, then resolve the champion."""
-    import uuid
-
+    from caprank.operators.artifact import save_scorer
     from caprank.operators.gate import promotion_decision
-    from caprank.operators.registry import alias_events, promote_if, resolution, save_model, versions
-    from caprank.session import ensure_checkpoint_dir
+    from caprank.operators.registry import alias_events, promote_if, resolution, versions
 
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/registry-{uuid.uuid4().hex}"
+    root = fresh_folder(spark, "registry")
     train, test = cohort_split(spark, sf_dir)
     gbt = GBTScorer(C_SPEC, **GBT_PARAMS).fit(train)
     scored = gbt.score(test, "s_gbt").withColumn("s_rule", rule_score("approved", "enrolled"))
     sl = slice_table(scored, "y", "s_gbt", "id", ["c_mktsegment"], 0.10)
-    dec = promotion_decision(scored, "y", "s_gbt", "s_rule", "id", sl, 0.10, n_bootstrap=200)
-    path = save_model(gbt.model, f"{root}/artifacts/gbt-1")
+    dec = promotion_decision(scored, "y", "s_gbt", "s_rule", "id", sl, 0.10)
+    path = save_scorer(spark, gbt, f"{root}/artifacts/gbt-1", train)
     promote_if(spark, root, dec, "cohort-ranker", path, run_id="run-1")
     return resolution(versions(spark, root), alias_events(spark, root), "cohort-ranker", "champion").select(
         "model_name", "version", "source")
 
 
+@register("champion_rule_list")
+def q_champion_rule_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 + S15 + G3 + G4 + R2 + S11 for the rule rung: its artifact is registered
+    behind another rung's, the alias points to it, the champion ranks the cohort, and
+    the written list is read back."""
+    from caprank.operators.artifact import save_scorer
+    from caprank.operators.registry import register_version, set_alias
+    from caprank.operators.scorers import MajorityScorer, RuleScorer
+    from caprank.plans.inference import inference_run
+
+    root = fresh_folder(spark, "registry")
+    cohort = model_cohort(spark, sf_dir)
+    rungs = {"rule": RuleScorer(C_SPEC), "majority": MajorityScorer(C_SPEC).fit(cohort)}
+    numbers = {m: register_version(spark, root, "cohort-ranker", save_scorer(spark, r, f"{root}/artifacts/{m}"), m)
+               for m, r in rungs.items()}
+    set_alias(spark, root, "cohort-ranker", "champion", numbers["majority"])
+    set_alias(spark, root, "cohort-ranker", "champion", numbers["rule"])
+    out = inference_run(spark, cohort, None, root, "cohort-ranker", f"{root}/list")
+    return round_doubles(out.select(F.col("student_id").alias("id"), "risk_score", "rank", "reason_1"))
+
+
+ORACLE["champion_rule_list"] = f"""
+WITH {SQL_C}, r AS (SELECT id, 1.0 - {safe_ratio_sql('approved', 'enrolled')} AS s FROM cohort),
+k AS (SELECT id, s, row_number() OVER (ORDER BY s DESC, id) AS rank, count(*) OVER () AS n FROM r)
+SELECT id, round(s, 6) AS risk_score, CAST(rank AS BIGINT) AS rank, 'pass_rate' AS reason_1
+FROM k WHERE rank <= greatest(1, CAST(ceil(CAST(0.1 AS DOUBLE) * n) AS BIGINT))
+"""
+
+
 # ---------------------------------------------------------------- features, ids, snapshots
 from caprank.functions.features import row_max, safe_ratio, scaled_difference, zero_flag  # noqa: E402
 from caprank.operators.columns import assign_row_id  # noqa: E402

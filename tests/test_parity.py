@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+import caprank.plans.lifecycle  # noqa: F401
 import oracle
 from caprank.plans.registered import ORACLE, QUERIES
 
