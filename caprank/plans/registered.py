@@ -416,8 +416,8 @@ SELECT b AS "_b", CAST(positives AS BIGINT) AS positives, CAST(tp_a AS BIGINT) A
 
 
 def _metric_ci_sql() -> str:
-    value = {"precision_at_k": "p_a", "recall_at_k": "CASE WHEN positives > 0 THEN tp_a / CAST(positives AS DOUBLE) ELSE 0 END",
-             "lift_at_k": "CASE WHEN positives > 0 THEN p_a / (CAST(positives AS DOUBLE) / n) ELSE 0 END"}
+    value = {"precision_at_k": "p_a", "recall_at_k": "CASE WHEN pb.positives > 0 THEN tp_a / CAST(pb.positives AS DOUBLE) ELSE 0 END",
+             "lift_at_k": "CASE WHEN pb.positives > 0 THEN p_a / (CAST(pb.positives AS DOUBLE) / pb.n) ELSE 0 END"}
     rows = " UNION ALL ".join(
         f"SELECT '{m}' AS metric, tk.{m} AS point, round(quantile_cont({v}, 0.025), 6) AS ci_low,"
         f" round(quantile_cont({v}, 0.975), 6) AS ci_high, 0.95 AS ci_level FROM pb, tk GROUP BY tk.{m}" for m, v in value.items())

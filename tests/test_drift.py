@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from caprank.operators.drift import _chi2_sf, volume_check
+from caprank.operators.drift import chi2_sf, volume_check
 from caprank.plans.drift import drift_run
 from fixtures import u
 
@@ -43,10 +43,12 @@ def test_volume(spark):
     assert volume_check(df, "s", 1.0, 0.10, 0.30, mode="relative").first()["alert"]
 
 
-def test_chi2_survival_values():
-    assert _chi2_sf(3.841458820694124, 1) == pytest.approx(0.05, abs=1e-9)
-    assert _chi2_sf(1.442083, 4) == pytest.approx(0.8368, abs=1e-3)
-    assert _chi2_sf(30.0, 4) < 1e-5
+def test_chi2_survival_values(spark):
+    rows = spark.createDataFrame([(3.841458820694124, 1), (1.442083, 4), (30.0, 4)], "x double, dof long")
+    p = [r[0] for r in rows.select(chi2_sf(F.col("x"), F.col("dof"))).collect()]
+    assert p[0] == pytest.approx(0.05, abs=1e-9)
+    assert p[1] == pytest.approx(0.8368, abs=1e-3)
+    assert p[2] < 1e-5
 
 
 def test_decimals_dates_and_times_are_ordered(spark):
