@@ -41,9 +41,9 @@ from caprank.llm.common import (claim, counted_texts, documents, exact_copies, f
 LENGTH = 50
 SEED = 20
 #: Bytes of contexts that one suffix array holds; one anchor's contexts stay together.
-CHUNK = 1_000_000
+CHUNK = 500_000
 #: An anchor with more distinct contexts is split into its windows.
-HOT_CONTEXTS = 32_768
+HOT_CONTEXTS = 16_384
 #: Strings of one window's length that a join may broadcast (about 150 bytes each).
 WINDOWS = 200_000
 #: Occurrences of maximal repeats laid out at once.
