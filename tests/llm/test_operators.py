@@ -383,28 +383,91 @@ def test_language_stage_rejects_letter_noise(s):
 
 # 5 ---------------------------------------------------------------------------
 
+class PlainAutomaton:
+    """The same automaton as dictionaries of arcs, read word by word."""
+
+    def __init__(self, rows, train):
+        self.uni, self.pair, self.texts = counts(rows, train)
+        triple = {}
+        for i, t in rows:
+            if train(i):
+                w = ["<s>", *words(t), ""]
+                for j in range(len(w) - 2):
+                    triple[tuple(w[j:j + 3])] = triple.get(tuple(w[j:j + 3]), 0) + 1
+        self.n, self.v = sum(self.uni.values()), len(self.uni)
+        L2, L3 = scoring.WORD_WEIGHT, scoring.PAIR_WEIGHT
+        left = lambda u: self.texts if u == "<s>" else self.uni[u]
+        self.states = {(), *((w,) for w in self.uni), *self.pair} | ({("<s>",)} if self.texts else set())
+        p2 = {(u, w): L2 * c / left(u) + (1 - L2) * self.p(w) for (u, w), c in self.pair.items()}
+        self.arcs = {((u,), w): p for (u, w), p in p2.items()}
+        self.arcs |= {((u, x), w): L3 * c / self.pair[u, x] + (1 - L3) * p2[x, w] for (u, x, w), c in triple.items()}
+        self.failure = {s: (1 - L3 if len(s) == 2 else 1 - L2) for s in self.states if s}
+
+    def p(self, w):
+        return (self.uni[w] + 1) / (self.n + self.v + 1)
+
+    def score(self, text):
+        state, total = ("<s>",) if ("<s>",) in self.states else (), 0.0
+        for w in words(text) + [""]:
+            while state and (state, w) not in self.arcs:
+                total += math.log10(self.failure[state])
+                state = state[1:]
+            total += math.log10(self.arcs[state, w] if state else self.p(w))
+            state = next(s for s in ((*state, w)[-2:], (w,), ()) if s in self.states)
+        return total
+
+
 def check_scores(got, rows, train):
-    uni, pair, texts = counts(rows, train)
-    n, v = sum(uni.values()), len(uni)
+    plain = PlainAutomaton(rows, train)
     for i, t in rows:
         tokens = words(t) + [""]
-        base = model = 0.0
-        for a, b in zip(["<s>", *tokens], tokens, strict=False):
-            root = (uni[b] + 1) / (n + v + 1)
-            left = texts if a == "<s>" else uni[a]
-            base += math.log10(root)
-            w = scoring.ARC_WEIGHT
-            model += math.log10(w * pair[a, b] / left + (1 - w) * root if left else root)
         r = got[i]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(tokens), sum(uni[x] > 0 for x in tokens), n)
-        assert r["base_score"] == pytest.approx(base, rel=1e-9, abs=1e-9)
-        assert r["score"] == pytest.approx(model, rel=1e-9, abs=1e-9)
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(tokens), sum(plain.uni[x] > 0 for x in tokens), plain.n)
+        assert r["base_score"] == pytest.approx(sum(math.log10(plain.p(x)) for x in tokens), rel=1e-9, abs=1e-9)
+        assert r["score"] == pytest.approx(plain.score(t), rel=1e-9, abs=1e-9)
 
 
 def test_scores_match_plain_counts(s, monkeypatch):
     monkeypatch.setattr(scoring, "RANGE_CHARS", 50_000)
-    got = {r["doc_id"]: r for r in scoring.scored(docs(s), F.col("doc_id") % 3 != 0).collect()}
-    check_scores(got, pairs(TEXTS), lambda i: i % 3 != 0)
+    more = [(100 + i, " ".join("abcde"[(i * j * j + j // 3) % 5] for j in range(5 + 40 * i)), "en", "a") for i in range(16)]
+    rows = [*TEXTS, *more, (200, "", "en", "a"), (201, "a", "en", "a"), (202, "z z z unknown a b", "en", "a")]
+    got = {r["doc_id"]: r for r in scoring.scored(docs(s, rows), F.col("doc_id") % 3 != 0).collect()}
+    check_scores(got, pairs(rows), lambda i: i % 3 != 0)
+
+
+def test_probabilities_of_every_state_add_up_to_one():
+    rows = [(i, t) for i, t in enumerate(["a b a b c", "b a c", "", "c c c a b", "a"])]
+    plain = PlainAutomaton(rows, lambda i: True)
+    alphabet = [*plain.uni, "unseen"]
+    for state in plain.states:
+        total = 0.0
+        for w in alphabet:
+            s, p = state, 1.0
+            while s and (s, w) not in plain.arcs:
+                p, s = p * plain.failure[s], s[1:]
+            total += p * (plain.arcs[s, w] if s else plain.p(w))
+        assert total <= 1 + 1e-12 and (total > 0.99 or state)
+
+
+def test_stretches_carry_the_state():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(list("abcdef"), n)) for n in (1, 2, 3, 255, 256, 257, 700, 2000)]
+    rows = list(enumerate(texts))
+    plain = PlainAutomaton(rows, lambda i: i % 2 == 0)
+    h, before, doc = scoring.tokens_of(texts)
+    first = scoring.first_tokens(doc)
+    number, found = [], []
+    teaches = (np.arange(len(texts)) % 2 == 0)[doc]
+    for keys, _ in scoring.keys_of(h, before, first, 0):
+        uniq, inv = np.unique(keys, return_inverse=True)
+        number.append(inv)
+        found.append(np.bincount(inv, weights=teaches, minlength=len(uniq)))
+    bw, bp = (np.concatenate(([-1], x[:-1])) for x in number[:2])
+    bw[first] = bp[first] = -1
+    a = scoring.Automaton(*number, found, bw, bp, 4, plain.n, plain.v)
+    for stretch in (1, 2, 3, 256, 10_000):
+        got = a.traverse(number[0], np.append(first, len(h)), stretch)
+        assert got == pytest.approx([plain.score(t) for t in texts], rel=1e-9)
 
 
 def test_scores_on_a_table(s):
