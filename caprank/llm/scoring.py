@@ -53,7 +53,7 @@ from caprank.llm.common import (NO_ID, code_points, crc_mod, documents, lower_as
 
 #: Weights of a word state's and a pair state's own counts against the shorter state.
 WORD_WEIGHT, PAIR_WEIGHT = 0.4, 0.3
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 6_000_000
 #: Characters of the corpus for each hash range.
 RANGE_CHARS = 16_000_000
 #: Tokens of a text that one lane of a traversal reads.
@@ -169,10 +169,11 @@ class Automaton:
         p3 = PAIR_WEIGHT * c3[many] / c2[before_pairs[x]] + (1 - PAIR_WEIGHT) * below[pairs[x]]
         from_pair = self.pair_state[before_pairs[x]]
         keys = np.concatenate((from_word * n_words + w, from_pair * n_words + words[x]))
+        del from_word, from_pair, below, left
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]
         self.weight = np.log10(np.minimum(np.concatenate((p2[some], p3)), 1.0))[order]
-        self.next = np.concatenate((self.pair_state[some], self.pair_state[pairs[x]]))[order]
+        self.next = np.concatenate((self.pair_state[some], self.pair_state[pairs[x]]))[order].astype(np.int32)
 
     @staticmethod
     def _left(before_words, c1, texts):
@@ -290,10 +291,11 @@ def scored(docs: DataFrame, train: Column) -> DataFrame:
         counts = counts.sort_values(["kind", "part"], kind="stable")
         corpus, number = [], []
         for kind, (keys, _) in enumerate(keys_of(h, before, first, range_bits)):
-            number.append(np.unique(keys, return_inverse=True)[1])
+            number.append(np.unique(keys, return_inverse=True)[1].astype(np.int32))
             corpus.append(np.concatenate([unpacked(x) for x in counts.loc[counts["kind"] == kind, "counts"]]).astype(np.float64))
+        del h, before, keys
         words, pairs, triples = number
-        before_words, before_pairs = np.full(len(words), -1), np.full(len(words), -1)
+        before_words, before_pairs = np.full(len(words), -1, dtype=np.int32), np.full(len(words), -1, dtype=np.int32)
         before_words[1:], before_pairs[1:] = words[:-1], pairs[:-1]
         before_words[first] = before_pairs[first] = -1
         automaton = Automaton(words, pairs, triples, corpus, before_words, before_pairs, texts, n, v)
