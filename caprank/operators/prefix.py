@@ -66,7 +66,7 @@ def running_totals(
     probs = [i / n_buckets for i in range(1, n_buckets)]
     with_key = df.withColumn("_ok", okey)
     # split values per partition: #partitions x n_buckets numbers on the driver
-    split_rows = with_key.groupBy(*part).agg(F.percentile_approx("_ok", probs, 10_000).alias("_splits")).collect()
+    split_rows = with_key.groupBy(*part).agg(F.percentile_approx("_ok", probs, max(10_000, 20 * n_buckets)).alias("_splits")).collect()
     if len(split_rows) <= MAX_BUCKETIZER_COLUMNS:
         # one Bucketizer column per partition (JVM binary search per row)
         specs, bucket = [], F.lit(0).cast("double")

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caprank.operators.ranking import find_cut, k_from_fraction
+from caprank.operators.ranking import exact_quantiles_by, find_cut, k_from_fraction, rank_within
 
 
 def _c(name: str):
@@ -87,36 +87,33 @@ def cardinality(df: DataFrame, columns: Sequence[str], high_at: int = 10, approx
     )
 
 
-def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def distinct_values(df: DataFrame, columns: Sequence[str], **limits) -> DataFrame:
     """Q5: sorted distinct values per column as ``(column, position, value)``."""
     arr = F.array(*[F.struct(F.lit(c).alias("column"), _c(c).cast("string").alias("value"))
                     for c in columns])
     d = df.select(F.explode(arr).alias("r")).select("r.*").distinct()
-    # categorical columns: few distinct values per column, one window each
-    w = Window.partitionBy("column").orderBy("value")
-    return d.withColumn("position", F.row_number().over(w).cast("long"))
+    # ranks inside a column: all values tie, so ids (the values) order them; a column
+    # with very many values is spread over many tasks
+    ranked = rank_within(d.withColumn("_tie", F.lit(0.0)), "column", "_tie", "value", "position", **limits)
+    return ranked.select("column", "value", "position")
 
 
-def group_stats(df: DataFrame, feature: str, by: str) -> DataFrame:
+def group_stats(df: DataFrame, feature: str, by: str, **limits) -> DataFrame:
     """Q6: mean, median, sample std per group and the gap of means
-    (group 1 minus group 0).  ``by`` is a label (few groups); each median is
-    exact by distributed selection, not by gathering a group in one task."""
-    from caprank.operators.ranking import exact_quantiles
-
-    groups = [r[0] for r in df.select(_c(by)).distinct().collect()]
-    med = {g: exact_quantiles(df.filter(_c(by) == F.lit(g)), feature, [0.5])[0] for g in groups if g is not None}
-    med_map = F.create_map(*[x for g, m in med.items() for x in (F.lit(g), F.lit(m).cast("double"))]) \
-        if med else F.create_map().cast("map<int,double>")
+    (group 1 minus group 0).  ``by`` is a label (few groups, null is one); the
+    medians are exact, by one distributed selection for all groups."""
+    med = {g: m[0] for g, m in exact_quantiles_by(df, feature, by, [0.5], **limits).items()}
     g = df.groupBy(_c(by).alias("group")).agg(
         F.count(F.lit(1)).cast("long").alias("n"),
         F.avg(_c(feature)).alias("mean"),
         F.stddev_samp(_c(feature)).alias("std"),
     )
-    gap = df.agg(
-        (F.avg(F.when(_c(by) == 1, _c(feature))) - F.avg(F.when(_c(by) == 0, _c(feature)))).alias("mean_gap")
-    )
-    return g.crossJoin(F.broadcast(gap)).select("group", "n", "mean", med_map[F.col("group")].alias("median"),
-                                                 "std", "mean_gap")
+    mean_of = lambda v: F.avg(F.when(_c(by) == v, _c(feature)))
+    gap = df.agg((mean_of(1) - mean_of(0)).alias("gap")).first()["gap"]
+    median = F.lit(None).cast("double")
+    for v, m in med.items():
+        median = F.when(F.col("group").eqNullSafe(F.lit(v)), F.lit(m)).otherwise(median)
+    return g.select("group", "n", "mean", median.alias("median"), "std", F.lit(gap).cast("double").alias("mean_gap"))
 
 
 def histogram(df: DataFrame, feature: str, by: str, bins: int = 20, shared_range: bool = False) -> DataFrame:

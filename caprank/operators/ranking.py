@@ -465,3 +465,23 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], n: i
         a = cache[lo]
         out.append(a if hi == lo else a + (h - lo) * (cache[hi] - a))
     return out
+
+
+def exact_quantiles_by(df: DataFrame, value: str | Column, by: str, probs: list[float], **kw) -> dict[object, list[float | None]]:
+    """:func:`exact_quantiles` of every group of ``by`` (a label: few values, null is
+    one of them) in one selection for all of them."""
+    v = as_col(value).cast("double")
+    base = df.select(F.col(f"`{by}`").alias("_grp"), v.alias("_qv")).filter(F.col("_qv").isNotNull() & ~F.isnan("_qv"))
+    base = base.withColumn("_qk", -F.col("_qv")).withColumn("_qi", F.xxhash64("_qv"))
+    counts = {r["_grp"]: r["count"] for r in base.groupBy("_grp").count().collect()}
+    places = {g: sorted({f((n - 1) * float(p)) + 1 for p in probs for f in (math.floor, math.ceil)}) for g, n in counts.items()}
+    cuts = find_cuts(base, "_qk", "_qi", places, counts, by="_grp", value_only=True, **kw) if counts else {}
+    out = {}
+    for g, n in counts.items():
+        rows = []
+        for p in probs:
+            h = (n - 1) * float(p)
+            lo, hi = -cuts[g, math.floor(h) + 1].score, -cuts[g, math.ceil(h) + 1].score
+            rows.append(lo + (h - math.floor(h)) * (hi - lo))
+        out[g] = rows
+    return out

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caprank import catalog as C
+from caprank.session import broadcast_if_small, cut_lineage
 
 
 class ValidationError(ValueError):
@@ -205,8 +206,9 @@ def duplicate_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     cols = columns or df.columns
     h = F.xxhash64(*[_c(c) for c in cols])
     keyed = df.select(*[_c(c) for c in cols]).withColumn("_h", h)
-    rep = keyed.groupBy("_h").count().filter(F.col("count") > 1).select("_h")
-    cand = keyed.join(rep, "_h", "left_semi")
+    rep = keyed.select("_h").groupBy("_h").count().filter(F.col("count") > 1).select("_h")
+    # few repeated hashes: whole rows are not shuffled for the join
+    cand = keyed.join(broadcast_if_small(cut_lineage(rep)), "_h", "left_semi")
     return cand.groupBy(*[_c(c) for c in cols]).agg(F.count(F.lit(1)).alias("n_rows")).filter(
         F.col("n_rows") > 1)
 
