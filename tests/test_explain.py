@@ -26,6 +26,64 @@ def test_attributions_are_additive_and_exact(spark, gbt):
     assert np.abs(phi.sum(1) + base - raw).max() < 1e-9
 
 
+def random_tree(rng, depth, n_features):
+    """Node table of a random tree; some features are split more than once."""
+    nodes = {}
+
+    def grow(d, cover):
+        nid = len(nodes)
+        nodes[nid] = None
+        if d == 0 or cover < 4 or rng.random() < 0.15:
+            nodes[nid] = {"pred": float(rng.normal()), "cover": float(cover), "left": -1, "right": -1, "feature": -1, "split": [], "ncat": -1}
+            return nid
+        part = int(rng.integers(1, cover))
+        f = int(rng.integers(n_features))
+        left, right = grow(d - 1, part), grow(d - 1, cover - part)
+        categories = f == 0
+        split = [float(x) for x in range(4) if rng.random() < 0.5] if categories else [float(rng.normal())]
+        nodes[nid] = {"pred": 0.0, "cover": float(cover), "left": left, "right": right, "feature": f, "split": split,
+                      "ncat": 4 if categories else -1}
+        return nid
+
+    grow(depth, 200)
+    return nodes
+
+
+def value(nodes, known, x, nid=0):
+    """Path-dependent value of a coalition: follow the row at splits on known
+    features, weigh both children by cover elsewhere."""
+    nd = nodes[nid]
+    if nd["left"] < 0:
+        return nd["pred"]
+    if nd["feature"] in known:
+        v = x[nd["feature"]]
+        left = v <= nd["split"][0] if nd["ncat"] < 0 else v in nd["split"]
+        return value(nodes, known, x, nd["left" if left else "right"])
+    return sum(nodes[nd[side]]["cover"] / nd["cover"] * value(nodes, known, x, nd[side]) for side in ("left", "right"))
+
+
+def test_attributions_equal_brute_force_shapley_values():
+    from itertools import combinations
+    from math import factorial
+
+    rng = np.random.default_rng(7)
+    for p in (2, 4, 5):
+        tables = [random_tree(rng, 5, p) for _ in range(3)]
+        weights = [1.0, 0.1, 0.7]
+        X = np.column_stack([rng.integers(0, 4, 12), *rng.normal(size=(p - 1, 12))]).astype(float)
+        phi, base = E.tree_shap([E._compile_tree({"nodes": t, "weight": w}) for t, w in zip(tables, weights)], X)
+        assert base == pytest.approx(sum(w * value(t, set(), X[0]) for t, w in zip(tables, weights)))
+        for row, got in zip(X, phi):
+            for i in range(p):
+                others = [j for j in range(p) if j != i]
+                want = 0.0
+                for size in range(p):
+                    for s in combinations(others, size):
+                        share = factorial(size) * factorial(p - size - 1) / factorial(p)
+                        want += share * sum(w * (value(t, {*s, i}, row) - value(t, set(s), row)) for t, w in zip(tables, weights))
+                assert got[i] == pytest.approx(want, abs=1e-12)
+
+
 def test_importance_sorted_nonnegative(gbt):
     g, df = gbt
     att = E.tree_attributions(g, df, ["id"])
