@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 
-from caprank.llm.common import BATCH_ROWS, CACHES, claim, documents, slices, span_positions, whole_text
+from caprank.llm.common import BATCH_ROWS, CACHES, claim, documents, slices, span_positions, trim, whole_text
 from caprank.llm.pieces import WordIds, encode_batch
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -166,6 +166,7 @@ def arrow_batches(batches, chars: int):
         texts = rb.column(1).to_pylist()
         for lo, hi in slices([len(t) for t in texts], chars, BATCH_ROWS):
             yield rb.column(0).slice(lo, hi - lo), texts[lo:hi]
+    trim()
 
 
 def encode(docs: DataFrame, ranks: bytes) -> DataFrame:

@@ -28,7 +28,7 @@ from caprank.session import ensure_checkpoint_dir, ship_package
 BROADCAST_IDS = 2_000_000
 
 #: Target size of one in-memory text batch inside a task, in characters.
-BATCH_CHARS = 500_000
+BATCH_CHARS = 250_000
 
 #: Most texts of one in-memory batch, however short they are.
 BATCH_ROWS = 4096
@@ -43,6 +43,26 @@ CACHES: dict[str, Callable[[], None]] = {}
 
 
 _OWNER = ""
+#: Memory blocks from this size on are mapped on their own, so that freeing them gives
+#: them back (by default the bound grows, and freed arrays stay with the process).
+MAPPED = 1 << 20
+
+
+def _libc():
+    """The C library, or None where it has other names for these calls."""
+    with contextlib.suppress(OSError, AttributeError):
+        lib = ctypes.CDLL(None)
+        if lib.malloc_trim and lib.mallopt:
+            return lib
+    return None
+
+
+def trim() -> None:
+    """Give freed memory back to the system: idle Python workers stay alive beside
+    those of the next stage."""
+    lib = _libc()
+    if lib is not None:
+        lib.malloc_trim(0)
 
 
 def claim(owner: str) -> None:
@@ -51,13 +71,15 @@ def claim(owner: str) -> None:
     global _OWNER
     if owner == _OWNER:
         return
+    lib = _libc()
+    if lib is not None and not _OWNER:
+        lib.mallopt(-3, MAPPED)  # M_MMAP_THRESHOLD
     _OWNER = owner
     for name, free in CACHES.items():
         if name != owner:
             free()
     gc.collect()
-    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
-        ctypes.CDLL(None).malloc_trim(0)
+    trim()
 
 
 #: Arrow batches between the JVM and Python hold at most this many bytes.
@@ -145,6 +167,8 @@ def text_batches(batches, chars: int = BATCH_CHARS, rows: int = BATCH_ROWS, owne
             n += len(t)
     if ids:
         yield ids, texts
+        ids = texts = []
+    trim()
 
 
 def slices(sizes: list[int], chars: int, rows: int):

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caprank.llm.common import (claim, counted_texts, documents, exact_copies, first_copies, mix64, repeated_ids, small_side,
-                                text_batches, text_sha, unused, utf8_bytes, written)
+                                text_batches, text_sha, trim, unused, utf8_bytes, written)
 
 LENGTH = 50
 SEED = 20
@@ -154,6 +154,7 @@ def contexts(docs: DataFrame, repeated: DataFrame, length: int, seed: int) -> Da
     whole: the same context lies in a smaller document of this map task."""
 
     def part(batches):
+        claim("repeats")
         for pdf in batches:
             for lo in range(0, len(pdf), 256):
                 some = pdf.iloc[lo:lo + 256]
@@ -343,6 +344,8 @@ def in_chunks(some: DataFrame, length: int, search, copies, schema: str) -> Data
         held = [x for x in held if len(x)]
         if held:
             yield from search(Chunk(pd.concat(held, ignore_index=True), length))
+        held = []
+        trim()
 
     return some.repartition("h").sortWithinPartitions("h", "bytes", "doc_id").mapInPandas(part, schema)
 
