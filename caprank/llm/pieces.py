@@ -85,7 +85,7 @@ class WordIds:
 
     SLOTS = 1 << 20
 
-    def __init__(self, encode_words: Callable[[list[str]], list[list[int]]], max_words: int = 200_000, max_chars: int = 4_000_000):
+    def __init__(self, encode_words: Callable[[list[str]], list[list[int]]], max_words: int = 500_000, max_chars: int = 6_000_000):
         self.encode_words = encode_words
         self.max_words, self.max_chars = max_words, max_chars
         self._reset()
@@ -93,14 +93,15 @@ class WordIds:
     def _reset(self) -> None:
         self.keys = np.zeros(self.SLOTS, dtype=np.uint64)
         self.vals = np.zeros(self.SLOTS, dtype=np.int32)
-        self.known: dict[int, int] = {}
+        self.hashes = np.zeros(0, dtype=np.uint64)  # of all words, ascending, and their indexes
+        self.order = np.zeros(0, dtype=np.int32)
         self.odd: dict[str, int] = {}  # words whose hash another word has
         self.n = self.used = self.n_chars = 0
-        self.offs = np.zeros(1024, dtype=np.int64)
-        self.lens = np.zeros(1024, dtype=np.int64)
+        self.offs = np.zeros(1024, dtype=np.int32)
+        self.lens = np.zeros(1024, dtype=np.int32)
         self.flat = np.zeros(8192, dtype=np.int32)
-        self.char_offs = np.zeros(1024, dtype=np.int64)
-        self.char_lens = np.zeros(1024, dtype=np.int64)
+        self.char_offs = np.zeros(1024, dtype=np.int32)
+        self.char_lens = np.zeros(1024, dtype=np.int32)
         self.chars = np.zeros(8192, dtype=np.uint32)
 
     def _store(self, words: list[str]) -> None:
@@ -140,15 +141,20 @@ class WordIds:
         miss = np.flatnonzero(~hit)
         if len(miss):
             uniq, first, inv = np.unique(h[miss], return_index=True, return_inverse=True)
-            idx = np.fromiter((self.known.get(x, -1) for x in uniq.tolist()), dtype=np.int64, count=len(uniq))
-            new = np.flatnonzero(idx < 0)
+            place = np.searchsorted(self.hashes, uniq)
+            near = np.minimum(place, max(len(self.hashes) - 1, 0))
+            old = self.hashes[near] == uniq if len(self.hashes) else np.zeros(len(uniq), dtype=bool)
+            idx = np.full(len(uniq), -1, dtype=np.int64)
+            idx[old] = self.order[near[old]]
+            new = np.flatnonzero(~old)
             if len(new):
                 at = miss[first[new]]
                 idx[new] = np.arange(self.n, self.n + len(new))
                 words = [joined[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
                 for lo in range(0, len(words), 8192):
                     self._store(words[lo:lo + 8192])
-                self.known.update(zip(uniq[new].tolist(), idx[new].tolist(), strict=True))
+                self.hashes = np.insert(self.hashes, place[new], uniq[new])
+                self.order = np.insert(self.order, place[new], idx[new].astype(np.int32))
             out[miss] = idx[inv]
             s = (uniq & np.uint64(self.SLOTS - 1)).astype(np.int64)
             self.keys[s], self.vals[s] = uniq, idx

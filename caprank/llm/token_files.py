@@ -193,10 +193,38 @@ def _table(tokenizer: str) -> WordIds:
 
         t = Tokenizer.from_str(tokenizer)
         t.encode_special_tokens = True
-        _TABLES[key] = WordIds(lambda words: [e.ids for e in t.encode_batch_fast(words, add_special_tokens=False)])
+        _TABLES[key] = WordIds(joined_encoder(lambda texts: [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)]))
     return _TABLES[key]
 
 
+def joined_encoder(encode, at_once: int = 256):
+    """Encoder of words (pieces of the pre-tokenizer) that hands the library many of
+    them as one text, which costs it far less than a text for each.
+
+    Words are joined by line feeds.  A line feed before a letter, a number or another
+    character is a piece of its own, and so it is before a blank that belongs to a
+    word; a word with such a character holds no line feed.  So the line feed's id, which
+    stands for nothing else, cuts the ids into words again; where their number does not
+    come out, and for words of white space alone, each word is encoded by itself."""
+    feed = encode(["\n"])[0]
+
+    def words_of(words: list[str]) -> list[list[int]]:
+        out: list = [None] * len(words)
+        plain = [i for i, w in enumerate(words) if len(feed) == 1 and not w.isspace() and "\n" not in w]
+        groups = [plain[k:k + at_once] for k in range(0, len(plain), at_once)]
+        for group, ids in zip(groups, encode(["\n" + "\n".join([words[i] for i in g]) for g in groups]), strict=True):
+            cuts = [k for k, x in enumerate(ids) if x == feed[0]]
+            if len(cuts) == len(group) and cuts[0] == 0:
+                for i, a, b in zip(group, cuts, [*cuts[1:], len(ids)], strict=True):
+                    out[i] = ids[a + 1:b]
+        rest = [i for i, x in enumerate(out) if not x]
+        for i, ids in zip(rest, encode([words[i] for i in rest]) if rest else [], strict=True):
+            out[i] = ids
+        return out
+
+    return words_of
+
+
 def tokenizer_file(path: str | None = None) -> str:
     if path is None:
         import public_tokenizers

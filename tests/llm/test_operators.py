@@ -531,6 +531,28 @@ def test_token_files_match_the_library(s, monkeypatch):
         start += len(want)
 
 
+def test_words_encoded_together_are_those_encoded_alone():
+    import random
+
+    import public_tokenizers as p
+    from tokenizers import Tokenizer
+
+    from caprank.llm import common, pieces
+
+    t = Tokenizer.from_file(p.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    encode = lambda texts: [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+    rnd = random.Random(2)
+    parts = [" ", "  ", "\n", "\t", "\r\n", "'", "'s", "'ll", "a", "Ab", "é", "1", "٣", "!", "漢字", "😀", "\x85", "\xa0", "\u2028", "\x1c", "\u200b",
+             "<|endoftext|>", "\x00", "x" * 300]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(1, 40))) for _ in range(3000)]
+    cps, offsets, joined = common.code_points(texts)
+    starts, ends = pieces.piece_spans(cps, offsets)
+    words = sorted({joined[a:b] for a, b in zip(starts, ends)}) + ["\n", "\n\n", " ", "\n \n"]
+    for at_once in (1, 7, 256):
+        assert token_files.joined_encoder(encode, at_once)(words) == encode(words)
+
+
 def test_token_files_awkward_rows(s):
     assert token_files.doc_index(written(token_files.write_shards(empty(s), token_files.tokenizer_file()), "t")).count() == 0
     out = token_files.doc_index(written(token_files.write_shards(with_nulls(s), token_files.tokenizer_file()), "t")).orderBy("start").collect()
