@@ -17,7 +17,9 @@ third of all rows is spread over all buckets.
 
 Defined results: a null text has size 0 and is taken 0 times; a null source is a
 source of its own, last; sources without words have target 0; repeated rows are
-documents of their own; an empty table gives an empty mix.
+documents of their own, null ids too; very long texts count whole; equal hashes are
+told apart by size and place in the scan; an empty table gives an empty mix; other
+columns are ignored by the operator and kept by the stage.
 """
 
 from __future__ import annotations

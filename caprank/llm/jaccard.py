@@ -30,8 +30,10 @@ in segments, which are added up in two steps.
 
 Defined results: null and empty texts have an empty set and link with nothing;
 1-4 words are one shingle; repeated texts are ordinary copies; rows that repeat a
-doc_id are one document, linked if any of its texts is; rows without a doc_id are
-left out (a pipeline keeps them, unjudged); texts are read whole.
+doc_id are one document with the text of the smallest digest (a pipeline keeps the
+rows with other texts); rows without a doc_id are left out (a pipeline keeps them,
+unjudged); texts are read whole; an empty table has no rows; other columns are
+ignored by the operator and kept by the stage.
 """
 
 from __future__ import annotations

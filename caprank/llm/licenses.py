@@ -16,7 +16,9 @@ The index is that of the templates, a parameter, and goes along with the
 function; documents are scanned where they lie, without a shuffle.
 
 Defined results: null and empty texts match nothing; each occurrence is a row of
-its own, however many; repeated rows are scanned each; texts are scanned whole.
+its own, however many; repeated rows are scanned each, null ids give rows with a null
+id; texts are scanned whole; equally good alignments go to the earlier place; an empty
+table has no rows; other columns are ignored.
 """
 
 from __future__ import annotations

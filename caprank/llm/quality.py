@@ -16,7 +16,10 @@ of ratios is a scalar subquery of that many doubles.
 
 Base rules: see ``base_columns``.  Defined results: null and empty texts have no
 words and fail the base rules; a text without n-grams scores 0; documents are
-rows, so repeated ones are judged alike.
+rows, so repeated ones are judged alike; a score equal to the threshold is kept; very
+long texts are judged whole (their n-grams are an array of the row); null ids are kept
+as they are and are never trusted; an empty table has no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations

@@ -18,8 +18,8 @@ Memory in a task is one shard (or one document, if that is longer).  The order
 of the whole is file number, then shard, then document.
 
 Defined results: a null or empty text holds the end id alone; a null doc_id sorts
-first; rows that repeat a doc_id follow each other by text; an empty table gives
-no shard.
+first; rows that repeat a doc_id follow each other by text; very long texts and words
+are encoded whole; an empty table gives no shard; other columns are ignored.
 """
 
 from __future__ import annotations
