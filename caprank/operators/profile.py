@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caprank.operators.ranking import exact_quantiles_by, find_cut, k_from_fraction, rank_within
@@ -163,34 +163,71 @@ def correlations(df: DataFrame, columns: Sequence[str], threshold: float = 0.9)
 
 def leakage_scan(
     df: DataFrame, y: str, rid: str, features: Sequence[str], fraction: float = 0.10,
-    exact_limit: int | None = None,
+    exact_limit: int | None = None, n_buckets: int = 64,
 ) -> DataFrame:
     """Q10: single-feature P@k in both directions, best direction, lift.
 
-    The features are unpivoted once into ``(feature|direction, value)``, one
-    selection finds the cut of each, and one aggregate evaluates every top-k
-    predicate.  Nulls rank last in both directions."""
-    from caprank.operators.ranking import EXACT_LIMIT, find_cuts
+    Three jobs for all features: split points of each (one aggregate), rows and
+    positives of each (feature, bucket) with the features unpivoted (one aggregate), and
+    the rows of the boundary buckets alone, ranked (about ``1 / n_buckets`` of them).
+    Both directions read the same buckets, one from above and one from below.  A
+    boundary bucket that is larger than one task should rank (a giant tie) is cut by
+    selection.  Missing values rank last and NaN first in both directions."""
+    from caprank.functions.order import splits_at_or_before
+    from caprank.operators.ranking import EXACT_LIMIT, order_value
     from caprank.session import pinned
 
-    dirs = [(f, d, _c(f).cast("double") * F.lit(float(sgn))) for f in features for d, sgn in (("pos", 1), ("neg", -1))]
+    limit = EXACT_LIMIT if exact_limit is None else exact_limit
+    cols = [F.col(f"_f{i}") for i in range(len(features))]
+    probs = [i / n_buckets for i in range(1, n_buckets)]
     with pinned(df.select(_c(rid).alias("_id"), _c(y).cast("long").alias("_y"),
-                          *[_c(f) for f in features])) as base:
-        n = base.count()
+                          *[_c(f).cast("double").alias(f"_f{i}") for i, f in enumerate(features)])) as base:
+        usable = [F.when(c.isNotNull() & ~F.isnan(c), order_value(c)) for c in cols]
+        head = base.agg(F.count("*").alias("n"), F.avg("_y").alias("rate"),
+                        *[F.percentile_approx(v, probs, 10 * n_buckets).alias(f"s{i}") for i, v in enumerate(usable)]).first()
+        n, rate = head["n"], head["rate"]
         k = k_from_fraction(n, fraction)
-        arr = F.array(*[F.struct(F.lit(f"{f}|{d}").alias("_fd"), e.alias("_v")) for f, d, e in dirs])
-        long = base.select("_id", F.explode(arr).alias("r")).select("_id", "r.*")
-        names = [f"{f}|{d}" for f, d, _ in dirs]
-        cuts = find_cuts(long, "_v", "_id", {m: [k] for m in names}, dict.fromkeys(names, n), by="_fd",
-                         exact_limit=EXACT_LIMIT if exact_limit is None else exact_limit)
-        row = base.agg(F.avg("_y").alias("_rate"), *[
-            F.sum(F.when(cuts[m, k].contains(e, "_id"), F.col("_y")).otherwise(0)).alias(f"_t{j}")
-            for j, (m, (_, _, e)) in enumerate(zip(names, dirs, strict=True))]).first()
-        tps = {m: row[f"_t{j}"] for j, m in enumerate(names)}
-        rate = row["_rate"]
+        place = []
+        for i, c in enumerate(cols):
+            splits = sorted(set(head[f"s{i}"] or []))
+            place.append(F.when(c.isNull(), -2).when(F.isnan(c), -1).otherwise(splits_at_or_before(order_value(c), splits)))
+        long = base.select("_id", "_y", F.explode(F.array(*[
+            F.struct(F.lit(i).alias("f"), c.alias("v"), b.cast("int").alias("b")) for i, (c, b) in enumerate(zip(cols, place, strict=True))
+        ])).alias("r")).select("_id", "_y", "r.*")
+        counts: dict[int, dict[int, tuple[int, int]]] = {i: {} for i in range(len(features))}
+        for r in long.groupBy("f", "b").agg(F.count("*").alias("c"), F.sum("_y").alias("p")).collect():
+            counts[r["f"]][r["b"]] = (r["c"], r["p"] or 0)
+
+        tps, need, at = {}, {}, {}
+        for i, own in counts.items():
+            inner = sorted(b for b in own if b >= 0)
+            for d, order in ((0, inner[::-1]), (1, inner)):
+                tag, before, tp = 2 * i + d, 0, 0
+                for b in [x for x in (-1, *order, -2) if x in own]:
+                    size, hits = own[b]
+                    if before + size > k:
+                        break
+                    before, tp = before + size, tp + hits
+                tps[tag] = tp
+                if before < k:
+                    need[tag], at[tag] = k - before, b
+        small = {t: b for t, b in at.items() if counts[t // 2][b][0] <= limit}
+        if small:
+            tags = F.array(*[F.when((F.col("f") == t // 2) & (F.col("b") == b), t) for t, b in small.items()])
+            rows = long.select("_id", "_y", "v", F.explode(F.array_compact(tags)).alias("t"))
+            first = Window.partitionBy("t").orderBy(F.when(F.col("t") % 2 == 0, -F.col("v")).otherwise(F.col("v")), "_id")
+            wanted = F.create_map(*[F.lit(x) for t in small for x in (t, need[t])])
+            rows = rows.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= F.element_at(wanted, F.col("t")))
+            for r in rows.groupBy("t").agg(F.sum("_y").alias("p")).collect():
+                tps[r["t"]] += r["p"] or 0
+        for t in at.keys() - small.keys():
+            i = t // 2
+            own = base.where(place[i] == at[t]).select("_id", "_y", (cols[i] * (1 if t % 2 == 0 else -1)).alias("v"))
+            cut = find_cut(own, "v", "_id", need[t], n=counts[i][at[t]][0], exact_limit=limit)
+            tps[t] += own.where(cut.contains("v", "_id")).agg(F.sum("_y")).first()[0] or 0
     out = []
-    for f in features:
-        pp, pn = tps[f"{f}|pos"] / k, tps[f"{f}|neg"] / k
+    for i, f in enumerate(features):
+        pp, pn = tps[2 * i] / k, tps[2 * i + 1] / k
         best = max(pp, pn)
         out.append((f, "pos" if pp >= pn else "neg", float(best), float(best / rate) if rate else 0.0))
     return df.sparkSession.createDataFrame(

@@ -5,7 +5,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from caprank.operators.profile import distinct_values, group_stats
+from caprank.operators.profile import distinct_values, group_stats, leakage_scan
 from caprank.operators.validate import duplicate_rows
 
 
@@ -39,6 +39,33 @@ def test_sorted_values_of_a_column_with_many(spark, limits):
         assert [v for _, v in own] == values and [p for p, _ in own] == list(range(1, len(values) + 1))
 
 
+@pytest.mark.parametrize("limits", [{}, {"exact_limit": 20}, {"n_buckets": 5, "exact_limit": 30}])
+def test_leakage_scan_against_plain_ranking(spark, limits):
+    nan, inf = float("nan"), float("inf")
+    rows = []
+    for i in range(700):
+        odd = [None, nan, inf, -inf, 0.0][i % 5] if i % 3 == 0 else float(i % 50)
+        rows.append((f"id{i * 7919 % 700:04d}", int(i * 31 % 10 < 3), odd, float(i % 2), float(i), None, nan))
+    names = ["odd", "tie", "line", "none", "nans"]
+    df = spark.createDataFrame(rows, "id string, y int, odd double, tie double, line double, none double, nans double")
+    got = {r["feature"]: r for r in leakage_scan(df, "y", "id", names, 0.1, **limits).collect()}
+
+    def tp(j, sign):
+        def key(r):
+            v = r[j]
+            if v is None:
+                return (2, 0.0, r[0])
+            return (0, 0.0, r[0]) if v != v else (1, -sign * v, r[0])
+
+        return sum(r[1] for r in sorted(rows, key=key)[:70])
+
+    rate = sum(r[1] for r in rows) / 700
+    for j, f in enumerate(names, 2):
+        best = max(tp(j, 1), tp(j, -1)) / 70
+        assert got[f]["precision_at_k"] == pytest.approx(best) and got[f]["lift_at_k"] == pytest.approx(best / rate)
+        assert got[f]["best_direction"] == ("pos" if tp(j, 1) >= tp(j, -1) else "neg")
+
+
 def test_duplicates_confirmed_on_whole_rows(spark):
     df = spark.createDataFrame([(1, "a", None), (1, "a", None), (2, "b", 1.0), (None, None, None), (None, None, None), (None, None, None)],
                                "i int, t string, x double")
