@@ -107,12 +107,34 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Scopes that are open: paths of the tables written in each.
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def temporary(spark: SparkSession):
+    """Tables written inside are deleted at the end, but for those written with
+    ``keep``: only these may be read by what leaves the scope (a scope around it
+    deletes them in turn)."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for path in _SCOPES.pop():
+            p = hadoop.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it
     back: cuts the lineage at a place every executor can read again."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    scopes = _SCOPES[:-1] if keep else _SCOPES  # what one scope keeps, the one around it may drop
+    if scopes:
+        scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caprank.llm.common import (NO_ID, code_points, documents, exact_copies, first_copies, lower_ascii, mix64, packed, repeated_ids,
-                                small_side, span_hashes, text_batches, text_sha, unpacked, unused, word_spans, written)
+                                small_side, span_hashes, temporary, text_batches, text_sha, unpacked, unused, word_spans, written)
 from caprank.llm.components import components
 
 WORDS = 5
@@ -394,8 +394,8 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Pipeline stage: the document with the smallest doc_id of each class.  Of rows
     that repeat a doc_id, those with the text that counts are one document (one
     stays); rows with other texts, and rows without a doc_id, stay as they are."""
-    members, _ = similar_groups(docs)
-    members = written(members, "members")
+    with temporary(spark):
+        members = written(similar_groups(docs)[0], "members", keep=True)
     gone = members.where("doc_id <> component_id").select("doc_id", "sha")
     several = repeated_ids(members)
     if several is None:

@@ -26,8 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caprank.llm.common import (BROADCAST_IDS, CACHES, code_points, crc_mod, documents, null_id, small_side, text_batches, text_sha,
-                                unused, with_id, written)
+from caprank.llm.common import (BROADCAST_IDS, CACHES, code_points, crc_mod, documents, null_id, small_side, temporary, text_batches,
+                                text_sha, unused, with_id, written)
 
 DIM = 1024
 SEED = 20_231
@@ -207,11 +207,12 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     langs, protos = prototypes(docs.select("text", "lang"))
     if not langs:
         return docs.where(F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}"))
-    judged = written(judged_texts(docs, langs, protos), "judged")
-    level = F.lit(0.0)
-    for least, lowest in levels(judged.where("labelled").select("score", "trigrams")):
-        level = F.when(F.col("trigrams") >= least, F.lit(lowest)).otherwise(level)
     name = unused(docs, "text_digest")
-    gone = judged.where((F.col("lang") == UNKNOWN) | (F.col("score") < level)).select(F.col("sha").alias(name)).distinct()
-    gone = small_side(written(gone, "rejected"), BROADCAST_IDS // 4)
+    with temporary(spark):
+        judged = written(judged_texts(docs, langs, protos), "judged")
+        level = F.lit(0.0)
+        for least, lowest in levels(judged.where("labelled").select("score", "trigrams")):
+            level = F.when(F.col("trigrams") >= least, F.lit(lowest)).otherwise(level)
+        gone = judged.where((F.col("lang") == UNKNOWN) | (F.col("score") < level)).select(F.col("sha").alias(name)).distinct()
+        gone = small_side(written(gone, "rejected", keep=True), BROADCAST_IDS // 4)
     return docs.withColumn(name, text_sha()).join(gone, name, "left_anti").select(docs.columns)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caprank.llm.common import (claim, counted_texts, documents, exact_copies, first_copies, mix64, repeated_ids, small_side,
-                                text_batches, text_sha, trim, unused, utf8_bytes, written)
+                                temporary, text_batches, text_sha, trim, unused, utf8_bytes, written)
 
 LENGTH = 50
 SEED = 20
@@ -472,7 +472,8 @@ def removed_spans(docs: DataFrame, copies: DataFrame, length: int = LENGTH, seed
 
 def cut_texts(docs: DataFrame, copies: DataFrame) -> DataFrame:
     """``kept_texts`` of the documents with something to remove."""
-    spans = written(removed_spans(docs, copies), "spans")
+    with temporary(docs.sparkSession):  # anchors and contexts end where the spans are known
+        spans = written(removed_spans(docs, copies), "spans", keep=True)
     return kept_texts(counted_texts(docs, copies).join(small_side(spans.select("doc_id")), "doc_id", "left_semi"), spans)
 
 
@@ -496,15 +497,16 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     character drops its broken bytes.  n_chars follows the text.  Of rows that
     repeat a doc_id only those with the text that counts are cut; rows with other
     texts, and rows without a doc_id, stay as they are."""
-    copies = written(exact_copies(docs), "reps")
-    cut = cut_texts(docs, copies).select("doc_id", "kept")
-    whole = copies.where(f"rep <> doc_id and n_bytes >= {LENGTH}").select("doc_id", F.lit(b"").alias("kept"))
     valid = F.try_validate_utf8(F.col("kept").cast("string"))
     repaired = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
     key, sha, kept = unused(docs, "cut_id"), unused(docs, "cut_sha"), unused(docs, "kept_text")
-    cut = (cut.unionByName(whole).join(copies.select("doc_id", "sha"), "doc_id")
-           .select(F.col("doc_id").alias(key), F.col("sha").alias(sha), F.coalesce(valid, repaired).alias(kept)))
-    cut = written(cut, "cut")
+    with temporary(spark):
+        copies = written(exact_copies(docs), "reps", keep=True)
+        cut = cut_texts(docs, copies).select("doc_id", "kept")
+        whole = copies.where(f"rep <> doc_id and n_bytes >= {LENGTH}").select("doc_id", F.lit(b"").alias("kept"))
+        cut = (cut.unionByName(whole).join(copies.select("doc_id", "sha"), "doc_id")
+               .select(F.col("doc_id").alias(key), F.col("sha").alias(sha), F.coalesce(valid, repaired).alias(kept)))
+        cut = written(cut, "cut", keep=True)
     same = docs["doc_id"] == cut[key]
     if repeated_ids(copies) is not None:
         same = same & (text_sha() == cut[sha])

@@ -142,3 +142,21 @@ def test_every_whole_notice_is_found_wherever_it_stands(s):
         for r in mine:
             assert 0 <= r["start"] < r["stop"] <= len(text)
     assert math.isfinite(sum(r["coverage"] for rs in got.values() for r in rs))
+
+
+def test_tables_of_a_scope_are_deleted_but_for_the_kept(s):
+    from caprank.llm.common import temporary, written
+
+    df = s.range(5)
+    with temporary(s):
+        a, kept = written(df, "a"), written(df, "b", keep=True)
+        with temporary(s):
+            inner, up = written(df, "c"), written(df, "d", keep=True)
+            assert inner.count() == 5
+        assert up.count() == 5 and a.count() == 5
+        with pytest.raises(Exception, match="(?i)not exist"):
+            inner.count()
+    assert kept.count() == 5
+    for gone in (a, up):
+        with pytest.raises(Exception, match="(?i)not exist"):
+            gone.count()
