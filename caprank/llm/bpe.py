@@ -27,7 +27,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 
 from caprank.llm.common import BATCH_ROWS, CACHES, claim, documents, slices, span_positions, trim, whole_text
-from caprank.llm.pieces import WordIds, encode_batch
+from caprank.llm.pieces import WordIds, as_arrays, encode_batch
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -156,7 +156,7 @@ def loaded(ranks: bytes) -> tuple[MergeReplay, WordIds]:
     if key not in _LOADED:
         _LOADED.clear()
         replay = MergeReplay(ranks)
-        _LOADED[key] = (replay, WordIds(replay.encode_words))
+        _LOADED[key] = (replay, WordIds(lambda words: as_arrays(replay.encode_words(words))))
     return _LOADED[key]
 
 

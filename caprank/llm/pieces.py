@@ -75,6 +75,12 @@ def piece_spans(cps: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, np.append(starts[1:], n)
 
 
+def as_arrays(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(all ids, where each word's begin, how many it has) of lists of ids."""
+    lens = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+    return np.array([x for w in ids for x in w], dtype=np.int32), np.cumsum(lens) - lens, lens
+
+
 class WordIds:
     """Token ids of words, kept for the life of a Python worker.
 
@@ -85,7 +91,7 @@ class WordIds:
 
     SLOTS = 1 << 20
 
-    def __init__(self, encode_words: Callable[[list[str]], list[list[int]]], max_words: int = 500_000, max_chars: int = 6_000_000):
+    def __init__(self, encode_words: Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]], max_words: int = 500_000, max_chars: int = 6_000_000):
         self.encode_words = encode_words
         self.max_words, self.max_chars = max_words, max_chars
         self._reset()
@@ -105,8 +111,9 @@ class WordIds:
         self.chars = np.zeros(8192, dtype=np.uint32)
 
     def _store(self, words: list[str]) -> None:
-        ids = self.encode_words(words)
-        k, total = len(ids), sum(map(len, ids))
+        flat, offs, lens = self.encode_words(words)
+        k, total = len(words), len(flat)
+        size = np.fromiter(map(len, words), dtype=np.int32, count=k)
         text = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         while self.n + k > len(self.offs):
             for name in ("offs", "lens", "char_offs", "char_lens"):
@@ -116,11 +123,9 @@ class WordIds:
             self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
         while self.n_chars + len(text) > len(self.chars):
             self.chars = np.concatenate((self.chars, np.zeros_like(self.chars)))
-        lens = np.fromiter(map(len, ids), dtype=np.int64, count=k)
         self.lens[self.n:self.n + k] = lens
-        self.offs[self.n:self.n + k] = self.used + np.cumsum(lens) - lens
-        self.flat[self.used:self.used + total] = [x for w in ids for x in w]
-        size = np.fromiter(map(len, words), dtype=np.int64, count=k)
+        self.offs[self.n:self.n + k] = self.used + offs
+        self.flat[self.used:self.used + total] = flat
         self.char_lens[self.n:self.n + k] = size
         self.char_offs[self.n:self.n + k] = self.n_chars + np.cumsum(size) - size
         self.chars[self.n_chars:self.n_chars + len(text)] = text

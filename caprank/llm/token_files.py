@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caprank.llm.common import CACHES, NO_ID, claim, documents, packed, small_side, text_batches, unpacked, with_id, written
-from caprank.llm.pieces import WordIds, encode_batch
+from caprank.llm.pieces import WordIds, as_arrays, encode_batch
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
 END_ID = 2
@@ -208,19 +208,24 @@ def joined_encoder(encode, at_once: int = 256):
     come out, and for words of white space alone, each word is encoded by itself."""
     feed = encode(["\n"])[0]
 
-    def words_of(words: list[str]) -> list[list[int]]:
-        out: list = [None] * len(words)
+    def words_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        offs, lens = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        parts, used = [], 0
         plain = [i for i, w in enumerate(words) if len(feed) == 1 and not w.isspace() and "\n" not in w]
         groups = [plain[k:k + at_once] for k in range(0, len(plain), at_once)]
-        for group, ids in zip(groups, encode(["\n" + "\n".join([words[i] for i in g]) for g in groups]), strict=True):
-            cuts = [k for k, x in enumerate(ids) if x == feed[0]]
+        for group, found in zip(groups, encode(["\n" + "\n".join([words[i] for i in g]) for g in groups]), strict=True):
+            ids = np.array(found, dtype=np.int32)
+            cuts = np.flatnonzero(ids == feed[0])
             if len(cuts) == len(group) and cuts[0] == 0:
-                for i, a, b in zip(group, cuts, [*cuts[1:], len(ids)], strict=True):
-                    out[i] = ids[a + 1:b]
-        rest = [i for i, x in enumerate(out) if not x]
-        for i, ids in zip(rest, encode([words[i] for i in rest]) if rest else [], strict=True):
-            out[i] = ids
-        return out
+                offs[group], lens[group] = used + cuts + 1, np.diff(np.append(cuts, len(ids))) - 1
+                parts.append(ids)
+                used += len(ids)
+        rest = np.flatnonzero(lens == 0).tolist()
+        if rest:
+            flat, o, n = as_arrays(encode([words[i] for i in rest]))
+            offs[rest], lens[rest] = used + o, n
+            parts.append(flat)
+        return np.concatenate(parts) if parts else np.empty(0, dtype=np.int32), offs, lens
 
     return words_of
 
