@@ -48,12 +48,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caprank.llm.common import (NO_ID, code_points, crc_mod, documents, lower_ascii, mix64, null_id, packed, span_hashes, unpacked, word_spans,
-                                written)
+from caprank.llm.common import (NO_ID, claim, code_points, crc_mod, documents, lower_ascii, mix64, null_id, packed, span_hashes, trim,
+                                unpacked, word_spans, written)
 
 #: Weights of a word state's and a pair state's own counts against the shorter state.
 WORD_WEIGHT, PAIR_WEIGHT = 0.4, 0.3
-BLOCK_CHARS = 6_000_000
+BLOCK_CHARS = 4_000_000
 #: Characters of the corpus for each hash range.
 RANGE_CHARS = 16_000_000
 #: Tokens of a text that one lane of a traversal reads.
@@ -227,6 +227,7 @@ def requests(rows: DataFrame, range_bits: int) -> DataFrame:
     """Packed distinct words and pairs of each block, by hash range."""
 
     def part(batches):
+        claim("scoring")
         for block in _whole_blocks(batches):
             h, before, doc = tokens_of(block["text"].tolist())
             teaches = block["train"].to_numpy().astype(np.float64)[doc]
@@ -241,6 +242,7 @@ def requests(rows: DataFrame, range_bits: int) -> DataFrame:
                     out.append((kind, r, int(block["block"].iloc[0]), len(own),
                                 packed(np.concatenate((own[:1], np.diff(own)))), packed(c)))
             yield pd.DataFrame(out, columns=["kind", "part", "block", "n", "keys", "counts"])
+        trim()
 
     return rows.mapInPandas(part, REQUEST)
 
@@ -285,6 +287,7 @@ def scored(docs: DataFrame, train: Column) -> DataFrame:
             yield pdf[["block", "doc_id", "text"]]
 
     def traverse(own: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+        claim("scoring")
         m = len(own)
         h, before, doc = tokens_of(own["text"].tolist())
         first = first_tokens(doc)
