@@ -46,6 +46,8 @@ _OWNER = ""
 #: Memory blocks from this size on are mapped on their own, so that freeing them gives
 #: them back (by default the bound grows, and freed arrays stay with the process).
 MAPPED = 1 << 20
+#: A larger bound for operators that need little memory: mapping costs them time.
+MAPPED_BY = {"tokens": 1 << 23, "bpe": 1 << 23}
 
 
 def _libc():
@@ -72,8 +74,8 @@ def claim(owner: str) -> None:
     if owner == _OWNER:
         return
     lib = _libc()
-    if lib is not None and not _OWNER:
-        lib.mallopt(-3, MAPPED)  # M_MMAP_THRESHOLD
+    if lib is not None:
+        lib.mallopt(-3, MAPPED_BY.get(owner, MAPPED))  # M_MMAP_THRESHOLD
     _OWNER = owner
     for name, free in CACHES.items():
         if name != owner:
