@@ -40,7 +40,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caprank.functions.order import as_col, splits_at_or_before
+from caprank.functions.order import as_col
+from caprank.operators.prefix import running_totals
 from caprank.operators.ranking import EXACT_LIMIT, find_cuts, k_from_fraction, order_value
 from caprank.session import pinned, small_result
 
@@ -305,10 +306,13 @@ def ladder(df: DataFrame, y: str, score: str, rid: str, steps: int = STEPS) -> t
         distinct = per.count()
         if distinct > steps:
             n = per.agg(F.sum("c")).first()[0]
-            at = sorted({max(1, round(i * n / steps)) for i in range(1, steps)})
-            cuts = find_cuts(rows.withColumn("i", F.xxhash64("v")), "o", "i", {None: at}, {None: n}, value_only=True)
-            bounds = sorted({c.score for c in cuts.values()})
-            per = per.groupBy(splits_at_or_before(F.col("o"), bounds).cast("double").alias("o")).agg(
+            # a range starts below each score that holds a row round(i * n / steps), 0 < i < steps: a
+            # score's range is the number of these rows above it, from the running total alone
+            above = F.col("cum_c") - F.col("c")
+            least = F.floor(above * F.lit(steps) / F.lit(n)).cast("long")
+            passed = least + (F.rint((least + 1) * F.lit(n) / F.lit(steps)) <= above).cast("long")
+            cum = running_totals(per.groupBy("o").agg(F.sum("p").alias("p"), F.sum("c").alias("c")), "o", ["c"], descending=True, n=distinct)
+            per = cum.groupBy((-F.least(passed, F.lit(steps - 1))).alias("o")).agg(
                 F.sum("p").cast("long").alias("p"), F.sum("c").cast("long").alias("c"))
         found = sorted(per.select("o", "p", "c").collect(), key=lambda r: -r["o"])
     return np.array([r["p"] for r in found], dtype=np.int64), np.array([r["c"] for r in found], dtype=np.int64)

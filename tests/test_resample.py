@@ -180,6 +180,24 @@ def test_ladder_of_ranges_keeps_all_rows_and_is_close(spark):
     assert math.isnan(point) and np.isnan(values).all()
 
 
+def test_ladder_of_ranges_has_exact_bounds_without_laying_out_positions(spark, monkeypatch):
+    def laid_out(*_, **__):
+        raise AssertionError("positions as literals fill the driver's memory")
+
+    monkeypatch.setattr(resample, "find_cuts", laid_out)
+    for n, steps in ((3000, 64), (1500, 37), (999, 200)):
+        rng = np.random.default_rng(n)
+        rows = [(i, i % 3 % 2, NAN if i % 50 == 7 else None if i % 41 == 1 else float(x), 0.0) for i, x in
+                enumerate(np.where(rng.random(n) < 0.3, 2.0, rng.normal(size=n)))]
+        places = order(rows, 2)
+        value = [2e9 if rows[i][2] is not None and math.isnan(rows[i][2]) else -2e9 if rows[i][2] is None else rows[i][2] for i in places]
+        bounds = np.array(sorted({value[max(1, round(i * n / steps)) - 1] for i in range(1, steps)}))
+        of = len(bounds) - np.searchsorted(bounds, value, side="right")
+        want = [(sum(rows[i][1] for i, s in zip(places, of) if s == step), int((of == step).sum())) for step in sorted(set(of))]
+        p, c = resample.ladder(frame(spark, rows), "y", "a", "id", steps=steps)
+        assert list(zip(p.tolist(), c.tolist())) == want
+
+
 def test_bootstrap_metrics_and_methods(spark):
     df = frame(spark, rows_of(500, 8, odd=False)).cache()
     for metric in resample.METRICS:
