@@ -379,14 +379,14 @@ FROM cohort GROUP BY c_mktsegment
 def q_file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 + S4 + S9 by file: rows of each partition's files from the manifest of the
     cohort, and whether the check names it after one partition's file was replaced."""
-    from caprank.sources.manifest import differences, measured, read_manifest_table, write_manifest_table
+    from caprank.sources.manifest import differences, measured, read_manifest_table, write_by_folder, write_manifest_table
 
     c = customer_cohort(spark, sf_dir).select("id", "y", "enrolled", "c_mktsegment")
     root = fresh_folder(spark, "files")
-    c.coalesce(1).write.partitionBy("c_mktsegment").parquet(f"{root}/data")
+    write_by_folder(c, "c_mktsegment", f"{root}/data")
     stored = read_manifest_table(spark, write_manifest_table(measured(spark, f"{root}/data"), f"{root}/manifest"))
     part = c.where("c_mktsegment = 'BUILDING'").withColumn("enrolled", F.col("enrolled") + 1)
-    part.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("c_mktsegment").parquet(f"{root}/data")
+    write_by_folder(part, "c_mktsegment", f"{root}/data", overwrite=True)
     folder = F.substring_index("file", "/", 1)
     bad = differences(spark, f"{root}/data", stored).select(folder.alias("f")).distinct()
     rows = stored.groupBy(folder.alias("folder")).agg(F.sum("n_rows").cast("long").alias("n_rows"))

@@ -23,6 +23,18 @@ MANIFEST = T.StructType([
     T.StructField("n_rows", T.LongType()), T.StructField("hash_sum", T.DecimalType(38, 0)), T.StructField("hash_xor", T.LongType()),
 ])
 
+#: Rows of one data file at most.
+FILE_ROWS = 1_000_000
+
+
+def write_by_folder(df: DataFrame, column: str, path: str, overwrite: bool = False) -> None:
+    """Write ``df`` in a folder for each value of ``column``, every task its own rows, in
+    files of bounded length; with ``overwrite`` only the folders that have rows are replaced."""
+    writer = df.write.option("maxRecordsPerFile", FILE_ROWS)
+    if overwrite:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(column).parquet(path)
+
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
     """(file, length, modified) of the data files below a folder; no file is read."""
@@ -89,7 +101,7 @@ def differences(spark: SparkSession, path: str, manifest: DataFrame, files: list
 
 
 def write_manifest_table(manifest: DataFrame, path: str) -> str:
-    manifest.select(*MANIFEST.names).coalesce(1).write.mode("overwrite").parquet(path)
+    manifest.select(*MANIFEST.names).write.mode("overwrite").parquet(path)
     return path
 
 

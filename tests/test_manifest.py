@@ -1,11 +1,13 @@
 """Fingerprints by file: only changed files are read, and a changed one is named."""
 
+import glob
 import os
 import tempfile
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from caprank.operators.cardinality import estimated_cardinality, estimated_unseen, relative_error, value_sketches
 from caprank.sources import manifest as m
 from caprank.sources.fingerprint import FingerprintMismatch, table_fingerprint
@@ -66,6 +68,23 @@ def test_a_tampered_file_is_named_and_pruned_reads_are_checked(spark, table):
         m.load_files(spark, table, man, [bad, fine])
 
 
+def test_the_cohort_and_its_manifest_are_written_by_all_tasks(spark):
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    roots = spark.sparkContext.getCheckpointDir().removeprefix("file:") + "/files-*"
+    known = set(glob.glob(roots))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = __spark_entry__.queries()["file_manifest"](spark, __spark_entry__.SMOKE_DIR).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    [root] = set(glob.glob(roots)) - known
+    assert len(got) == 5 and sum(r["differs"] for r in got) == 1
+    assert len(files(f"{root}/data")) > 5 and len(files(f"{root}/manifest")) > 1
+
+
 def test_sketches_merge_to_the_cardinality_of_all_parts(spark):
     df = spark.range(30_000).select((F.col("id") % 20_000).alias("many"), (F.col("id") % 7).cast("string").alias("few"),
                                     F.lit(None).cast("string").alias("none"), (F.col("id") % 3).alias("day"))
