@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caprank.operators.metrics import topk_metrics
-from caprank.operators.scorers import CohortSpec, build_scorer
+from caprank.operators.scorers import CohortSpec, build_scorer, for_fitting
 from caprank.operators.split import stratified_folds
 
 
@@ -28,7 +28,10 @@ def cross_val_precision(
     seed: int = 42, parallelism: int = 5, **params,
 ) -> DataFrame:
     """One row per model: mean, population std and the per-fold list."""
-    folded = stratified_folds(df, spec.label, spec.id, n_folds, seed).persist()
+    folds = stratified_folds(df, spec.label, spec.id, n_folds, seed).persist()
+    folded = for_fitting(folds, spec.id).persist()
+    folded.count()
+    folds.unpersist()
 
     def run(task: tuple[str, int]) -> tuple[str, int, float]:
         m, f = task

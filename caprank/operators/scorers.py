@@ -17,6 +17,7 @@ train/serve parity.  Scoring is a projection: ``vector_to_array(probability)[1]`
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from caprank.functions.features import rule_score
 from caprank.operators.encode import CappedOneHotEncoder, FeatureEngineer, PopulationScaler, class_weights
 from caprank.operators.split import hash_order
+from caprank.session import pinned
 
 ENGINEERED_BY_ROLE = {
     "sem1_pass_rate": ("enrolled", "approved"),
@@ -65,6 +67,17 @@ class CohortSpec:
         return list(self.numeric) + self.engineered()
 
 
+#: Training rows of one task.  A fit runs thousands of short jobs over the same rows,
+#: so their partitions follow the rows, not the shuffles the rows come from.
+FIT_ROWS = 50_000
+
+
+def for_fitting(df: DataFrame, rid: str) -> DataFrame:
+    """The rows dealt out and sorted by id, ``FIT_ROWS`` a task: the same rows in the
+    same places whatever partitions they come in, so that fits agree."""
+    return df.repartition(max(1, math.ceil(df.count() / FIT_ROWS)), rid).sortWithinPartitions(rid)
+
+
 def _prob1(df: DataFrame, out: str) -> DataFrame:
     return df.withColumn(out, vector_to_array(F.col("probability"))[1])
 
@@ -118,6 +131,10 @@ class LogisticScorer:
         self.feature_names: list[str] = []
 
     def fit(self, df: DataFrame) -> LogisticScorer:
+        with pinned(for_fitting(df, self.spec.id)) as rows:
+            return self._fit(rows)
+
+    def _fit(self, df: DataFrame) -> LogisticScorer:
         s = self.spec
         pre = Pipeline(stages=[
             s.engineer(),
@@ -159,6 +176,10 @@ class GBTScorer:
         self.categorical_slots: list[int] = []
 
     def fit(self, df: DataFrame) -> GBTScorer:
+        with pinned(for_fitting(df, self.spec.id)) as rows:
+            return self._fit(rows)
+
+    def _fit(self, df: DataFrame) -> GBTScorer:
         s = self.spec
         idx = [f"{c}__idx" for c in s.categorical]
         pre = Pipeline(stages=[
