@@ -35,11 +35,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caprank.llm.common import (claim, counted_texts, documents, exact_copies, first_copies, mix64, repeated_ids, small_side,
-                                temporary, text_batches, text_sha, trim, unused, utf8_bytes, written)
+from caprank.llm.common import (claim, counted_texts, documents, exact_copies, first_copies, mix64, repeated_ids, slices, small_side,
+                                span_positions, temporary, text_batches, text_sha, trim, unused, utf8_bytes, written)
 
 LENGTH = 50
 SEED = 20
+#: Bytes, and characters of whole texts, whose anchors are chosen at once.
+PART, PART_CHARS = 1 << 15, 30_000
+#: Anchors of one batch that leaves a task.
+ROWS = 50_000
 #: Bytes of contexts that one suffix array holds; one anchor's contexts stay together.
 CHUNK = 500_000
 #: An anchor with more distinct contexts is split into its windows.
@@ -52,18 +56,12 @@ OCCURRENCES = 250_000
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
-def _packed(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The next 8 and the next 4 bytes at each position, as integers (little
-    end first; bytes behind the end are 0)."""
-    w = np.zeros(len(data) + 8, dtype=np.uint64)
-    w[:len(data)] = data
-    w2 = w.copy()
-    w2[:-1] |= w[1:] << np.uint64(8)
-    w4 = w2.copy()
-    w4[:-2] |= w2[2:] << np.uint64(16)
-    w8 = w4.copy()
-    w8[:-4] |= w4[4:] << np.uint64(32)
-    return w8[:len(data)], w4[:len(data)]
+def _words(data: np.ndarray, kind: str) -> np.ndarray:
+    """The 8 bytes from each position on as one integer, read as ``kind`` (bytes
+    behind the end are 0)."""
+    room = np.zeros(len(data) + 8, dtype=np.uint8)
+    room[:len(data)] = data
+    return np.ndarray(len(data), kind, room, strides=(1,)).astype(np.uint64)
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, seed: int):
@@ -74,7 +72,11 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, seed: int):
     empty = np.empty(0, dtype=np.int64)
     if windows <= 0:
         return empty, empty.astype(np.uint64), empty, empty, empty
-    w8, w4 = _packed(data)
+    counts = np.maximum(np.diff(offsets) - length + 1, 0)
+    starts = span_positions(offsets[:-1], counts)
+    if not len(starts):
+        return empty, empty.astype(np.uint64), empty, empty, empty
+    w8 = _words(data, "<u8")
     m = n - seed + 1
     h = w8[:m] * _C[0]
     h ^= h >> np.uint64(29)
@@ -84,8 +86,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, seed: int):
         h ^= h >> np.uint64(31)
         at += 8
     if at < seed:
-        tail = (w8 if seed - at > 4 else w4)[at:at + m] & np.uint64((1 << 8 * (seed - at)) - 1)
-        h = (h + tail) * _C[2]
+        h = (h + (w8[at:at + m] & np.uint64((1 << 8 * (seed - at)) - 1))) * _C[2]
     h = mix64(h)
     low = np.uint64((1 << 26) - 1)
     key = (h & ~low) | np.arange(m, dtype=np.uint64)
@@ -96,13 +97,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, seed: int):
         width *= 2
     if width < span:
         best = np.minimum(best[:len(best) - (span - width)], best[span - width:])
-    place = (best & low).astype(np.int64)[:windows]
-    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:windows]
-    valid = np.arange(windows) + length <= offsets[1:][doc]
-    starts = np.flatnonzero(valid)
-    if not len(starts):
-        return empty, empty.astype(np.uint64), empty, empty, empty
-    place, doc = place[starts], doc[starts]
+    place = (best[starts] & low).astype(np.int64)
+    doc = np.repeat(np.arange(len(counts)), counts)
     new = np.concatenate(([True], (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])))
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(starts)) - 1
@@ -111,10 +107,11 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, seed: int):
 
 
 def _parts(ids, texts, length):
-    """(row index, shift, data, offsets) of a batch.  Positions must fit the
-    anchor key, so texts of 2**25 bytes or more go in parts that overlap by
-    ``length - 1`` bytes: every window lies in exactly one part."""
-    limit = 1 << 25
+    """(row index, shift, data, offsets) of a batch.  Arrays of a part fit into the
+    processor's cache and below the size from which memory is mapped anew, so longer
+    texts go in parts that overlap by ``length - 1`` bytes: every window lies in
+    exactly one part."""
+    limit = max(PART, 2 * length)
     data, offsets = utf8_bytes(texts)
     if len(data) < limit:
         yield np.arange(len(ids)), np.zeros(len(ids), dtype=np.int64), data, offsets
@@ -131,7 +128,8 @@ def repeated_anchors(docs: DataFrame, length: int, seed: int) -> DataFrame:
     has as well."""
 
     def part(batches):
-        for ids, texts in text_batches(batches):
+        found, n = [], 0
+        for ids, texts in text_batches(batches, PART_CHARS, owner="repeats"):
             own = np.array(ids, dtype=np.int64)
             for rows, _, data, offsets in _parts(ids, texts, length):
                 _, h, _, _, doc = anchors(data, offsets, length, seed)
@@ -139,7 +137,16 @@ def repeated_anchors(docs: DataFrame, length: int, seed: int) -> DataFrame:
                     order = np.lexsort((h, doc))
                     h, doc = h[order], doc[order]
                     keep = np.concatenate(([True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])))
-                    yield pd.DataFrame({"h": h[keep].view(np.int64), "doc_id": own[rows[doc[keep]]]})
+                    found.append((h[keep].view(np.int64), own[rows[doc[keep]]]))
+                    n += len(found[-1][0])
+            if n >= ROWS:
+                yield frame(found)
+                found, n = [], 0
+        if n:
+            yield frame(found)
+
+    def frame(found):
+        return pd.DataFrame({"h": np.concatenate([h for h, _ in found]), "doc_id": np.concatenate([d for _, d in found])})
 
     w = Window.partitionBy("h")
     return (docs.mapInPandas(part, "h long, doc_id long")
@@ -147,80 +154,124 @@ def repeated_anchors(docs: DataFrame, length: int, seed: int) -> DataFrame:
             .groupBy("doc_id").agg(F.collect_set("h").alias("h")))
 
 
+def some_contexts(pdf: pd.DataFrame, length: int, seed: int) -> pd.DataFrame:
+    """Rows of ``contexts`` of some documents (doc_id, text, h), ascending by doc_id.
+    All documents that have a repeated anchor list it, so one sorted list serves them."""
+    flagged = np.unique(np.concatenate(pdf["h"].tolist()).astype(np.int64).view(np.uint64))
+    ids, texts = pdf["doc_id"].to_numpy(), pdf["text"].tolist()
+    seen: dict[bytes, int] = {}
+    found: list[bytes] = []
+    places = [np.empty((4, 0), dtype=np.int64)]  # h, doc_id, start, stop
+    for lo, hi in slices(list(map(len, texts)), PART_CHARS, 256):
+        for rows, shift, data, offsets in _parts(ids[lo:hi], texts[lo:hi], length):
+            _, h, first, last, doc = anchors(data, offsets, length, seed)
+            at = np.minimum(np.searchsorted(flagged, h), len(flagged) - 1)
+            some = np.flatnonzero(flagged[at] == h)
+            a, stop, row = first[some], last[some] + length, doc[some]
+            to_text = shift[row] - offsets[row]
+            places.append(np.stack([h[some].view(np.int64), ids[lo:hi][rows[row]], a + to_text, stop + to_text]))
+            raw = data.tobytes()
+            found += [raw[x:y] for x, y in zip(a.tolist(), stop.tolist(), strict=True)]
+    h, d, start, stop = np.concatenate(places, axis=1)
+    first = np.fromiter(map(seen.setdefault, found, d.tolist()), dtype=np.int64, count=len(d))
+    own = first == d
+    whole = merged(pd.DataFrame({"doc_id": d[~own], "start": start[~own], "stop": stop[~own]}))
+    n = len(whole)
+    return pd.DataFrame({
+        "h": pd.arrays.IntegerArray(np.append(h[own], np.zeros(n, dtype=np.int64)), np.arange(own.sum() + n) >= own.sum()),
+        "doc_id": np.append(d[own], whole["doc_id"]), "start": np.append(start[own], whole["start"]),
+        "stop": np.append(stop[own], whole["stop"]),
+        "bytes": pd.Series([x for x, mine in zip(found, own.tolist(), strict=True) if mine] + [None] * n, dtype=object)})
+
+
 def contexts(docs: DataFrame, repeated: DataFrame, length: int, seed: int) -> DataFrame:
     """Contexts of repeated anchors: h, doc_id, start, off (the anchor's place
     in it), left (the byte before, -1 at a text's start, -2 where another
     anchor's context lies before), bytes.  A row without h is a span covered
-    whole: the same context lies in a smaller document of this map task."""
+    whole: the contexts that it joins lie in smaller documents of this map task."""
 
     def part(batches):
         claim("repeats")
         for pdf in batches:
             for lo in range(0, len(pdf), 256):
-                some = pdf.iloc[lo:lo + 256]
-                out = {"h": [], "doc_id": [], "start": [], "stop": [], "bytes": []}
-                seen: dict[bytes, int] = {}
-                order = np.argsort(some["doc_id"].to_numpy(), kind="stable")
-                for i in order.tolist():
-                    row = some.iloc[i]
-                    flagged = np.sort(np.asarray(row["h"], dtype=np.int64).view(np.uint64))
-                    d = int(row["doc_id"])
-                    for _, shift, data, offsets in _parts([d], [row["text"]], length):
-                        pos, h, first, last, _ = anchors(data, offsets, length, seed)
-                        if not len(h):
-                            continue
-                        at = np.minimum(np.searchsorted(flagged, h), len(flagged) - 1)
-                        raw, s0 = data.tobytes(), int(shift[0])
-                        for k in np.flatnonzero(flagged[at] == h).tolist():
-                            a, b = int(first[k]), int(last[k]) + length
-                            ctx = raw[a:b]
-                            owner = seen.setdefault(ctx, d)
-                            whole = owner != d
-                            out["h"].append(None if whole else int(h[k].view(np.int64)))
-                            out["doc_id"].append(d)
-                            out["start"].append(s0 + a)
-                            out["stop"].append(s0 + b)
-                            out["bytes"].append(None if whole else ctx)
-                yield pd.DataFrame(out | {"h": pd.array(out["h"], dtype="Int64")})
+                yield some_contexts(pdf.iloc[lo:lo + 256].sort_values("doc_id", kind="stable"), length, seed)
 
     return (docs.join(repeated, "doc_id").select("doc_id", "text", "h")
             .mapInPandas(part, "h long, doc_id long, start long, stop long, bytes binary"))
 
 
+def _by_group(group: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Stable order by group and word.  Group, rank of the word and place make one
+    integer if they fit, which sorts faster than two keys."""
+    n = len(word)
+    bits = n.bit_length()
+    if int(group.max(initial=0)).bit_length() + 2 * bits > 63:
+        return np.lexsort((word, group))
+    order = np.argsort(word)
+    ordered = word[order]
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))[:n]
+    key = (group << (2 * bits)) | (rank << bits) | np.arange(n)
+    key.sort()
+    return key & ((1 << bits) - 1)
+
+
+def _leading(x: np.ndarray) -> np.ndarray:
+    """Equal leading bytes of two words whose exclusive or is ``x``, not 0."""
+    lead = np.zeros(len(x), dtype=np.int64)
+    for s in range(1, 8):
+        lead += (x >> np.uint64(8 * (8 - s))) == 0
+    return lead
+
+
 def suffix_array(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, group: np.ndarray):
     """Order of the suffixes [start, stop) by group and content, and the length
-    of the common prefix of each with the one before it (0 across groups)."""
-    w8, _ = _packed(data)
-    big = w8.byteswap()
+    of the common prefix of each with the one before it (0 across groups).  Suffixes
+    are sorted by 8 bytes; of those still equal the next 8 bytes are read, and only
+    runs in which these differ are sorted again."""
+    words = _words(data, ">u8")
     room = stops - starts
-    depth = int((room.max() + 7) // 8)
-    keys = []
-    n = len(data)
-    for k in range(depth):
-        at = starts + 8 * k
-        left = np.clip(room - 8 * k, 0, 8)
-        word = big[np.minimum(at, n - 1)]
-        cut = np.uint64(64) - (left * 8).astype(np.uint64)
-        word = np.where(left > 0, (word >> np.minimum(cut, np.uint64(63))) << np.minimum(cut, np.uint64(63)), np.uint64(0))
-        keys.append(word)
-    order = np.lexsort((room, *keys[::-1], group))
-    lcp = np.zeros(len(order), dtype=np.int64)
-    a, b = order[:-1], order[1:]
-    live = np.flatnonzero(group[a] == group[b])
+    n, depth = len(data), int((room.max(initial=0) + 7) // 8)
+
+    def word(some, k):
+        w = words[np.minimum(starts[some] + 8 * k, n - 1)]
+        left = room[some] - 8 * k
+        short = np.flatnonzero(left < 8)
+        left = np.maximum(left[short], 0).astype(np.uint64)
+        w[short] &= np.where(left > 0, ~np.uint64(0) << (np.uint64(64) - np.maximum(left, np.uint64(1)) * np.uint64(8)), np.uint64(0))
+        return w
+
+    lcp = np.zeros(len(starts), dtype=np.int64)
+    if not len(starts):
+        return lcp.copy(), lcp
+    w = word(np.arange(len(starts)), 0)
+    order = _by_group(group, w)
+    w, g = w[order], group[order]
+    at = np.arange(len(order))  # places of suffixes equal to a neighbour so far
+    tied = np.concatenate(([False], g[1:] == g[:-1]))  # equal to the one before
     for k in range(depth):
-        if not len(live):
+        if k:
+            w = word(order[at], k)
+            mixed = tied[1:] & (w[1:] != w[:-1])
+            if mixed.any():
+                run = np.cumsum(~tied) - 1
+                several = np.zeros(run[-1] + 1, dtype=bool)
+                several[run[1:][mixed]] = True
+                again = np.flatnonzero(several[run])
+                o = again[np.lexsort((w[again], run[again]))]
+                order[at[again]], w[again] = order[at[o]], w[o]
+        new = np.flatnonzero(tied[1:] & (w[1:] != w[:-1])) + 1
+        lcp[at[new]] = 8 * k + _leading(w[new] ^ w[new - 1])
+        tied[new] = False
+        live = tied | np.append(tied[1:], False)
+        at, tied = at[live], tied[live]
+        if not len(at):
             break
-        x = keys[k][a[live]] ^ keys[k][b[live]]
-        same = x == 0
-        lcp[live[same] + 1] += 8
-        d = x[~same]
-        if len(d):
-            lead = np.zeros(len(d), dtype=np.int64)  # equal leading bytes of a differing word
-            for s in range(7, 0, -1):
-                lead[(lead == 0) & ((d >> np.uint64(8 * (8 - s))) == 0)] = s
-            lcp[live[~same] + 1] += lead
-        live = live[same]
-    lcp[1:] = np.minimum(lcp[1:], np.minimum(room[a], room[b]))
+    if len(at):  # equal but for zero bytes at the end
+        o = np.lexsort((room[order[at]], np.cumsum(~tied)))
+        order[at] = order[at[o]]
+        lcp[at[tied]] = 8 * depth
+    lcp[1:] = np.minimum(lcp[1:], np.minimum(room[order[:-1]], room[order[1:]]))
     return order, lcp
 
 
@@ -312,7 +363,19 @@ class Chunk:
         yield merged(pd.DataFrame({"doc_id": self.doc[ctx[at]], "start": a[at] + shift, "stop": stop + shift}))
 
 
-def in_chunks(some: DataFrame, length: int, search, copies, schema: str) -> DataFrame:
+def of_several(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Contexts of the anchors that still have contexts of two documents; those of one
+    document cannot repeat a smaller one."""
+    _, group = np.unique(pdf["h"].to_numpy(), return_inverse=True)
+    doc = pdf["doc_id"].to_numpy()
+    one = np.empty(group.max(initial=-1) + 1, dtype=np.int64)
+    one[group] = doc
+    several = np.zeros(len(one), dtype=bool)
+    several[group[doc != one[group]]] = True
+    return pdf[several[group]]
+
+
+def in_chunks(some: DataFrame, search, copies, schema: str) -> DataFrame:
     """``search`` over chunks of the contexts (h, doc_id, start, bytes); those with
     one anchor stay together.  Of equal contexts only those of the smallest document
     enter a chunk; ``copies(rows, first)`` makes the rows of the others, which stream
@@ -323,11 +386,13 @@ def in_chunks(some: DataFrame, length: int, search, copies, schema: str) -> Data
         held: list[pd.DataFrame] = []
         size, last = 0, None  # last: anchor, bytes and smallest document of the context met last
         for pdf in batches:
-            owners = np.empty(len(pdf), dtype=np.int64)
-            for i, row in enumerate(zip(pdf["h"].tolist(), pdf["bytes"].tolist(), pdf["doc_id"].tolist(), strict=True)):
-                if last is None or row[:2] != last[:2]:
-                    last = row
-                owners[i] = last[2]
+            if not len(pdf):
+                continue
+            h, raw, doc = (pdf[c].to_numpy() for c in ("h", "bytes", "doc_id"))
+            new = np.concatenate(([last is None or last[:2] != (h[0], raw[0])], (h[1:] != h[:-1]) | (raw[1:] != raw[:-1])))
+            at = np.maximum.accumulate(np.where(new, np.arange(len(pdf)), -1))
+            owners = np.where(at < 0, doc[0] if last is None else last[2], doc[at])
+            last = (h[-1], raw[-1], owners[-1])
             later = owners < pdf["doc_id"].to_numpy()
             if later.any():
                 yield copies(pdf[later], owners[later])
@@ -340,10 +405,10 @@ def in_chunks(some: DataFrame, length: int, search, copies, schema: str) -> Data
                 held = [whole[open_]]
                 size = int(held[0]["bytes"].map(len).sum())
                 if (~open_).any():
-                    yield from search(Chunk(whole[~open_], length))
+                    yield from search(whole[~open_])
         held = [x for x in held if len(x)]
         if held:
-            yield from search(Chunk(pd.concat(held, ignore_index=True), length))
+            yield from search(pd.concat(held, ignore_index=True))
         held = []
         trim()
 
@@ -392,10 +457,10 @@ def repeat_groups(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> tu
     occurrences: doc_id, start, size, first_doc - each occurrence of each maximal
     repeat of ``length`` bytes or more among distinct contexts, and of each further
     equal context, with the smallest document that has it (repeats that go on beyond
-    a context appear as overlapping pieces).  covered: doc_id, start, stop of spans that lie in a smaller
-    document whole: further equal contexts, and windows of hot anchors."""
+    a context appear as overlapping pieces).  covered: doc_id, start, stop of spans that repeat smaller
+    documents whole: further equal contexts, joined, and windows of hot anchors."""
     some, hot, covered = gathered(docs, length, seed)
-    occurrences = in_chunks(some, length, lambda c: c.repeats(), _copied_occurrences, "doc_id long, start long, size long, first_doc long")
+    occurrences = in_chunks(some, lambda pdf: Chunk(pdf, length).repeats(), _copied_occurrences, "doc_id long, start long, size long, first_doc long")
     return occurrences, covered if hot is None else covered.unionByName(repeated_windows(hot, length))
 
 
@@ -403,7 +468,7 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Dat
     """(doc_id, start, stop) of bytes that repeat a smaller document: the maximal
     repeats reduced to what they cover before they leave their task."""
     some, hot, covered = gathered(docs, length, seed)
-    spans = in_chunks(some, length, lambda c: c.covered(), _copied_spans, "doc_id long, start long, stop long")
+    spans = in_chunks(some, lambda pdf: Chunk(of_several(pdf), length).covered(), _copied_spans, "doc_id long, start long, stop long")
     spans = spans.unionByName(merged_parts(covered))  # one Python process a task in each branch
     return spans if hot is None else spans.unionByName(repeated_windows(hot, length))
 

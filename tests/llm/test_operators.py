@@ -236,6 +236,55 @@ def test_occurrences_are_those_of_the_interval_tree():
         assert len(sub) == n and first == min(i for i, c in enumerate(ctx) if sub in c)
 
 
+def test_anchors_of_long_texts_are_chosen_in_small_parts():
+    rng = np.random.default_rng(11)
+    texts = ["".join(rng.choice(list("ab \u00e9"), n)) for n in (200_000, 0, 300, 70_000)]
+    sizes, windows = [], []
+    for rows, shift, data, offsets in repeats._parts([5, 6, 7, 8], texts, 50):
+        sizes.append(len(data))
+        _, _, first, last, doc = repeats.anchors(data, offsets, 50, 20)
+        for a, b, k in zip(first.tolist(), last.tolist(), doc.tolist(), strict=True):
+            windows += [(int(rows[k]), w - int(offsets[k]) + int(shift[k])) for w in range(a, b + 1)]
+    assert max(sizes) <= repeats.PART
+    assert sorted(windows) == [(i, w) for i, t in enumerate(texts) for w in range(len(t.encode()) - 49)]
+
+
+def test_suffix_arrays_hold_anchors_of_several_documents_only():
+    import pandas as pd
+
+    rng = np.random.default_rng(12)
+    base = bytes(rng.integers(97, 100, 70).astype(np.uint8))
+    ctx = [base, b"-" + base, base[:60], base[5:], b"+" + base, base]
+    pdf = pd.DataFrame({"h": [1, 1, 2, 3, 3, 3], "doc_id": [4, 9, 4, 7, 7, 7], "start": 100 * np.arange(6), "bytes": ctx})
+    some = repeats.of_several(pdf)
+    assert some["h"].tolist() == [1, 1]
+    spans = [[tuple(r) for f in repeats.Chunk(x, 50).covered() for r in f.itertuples(index=False)] for x in (pdf, some)]
+    assert spans[0] == spans[1] == [(9, 101, 171)]
+    assert list(repeats.Chunk(repeats.of_several(pdf[2:]), 50).covered()) == []
+
+
+def test_suffix_array_against_a_plain_sort():
+    rng = np.random.default_rng(13)
+    for low, high in ((97, 99), (0, 2)):  # zero bytes look like the end of a suffix
+        texts = [bytes(rng.integers(low, high, n).astype(np.uint8)) for n in rng.integers(1, 60, 30)]
+        texts += [texts[0], texts[1] + b"\0", texts[2] + b"\0" * 9]
+        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        base = np.cumsum([0, *map(len, texts)])
+        starts = np.concatenate([np.arange(a, b) for a, b in zip(base[:-1], base[1:], strict=True)])
+        owner = np.repeat(np.arange(len(texts)), np.diff(base))
+        stops, raw = base[1:][owner], data.tobytes()
+        suffix = [raw[a:b] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
+        for factor in (1, 1 << 50):  # groups too large for one integer with the words
+            group = (owner % 3) * factor
+            order, lcp = repeats.suffix_array(data, starts, stops, group)
+            assert order.tolist() == sorted(range(len(suffix)), key=lambda i: (group[i], suffix[i]))
+            for k, (a, b) in enumerate(zip(order[:-1].tolist(), order[1:].tolist(), strict=True), 1):
+                n = 0
+                while group[a] == group[b] and suffix[a][n:n + 1] == suffix[b][n:n + 1] != b"":
+                    n += 1
+                assert lcp[k] == n
+
+
 def test_interval_tree_against_all_substrings():
     rng = np.random.default_rng(3)
     texts = [bytes(rng.integers(97, 99, 40).astype(np.uint8)) for _ in range(6)]
