@@ -24,16 +24,19 @@ are drawn again with a window twice as wide.
 
 Scores of any value have their place in the library order (null last), also here.
 
-Metrics that need the whole order (average precision, or any function of score
-steps) are resampled over a *ladder*: cells of (score step, label), where a step is a
-distinct score, or, beyond ``steps`` of them, a range of the order with its own
-exact bounds, inside which scores count as tied.
+Metrics that need the whole order (average precision, ROC area) are resampled over a
+*ladder*: cells of (score step, label), where a step is a distinct score, however many
+there are.  Beyond ``STEPS`` of them the ladder lies in *blocks* of as many consecutive
+steps: a replicate draws how many of its rows fall on each (block, label), then each
+block, in a task of its own, spreads them over its steps, which together is the same
+multinomial.  What a block adds to a metric needs, besides its own steps, only the
+counts above it and of the whole, so nothing but totals of blocks reaches the driver.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -43,7 +46,7 @@ from pyspark.sql import functions as F
 from caprank.functions.order import as_col
 from caprank.operators.prefix import running_totals
 from caprank.operators.ranking import EXACT_LIMIT, find_cuts, k_from_fraction, order_value
-from caprank.session import pinned, small_result
+from caprank.session import pinned, ship_package, small_result
 
 #: Half width of a window, and of a binomial's support, in standard deviations.
 DEVIATIONS = 9
@@ -53,6 +56,7 @@ MIX = ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1))
 #: Counts that one task lays out at once.
 LAID_OUT = 4_000_000
 METRICS = ("precision_at_k", "recall_at_k", "lift_at_k")
+#: Score steps of a block of the ladder.
 STEPS = 4096
 
 
@@ -250,7 +254,7 @@ def metric_intervals(df: DataFrame, y: str, score: str, rid: str, fraction: floa
                      ci_level: float = 0.95, seed: int = 42, metrics: tuple[str, ...] = (*METRICS, "average_precision"),
                      n: int | None = None, **kw) -> DataFrame:
     """K5 for several metrics: one row ``metric, point, ci_low, ci_high, ci_level``
-    for each.  Metrics at k share one set of replicates."""
+    for each.  Metrics at k share one set of replicates, those of the whole order another."""
     out = []
     with pinned(df.select(rid, y, score)) as base:
         n = base.count() if n is None else n
@@ -260,11 +264,10 @@ def metric_intervals(df: DataFrame, y: str, score: str, rid: str, fraction: floa
             reps = replicates(base, y, {"a": score}, rid, fraction, n_iter, seed, n, **kw)
             ends = reps.agg(*[interval(f"{m}_a", ci_level).alias(m) for m in at_k]).first()
             out += [(m, points[m], *ends[m], ci_level) for m in at_k]
-        for m in metrics:
-            if m not in METRICS:
-                point, values = ladder_replicates(base, y, score, rid, LADDER_METRICS[m], n_iter, seed)
-                lo, hi = _percentiles(values, ci_level)
-                out.append((m, point, lo, hi, ci_level))
+        whole = [m for m in metrics if m not in METRICS]
+        if whole:
+            found = ladder_values(base, y, score, [LADDER_METRICS[m] for m in whole], n_iter, seed)
+            out += [(m, point, *_percentiles(values, ci_level), ci_level) for m, (point, values) in zip(whole, found, strict=True)]
     order = {m: i for i, m in enumerate(metrics)}
     rows = [tuple(None if v is None else v if isinstance(v, str) else float(v) for v in r) for r in sorted(out, key=lambda r: order[r[0]])]
     return df.sparkSession.createDataFrame(rows, "metric string, point double, ci_low double, ci_high double, ci_level double")
@@ -272,39 +275,60 @@ def metric_intervals(df: DataFrame, y: str, score: str, rid: str, fraction: floa
 
 # ---------------------------------------------------------------- whole-order metrics on a ladder
 #: A metric of a ladder: (positives, rows) of each step in descending order, one row
-#: of the arrays for each replicate -> one value for each replicate.
-LadderMetric = Callable[[np.ndarray, np.ndarray], np.ndarray]
+#: of the arrays for each replicate -> one value for each replicate.  For a block, also
+#: (positives, rows) above it and on the whole ladder, for each replicate: the share of
+#: the block in the value, so that the blocks' values add up to that of the ladder.
+LadderMetric = Callable[..., np.ndarray]
 
 
-def average_precision_of(positives: np.ndarray, rows: np.ndarray) -> np.ndarray:
+def _outside(positives, rows, above, whole):
+    """(positives, rows) above these steps, as columns, and on the whole ladder."""
+    above = [x[:, None] for x in above] if above is not None else (0, 0)
+    return (*above, *(whole if whole is not None else (positives.sum(axis=1), rows.sum(axis=1))))
+
+
+def average_precision_of(positives: np.ndarray, rows: np.ndarray, above=None, whole=None) -> np.ndarray:
     """Step-wise average precision; NaN without positives."""
-    hits, seen = np.cumsum(positives, axis=1), np.cumsum(rows, axis=1)
-    total = hits[:, -1:]
+    p, n, total, _ = _outside(positives, rows, above, whole)
+    hits, seen = p + np.cumsum(positives, axis=1), n + np.cumsum(rows, axis=1)
     share = np.divide(hits, seen, out=np.zeros(hits.shape), where=seen > 0)
-    return np.divide((positives * share).sum(axis=1), total[:, 0], out=np.full(len(rows), np.nan), where=total[:, 0] > 0)
+    return np.divide((positives * share).sum(axis=1), total, out=np.full(len(rows), np.nan), where=total > 0)
 
 
-def auc_of(positives: np.ndarray, rows: np.ndarray) -> np.ndarray:
+def auc_of(positives: np.ndarray, rows: np.ndarray, above=None, whole=None) -> np.ndarray:
     """Area under the ROC curve, ties half; NaN without both labels."""
+    p, n, total, size = _outside(positives, rows, above, whole)
     negatives = rows - positives
-    below = negatives.sum(axis=1, keepdims=True) - np.cumsum(negatives, axis=1)
+    below = np.reshape(size - total, (-1, 1)) - (n - p) - np.cumsum(negatives, axis=1)
     wins = (positives * (below + negatives / 2)).sum(axis=1)
-    pairs = positives.sum(axis=1) * negatives.sum(axis=1)
+    pairs = total.astype(np.float64) * (size - total)
     return np.divide(wins, pairs, out=np.full(len(rows), np.nan), where=pairs > 0)
 
 
 LADDER_METRICS: dict[str, LadderMetric] = {"average_precision": average_precision_of, "roc_auc": auc_of}
 
 
-def ladder(df: DataFrame, y: str, score: str, rid: str, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
-    """(positives, rows) of each step of the score order, descending: distinct
-    scores, or about ``steps`` ranges of as many rows if there are more."""
+def distinct_scores(df: DataFrame, y: str, score: str) -> DataFrame:
+    """(o, v, p, c): order value, positives and rows of each distinct score."""
     value = as_col(score).cast("double")
     rows = df.select(value.alias("v"), order_value(value).alias("o"), F.coalesce(F.col(y).cast("int"), F.lit(0)).alias("y"))
-    per = rows.groupBy("o", "v").agg(F.sum("y").cast("long").alias("p"), F.count("*").alias("c"))
-    with pinned(per) as per:
+    return rows.groupBy("o", "v").agg(F.sum("y").cast("long").alias("p"), F.count("*").alias("c"))
+
+
+def _collected(per: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(positives, rows) of a few steps (o, p, c and perhaps v), descending."""
+    found = [r.asDict() for r in per.collect()]
+    found.sort(key=lambda r: (-r["o"], -v if (v := r.get("v")) is not None and math.isfinite(v) else 0.0))
+    return np.array([r["p"] for r in found], dtype=np.int64), np.array([r["c"] for r in found], dtype=np.int64)
+
+
+def ladder(df: DataFrame, y: str, score: str, rid: str, steps: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(positives, rows) of each step of the score order, descending, on the driver:
+    all distinct scores; only if ``steps`` asks for a coarser ladder, for a plot say,
+    about as many ranges of as many rows.  Resampling asks for none."""
+    with pinned(distinct_scores(df, y, score)) as per:
         distinct = per.count()
-        if distinct > steps:
+        if steps is not None and distinct > steps:
             n = per.agg(F.sum("c")).first()[0]
             # a range starts below each score that holds a row round(i * n / steps), 0 < i < steps: a
             # score's range is the number of these rows above it, from the running total alone
@@ -314,18 +338,44 @@ def ladder(df: DataFrame, y: str, score: str, rid: str, steps: int = STEPS) -> t
             cum = running_totals(per.groupBy("o").agg(F.sum("p").alias("p"), F.sum("c").alias("c")), "o", ["c"], descending=True, n=distinct)
             per = cum.groupBy((-F.least(passed, F.lit(steps - 1))).alias("o")).agg(
                 F.sum("p").cast("long").alias("p"), F.sum("c").cast("long").alias("c"))
-        found = sorted(per.select("o", "p", "c").collect(), key=lambda r: -r["o"])
-    return np.array([r["p"] for r in found], dtype=np.int64), np.array([r["c"] for r in found], dtype=np.int64)
+        return _collected(per)
+
+
+def spread(rng: np.random.Generator, n: int, cells: np.ndarray) -> np.ndarray:
+    """``n`` draws over cells in proportion to their rows; none on a cell without."""
+    out = np.zeros(len(cells), dtype=np.int64)
+    some = np.flatnonzero(cells)
+    if n and len(some):
+        out[some] = rng.multinomial(n, cells[some] / cells.sum())
+    return out
 
 
 def ladder_replicates(df: DataFrame, y: str, score: str, rid: str, metric: LadderMetric, n_iter: int = 2000, seed: int = 42,
-                      steps: int = STEPS) -> tuple[float, np.ndarray]:
-    """(the metric, its value in each replicate).  Cells of (step, label) are drawn
-    by one multinomial for each replicate; replicates are shared out over tasks."""
-    spark = df.sparkSession
-    positives, rows = ladder(df, y, score, rid, steps)
-    n = int(rows.sum())
-    share = np.concatenate((positives, rows - positives)) / max(n, 1)
+                      block: int = STEPS) -> tuple[float, np.ndarray]:
+    """(the metric, its value in each replicate) over all distinct scores."""
+    return ladder_values(df, y, score, [metric], n_iter, seed, block)[0]
+
+
+def ladder_values(df: DataFrame, y: str, score: str, metrics: Sequence[LadderMetric], n_iter: int = 2000, seed: int = 42,
+                  block: int = STEPS) -> list[tuple[float, np.ndarray]]:
+    """(value, values in the replicates) of each metric, all from the same draws.  Up
+    to ``block`` distinct scores are drawn at once and replicates are shared out over
+    tasks; more of them are drawn in blocks of ``block``."""
+    ship_package(df.sparkSession)
+    with pinned(distinct_scores(df, y, score)) as per:
+        distinct = per.count()
+        if distinct > block:
+            return _values_of_blocks(per, distinct, metrics, n_iter, seed, block)
+        positives, rows = _collected(per)
+    return _values_at_once(df.sparkSession, positives, rows, metrics, n_iter, seed)
+
+
+def _schema(keys: str, metrics: Sequence[LadderMetric]) -> str:
+    return ", ".join([keys, *[f"m{j} double" for j in range(len(metrics))]])
+
+
+def _values_at_once(spark, positives: np.ndarray, rows: np.ndarray, metrics: Sequence[LadderMetric], n_iter: int, seed: int):
+    n, cells = int(rows.sum()), np.concatenate((positives, rows - positives))
     at_once = max(1, LAID_OUT // max(1, 2 * len(rows)))
 
     def part(batches):
@@ -333,13 +383,82 @@ def ladder_replicates(df: DataFrame, y: str, score: str, rid: str, metric: Ladde
             b = pdf["id"].to_numpy()
             for lo in range(0, len(b), at_once):
                 some = b[lo:lo + at_once]
-                drawn = np.stack([np.random.default_rng([seed, int(i)]).multinomial(n, share) for i in some])
+                drawn = np.stack([spread(np.random.default_rng([seed, int(i)]), n, cells) for i in some])
                 p, q = drawn[:, :len(rows)], drawn[:, len(rows):]
-                yield pd.DataFrame({"_b": some, "value": metric(p, p + q)})
+                yield pd.DataFrame({"_b": some} | {f"m{j}": f(p, p + q) for j, f in enumerate(metrics)})
 
     tasks = max(1, min(n_iter // 50, spark.sparkContext.defaultParallelism))
-    values = spark.range(1, n_iter + 1, numPartitions=tasks).mapInPandas(part, "_b long, value double").orderBy("_b").collect()
-    return float(metric(positives[None, :], rows[None, :])[0]), np.array([r["value"] for r in values], dtype=np.float64)
+    values = spark.range(1, n_iter + 1, numPartitions=tasks).mapInPandas(part, _schema("_b long", metrics)).orderBy("_b").collect()
+    return [(float(f(positives[None, :], rows[None, :])[0]), np.array([r[f"m{j}"] for r in values], dtype=np.float64))
+            for j, f in enumerate(metrics)]
+
+
+def in_blocks(per: DataFrame, distinct: int, block: int) -> DataFrame:
+    """(block, o, v, p, c) of distinct scores: ``block`` consecutive ones to a block,
+    numbered in descending order.  Scores of one order value stay together."""
+    same = per.groupBy("o").agg(F.collect_list(F.struct("v", "p", "c")).alias("at"), F.count("*").alias("u"))
+    cum = running_totals(same, "o", ["u"], descending=True, n=distinct)
+    number = F.floor((F.col("cum_u") - F.col("u")) / F.lit(block)).cast("long")
+    return cum.select(number.alias("block"), "o", F.explode("at").alias("x")).select("block", "o", "x.v", "x.p", "x.c")
+
+
+def _added(structs: str, field: str):
+    return F.aggregate(structs, F.lit(0.0), lambda total, x: total + x[field])
+
+
+def _values_of_blocks(per: DataFrame, distinct: int, metrics: Sequence[LadderMetric], n_iter: int, seed: int, block: int):
+    spark = per.sparkSession
+    with pinned(in_blocks(per, distinct, block)) as steps:
+        found = sorted(steps.groupBy("block").agg(F.sum("p").alias("p"), F.sum("c").alias("c")).collect(), key=lambda r: r["block"])
+        numbers = np.array([r["block"] for r in found], dtype=np.int64)
+        p0, c0 = np.array([r["p"] for r in found], dtype=np.int64), np.array([r["c"] for r in found], dtype=np.int64)
+        n, m, cells = int(c0.sum()), len(found), np.concatenate((p0, c0 - p0))
+        parallel = spark.sparkContext.defaultParallelism
+        # few blocks: each is drawn in some parts of the replicates, so that all cores have work
+        parts = max(1, min(-(-n_iter // 50), -(-4 * parallel // m)))
+        tasks = min(m * parts, max(4 * parallel, -(-m * parts // 16)))
+
+        def share_out(batches):
+            """Rows of each (replicate, block, label); replicate 0 is the table itself."""
+            some_at_once = max(1, LAID_OUT // (2 * m))
+            for pdf in batches:
+                ids = pdf["id"].to_numpy()
+                for lo in range(0, len(ids), some_at_once):
+                    b = ids[lo:lo + some_at_once]
+                    drawn = np.stack([spread(np.random.default_rng([seed, int(i)]), n, cells) if i else cells for i in b])
+                    p, q = drawn[:, :m], drawn[:, m:]
+                    hits, seen = np.cumsum(p, axis=1), np.cumsum(p + q, axis=1)
+                    yield pd.DataFrame({"block": np.tile(numbers, len(b)), "part": np.repeat(b % parts, m), "_b": np.repeat(b, m),
+                                        "p": p.ravel(), "q": q.ravel(), "hits": (hits - p).ravel(), "seen": (seen - p - q).ravel(),
+                                        "total": np.repeat(hits[:, -1], m)})
+
+        def of_block(drawn: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+            own, drawn, out = own.sort_values(["o", "v"], ascending=False), drawn.sort_values("_b"), []
+            pos, neg = own["p"].to_numpy(np.int64), (own["c"] - own["p"]).to_numpy(np.int64)
+            some_at_once = max(1, LAID_OUT // (4 * len(pos)))
+            for lo in range(0, len(drawn), some_at_once):
+                d = drawn.iloc[lo:lo + some_at_once]
+                p, q = np.empty((2, len(d), len(pos)), dtype=np.int64)
+                for i, (b, name, x, z) in enumerate(zip(d["_b"].tolist(), d["block"].tolist(), d["p"].tolist(), d["q"].tolist(), strict=True)):
+                    rng = np.random.default_rng([seed, b, name + 1])
+                    p[i], q[i] = (spread(rng, x, pos), spread(rng, z, neg)) if b else (pos, neg)
+                above, whole = (d["hits"].to_numpy(), d["seen"].to_numpy()), (d["total"].to_numpy(), np.full(len(d), n))
+                out.append(pd.DataFrame({"_b": d["_b"].to_numpy(), "block": d["block"].to_numpy()}
+                                        | {f"m{j}": f(p, p + q, above, whole) for j, f in enumerate(metrics)}))
+            return pd.concat(out) if out else pd.DataFrame({"_b": [], "block": []} | {f"m{j}": [] for j in range(len(metrics))})
+
+        drawn = spark.range(0, n_iter + 1, numPartitions=max(1, min(n_iter // 50, parallel))).mapInPandas(
+            share_out, "block long, part long, _b long, p long, q long, hits long, seen long, total long")
+        own = steps.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+        key = ("block", "part")
+        found = (drawn.repartition(tasks, *key).groupBy(*key).cogroup(own.repartition(tasks, *key).groupBy(*key))
+                 .applyInPandas(of_block, _schema("_b long, block long", metrics)))
+        # added up in the order of the blocks, so that a run again gives the same last digit
+        names = [f"m{j}" for j in range(len(metrics))]
+        sums = found.groupBy("_b").agg(F.sort_array(F.collect_list(F.struct("block", *names))).alias("at"))
+        values = sums.select("_b", *[_added("at", x).alias(x) for x in names]).orderBy("_b").collect()
+    columns = [np.array([r[x] for r in values], dtype=np.float64) for x in names]  # null: NaN
+    return [(float(x[0]), x[1:]) for x in columns]
 
 
 def _percentiles(values: np.ndarray, ci_level: float) -> tuple[float | None, float | None]:

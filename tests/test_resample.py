@@ -198,6 +198,73 @@ def test_ladder_of_ranges_has_exact_bounds_without_laying_out_positions(spark, m
         assert list(zip(p.tolist(), c.tolist())) == want
 
 
+def whole_order(rows, col, counts):
+    """(average precision, ROC area) of drawn counts, equal scores as one step."""
+    steps = {}
+    for place, i in enumerate(order(rows, col)):
+        v = rows[i][col]
+        key = "null" if v is None else "nan" if math.isnan(v) else v
+        p, c = steps.get(key, (0, 0))
+        steps[key] = (p + counts[i] * rows[i][1], c + counts[i])
+    p, c = (np.array(x, dtype=float) for x in zip(*steps.values()))
+    hits, seen, q = np.cumsum(p), np.cumsum(c), c - p
+    ap = (p * np.divide(hits, seen, out=np.zeros(len(p)), where=seen > 0)).sum() / p.sum()
+    return ap, (p * (q.sum() - np.cumsum(q) + q / 2)).sum() / (p.sum() * q.sum())
+
+
+def test_no_scores_are_tied_beyond_one_block(spark):
+    rng = np.random.default_rng(12)
+    x = rng.random(6000)
+    rows = [(i, int(rng.random() < v), float(v), 0.0) for i, v in enumerate(x.tolist())]
+    df = frame(spark, rows)
+    p, c = resample.ladder(df, "y", "a", "id")
+    assert len(p) == 6000 and set(c.tolist()) == {1}
+    exact = whole_order(rows, 2, [1] * 6000)
+    got = {r["metric"]: r for r in resample.metric_intervals(df, "y", "a", "id", n_iter=40, metrics=("average_precision", "roc_auc")).collect()}
+    for m, want in zip(("average_precision", "roc_auc"), exact):
+        assert got[m]["point"] == pytest.approx(want, abs=1e-12) and got[m]["ci_low"] < want < got[m]["ci_high"]
+
+
+def test_blocks_draw_the_same_distribution_as_rows(spark):
+    rows = rows_of(700, 21)
+    df = frame(spark, rows).repartition(5)
+    both = [resample.average_precision_of, resample.auc_of]
+    found = resample.ladder_values(df, "y", "a", both, 1500, seed=3, block=16)
+    again = resample.ladder_values(df.repartition(3), "y", "a", both, 1500, seed=3, block=16)
+    once = resample.ladder_values(df, "y", "a", both, 1500, seed=3, block=4096)
+    rng, n = np.random.default_rng(8), len(rows)
+    plain_draws = np.array([whole_order(rows, 2, rng.multinomial(n, np.full(n, 1 / n)).tolist()) for _ in range(1500)])
+    for j, want in enumerate(whole_order(rows, 2, [1] * n)):
+        assert found[j][0] == pytest.approx(want, abs=1e-12) and once[j][0] == pytest.approx(want, abs=1e-12)
+        assert len(found[j][1]) == 1500 and np.array_equal(found[j][1], again[j][1])
+        for values in (found[j][1], once[j][1]):
+            assert ks(values, plain_draws[:, j]) < 0.063  # the 0.5 % level of two samples of 1,500
+    both_ways = np.corrcoef(found[0][1], found[1][1])[0, 1]  # the metrics share their draws
+    assert abs(both_ways - np.corrcoef(plain_draws[:, 0], plain_draws[:, 1])[0, 1]) < 0.05
+
+
+def test_shares_of_blocks_add_up_to_the_metric():
+    rng = np.random.default_rng(4)
+    rows = rng.integers(0, 4, (9, 50))
+    positives = rng.integers(0, rows + 1)
+    for f in (resample.average_precision_of, resample.auc_of):
+        parts = 0
+        for lo, hi in ((0, 7), (7, 8), (8, 50)):
+            above = positives[:, :lo].sum(axis=1), rows[:, :lo].sum(axis=1)
+            parts = parts + f(positives[:, lo:hi], rows[:, lo:hi], above, (positives.sum(axis=1), rows.sum(axis=1)))
+        assert parts == pytest.approx(f(positives, rows))
+
+
+def test_blocks_without_a_label_and_scores_of_one_order_value(spark):
+    none = frame(spark, [(i, 0, float(i), 0.0) for i in range(30)])
+    point, values = resample.ladder_replicates(none, "y", "a", "id", resample.average_precision_of, 20, block=4)
+    assert math.isnan(point) and len(values) == 20 and np.isnan(values).all()
+    tiny = [(i, i % 2, x, 0.0) for i, x in enumerate([0.0, 5e-324, 1e-323, -0.0, 1.0, 2.0, -1.0])]
+    got = resample.ladder_values(frame(spark, tiny), "y", "a", [resample.average_precision_of, resample.auc_of], 5, block=2)
+    for j, want in enumerate(whole_order(tiny, 2, [1] * 7)):
+        assert got[j][0] == pytest.approx(want, abs=1e-12)
+
+
 def test_bootstrap_metrics_and_methods(spark):
     df = frame(spark, rows_of(500, 8, odd=False)).cache()
     for metric in resample.METRICS:
